@@ -35,7 +35,7 @@ def round_down_cents(x: Column) -> Column:
     A cast to decimal rounds half-up, and ``floor(x*100)`` on the double can
     drop a cent (0.29*100 = 28.999...), so go through the decimal text.
     """
-    exact = x.cast("string").cast("decimal(38,12)")
+    exact = x.cast("string").cast("decimal(38,20)")
     cents = F.floor(F.abs(exact) * 100)
     return (F.signum(exact).cast("decimal(1,0)") * cents / 100).cast("decimal(18,2)")
 
