@@ -30,10 +30,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from bankflow.session import cut_lineage
+from bankflow.session import cut_lineage, work_dir
 
 MONEY = "decimal(18,2)"
 SUM_MONEY = "decimal(38,2)"
@@ -187,6 +187,37 @@ def _round(legs: DataFrame, bucket_ids: int):
     return folded.unionByName(updated), decided
 
 
+LEG_SCHEMA = ("id bigint, leg int, account_id bigint, delta decimal(18,2), state string, is_debit boolean, "
+              "amount decimal(18,2), kind string")
+
+
+def _store_round(work: DataFrame, decided: DataFrame | None):
+    """Write one round (the open legs and the round's verdicts) as ONE table.
+
+    The number of still-undecided debits is observed during that same write,
+    so a round costs a single job. Returns (work, open_count[, decided]).
+    """
+    spark = work.sparkSession
+    path = work_dir(spark, "posting-round")
+    out = work.select(*LEG_COLS, F.lit("work").alias("kind"))
+    if decided is not None:
+        out = out.unionByName(decided.select(
+            "id", F.lit(None).cast("int").alias("leg"), F.lit(None).cast("bigint").alias("account_id"),
+            F.lit(None).cast(MONEY).alias("delta"), F.col("new_state").alias("state"),
+            F.lit(None).cast("boolean").alias("is_debit"), F.lit(None).cast(MONEY).alias("amount"),
+            F.lit("decided").alias("kind")))
+    obs = Observation()
+    is_open = (F.col("kind") == "work") & F.col("is_debit") & (F.col("state") == "U")
+    out.observe(obs, F.sum(F.when(is_open, 1).otherwise(0)).alias("open")).write.partitionBy("kind").parquet(path)
+    open_count = obs.get.get("open") or 0
+    stored = spark.read.schema(LEG_SCHEMA).parquet(path)
+    new_work = stored.where(F.col("kind") == "work").select(*LEG_COLS)
+    if decided is None:
+        return new_work, open_count
+    verdicts = stored.where(F.col("kind") == "decided").select("id", F.col("state").alias("new_state"))
+    return new_work, open_count, verdicts
+
+
 def post_batch(opening: DataFrame, requests: DataFrame, bucket_ids: int = BUCKET_IDS) -> Posting:
     """Post id-ordered requests against opening balances; equal to the sequential fold.
 
@@ -200,20 +231,17 @@ def post_batch(opening: DataFrame, requests: DataFrame, bucket_ids: int = BUCKET
         F.when(F.col("txn_type") == "DEPOSIT", F.lit("A")).otherwise(F.lit("U")).alias("state"),
         ((F.col("leg") == 0) & F.col("txn_type").isin(*DEBIT_TYPES)).alias("is_debit"),
         F.col("amount").cast(MONEY).alias("amount"))
-    work = cut_lineage(_opening_legs(opening).unionByName(legs))
-    verdicts = []
+    work, open_count = _store_round(_opening_legs(opening).unionByName(legs), None)
+    decided_parts = []
     rounds = 0
-    while True:
-        open_count = work.where(F.col("is_debit") & (F.col("state") == "U")).count()
-        if open_count == 0:
-            break
+    while open_count:
         rounds += 1
-        work, decided = _round(work, bucket_ids)
-        verdicts.append(cut_lineage(decided))
-        work = cut_lineage(work)
+        nxt, decided = _round(work, bucket_ids)
+        work, open_count, decided = _store_round(nxt, decided)
+        decided_parts.append(decided)
 
-    decided_all = verdicts[0] if verdicts else None
-    for v in verdicts[1:]:
+    decided_all = decided_parts[0] if decided_parts else None
+    for v in decided_parts[1:]:
         decided_all = decided_all.unionByName(v)
     base = checked.select("id", "account_id", "related_account_id", "txn_type", "amount", "created_at",
                           "reject_reason")

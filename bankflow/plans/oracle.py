@@ -147,39 +147,39 @@ CTE["val"] = """SELECT r.*, CASE
        WHEN r.txn_type IN ('WITHDRAWAL', 'TRANSFER') AND a.cents1 IS NULL THEN 'NULL_BALANCE'
      END AS reject_reason
 FROM req r LEFT JOIN acct a ON r.account_id = a.id LEFT JOIN acct d ON r.related_account_id = d.id"""
-CTE["steps"] = """SELECT row_number() OVER (ORDER BY id) AS step, id, account_id, related_account_id, txn_type, cents
-FROM val WHERE reject_reason IS NULL"""
-_OK = "COALESCE(CASE WHEN o.txn_type = 'DEPOSIT' THEN TRUE ELSE s.bal >= o.cents END, FALSE)"
-_SRC = (f"CASE WHEN NOT {_OK} THEN s.bal WHEN o.txn_type = 'DEPOSIT' THEN s.bal + o.cents "
-        "WHEN o.txn_type = 'TRANSFER' AND o.related_account_id = o.account_id THEN s.bal ELSE s.bal - o.cents END")
-# one request per iteration; the keyed table holds account balances (key >= 0),
-# the cursor (key -1) and one decision per request (key -2 - id)
-CTE["fold(key, bal, step, acc) USING KEY (key)"] = f"""SELECT id AS key, cents1 AS bal, 0 AS step,
-       CAST(NULL AS BOOLEAN) AS acc FROM acct
-UNION ALL SELECT -1, NULL, 0, NULL
-UNION
-SELECT u.x.key, u.x.bal, u.x.step, u.x.acc FROM (
-  SELECT unnest(list_filter([
-      struct_pack(key := CAST(-1 AS BIGINT), bal := CAST(NULL AS BIGINT), step := c.step + 1,
-                  acc := CAST(NULL AS BOOLEAN)),
-      struct_pack(key := CAST(o.account_id AS BIGINT), bal := {_SRC}, step := c.step + 1,
-                  acc := CAST(NULL AS BOOLEAN)),
-      struct_pack(key := CAST(CASE WHEN o.txn_type = 'TRANSFER' AND o.related_account_id <> o.account_id
-                                   THEN o.related_account_id END AS BIGINT),
-                  bal := CASE WHEN {_OK} THEN d.bal + o.cents ELSE d.bal END, step := c.step + 1,
-                  acc := CAST(NULL AS BOOLEAN)),
-      struct_pack(key := -2 - o.id, bal := CASE WHEN {_OK} THEN {_SRC} END, step := c.step + 1, acc := {_OK})
-    ], lambda x: x.key IS NOT NULL)) AS x
-  FROM fold c
-  JOIN steps o ON o.step = c.step + 1
-  LEFT JOIN recurring.fold s ON s.key = o.account_id
-  LEFT JOIN recurring.fold d ON d.key = o.related_account_id
-  WHERE c.key = -1) u"""
+# Legs of the statically valid requests: leg 0 on the request's account, leg 1
+# on a transfer's destination. Deltas in cents.
+CTE["vlegs"] = """SELECT id, account_id AS acct, 0 AS leg,
+       CASE WHEN txn_type = 'DEPOSIT' THEN cents ELSE -cents END AS delta, txn_type <> 'DEPOSIT' AS is_debit, cents
+FROM val WHERE reject_reason IS NULL
+UNION ALL
+SELECT id, related_account_id, 1, cents, FALSE, cents FROM val WHERE reject_reason IS NULL AND txn_type = 'TRANSFER'"""
+# Jacobi relaxation of the sequential fold: start from "all accepted", recompute
+# every decision from the previous guess, stop when nothing moves. A decision
+# depends only on earlier ids (a triangular system), so this reaches the unique
+# sequential answer.
+CTE["jac(iter, id, acc)"] = """SELECT 0, id, TRUE FROM val WHERE reject_reason IS NULL
+UNION ALL
+SELECT iter, id, acc FROM (
+  SELECT iter, id, acc, bool_or(acc IS DISTINCT FROM old) OVER () AS moved FROM (
+    SELECT iter, id, old, CASE WHEN NOT is_debit THEN TRUE ELSE COALESCE(before >= cents, FALSE) END AS acc FROM (
+      SELECT j.iter + 1 AS iter, l.id, l.leg, l.is_debit, l.cents, j.acc AS old,
+             a.cents1 + COALESCE(sum(CASE WHEN j.acc THEN l.delta ELSE 0 END) OVER (
+                 PARTITION BY l.acct ORDER BY l.id, l.leg ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+               AS before
+      FROM vlegs l JOIN jac j ON j.id = l.id JOIN acct a ON a.id = l.acct) b
+    WHERE leg = 0) c) d
+WHERE moved"""
+CTE["decided"] = "SELECT id, acc FROM jac WHERE iter = (SELECT max(iter) FROM jac)"
+CTE["after_legs"] = """SELECT l.id, l.leg, l.acct,
+       a.cents1 + sum(CASE WHEN d.acc THEN l.delta ELSE 0 END) OVER (
+           PARTITION BY l.acct ORDER BY l.id RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bal
+FROM vlegs l JOIN decided d ON d.id = l.id JOIN acct a ON a.id = l.acct"""
 CTE["dec"] = f"""SELECT v.id, v.account_id, v.related_account_id, v.txn_type, v.cents, v.created_at,
        v.reject_reason IS NULL AND COALESCE(f.acc, FALSE) AS accepted,
        COALESCE(v.reject_reason, CASE WHEN NOT f.acc THEN 'INSUFFICIENT_FUNDS' END) AS reject_reason,
-       CASE WHEN v.reject_reason IS NULL AND f.acc THEN {money('f.bal')} END AS balance_after
-FROM val v LEFT JOIN fold f ON f.key = -2 - v.id"""
+       CASE WHEN v.reject_reason IS NULL AND f.acc THEN {money('b.bal')} END AS balance_after
+FROM val v LEFT JOIN decided f ON f.id = v.id LEFT JOIN after_legs b ON b.id = v.id AND b.leg = 0"""
 CTE["post_led"] = """SELECT 2 * id AS id, id AS transaction_id, account_id,
        CASE WHEN txn_type = 'DEPOSIT' THEN 'DEBIT' ELSE 'CREDIT' END AS entry_type, cents, created_at
 FROM dec WHERE accepted
@@ -187,20 +187,23 @@ UNION ALL
 SELECT 2 * id + 1, id, CASE WHEN txn_type = 'TRANSFER' THEN related_account_id END,
        CASE WHEN txn_type = 'DEPOSIT' THEN 'CREDIT' ELSE 'DEBIT' END, cents, created_at
 FROM dec WHERE accepted"""
-CTE["closing"] = f"SELECT key AS account_id, {money('bal', 'DECIMAL(38,2)')} AS balance FROM fold WHERE key >= 0"
+CTE["closing"] = f"""SELECT a.id AS account_id, {money('a.cents1 + COALESCE(n.net, 0)', 'DECIMAL(38,2)')} AS balance
+FROM acct a LEFT JOIN (SELECT l.acct, sum(l.delta) AS net FROM vlegs l JOIN decided d ON d.id = l.id
+                       WHERE d.acc GROUP BY l.acct) n ON n.acct = a.id"""
 
 _ORDER = ["prm", "cust0", "cust_log", "cust1", "cust2", "acct", "txn", "txn_x", "led", "log", "upserts",
           "stg_cust_log", "stg_acct_log", "stg_txn", "stg_txn_written", "stg_led", "stg_cust1", "stg_cust2",
-          "stg_acct1", "stg_acct2", "req", "val", "steps", "fold(key, bal, step, acc) USING KEY (key)", "dec",
+          "stg_acct1", "stg_acct2", "req", "val", "vlegs", "jac(iter, id, acc)", "decided", "after_legs", "dec",
           "post_led", "closing"]
 _DEPS = {
     "cust0": [], "prm": [], "cust_log": ["cust0", "prm"], "cust1": ["cust0", "prm"], "cust2": ["cust_log", "prm"],
     "acct": [], "txn": ["prm"], "txn_x": ["txn"], "led": ["txn"], "log": ["cust0", "prm", "acct", "txn", "led"],
     "upserts": ["log"], "stg_cust_log": ["cust_log"], "stg_acct_log": ["acct"], "stg_txn": ["txn_x"],
     "stg_txn_written": ["txn_x"], "stg_led": ["led"], "stg_cust1": ["cust1"], "stg_cust2": ["cust2"],
-    "stg_acct1": ["acct"], "stg_acct2": ["acct"], "req": ["txn_x"], "val": ["req", "acct"], "steps": ["val"],
-    "fold(key, bal, step, acc) USING KEY (key)": ["acct", "steps"], "dec": ["val", "fold"],
-    "post_led": ["dec"], "closing": ["fold"],
+    "stg_acct1": ["acct"], "stg_acct2": ["acct"], "req": ["txn_x"], "val": ["req", "acct"], "vlegs": ["val"],
+    "jac(iter, id, acc)": ["val", "vlegs", "acct"], "decided": ["jac"],
+    "after_legs": ["vlegs", "decided", "acct"], "dec": ["val", "decided", "after_legs"],
+    "post_led": ["dec"], "closing": ["acct", "vlegs", "decided"],
 }
 
 
@@ -230,7 +233,7 @@ def with_(extra: dict[str, str] | None, *names: str) -> str:
     keys = _closure(list(names))
     parts = [f"{k} AS (\n{CTE[k]}\n)" for k in keys]
     parts += [f"{k} AS (\n{v}\n)" for k, v in (extra or {}).items()]
-    recursive = "RECURSIVE " if any("USING KEY" in k for k in keys) else ""
+    recursive = "RECURSIVE " if any("(" in k for k in keys) else ""
     return f"WITH {recursive}" + ",\n".join(parts) + "\n"
 
 

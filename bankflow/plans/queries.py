@@ -44,14 +44,18 @@ class Inputs:
         return self._memo[key]
 
     # change events and raw rows
-    def log_events(self) -> DataFrame:
-        return self._once("log_events", lambda: cut_lineage(fx.change_log(self.spark, self.sf), "events"))
+    def log_events(self, tables=tuple(S.TABLES)) -> DataFrame:
+        tables = tuple(tables)
+        return self._once(("log_events", tables),
+                          lambda: cut_lineage(fx.change_log(self.spark, self.sf, tables), "events"))
 
-    def log_raw(self) -> DataFrame:
-        return self._once("log_raw", lambda: cut_lineage(cdc.to_raw(cdc.decode(self.log_events())), "raw"))
+    def log_raw(self, tables=tuple(S.TABLES)) -> DataFrame:
+        tables = tuple(tables)
+        return self._once(("log_raw", tables),
+                          lambda: cut_lineage(cdc.to_raw(cdc.decode(self.log_events(tables))), "raw"))
 
     def raw(self, table: str) -> DataFrame:
-        return self.log_raw().where(F.col("table_name") == table).drop("table_name")
+        return self.log_raw((table,)).drop("table_name")
 
     def customer_day_raw(self, day: int) -> DataFrame:
         return self._once(("cday", day), lambda: cdc.materialize_raw(fx.customer_events(self.spark, self.sf, day))
@@ -593,7 +597,7 @@ def q_stream_raw(spark, sf):
 def q_stream_facts(spark, sf):
     inp = Inputs(spark, sf)
     raw_base = work_dir(spark, "raw-txn")
-    inp.log_raw().where(F.col("table_name") == "transactions").withColumn(
+    inp.log_raw(("transactions",)).withColumn(
         "_week", F.floor((F.col("_ts_ms") - fx.DAY1_MS) / (7 * 86400000))).repartition("_week").write.partitionBy(
         "_week").parquet(raw_base)
     stream = spark.readStream.schema(spark.read.parquet(raw_base).schema).option("maxFilesPerTrigger", "1") \

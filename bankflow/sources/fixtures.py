@@ -271,8 +271,9 @@ def envelopes(rows: DataFrame, table_name: str, body: Column, op: Column, ts_ms:
     return staged.select(F.lit(TOPIC_PREFIX + table_name).alias("topic"), value.alias("value"))
 
 
-def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full change log of two days for all four topics.
+def change_log(spark: SparkSession, sf_dir: str, tables=("customers", "accounts", "transactions",
+                                                       "ledger_entries")) -> DataFrame:
+    """The full change log of two days for the given topics.
 
     customers: day-1 inserts; day 2 inserts new keys, updates changed ones and
     deletes the k%10=7 ones. accounts: day-1 inserts, day-2 updates (id%6=0).
@@ -280,24 +281,34 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from bankflow.operators.posting import ledger_legs
 
-    day1 = customer_rows(spark, sf_dir, 1)
-    day2 = customer_rows(spark, sf_dir, 2)
-    n = customer_count(spark, sf_dir)
-    cutoff = n - n // 10
-    k = F.col("id")
-    c1 = envelopes(day1, "customers", _customer_struct(day1), F.lit("c"), DAY1_MS + k * 1000, k * 4)
-    changed = day2.where((k >= cutoff) | (k % 10 == 0) | (k % 10 == 5))
-    op2 = F.when(k >= cutoff, F.lit("c")).otherwise(F.lit("u"))
-    c2 = envelopes(changed, "customers", _customer_struct(changed), op2, DAY2_MS + k * 1000, k * 4 + 1)
-    gone = day1.where(k % 10 == 7)
-    c3 = envelopes(gone, "customers", _customer_struct(gone), F.lit("d"), DAY2_MS + k * 1000, k * 4 + 1,
-                   delete=True)
-    a1 = account_events(spark, sf_dir, 1)
-    acc2 = account_rows(spark, sf_dir, 2).where(F.col("id") % 6 == 0)
-    a2 = envelopes(acc2, "accounts", _account_struct(), F.lit("u"), DAY2_MS + F.col("customer_id") * 1000,
-                   F.col("id") * 2 + 1)
-    txn = transaction_rows(spark, sf_dir)
-    t = transaction_events(txn)
-    led = ledger_events(ledger_legs(txn.select("id", "account_id", "related_account_id", "txn_type",
-                                               "amount", "created_at")))
-    return c1.unionByName(c2).unionByName(c3).unionByName(a1).unionByName(a2).unionByName(t).unionByName(led)
+    parts = []
+    if "customers" in tables:
+        day1 = customer_rows(spark, sf_dir, 1)
+        day2 = customer_rows(spark, sf_dir, 2)
+        n = customer_count(spark, sf_dir)
+        cutoff = n - n // 10
+        k = F.col("id")
+        parts.append(envelopes(day1, "customers", _customer_struct(day1), F.lit("c"), DAY1_MS + k * 1000, k * 4))
+        changed = day2.where((k >= cutoff) | (k % 10 == 0) | (k % 10 == 5))
+        op2 = F.when(k >= cutoff, F.lit("c")).otherwise(F.lit("u"))
+        parts.append(envelopes(changed, "customers", _customer_struct(changed), op2, DAY2_MS + k * 1000,
+                               k * 4 + 1))
+        gone = day1.where(k % 10 == 7)
+        parts.append(envelopes(gone, "customers", _customer_struct(gone), F.lit("d"), DAY2_MS + k * 1000,
+                               k * 4 + 1, delete=True))
+    if "accounts" in tables:
+        parts.append(account_events(spark, sf_dir, 1))
+        acc2 = account_rows(spark, sf_dir, 2).where(F.col("id") % 6 == 0)
+        parts.append(envelopes(acc2, "accounts", _account_struct(), F.lit("u"),
+                               DAY2_MS + F.col("customer_id") * 1000, F.col("id") * 2 + 1))
+    if "transactions" in tables or "ledger_entries" in tables:
+        txn = transaction_rows(spark, sf_dir)
+        if "transactions" in tables:
+            parts.append(transaction_events(txn))
+        if "ledger_entries" in tables:
+            parts.append(ledger_events(ledger_legs(txn.select("id", "account_id", "related_account_id",
+                                                              "txn_type", "amount", "created_at"))))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
