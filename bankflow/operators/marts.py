@@ -42,9 +42,12 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ incremental fact
-def read_target(spark: SparkSession, path: str) -> DataFrame | None:
+def read_target(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The loaded fact, or None before the first load. With ``schema`` an empty
+    first load (no data files) still reads as an empty table."""
     try:
-        return spark.read.parquet(path)
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.parquet(path)
     except Exception:  # the fact does not exist yet
         return None
 
@@ -87,11 +90,12 @@ def facts_transactions(spark: SparkSession, stg: DataFrame, target_path: str, as
         raise ValueError(f"unknown mode {mode!r}")
     rows = stg.select(*[c for c in STG_TRANSACTIONS_COLS if c != "load_timestamp"]).withColumn(
         "load_timestamp", F.lit(as_of).cast("timestamp_ntz"))
-    target = read_target(spark, target_path)
+    schema = _with_partition(rows).schema
+    target = read_target(spark, target_path, schema)
     mark = high_water(target)
     if mark is None:
         _with_partition(rows).write.mode("append").partitionBy("txn_date").parquet(target_path)
-        return spark.read.parquet(target_path)
+        return spark.read.schema(schema).parquet(target_path)
     lower = mark - (allowed_lateness or dt.timedelta(0))
     batch = admit(rows, mark, allowed_lateness)
     # Rows older than the lower bound cannot be admitted, so only partitions
@@ -100,7 +104,7 @@ def facts_transactions(spark: SparkSession, stg: DataFrame, target_path: str, as
     if mode == "insert_only":
         new = not_yet_loaded(batch, reachable)
         _with_partition(new).write.mode("append").partitionBy("txn_date").parquet(target_path)
-        return spark.read.parquet(target_path)
+        return spark.read.schema(schema).parquet(target_path)
     batch = cut_lineage(_with_partition(batch), "facts-batch")
     touched = batch.select("txn_date").distinct()
     keep = (reachable.join(touched, "txn_date", "left_semi")
@@ -108,4 +112,4 @@ def facts_transactions(spark: SparkSession, stg: DataFrame, target_path: str, as
     rewritten = cut_lineage(keep.unionByName(batch), "facts-rewrite")
     (rewritten.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("txn_date").parquet(target_path))
-    return spark.read.parquet(target_path)
+    return spark.read.schema(schema).parquet(target_path)

@@ -52,7 +52,7 @@ class Inputs:
     def log_raw(self, tables=tuple(S.TABLES)) -> DataFrame:
         tables = tuple(tables)
         return self._once(("log_raw", tables),
-                          lambda: cut_lineage(cdc.to_raw(cdc.decode(self.log_events(tables))), "raw"))
+                          lambda: cdc.to_raw(cut_lineage(cdc.decode(self.log_events(tables)), "decoded")))
 
     def raw(self, table: str) -> DataFrame:
         return self.log_raw((table,)).drop("table_name")

@@ -30,7 +30,8 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "8g"))
+               .config("spark.driver.memory", "8g")
+               .config("spark.ui.showConsoleProgress", "false"))
     for key, value in {**SESSION_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

@@ -58,8 +58,12 @@ def route_topic(topic: Column) -> Column:
 
 
 def _present(x: Column) -> Column:
-    """Truthy JSON value: not SQL NULL, not JSON null, not an empty object (one reference to ``x``)."""
-    return F.coalesce(~F.to_json(x).isin("null", "{}"), F.lit(False))
+    """Truthy envelope part: a non-empty JSON object (SQL NULL, JSON null and ``{}`` are not).
+
+    Counting the object's keys is much cheaper than serialising it to compare
+    with '{}'; it is NULL for anything that is not an object.
+    """
+    return F.coalesce(F.size(F.try_variant_get(x, "$", "map<string,variant>")) > 0, F.lit(False))
 
 
 ENVELOPE_FIELDS = [("op", "string"), ("before", "variant"), ("after", "variant"),
@@ -69,7 +73,9 @@ ENVELOPE_FIELDS = [("op", "string"), ("before", "variant"), ("after", "variant")
 def decode(events: DataFrame) -> DataFrame:
     """Parse each envelope once and unwrap it (``payload`` if truthy, else the event).
 
-    Output: table_name, op, before, after (variants), _ts_ms, _seq.
+    Output: table_name, op, before, after (variants), _ts_ms, _seq and
+    ``_upsert`` (``after`` is truthy). No row is filtered here: a filter on a
+    derived column is pushed below the projection and would parse again.
     """
     parsed = events.select(route_topic(F.col("topic")).alias("table_name"),
                            F.try_parse_json(F.col("value")).alias("_event"))
@@ -80,7 +86,8 @@ def decode(events: DataFrame) -> DataFrame:
            .otherwise(F.try_variant_get(ev, f"$.{name}", typ))
            .alias(name if name in ("op", "before", "after") else f"_{name}")
            for name, typ in ENVELOPE_FIELDS]
-    return picked.select("table_name", *out)
+    fields = picked.select("table_name", *out)
+    return fields.select("*", _present(F.col("after")).alias("_upsert"))
 
 
 def unwrap_envelope(event: Column) -> Column:
@@ -95,6 +102,8 @@ def unwrap_envelope(event: Column) -> Column:
 
 def keep_upserts(decoded: DataFrame) -> DataFrame:
     """Drop deletes and tombstones: keep rows whose ``after`` is truthy."""
+    if "_upsert" in decoded.columns:
+        return decoded.where(F.col("_upsert"))
     return decoded.where(_present(F.col("after")))
 
 
@@ -118,9 +127,11 @@ def raw_of(decoded: DataFrame, table: str) -> DataFrame:
 def materialize_raw(events: DataFrame) -> DataFrame:
     """Decode an event log once and keep its upserts as a stored raw table (all topics).
 
-    The log and the decoded rows are each written out (reliable checkpoint), so
-    every later extraction reads a stored variant instead of re-parsing JSON.
+    The log and the decoded rows (with their upsert flag) are each written out
+    (reliable, in the shared checkpoint folder); the upsert filter runs on the
+    stored flag, so every envelope is parsed exactly once.
     """
     from bankflow.session import cut_lineage
 
-    return cut_lineage(to_raw(decode(cut_lineage(events))))
+    decoded = cut_lineage(decode(cut_lineage(events, "events")), "decoded")
+    return to_raw(decoded)
