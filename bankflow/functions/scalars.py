@@ -54,3 +54,13 @@ def with_default(v: Column, path: str, value: Column, typ: str) -> Column:
     """Column default: applied only when the field is absent, not when it is JSON null."""
     got = F.try_variant_get(v, path, typ)
     return F.when(field_state(v, path) == "absent", value).otherwise(got)
+
+
+def apply_defaults(df, spec, col: str = "v"):
+    """Column defaults for a raw variant table: ``spec`` maps output column ->
+    (JSON path, type, default Column); a default fills only an absent field."""
+    from pyspark.sql import functions as F
+
+    v = F.col(col)
+    return df.select("*", *[with_default(v, path, default, typ).alias(name)
+                            for name, (path, typ, default) in spec.items()])

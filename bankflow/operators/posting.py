@@ -120,32 +120,48 @@ def ledger_legs(accepted: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ W3: two-level prefix sums
 def prefix_sums(df: DataFrame, key: str, cols: list[str], inclusive_same_id: bool = False,
-                bucket_ids: int = BUCKET_IDS) -> DataFrame:
+                bucket_ids: int | None = BUCKET_IDS) -> DataFrame:
     """Per ``key``, sums of ``cols`` over the rows before each row in (id, leg) order.
 
     ``inclusive_same_id=True`` sums every row with id <= this id instead (the
-    state after this request). Rows are bucketed by id range: totals per
-    (key, bucket) are prefix-summed per key (one row per bucket), and the
-    row-level window is partitioned by (key, bucket), so no task holds more
-    than one bucket of one key.
+    state after this request). With ``bucket_ids`` rows are bucketed by id
+    range: totals per (key, bucket) are prefix-summed per key (one row per
+    bucket), and the row-level window is partitioned by (key, bucket), so no
+    task holds more than one bucket of one key. ``bucket_ids=None`` is the
+    one-level window, for when no key is big enough to need splitting.
     """
+    if inclusive_same_id:
+        order = ["id"]
+        frame = (Window.unboundedPreceding, Window.currentRow)
+    else:
+        order = ["id", "leg"]
+        frame = (Window.unboundedPreceding, -1)
+    zero = F.lit(0)
+    if bucket_ids is None:
+        w = Window.partitionBy(key).orderBy(*order)
+        w = w.rangeBetween(*frame) if inclusive_same_id else w.rowsBetween(*frame)
+        return df.select("*", *[F.coalesce(F.sum(c).over(w), zero).alias(c + "_before") for c in cols])
     df = df.withColumn("_bucket", F.floor(F.col("id") / bucket_ids))
     totals = df.groupBy(key, "_bucket").agg(*[F.sum(c).alias(c) for c in cols])
     wb = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bucket_prefix = totals.select(key, "_bucket", *[F.sum(c).over(wb).alias("_bp_" + c) for c in cols])
-    if inclusive_same_id:
-        wi = Window.partitionBy(key, "_bucket").orderBy("id").rangeBetween(Window.unboundedPreceding,
-                                                                            Window.currentRow)
-    else:
-        wi = Window.partitionBy(key, "_bucket").orderBy("id", "leg").rowsBetween(Window.unboundedPreceding, -1)
+    wi = Window.partitionBy(key, "_bucket").orderBy(*order)
+    wi = wi.rangeBetween(*frame) if inclusive_same_id else wi.rowsBetween(*frame)
     within = df.select("*", *[F.sum(c).over(wi).alias("_wi_" + c) for c in cols])
     joined = within.join(bucket_prefix, [key, "_bucket"], "left")
-    zero = F.lit(0)
     return joined.select(*[c for c in df.columns if c != "_bucket"],
                          *[(F.coalesce(F.col("_wi_" + c), zero) + F.coalesce(F.col("_bp_" + c), zero))
                            .alias(c + "_before") for c in cols])
 
 
+def choose_buckets(legs: DataFrame, bucket_ids: int | None, max_rows_per_key: int) -> int | None:
+    """Split keys into id buckets only if some account holds more legs than one task should sort."""
+    if bucket_ids is not None:
+        return bucket_ids
+    biggest = legs.groupBy("account_id").count().agg(F.max("count")).first()[0] or 0
+    return BUCKET_IDS if biggest > max_rows_per_key else None
+
+
 # ------------------------------------------------------------------ L7
 def _opening_legs(opening: DataFrame) -> DataFrame:
     return opening.select(
@@ -218,11 +234,17 @@ def _store_round(work: DataFrame, decided: DataFrame | None):
     return new_work, open_count, verdicts
 
 
-def post_batch(opening: DataFrame, requests: DataFrame, bucket_ids: int = BUCKET_IDS) -> Posting:
+MAX_ROWS_PER_KEY = 2_000_000
+
+
+def post_batch(opening: DataFrame, requests: DataFrame, bucket_ids: int | None = None,
+               max_rows_per_key: int = MAX_ROWS_PER_KEY) -> Posting:
     """Post id-ordered requests against opening balances; equal to the sequential fold.
 
     opening: (account_id, balance decimal?) ; requests: (id, account_id,
-    related_account_id, txn_type, amount, created_at).
+    related_account_id, txn_type, amount, created_at). ``bucket_ids``: force
+    the two-level prefix sums with this bucket width; by default they are used
+    only when an account holds more than ``max_rows_per_key`` legs.
     """
     checked = cut_lineage(validate_requests(requests, opening))
     valid = checked.where(F.col("reject_reason").isNull())
@@ -232,6 +254,7 @@ def post_batch(opening: DataFrame, requests: DataFrame, bucket_ids: int = BUCKET
         ((F.col("leg") == 0) & F.col("txn_type").isin(*DEBIT_TYPES)).alias("is_debit"),
         F.col("amount").cast(MONEY).alias("amount"))
     work, open_count = _store_round(_opening_legs(opening).unionByName(legs), None)
+    bucket_ids = choose_buckets(work, bucket_ids, max_rows_per_key)
     decided_parts = []
     rounds = 0
     while open_count:

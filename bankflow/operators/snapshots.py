@@ -1,10 +1,14 @@
 """SCD2 snapshots with the "check" strategy.
 
-A snapshot is a Parquet table partitioned by ``run``. Every run writes one new
-partition holding the rows it closed plus the complete open set, so:
+A snapshot is a Parquet table partitioned by ``run`` and ``is_open``. Every run
+writes one new ``run`` partition holding the rows it closed plus the complete
+open set, so:
 
     current table = closed rows of all runs  UNION  open rows of the latest run
 
+and both halves are partition filters: a read never touches the stale open
+sets of older runs.
+
 Closed history is append-only; only the open set is rewritten. A run lands
 atomically (its partition appears at job commit) and a failed run leaves
 nothing visible, so a retry simply writes it again. Nothing is overwritten
@@ -109,5 +113,5 @@ def run_snapshot(spark: SparkSession, root: str, source: DataFrame, key: str, ch
              .unionByName(opened.withColumn("is_open", F.lit(True)))
              .withColumn("run", F.lit(last + 1)))
     (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run").parquet(root))
+     .partitionBy("run", "is_open").parquet(root))
     return read_snapshot(spark, root)

@@ -45,6 +45,7 @@ class Inputs:
 
     # change events and raw rows
     def log_events(self, tables=tuple(S.TABLES)) -> DataFrame:
+        """The change log as stored (topic, value) records, as a broker would hold them."""
         tables = tuple(tables)
         return self._once(("log_events", tables),
                           lambda: cut_lineage(fx.change_log(self.spark, self.sf, tables), "events"))
@@ -52,7 +53,7 @@ class Inputs:
     def log_raw(self, tables=tuple(S.TABLES)) -> DataFrame:
         tables = tuple(tables)
         return self._once(("log_raw", tables),
-                          lambda: cdc.to_raw(cut_lineage(cdc.decode(self.log_events(tables)), "decoded")))
+                          lambda: cdc.materialize_raw(fx.change_log(self.spark, self.sf, tables)))
 
     def raw(self, table: str) -> DataFrame:
         return self.log_raw((table,)).drop("table_name")
@@ -221,8 +222,10 @@ def q_load_report(spark, sf):
 
 
 def q_currencies(spark, sf):
+    from bankflow.sources.reference import currencies
+
     acc = Inputs(spark, sf).stg_accounts()
-    cur = spark.createDataFrame(S.CURRENCIES, "code string, name string")
+    cur = currencies(spark)
     return (acc.groupBy(F.col("currency").alias("code")).agg(F.count(F.lit(1)).alias("accounts"))
             .join(F.broadcast(cur), "code", "left")
             .select(F.col("code").alias("currency"), F.col("name").alias("currency_name"), "accounts"))
@@ -357,12 +360,10 @@ def q_apply_defaults(spark, sf):
     v = F.when(k % 7 == 5, F.regexp_replace(v, '"status":"[A-Z]*"', '"status":null')).otherwise(v)
     v = F.when(k % 11 == 4, F.regexp_replace(v, '"created_at":(null|"[^"]*"),', "")).otherwise(v)
     raw = cdc.materialize_raw(events.select("topic", v.alias("value")))
-    after = F.col("v")
-    return raw.select(
-        F.try_variant_get(after, "$.id", "string").alias("customer_id"),
-        scalars.with_default(after, "$.status", F.lit("ACTIVE"), "string").alias("cust_status"),
-        scalars.with_default(after, "$.created_at", F.lit(fx.AS_OF_1).cast("timestamp_ntz"),
-                             "timestamp_ntz").alias("created_at"))
+    spec = {"cust_status": ("$.status", "string", F.lit("ACTIVE")),
+            "created_at": ("$.created_at", "timestamp_ntz", F.lit(fx.AS_OF_1).cast("timestamp_ntz"))}
+    out = scalars.apply_defaults(raw, spec)
+    return out.select(F.try_variant_get("v", "$.id", "string").alias("customer_id"), "cust_status", "created_at")
 
 
 def q_clean_text(spark, sf):

@@ -127,11 +127,11 @@ def raw_of(decoded: DataFrame, table: str) -> DataFrame:
 def materialize_raw(events: DataFrame) -> DataFrame:
     """Decode an event log once and keep its upserts as a stored raw table (all topics).
 
-    The log and the decoded rows (with their upsert flag) are each written out
-    (reliable, in the shared checkpoint folder); the upsert filter runs on the
-    stored flag, so every envelope is parsed exactly once.
+    The decoded rows (with their upsert flag) are written out (reliable, in the
+    shared checkpoint folder) and the upsert filter runs on the stored flag, so
+    every envelope is parsed exactly once and later extractions read a stored
+    variant.
     """
     from bankflow.session import cut_lineage
 
-    decoded = cut_lineage(decode(cut_lineage(events, "events")), "decoded")
-    return to_raw(decoded)
+    return to_raw(cut_lineage(decode(events), "decoded"))

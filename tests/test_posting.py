@@ -43,7 +43,7 @@ def sequential_fold(opening: dict, requests: list):
     return out, bal
 
 
-def run_spark(spark, opening, requests, bucket_ids=posting.BUCKET_IDS):
+def run_spark(spark, opening, requests, bucket_ids=None):
     op = spark.createDataFrame([(a, b) for a, b in opening.items()], "account_id long, balance decimal(18,2)")
     t0 = dt.datetime(2024, 1, 1)
     rq = spark.createDataFrame([(i, a, r, t, m, t0) for i, a, r, t, m in requests],
@@ -52,7 +52,7 @@ def run_spark(spark, opening, requests, bucket_ids=posting.BUCKET_IDS):
     return posting.post_batch(op, rq, bucket_ids=bucket_ids)
 
 
-def check(spark, opening, requests, bucket_ids=posting.BUCKET_IDS):
+def check(spark, opening, requests, bucket_ids=None):
     expected, closing = sequential_fold(opening, requests)
     p = run_spark(spark, opening, requests, bucket_ids)
     got = {r["id"]: (r["accepted"], r["reject_reason"], r["balance_after"]) for r in p.decisions.collect()}
@@ -104,3 +104,10 @@ def batches(draw):
 def test_fixpoint_equals_sequential_fold(spark, batch):
     opening, requests = batch
     check(spark, opening, requests, bucket_ids=4)  # tiny buckets exercise the two-level prefix sums
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(batches())
+def test_fixpoint_one_level_equals_sequential_fold(spark, batch):
+    opening, requests = batch
+    check(spark, opening, requests)  # no hot account: one window per account
