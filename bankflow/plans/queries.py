@@ -566,17 +566,26 @@ def q_kpi_customer_balance(spark, sf):
 
 
 # ------------------------------------------------------------------ streaming
-def _event_files(inp: Inputs, events: DataFrame, parts_col, n: int) -> str:
-    """Write an event log as JSON-lines files, one file per ``parts_col`` bucket (the stream's arrivals)."""
+def _event_files(inp: Inputs, events: DataFrame) -> str:
+    """Write an event log as JSON-lines files: the arrivals a file stream will pick up."""
     path = work_dir(inp.spark, "event-files")
-    (events.withColumn("_part", parts_col).repartition(n, "_part").sortWithinPartitions("_part")
-     .drop("_part").write.json(path))
+    events.write.json(path)
+    return path
+
+
+def _arrivals(spark: SparkSession, parts: list[DataFrame], spread_by) -> str:
+    """Append each part (a day or a week of raw rows) as its own set of files, in
+    time order, so a file stream sees them in that order. Rows are spread over
+    tasks by ``spread_by`` (both images of a transaction stay in one file)."""
+    path = work_dir(spark, "arrivals")
+    for part in parts:
+        part.repartition(spread_by).write.mode("append").parquet(path)
     return path
 
 
 def q_stream_landing(spark, sf):
     inp = Inputs(spark, sf)
-    src = _event_files(inp, inp.log_events(), F.abs(F.hash("value")) % 4, 4)
+    src = _event_files(inp, inp.log_events())
     base = work_dir(spark, "stream-landing")
     jobs.run_landing(spark, src, base, work_dir(spark, "stream-ckpt"), {"maxFilesPerTrigger": "1"})
     df = spark.read.parquet(base)
@@ -585,7 +594,7 @@ def q_stream_landing(spark, sf):
 
 def q_stream_raw(spark, sf):
     inp = Inputs(spark, sf)
-    src = _event_files(inp, inp.log_events(), F.abs(F.hash("value")) % 4, 4)
+    src = _event_files(inp, inp.log_events())
     base = work_dir(spark, "stream-landing")
     jobs.run_landing(spark, src, base, work_dir(spark, "stream-ckpt"), {"maxFilesPerTrigger": "1"})
     raw_base = work_dir(spark, "stream-raw")
@@ -595,27 +604,34 @@ def q_stream_raw(spark, sf):
                     _row_id("v").alias("row_id"))
 
 
+STREAM_LATENESS = dt.timedelta(days=8)
+
+
 def q_stream_facts(spark, sf):
+    """Raw transactions arrive week by week; each micro-batch is loaded into the fact.
+    A week may span micro-batches, so the load admits 8 days of lateness (ids
+    already loaded are still skipped): every transaction is loaded once."""
     inp = Inputs(spark, sf)
-    raw_base = work_dir(spark, "raw-txn")
-    inp.log_raw(("transactions",)).withColumn(
-        "_week", F.floor((F.col("_ts_ms") - fx.DAY1_MS) / (7 * 86400000))).repartition("_week").write.partitionBy(
-        "_week").parquet(raw_base)
-    stream = spark.readStream.schema(spark.read.parquet(raw_base).schema).option("maxFilesPerTrigger", "1") \
-        .parquet(raw_base).drop("table_name", "_week")
+    raw = inp.raw("transactions").withColumn(
+        "_week", F.floor((F.col("_ts_ms") - fx.DAY1_MS) / (7 * 86400000)))
+    weeks = [r[0] for r in raw.select("_week").distinct().orderBy("_week").collect()]
+    txn_id = F.try_variant_get("v", "$.id", "bigint")
+    path = _arrivals(spark, [raw.where(F.col("_week") == w).drop("_week") for w in weeks], txn_id)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", "2") \
+        .parquet(path)
     target = work_dir(spark, "stream-facts")
-    jobs.run_facts(spark, stream, target, work_dir(spark, "facts-ckpt"), fx.AS_OF_2)
+    jobs.run_facts(spark, stream, target, work_dir(spark, "facts-ckpt"), fx.AS_OF_2,
+                   allowed_lateness=STREAM_LATENESS)
     return _fact_out(spark.read.parquet(target))
 
 
 def q_stream_scd2(spark, sf):
+    """Customer images arrive day by day (one file per micro-batch); each batch is one snapshot step."""
     inp = Inputs(spark, sf)
-    raw_base = work_dir(spark, "raw-cust")
-    inp.customer_day_raw(1).withColumn("_day", F.lit(1)).unionByName(
-        inp.customer_day_raw(2).withColumn("_day", F.lit(2))).repartition("_day").write.partitionBy(
-        "_day").parquet(raw_base)
-    stream = spark.readStream.schema(spark.read.parquet(raw_base).schema).option("maxFilesPerTrigger", "1") \
-        .parquet(raw_base).drop("_day", "_file")
+    days = [inp.customer_day_raw(d).drop("_file") for d in (1, 2)]
+    path = _arrivals(spark, days, F.try_variant_get("v", "$.id", "bigint"))
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", "1") \
+        .parquet(path)
     root = work_dir(spark, "stream-snap")
     jobs.run_scd2(spark, stream, root, work_dir(spark, "scd2-ckpt"))
     return snapshots.read_snapshot(spark, root).select(*SNAP_CUSTOMER_COLS)
