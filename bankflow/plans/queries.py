@@ -169,12 +169,12 @@ def q_cdc_drop_deletes(spark, sf):
 
 
 def q_cdc_route_topic(spark, sf):
-    ev = Inputs(spark, sf).log_events()
-    d = cdc.decode(ev)
-    up = cdc.keep_upserts(d).groupBy("table_name").agg(F.count(F.lit(1)).alias("upserts"))
-    allv = d.groupBy("table_name").agg(F.count(F.lit(1)).alias("events"),
-                                       F.sum(F.when(F.col("op") == "d", 1).otherwise(0)).alias("deletes"))
-    return allv.join(up, "table_name", "left").select("table_name", "events", "upserts", "deletes")
+    """Events, upserts and deletes per routed table, in one grouped pass over the decoded log."""
+    d = cdc.decode(Inputs(spark, sf).log_events())
+    return d.groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.sum(F.col("_upsert").cast("bigint")).alias("upserts"),
+        F.sum(F.when(F.col("op") == "d", 1).otherwise(0)).alias("deletes"))
 
 
 def _landed(inp: Inputs, flush_sizes=None) -> str:
@@ -617,7 +617,7 @@ def q_stream_facts(spark, sf):
     weeks = [r[0] for r in raw.select("_week").distinct().orderBy("_week").collect()]
     txn_id = F.try_variant_get("v", "$.id", "bigint")
     path = _arrivals(spark, [raw.where(F.col("_week") == w).drop("_week") for w in weeks], txn_id)
-    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", "2") \
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", "8") \
         .parquet(path)
     target = work_dir(spark, "stream-facts")
     jobs.run_facts(spark, stream, target, work_dir(spark, "facts-ckpt"), fx.AS_OF_2,
