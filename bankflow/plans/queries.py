@@ -588,7 +588,7 @@ def q_stream_landing(spark, sf):
     src = _event_files(inp, inp.log_events())
     base = work_dir(spark, "stream-landing")
     jobs.run_landing(spark, src, base, work_dir(spark, "stream-ckpt"), {"maxFilesPerTrigger": "1"})
-    df = spark.read.parquet(base)
+    df = landing.upserts(spark.read.parquet(base))
     return df.select("table_name", F.col("_seq").alias("seq"), _row_id("v").alias("row_id"))
 
 

@@ -1,8 +1,12 @@
 """Landing files, raw tables and the load report.
 
-Landing: upserts as Parquet, partitioned by table and capture day
-(``<base>/table_name=<t>/date=<YYYY-MM-DD>/``). The row image is kept as a
-VARIANT column ``v``, not as inferred columns, so files never drift in schema.
+Landing: decoded events as Parquet, partitioned by table, capture day and kind
+(``<base>/table_name=<t>/date=<YYYY-MM-DD>/kind=upsert|delete/``). The row image
+is kept as a VARIANT column ``v``, not as inferred columns, so files never drift
+in schema. Deletes and tombstones are kept apart by the ``kind`` partition
+instead of a filter: Spark pushes a filter on a decoded column below the decode
+and would parse every envelope again, while a partition column costs nothing
+to write and is pruned on read. Readers take ``kind=upsert`` only.
 Raw: the same rows, loaded exactly once per file by a file stream with a
 checkpoint (``availableNow``), with the source file name kept for the report.
 """
@@ -23,10 +27,27 @@ def capture_day(ts_ms_col: str = "_ts_ms"):
     return F.to_date(F.timestamp_add("MILLISECOND", F.col(ts_ms_col), F.lit(EPOCH_NTZ).cast("timestamp_ntz")))
 
 
+PARTITIONS = ["table_name", "date", "kind"]
+
+
 def landing_rows(decoded: DataFrame) -> DataFrame:
-    """Upserts with their capture day, ready to land."""
-    return keep_upserts(decoded).select(
-        "table_name", capture_day().alias("date"), F.col("after").alias("v"), "_ts_ms", "_seq", "op")
+    """Decoded events with their capture day and kind, ready to land (no row is filtered)."""
+    upsert = F.col("_upsert") if "_upsert" in decoded.columns else keep_upserts_flag()
+    return decoded.select(
+        "table_name", capture_day().alias("date"),
+        F.when(upsert, F.lit("upsert")).otherwise(F.lit("delete")).alias("kind"),
+        F.col("after").alias("v"), "_ts_ms", "_seq", "op")
+
+
+def keep_upserts_flag():
+    from bankflow.sources.cdc import _present
+
+    return _present(F.col("after"))
+
+
+def upserts(df: DataFrame) -> DataFrame:
+    """The upsert part of landed rows (partition pruning on ``kind``)."""
+    return df.where(F.col("kind") == "upsert").drop("kind")
 
 
 def write_landing(decoded: DataFrame, base: str, flush_sizes: dict[str, int] | None = None) -> None:
@@ -39,13 +60,12 @@ def write_landing(decoded: DataFrame, base: str, flush_sizes: dict[str, int] | N
     """
     rows = landing_rows(decoded)
     if not flush_sizes:
-        (rows.hint("rebalance", "table_name", "date").write.mode("append")
-         .partitionBy("table_name", "date").parquet(base))
+        (rows.hint("rebalance", *PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(base))
         return
     rows = cut_lineage(rows, "landing-stage")
     for table, size in flush_sizes.items():
-        (rows.where(F.col("table_name") == table).hint("rebalance", "date").write.mode("append")
-         .option("maxRecordsPerFile", int(size)).partitionBy("table_name", "date").parquet(base))
+        (rows.where(F.col("table_name") == table).hint("rebalance", "date", "kind").write.mode("append")
+         .option("maxRecordsPerFile", int(size)).partitionBy(*PARTITIONS).parquet(base))
 
 
 def flush_options(sizes: dict[str, int] | None = None) -> dict[str, dict[str, str]]:
@@ -54,14 +74,14 @@ def flush_options(sizes: dict[str, int] | None = None) -> dict[str, dict[str, st
 
 
 def scan_landing(spark: SparkSession, base: str, table: str, day: str) -> DataFrame:
-    """One table's files of one capture day; both predicates prune directories."""
-    return (spark.read.parquet(base)
-            .where((F.col("table_name") == table) & (F.col("date") == F.lit(day).cast("date"))))
+    """One table's upserts of one capture day; all three predicates prune directories."""
+    return upserts(spark.read.parquet(base)
+                   .where((F.col("table_name") == table) & (F.col("date") == F.lit(day).cast("date"))))
 
 
 def file_rows(spark: SparkSession, base: str) -> DataFrame:
-    """Rows per landed file (for flush-size checks)."""
-    df = spark.read.parquet(base)
+    """Rows per landed upsert file (for flush-size checks)."""
+    df = upserts(spark.read.parquet(base))
     return df.groupBy("table_name", F.col("_metadata.file_path").alias("file")).agg(
         F.count(F.lit(1)).alias("rows"))
 
@@ -71,9 +91,12 @@ def load_raw(spark: SparkSession, landing: str, raw: str, checkpoint: str, day:
     checkpoint remembers which), unreadable files are skipped. ``day`` limits
     the listing to that capture day's folders."""
     schema = spark.read.parquet(landing).schema
-    path = landing if day is None else f"{landing}/table_name=*/date={day}"
-    stream = (spark.readStream.schema(schema).option("ignoreCorruptFiles", "true")
-              .option("basePath", landing).parquet(path)
+    reader = spark.readStream.schema(schema).option("ignoreCorruptFiles", "true")
+    if day is None:  # the landing root (a streaming sink's commit log is honoured)
+        stream = reader.parquet(landing)
+    else:            # list only that day's folders
+        stream = reader.option("basePath", landing).parquet(f"{landing}/table_name=*/date={day}/kind=*")
+    stream = (stream.where(F.col("kind") == "upsert")
               .select("table_name", "v", "_ts_ms", "_seq", F.col("_metadata.file_path").alias("_file")))
     q = (stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .partitionBy("table_name").trigger(availableNow=True).start(raw))

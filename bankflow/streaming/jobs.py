@@ -27,7 +27,7 @@ def run_landing(spark: SparkSession, source: str, base: str, checkpoint: str, op
     """R1: change events -> landing Parquet (exactly once through the file sink's log)."""
     rows = landing_rows(read_cdc_stream(spark, source, opts))
     w = (rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-         .partitionBy("table_name", "date"))
+         .partitionBy("table_name", "date", "kind"))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
