@@ -10,7 +10,6 @@ fresh folder under the shared checkpoint root per call.
 from __future__ import annotations
 
 import datetime as dt
-import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F

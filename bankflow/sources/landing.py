@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from bankflow.schemas import FLUSH_SIZES
 from bankflow.session import cut_lineage
-from bankflow.sources.cdc import keep_upserts
 
 EPOCH_NTZ = "1970-01-01 00:00:00"
 
