@@ -43,18 +43,18 @@ def sequential_fold(opening: dict, requests: list):
     return out, bal
 
 
-def run_spark(spark, opening, requests, bucket_ids=None):
+def run_spark(spark, opening, requests, bucket_ids=None, **kw):
     op = spark.createDataFrame([(a, b) for a, b in opening.items()], "account_id long, balance decimal(18,2)")
     t0 = dt.datetime(2024, 1, 1)
     rq = spark.createDataFrame([(i, a, r, t, m, t0) for i, a, r, t, m in requests],
                                "id long, account_id long, related_account_id long, txn_type string, "
                                "amount decimal(18,2), created_at timestamp_ntz")
-    return posting.post_batch(op, rq, bucket_ids=bucket_ids)
+    return posting.post_batch(op, rq, bucket_ids=bucket_ids, **kw)
 
 
-def check(spark, opening, requests, bucket_ids=None):
+def check(spark, opening, requests, bucket_ids=None, **kw):
     expected, closing = sequential_fold(opening, requests)
-    p = run_spark(spark, opening, requests, bucket_ids)
+    p = run_spark(spark, opening, requests, bucket_ids, **kw)
     got = {r["id"]: (r["accepted"], r["reject_reason"], r["balance_after"]) for r in p.decisions.collect()}
     assert got == expected
     assert {r["account_id"]: r["balance"] for r in p.closing.collect()} == closing
