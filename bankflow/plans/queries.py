@@ -177,8 +177,10 @@ def q_cdc_route_topic(spark, sf):
 
 
 def _landed(inp: Inputs, flush_sizes=None) -> str:
+    """Land the change log. Landing filters nothing (deletes go to their own
+    partition), so the log is decoded straight from its source in one job."""
     base = work_dir(inp.spark, "landing")
-    landing.write_landing(cdc.decode(inp.log_events()), base, flush_sizes)
+    landing.write_landing(cdc.decode(fx.change_log(inp.spark, inp.sf)), base, flush_sizes)
     return base
 
 
@@ -640,7 +642,7 @@ def q_stream_scd2(spark, sf):
 def q_ingest_run(spark, sf):
     from bankflow.plans.runs import run_ingest
 
-    return run_ingest(spark, Inputs(spark, sf).log_events())
+    return run_ingest(spark, fx.change_log(spark, sf))
 
 
 def q_transform_run(spark, sf):
