@@ -17,6 +17,8 @@ while it is being read: run N+1 reads runs <= N.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,12 +89,18 @@ def scd2_merge(open_rows: DataFrame | None, source: DataFrame, key: str, check_c
 
 # ------------------------------------------------------------------ storage
 def _runs(spark: SparkSession, root: str):
+    """The snapshot table and its latest run number, read from the partition
+    paths Spark lists anyway (no job)."""
     try:
         df = spark.read.parquet(root)
     except Exception:  # no snapshot yet (path missing)
         return None, 0
-    last = df.agg(F.max("run")).first()[0]
-    return df, int(last or 0)
+    runs = [int(m.group(1)) for f in df.inputFiles() for m in [re.search(r"/run=(\d+)/", f)] if m]
+    return df, max(runs, default=0)
+
+
+def _current(df: DataFrame, last: int) -> DataFrame:
+    return df.where(~F.col("is_open") | (F.col("run") == last)).drop("is_open", "run")
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
@@ -100,7 +108,7 @@ def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
     df, last = _runs(spark, root)
     if df is None:
         return None
-    return df.where(~F.col("is_open") | (F.col("run") == last)).drop("is_open", "run")
+    return _current(df, last)
 
 
 def run_snapshot(spark: SparkSession, root: str, source: DataFrame, key: str, check_cols: list[str],
@@ -114,4 +122,4 @@ def run_snapshot(spark: SparkSession, root: str, source: DataFrame, key: str, ch
              .withColumn("run", F.lit(last + 1)))
     (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run", "is_open").parquet(root))
-    return read_snapshot(spark, root)
+    return _current(spark.read.parquet(root), last + 1)
