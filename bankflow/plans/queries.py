@@ -55,6 +55,10 @@ class Inputs:
                           lambda: cdc.materialize_raw(fx.change_log(self.spark, self.sf, tables)))
 
     def raw(self, table: str) -> DataFrame:
+        """One table's raw rows; reuses a stored multi-table raw if this call built one."""
+        for key, df in self._memo.items():
+            if key[0] == "log_raw" and table in key[1]:
+                return df.where(F.col("table_name") == table).drop("table_name")
         return self.log_raw((table,)).drop("table_name")
 
     def customer_day_raw(self, day: int) -> DataFrame:
@@ -416,6 +420,7 @@ def q_reject_report(spark, sf):
 
 # ------------------------------------------------------------------ data tests
 def _stg_models(inp: Inputs) -> dict:
+    inp.log_raw(tuple(S.TABLES))  # decode all four topics in one job
     return {"stg_customers": inp.stg_customers(), "stg_accounts": inp.stg_accounts(),
             "stg_transactions": inp.stg_transactions("as_written"), "stg_ledger_entries": inp.stg_ledger()}
 
@@ -648,6 +653,7 @@ def q_transform_run(spark, sf):
     from bankflow.plans.runs import run_transform
 
     inp = Inputs(spark, sf)
+    inp.log_raw(tuple(S.TABLES))  # decode all four topics in one job
     return run_transform(spark, {t: inp.raw(t) for t in S.TABLES}, fx.AS_OF_2)
 
 
