@@ -160,7 +160,8 @@ def _row_id(col: str = "after"):
 
 # ------------------------------------------------------------------ sources
 def q_cdc_unwrap(spark, sf):
-    d = cdc.decode(Inputs(spark, sf).log_events())
+    Inputs(spark, sf)  # session defaults
+    d = cdc.decode(fx.change_log(spark, sf))  # no filter after the decode: one job straight from the log
     return d.select("table_name", "op", F.col("_seq").alias("seq"), F.col("_ts_ms").alias("ts_ms"),
                     F.coalesce(_row_id("after"), _row_id("before")).alias("row_id"))
 
@@ -172,7 +173,8 @@ def q_cdc_drop_deletes(spark, sf):
 
 def q_cdc_route_topic(spark, sf):
     """Events, upserts and deletes per routed table, in one grouped pass over the decoded log."""
-    d = cdc.decode(Inputs(spark, sf).log_events())
+    Inputs(spark, sf)  # session defaults
+    d = cdc.decode(fx.change_log(spark, sf))  # no filter after the decode: one job straight from the log
     return d.groupBy("table_name").agg(
         F.count(F.lit(1)).alias("events"),
         F.sum(F.col("_upsert").cast("bigint")).alias("upserts"),
