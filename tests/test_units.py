@@ -35,3 +35,11 @@ def test_hot_account_uses_two_level_prefix(spark):
     assert posting.choose_buckets(spark.createDataFrame([(1,), (1,), (2,)], "account_id long"), None, 1) \
         == posting.BUCKET_IDS
     check(spark, opening, requests, max_rows_per_key=1)  # account 1 is "hot": two-level prefix sums
+
+
+def test_load_report_text(spark):
+    from bankflow.sources.landing import report_text
+
+    rows = spark.createDataFrame([("accounts", 2, 10), ("customers", 1, 3)], "table_name string, files long, rows long")
+    assert report_text(rows) == "Files loaded today:\n- accounts: 2 files\n- customers: 1 files\n"
+    assert report_text(rows.limit(0)) == "No files were loaded today."
