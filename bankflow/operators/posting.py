@@ -173,7 +173,21 @@ def _opening_legs(opening: DataFrame) -> DataFrame:
 LEG_COLS = ["id", "leg", "account_id", "delta", "state", "is_debit", "amount"]
 
 
-def _round(legs: DataFrame, bucket_ids: int):
+def _round(legs: DataFrame, verdicts: DataFrame | None, bucket_ids: int | None) -> DataFrame:
+    """One fixpoint round in a single pass over the windowed legs.
+
+    The previous round's verdicts are first applied to the legs they concern
+    (a transfer's incoming leg lives on another account, hence a join by id;
+    rejected requests drop out). Each windowed leg then yields, through one
+    explode: the account's new opening leg (at its first open leg), the leg
+    itself unless it sits in the decided prefix, and this round's verdict for
+    an open debit. Rows come out tagged ``kind`` = work | decided.
+    """
+    if verdicts is not None:
+        legs = (legs.join(verdicts, "id", "left")
+                .select(*[F.coalesce("new_state", "state").alias("state") if c == "state" else F.col(c)
+                          for c in LEG_COLS])
+                .where(F.col("state") != "R"))
     st, d = F.col("state"), F.col("delta")
     zero = F.lit(0).cast(MONEY)
     parts = legs.select(
@@ -188,50 +202,48 @@ def _round(legs: DataFrame, bucket_ids: int):
     open_debit = F.col("is_debit") & (st == "U")
     verdict = F.when(open_debit & (lo >= F.col("amount")), F.lit("A")).when(open_debit & (hi < F.col("amount")),
                                                                             F.lit("R"))
-    p = p.withColumn("verdict", verdict)
-    decided = p.where(F.col("verdict").isNotNull()).select("id", F.col("verdict").alias("new_state"))
+    own_state = F.coalesce(verdict, st)
     first_open = (F.col("ucnt_before") == 0) & (st == "U")
-    folded = p.where(first_open).select(
-        F.lit(-1).cast("bigint").alias("id"), F.lit(0).alias("leg"), "account_id",
-        F.col("acc_before").cast(MONEY).alias("delta"), F.lit("A").alias("state"),
-        F.lit(False).alias("is_debit"), F.lit(None).cast(MONEY).alias("amount"))
-    rest = p.where(~((F.col("ucnt_before") == 0) & (st == "A"))).select(*LEG_COLS)
-    updated = (rest.join(decided, "id", "left")
-               .select(*[F.coalesce("new_state", "state").alias("state") if c == "state" else F.col(c)
-                         for c in LEG_COLS])
-               .where(F.col("state") != "R"))
-    return folded.unionByName(updated), decided
+    in_prefix = (F.col("ucnt_before") == 0) & (st == "A")
+    null_money = F.lit(None).cast(MONEY)
+
+    def row(kind, id_, leg, acct, delta, state, is_debit, amount):
+        return F.struct(id_.cast("bigint").alias("id"), leg.cast("int").alias("leg"),
+                        acct.cast("bigint").alias("account_id"), delta.cast(MONEY).alias("delta"),
+                        state.alias("state"), is_debit.cast("boolean").alias("is_debit"),
+                        amount.cast(MONEY).alias("amount"), F.lit(kind).alias("kind"))
+
+    out = F.array(
+        F.when(first_open, row("work", F.lit(-1), F.lit(0), F.col("account_id"), F.col("acc_before"), F.lit("A"),
+                               F.lit(False), null_money)),
+        F.when(~in_prefix & (own_state != "R"),
+               row("work", F.col("id"), F.col("leg"), F.col("account_id"), d, own_state, F.col("is_debit"),
+                   F.col("amount"))),
+        F.when(verdict.isNotNull(), row("decided", F.col("id"), F.lit(None), F.lit(None), null_money, verdict,
+                                        F.lit(None), null_money)))
+    return p.select(F.inline(F.filter(out, lambda x: x.isNotNull())))
 
 
 LEG_SCHEMA = ("id bigint, leg int, account_id bigint, delta decimal(18,2), state string, is_debit boolean, "
               "amount decimal(18,2), kind string")
 
 
-def _store_round(work: DataFrame, decided: DataFrame | None):
-    """Write one round (the open legs and the round's verdicts) as ONE table.
+def _store_round(rows: DataFrame):
+    """Write one round (open legs + verdicts, tagged by ``kind``) as ONE table.
 
     The number of still-undecided debits is observed during that same write,
-    so a round costs a single job. Returns (work, open_count[, decided]).
+    so a round costs a single job. Returns (work legs, open count, verdicts).
     """
-    spark = work.sparkSession
+    spark = rows.sparkSession
     path = work_dir(spark, "posting-round")
-    out = work.select(*LEG_COLS, F.lit("work").alias("kind"))
-    if decided is not None:
-        out = out.unionByName(decided.select(
-            "id", F.lit(None).cast("int").alias("leg"), F.lit(None).cast("bigint").alias("account_id"),
-            F.lit(None).cast(MONEY).alias("delta"), F.col("new_state").alias("state"),
-            F.lit(None).cast("boolean").alias("is_debit"), F.lit(None).cast(MONEY).alias("amount"),
-            F.lit("decided").alias("kind")))
     obs = Observation()
     is_open = (F.col("kind") == "work") & F.col("is_debit") & (F.col("state") == "U")
-    out.observe(obs, F.sum(F.when(is_open, 1).otherwise(0)).alias("open")).write.partitionBy("kind").parquet(path)
+    rows.observe(obs, F.sum(F.when(is_open, 1).otherwise(0)).alias("open")).write.partitionBy("kind").parquet(path)
     open_count = obs.get.get("open") or 0
     stored = spark.read.schema(LEG_SCHEMA).parquet(path)
-    new_work = stored.where(F.col("kind") == "work").select(*LEG_COLS)
-    if decided is None:
-        return new_work, open_count
+    work = stored.where(F.col("kind") == "work").select(*LEG_COLS)
     verdicts = stored.where(F.col("kind") == "decided").select("id", F.col("state").alias("new_state"))
-    return new_work, open_count, verdicts
+    return work, open_count, verdicts
 
 
 MAX_ROWS_PER_KEY = 2_000_000
@@ -253,15 +265,16 @@ def post_batch(opening: DataFrame, requests: DataFrame, bucket_ids: int | None =
         F.when(F.col("txn_type") == "DEPOSIT", F.lit("A")).otherwise(F.lit("U")).alias("state"),
         ((F.col("leg") == 0) & F.col("txn_type").isin(*DEBIT_TYPES)).alias("is_debit"),
         F.col("amount").cast(MONEY).alias("amount"))
-    work, open_count = _store_round(_opening_legs(opening).unionByName(legs), None)
+    start = _opening_legs(opening).unionByName(legs).withColumn("kind", F.lit("work"))
+    work, open_count, _ = _store_round(start)
     bucket_ids = choose_buckets(work, bucket_ids, max_rows_per_key)
     decided_parts = []
+    verdicts = None
     rounds = 0
     while open_count:
         rounds += 1
-        nxt, decided = _round(work, bucket_ids)
-        work, open_count, decided = _store_round(nxt, decided)
-        decided_parts.append(decided)
+        work, open_count, verdicts = _store_round(_round(work, verdicts, bucket_ids))
+        decided_parts.append(verdicts)
 
     decided_all = decided_parts[0] if decided_parts else None
     for v in decided_parts[1:]:
