@@ -111,9 +111,8 @@ def minhash_keys(values: np.ndarray, counts: np.ndarray, side: int, rows: int) -
     return keys[0].T, keys[1].T
 
 
-def sketches(df: DataFrame, k: int, text: str = "text", key: str = "doc_id", side: int = SIDE,
-             rows: int = ROWS) -> DataFrame:
-    """(key, n_shingles, set_key, a, b): size and identity of each text's set and its two key collections."""
+def sketches(df: DataFrame, k: int, text: str, keep: list[str], side: int = SIDE, rows: int = ROWS) -> DataFrame:
+    """Kept columns, n_shingles, set_key, a, b: size and identity of each text's set and its two key collections."""
     def fn(batch: pa.RecordBatch) -> list[pa.Array]:
         values, counts = shingle_sets(*utf8_buffer(batch.column(batch.schema.get_field_index(text))), k)
         raw, ends = values.tobytes(), np.concatenate([[0], np.cumsum(counts)]) * 8
@@ -123,7 +122,7 @@ def sketches(df: DataFrame, k: int, text: str = "text", key: str = "doc_id", sid
         lists = [pa.ListArray.from_arrays(at, pa.array(np.ascontiguousarray(x).reshape(-1).view(np.int64))) for x in (a, b)]
         return [pa.array(counts, pa.int64()), pa.array(identity, pa.binary()), *lists]
 
-    return append_columns(df, text, "n_shingles bigint, set_key binary, a array<bigint>, b array<bigint>", fn, keep=[key])
+    return append_columns(df, text, "n_shingles bigint, set_key binary, a array<bigint>, b array<bigint>", fn, keep=keep)
 
 
 def full_sets(df: DataFrame, k: int, text: str, keep: list[str]) -> DataFrame:
@@ -248,9 +247,10 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, k: int = 5, text: str = "text", key: str = "doc_id", side: int = SIDE,
-                    rows: int = ROWS) -> DataFrame:
-    """(key, n_shingles, component_id, kept) of every row; see the module text."""
-    sketched = cut_lineage(sketches(df, k, text, key, side, rows).withColumn(key, F.col(key).cast("bigint")), "sketch")
+                    rows: int = ROWS, keep: list[str] | None = None) -> DataFrame:
+    """(key, kept columns, n_shingles, component_id, kept) of every row; see the module text."""
+    kept = list(dict.fromkeys([key, *(keep or [])]))
+    sketched = cut_lineage(sketches(df, k, text, kept, side, rows).withColumn(key, F.col(key).cast("bigint")), "sketch")
     with_id = sketched.where((F.col("n_shingles") > 0) & F.col(key).isNotNull())
     classes = cut_lineage(with_id.groupBy("set_key").agg(F.min(key).alias("rep"), F.first("n_shingles").alias("n"),
                                                           F.first("a").alias("a"), F.first("b").alias("b")), "class")
@@ -306,8 +306,8 @@ def near_duplicates(df: DataFrame, k: int = 5, text: str = "text", key: str = "d
             links = comps.where("node <> comp").select(F.col("node").alias("x"), F.col("comp").alias("y")).union(found)
             comps = cut_lineage(components(links), "comp")
     rep_of = classes.select("set_key", "rep")
-    out = sketched.select(key, "n_shingles", "set_key").join(rep_of, "set_key", "left")
+    out = sketched.select(*kept, "n_shingles", "set_key").join(rep_of, "set_key", "left")
     # rows that share an id are one document: its component is the least of its texts' components
     out = out.join(comps, out.rep == comps.node, "left").select(
-        key, "n_shingles", F.coalesce("comp", "rep", key).alias("component_id"))
+        *kept, "n_shingles", F.coalesce("comp", "rep", key).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.col("component_id").isNull()))

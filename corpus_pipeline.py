@@ -1,16 +1,59 @@
 """Corpus pipeline: documents go through five stages, each written and read again before the next one.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
+Toxic documents go; of each group of near copies the one with the least id stays; documents with benchmark passages go; secrets are
+replaced by a mark; what is left is encoded. A document without id or text, or with an empty one, is clean and stays.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bankflow.llm.registry import table
+from bankflow.llm import bpe, decontaminate, near_dup, secrets, toxicity
+from bankflow.llm.registry import BYTE_RANKS, table
 from bankflow.session import cut_lineage
 
-STAGES: list = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted toxic."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, keep=docs.columns).where("predicted = 0").select(*docs.columns)
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id and text are not in ``gone`` (id and ``_hash`` of the text, nulls equal nulls)."""
+    marked = docs.withColumn("_hash", F.xxhash64("text"))
+    gone = gone.select(F.col("doc_id").alias("_gone"), F.col("_hash").alias("_gone_hash")).distinct()
+    same = (F.col("_hash") == F.col("_gone_hash")) & F.col("doc_id").eqNullSafe(F.col("_gone"))
+    return marked.join(gone, same, "left_anti").drop("_hash")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies on five-word shingles at 0.8."""
+    marked = docs.withColumn("_hash", F.xxhash64("text"))
+    return _without(docs, near_dup.near_duplicates(marked, k=5, keep=["_hash"]).where("not kept"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of a benchmark item."""
+    marked = docs.withColumn("_hash", F.xxhash64("text"))
+    return _without(docs, decontaminate.contamination(marked, table(spark, sf_dir, "benchmark"), keep=["_hash"]).where("contaminated"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets replaced by a mark."""
+    clean = secrets.redact(secrets.scan(docs))
+    return clean.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with the offsets by which they decode."""
+    return bpe.encode(docs, BYTE_RANKS).select("doc_id", "lang", "source", "n_chars", "n_tokens", "bpe_ids", "bpe_starts")
+
+
+STAGES = [("toxicity", drop_toxic), ("near_copies", drop_near_copies), ("decontamination", drop_contaminated),
+          ("secrets", redact_secrets), ("encoding", encode)]
 
 #: SQL cannot express toxicity and encoding; the pipeline is tested against a brute-force version.
 ORACLE_SQL = None
