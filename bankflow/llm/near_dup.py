@@ -8,12 +8,11 @@ tables cost 2 * side * rows minhashes in place of 2 * side**2 * rows. Two sets o
 Equal sets are one class with one representative (map-side aggregation), so groups of copies cost one row. The rest:
 
 1. The table rows are range-partitioned by (key, representative) and sorted: a bucket of any size is split over
-   tasks, and no group is ever held whole. Runs of one key form sub-buckets with ranks.
-2. Candidates are verified on full sets. First each member meets the least member of its buckets, then of each of
-   its buckets; buckets whose members are all connected by now are done. In those left, each member outside the
-   bucket's largest component meets the others in blocks of growing rank until no pair of different components is
-   left unverified. So no candidate pair that could change the result goes unverified, and a bucket of near copies of
-   each other costs about one pair per member and table.
+   tasks, and no group is ever held whole.
+2. Candidates are verified on full sets. Each member of a bucket meets its hub: first the most popular of its hubs, then the other
+   hubs it is not connected with. In buckets whose other members are not connected by then, members outside the largest
+   component meet all others block by block, and only links come out. So every candidate pair that could still change a
+   component is verified, while a bucket of near copies of each other costs one pair per member.
 3. Components come from large-star/small-star rounds, each a written table.
 
 Defined cases: a text without words has an empty set and is linked with nothing; one of fewer than ``k`` words is its
@@ -38,6 +37,8 @@ from bankflow.session import cut_lineage
 SIDE = 12      # keys in either collection; SIDE * SIDE tables
 ROWS = 3       # minhashes in a key
 THRESHOLD = 80  # per cent
+BLOCK_SETS = 128          # sets in a block of open members, and their shingles; more make more blocks
+BLOCK_SHINGLES = 1 << 16
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -136,68 +137,47 @@ def full_sets(df: DataFrame, k: int, text: str, keep: list[str]) -> DataFrame:
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """Rows of table keys that are shared: (key, part, rank, rep, n, hub, hub_n, edge).
+    """(key, rep, n) of the table keys that several representatives share.
 
-    A range partition is sorted by (key, rep); its run of a key is a sub-bucket (key, part) whose least member is the
-    hub. ``edge`` marks runs at either end of a partition, whose key may go on in another.
+    Rows are range-partitioned by (key, rep) and sorted, so a bucket of any size is spread over tasks. Runs of one row are
+    left out, but for those at either end of a partition, whose key may go on in another.
     """
     spark = classes.sparkSession
     tables = F.flatten(F.transform("a", lambda x, i: F.transform("b", lambda y, j: F.xxhash64(x, y, i, j))))
     rows = classes.select("rep", "n", F.explode(tables).alias("key"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartitionByRange(parts, "key", "rep").sortWithinPartitions("key", "rep").withColumn("part", F.spark_partition_id())
+    rows = rows.repartitionByRange(parts, "key", "rep").sortWithinPartitions("key", "rep")
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = ("key", "part", "rep", "n")
-        held = {c: np.empty(0, np.int64) for c in columns}   # the last run so far: its first rows may have gone out
-        state = {"rank": 0, "hub": 0, "hub_n": 0, "first": True}
+        names = ("key", "rep", "n")
+        held = {c: np.empty(0, np.int64) for c in names}    # the last row so far
+        before = None                                       # key of the row before the held one
+        first = True                                        # the held row may belong to the partition's first run
 
-        def emit(rows: dict[str, np.ndarray], final: bool) -> pa.RecordBatch | None:
-            """Runs of ``rows``; unless ``final``, all but the last row, which stays held."""
-            key = rows["key"]
-            n = len(key)
-            if not n:
-                return None
-            start = np.concatenate([[True], key[1:] != key[:-1]])
-            at = np.flatnonzero(start)
-            run = np.cumsum(start) - 1
-            rank = np.arange(n) - at[run]
-            size = np.diff(np.append(at, n))[run]
-            hub, hub_n = rows["rep"][at][run], rows["n"][at][run]
-            head = run == 0
-            if state["rank"]:            # the first run goes on from rows that went out before
-                rank[head] += state["rank"]
-                size[head] += state["rank"]
-                hub[head], hub_n[head] = state["hub"], state["hub_n"]
-            edge = (run == run[-1]) if final else np.zeros(n, bool)
-            if state["first"]:
-                edge = edge | head
-            out = n if final else n - 1
-            keep = (size[:out] > 1) | edge[:out]
-            if not final:
-                goes_on = run[-1] == run[-2] if n > 1 else state["rank"] > 0
-                state["first"] = state["first"] and run[-1] == 0
-                state["rank"] = int(rank[-1]) if goes_on else 0
-                state["hub"], state["hub_n"] = int(hub[-1]), int(hub_n[-1])
-            pick = np.flatnonzero(keep)
-            data = {"key": key, "part": rows["part"], "rank": rank, "rep": rows["rep"], "n": rows["n"],
-                    "hub": hub, "hub_n": hub_n}
-            return pa.RecordBatch.from_arrays([*(pa.array(v[:out][pick].astype(np.int64)) for v in data.values()),
-                                               pa.array(edge[:out][pick])], names=[*data, "edge"])
+        def out(rows: dict[str, np.ndarray], keep: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(rows[c][:len(keep)][keep]) for c in names], names=list(names))
 
         for batch in batches:
-            held = {c: np.concatenate([held[c], batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype(np.int64)])
-                    for c in columns}
-            got = emit(held, False)
-            if got is not None and got.num_rows:
-                yield got
-            held = {c: v[-1:] for c, v in held.items()}
-        got = emit(held, True)
-        if got is not None and got.num_rows:
-            yield got
-
-    return rows.select("key", F.col("part").cast("bigint").alias("part"), "rep", "n").mapInArrow(
-        shared, "key bigint, part bigint, rank bigint, rep bigint, n bigint, hub bigint, hub_n bigint, edge boolean")
+            rows = {c: np.concatenate([held[c], batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False)]) for c in names}
+            key = rows["key"]
+            if not len(key):
+                continue
+            same = key[1:] == key[:-1]
+            keep = same.copy()
+            keep[1:] |= same[:-1]
+            if len(keep):
+                keep[0] |= before is not None and before == key[0]
+                if first:
+                    keep |= key[:-1] == key[0]
+                    first = bool(key[-1] == key[0])
+                before = key[-2]
+            yield out(rows, keep)
+            held = {c: v[-1:] for c, v in rows.items()}
+        if len(held["key"]):
+            yield out(held, np.array([True]))
+
+    found = rows.select("key", "rep", "n").mapInArrow(shared, "key bigint, rep bigint, n bigint")
+    return found
 
 
 def _could_be(n1: str, n2: str):
@@ -205,12 +185,6 @@ def _could_be(n1: str, n2: str):
     return 100 * F.least(n1, n2) >= THRESHOLD * F.greatest(n1, n2)
 
 
-def _pairs(df: DataFrame, x: str, nx: str, y: str, ny: str) -> DataFrame:
-    """Distinct unordered pairs of different representatives whose sizes allow a link."""
-    return (df.where((F.col(x) != F.col(y)) & _could_be(nx, ny))
-            .select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).distinct())
-
-
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs of ``pairs`` (x, y) that reach the threshold on their full sets."""
     left = sets.select(F.col("rep").alias("x"), F.col("shingles").alias("sx"))
@@ -246,6 +220,86 @@ def components(links: DataFrame) -> DataFrame:
             .union(edges.select("v", "v").distinct()))
 
 
+def seats(members: DataFrame) -> DataFrame:
+    """Bucket rows with the bucket's size and hub: (key, size, rep, n, hub, hub_n, weight).
+
+    The hub of a bucket is its most popular member, popularity (``weight``) being the summed size of all buckets that a member is in. Of
+    near copies of one text, that text has the minhashes most of them have, so it is the hub they are likeliest to link with.
+    """
+    members = members.join(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "key")
+    weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
+    hub = members.join(weight, "rep").groupBy("key").agg(
+        F.max(F.struct("weight", (-F.col("rep")).alias("minus"), "n")).alias("h"))
+    return members.join(hub, "key").select("key", "size", "rep", "n", (-F.col("h.minus")).alias("hub"),
+                                           F.col("h.n").alias("hub_n"), F.col("h.weight").alias("weight"))
+
+
+def labelled(df: DataFrame, comps: DataFrame, node: str, name: str) -> DataFrame:
+    """Add the component of ``node``, itself if it has no link, as ``name``."""
+    of = comps.select(F.col("node").alias(node), F.col("comp").alias("_comp"))
+    return df.join(of, node, "left").withColumn(name, F.coalesce("_comp", node)).drop("_comp")
+
+
+def connect(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links."""
+    stars = comps.where("node <> comp").select(F.col("node").alias("x"), F.col("comp").alias("y"))
+    return cut_lineage(components(stars.union(links)), "comp")
+
+
+def block_links(table: pa.Table) -> pa.Table:
+    """Links between the ``outside`` members of a block pair and the others, one per component that a member meets."""
+    sets = table.column("shingles").combine_chunks()
+    flat = sets.flatten().to_numpy(zero_copy_only=False)
+    sizes = sets.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    rep, comp = (table.column(c).to_numpy() for c in ("rep", "comp"))
+    outside = table.column("outside").to_numpy(zero_copy_only=False)
+    values, ids = np.unique(flat, return_inverse=True)
+    ends = np.cumsum(sizes)
+    others = np.flatnonzero(~outside)
+    out: list[tuple[int, int]] = []
+    if len(others):
+        other_ids = np.concatenate([ids[ends[o] - sizes[o]:ends[o]] for o in others])
+        starts = np.cumsum(sizes[others]) - sizes[others]
+        mark = np.zeros(len(values), np.int64)
+        for x in np.flatnonzero(outside):
+            own = ids[ends[x] - sizes[x]:ends[x]]
+            mark[own] = 1
+            common = np.add.reduceat(mark[other_ids], starts)
+            mark[own] = 0
+            linked = (100 * common >= THRESHOLD * (sizes[x] + sizes[others] - common)) & (comp[others] != comp[x])
+            found = others[linked]
+            out += [(int(rep[x]), int(rep[y])) for y in found[np.unique(comp[found], return_index=True)[1]]]
+    return pa.table({"x": pa.array([x for x, _ in out], pa.int64()), "y": pa.array([y for _, y in out], pa.int64())})
+
+
+def open_links(bucket_rows: DataFrame, comps: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between members of different components that no hub has settled.
+
+    A bucket is open if its members other than the hub, which has met them all, are not in one component. The members of open buckets
+    are dealt out again by each key of the first collection, which any two of a bucket share one of. There each
+    member outside the largest component meets all others, block against block: tasks hold at most two blocks, and
+    only links come out, so neither rows nor memory grow with the square of a group.
+    """
+    rows = labelled(bucket_rows.where("size > 2 and rep <> hub").select("key", "rep"), comps, "rep", "comp")
+    split = rows.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("key")
+    members = cut_lineage(rows.join(split, "key", "left_semi").select("rep", "comp").distinct()
+                          .join(classes.select("rep", "n", "a"), "rep")
+                          .select("rep", "comp", "n", F.posexplode("a").alias("i", "at")), "open")
+    per = members.groupBy("i", "at", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
+    place = (per.groupBy("i", "at").agg(F.max(F.struct("c", "comp", "s")).alias("m"), F.sum("c").alias("c"), F.sum("s").alias("s"))
+             .where("c > m.c").select("i", "at", F.col("m.comp").alias("main"),
+                                      F.ceil(F.greatest((F.col("c") - F.col("m.c")) / BLOCK_SETS, (F.col("s") - F.col("m.s")) / BLOCK_SHINGLES)).alias("across"),
+                                      F.ceil(F.greatest(F.col("c") / (2 * BLOCK_SETS), F.col("s") / (2 * BLOCK_SHINGLES))).alias("down")))
+    members = members.join(place, ["i", "at"])
+    upto = lambda c: F.sequence(F.lit(0).cast("bigint"), F.col(c) - 1)
+    out = (members.where("comp <> main").select("i", "at", "rep", "comp", F.pmod(F.xxhash64("rep"), F.col("across")).alias("p"),
+                                                F.explode(upto("down")).alias("q"), F.lit(True).alias("outside")))
+    rest = members.select("i", "at", "rep", "comp", F.explode(upto("across")).alias("p"),
+                          F.pmod(F.xxhash64("rep", F.lit(1)), F.col("down")).alias("q"), F.lit(False).alias("outside"))
+    dealt = out.unionByName(rest).join(sets, "rep").select("i", "at", "p", "q", "rep", "comp", "outside", "shingles")
+    return dealt.groupBy("i", "at", "p", "q").applyInArrow(block_links, "x bigint, y bigint")
+
+
 def near_duplicates(df: DataFrame, k: int = 5, text: str = "text", key: str = "doc_id", side: int = SIDE,
                     rows: int = ROWS, keep: list[str] | None = None) -> DataFrame:
     """(key, kept columns, n_shingles, component_id, kept) of every row; see the module text."""
@@ -254,57 +308,21 @@ def near_duplicates(df: DataFrame, k: int = 5, text: str = "text", key: str = "d
     with_id = sketched.where((F.col("n_shingles") > 0) & F.col(key).isNotNull())
     classes = cut_lineage(with_id.groupBy("set_key").agg(F.min(key).alias("rep"), F.first("n_shingles").alias("n"),
                                                           F.first("a").alias("a"), F.first("b").alias("b")), "class")
-    members = cut_lineage(buckets(classes), "bucket")
-    # hubs of sub-buckets of one key that lie in different partitions
-    edges = members.where("edge and rank = 0").select("key", "hub", "hub_n").distinct()
-    least = edges.groupBy("key").agg(F.min(F.struct("hub", "hub_n")).alias("m")).select("key", "m.hub", "m.hub_n")
-    across = edges.select("key", F.col("hub").alias("rep"), F.col("hub_n").alias("n")).join(least, "key").drop("key")
-    hubs = members.select("rep", "n", "hub", "hub_n").where("rep <> hub").union(across.select("rep", "n", "hub", "hub_n"))
-    hubs = cut_lineage(hubs.where((F.col("rep") != F.col("hub")) & _could_be("n", "hub_n")).distinct(), "hub")
-    nodes = members.where("edge or rank > 0").select("rep").union(members.select("hub")).distinct()
-    sets = cut_lineage(full_sets(df.select(F.col(key).cast("bigint").alias("rep"), F.col(text).alias("text")).join(nodes, "rep"),
-                                 k, "text", ["rep"]).where(F.size("shingles") > 0), "set")
-    members = members.select("key", "part", "rank", "rep", "n")
-
-    first = hubs.groupBy("rep", "n").agg(F.min(F.struct("hub", "hub_n")).alias("m"))
-    checked = cut_lineage(_pairs(first.select("rep", "n", "m.hub", "m.hub_n"), "rep", "n", "hub", "hub_n"), "pair")
-    links = cut_lineage(verify(checked, sets), "link")
-    comps = cut_lineage(components(links), "comp")
-    lo, hi, largest = -1, 0, 0                      # block of ranks; -1: the hubs
-    while lo <= largest:
-        labelled = members.join(comps, members.rep == comps.node, "left").select(
-            "key", "part", "rank", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
-        if lo < 0:
-            comp_of = comps.select(F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
-            mine = hubs.join(comps, hubs.rep == comps.node, "left").select(hubs.rep, hubs.n, hubs.hub, hubs.hub_n, "comp")
-            mine = mine.join(comp_of, "hub", "left").where(F.coalesce("comp", "rep") != F.coalesce("hub_comp", "hub"))
-            pairs = _pairs(mine, "rep", "n", "hub", "hub_n")
-            lo, hi, largest = 0, 8, 0
-        else:
-            spread = labelled.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("key")
-            open_rows = cut_lineage(labelled.join(spread, "key", "left_semi"), "open")
-            sizes = open_rows.groupBy("key", "part").agg((F.max("rank") + 1).alias("size"))
-            largest = sizes.agg(F.max("size")).first()[0]
-            if largest is None:
-                break
-            main = (open_rows.groupBy("key", "comp").count().groupBy("key")
-                    .agg(F.max(F.struct("count", F.col("comp").alias("main"))).alias("m")).select("key", "m.main"))
-            outside = open_rows.join(main, "key").where("comp <> main").select("key", "rep", "n", "comp")
-            block = (outside.join(sizes.where(F.col("size") > lo), "key")
-                     .select("key", "part", "rep", "n", "comp",
-                             F.explode(F.sequence(F.lit(lo).cast("bigint"), F.least(F.col("size"), F.lit(hi)) - 1)).alias("rank")))
-            other = open_rows.select("key", "part", "rank", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
-            met = block.join(other, ["key", "part", "rank"]).where("comp <> comp2")
-            pairs = _pairs(met, "rep", "n", "rep2", "n2")
-            lo, hi = hi, hi * 8
-        pairs = cut_lineage(pairs.join(checked, ["x", "y"], "left_anti"), "pair")
-        if not pairs.take(1):
-            continue
-        found = cut_lineage(verify(pairs, sets), "link")
-        checked = checked.union(pairs)
-        if found.take(1):
-            links = comps.where("node <> comp").select(F.col("node").alias("x"), F.col("comp").alias("y")).union(found)
-            comps = cut_lineage(components(links), "comp")
+    bucket_rows = cut_lineage(seats(cut_lineage(buckets(classes), "bucket")), "seat")
+    hubs = cut_lineage(bucket_rows.where((F.col("rep") != F.col("hub"))
+                                         & (100 * F.least("n", "hub_n") >= THRESHOLD * F.greatest("n", "hub_n")))
+                       .select("rep", "hub", "weight").distinct(), "hub")
+    nodes = hubs.select("rep").union(hubs.select("hub")).union(bucket_rows.where("size > 2").select("rep")).distinct()
+    texts = df.select(F.col(key).cast("bigint").alias("rep"), F.col(text).alias("text")).join(nodes, "rep")
+    sets = cut_lineage(full_sets(texts, k, "text", ["rep"]).where(F.size("shingles") > 0), "set")
+
+    best = cut_lineage(hubs.groupBy("rep").agg(F.max(F.struct("weight", (-F.col("hub")).alias("minus"))).alias("m"))
+                       .select(F.col("rep").alias("x"), (-F.col("m.minus")).alias("y")), "best")
+    comps = cut_lineage(components(cut_lineage(verify(best, sets), "link")), "comp")
+    rest = labelled(labelled(hubs, comps, "rep", "c1"), comps, "hub", "c2").where("c1 <> c2")
+    rest = rest.select(F.col("rep").alias("x"), F.col("hub").alias("y")).join(best, ["x", "y"], "left_anti")
+    comps = connect(comps, cut_lineage(verify(rest, sets), "link"))
+    comps = connect(comps, cut_lineage(open_links(bucket_rows, comps, classes, sets), "link"))
     rep_of = classes.select("set_key", "rep")
     out = sketched.select(*kept, "n_shingles", "set_key").join(rep_of, "set_key", "left")
     # rows that share an id are one document: its component is the least of its texts' components
