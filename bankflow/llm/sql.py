@@ -1,7 +1,7 @@
 """DuckDB SQL of the training-data queries that SQL can express."""
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORDS = rf"list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{SEPARATORS}'), w -> w <> '')"
+WORDS = rf"list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{SEPARATORS}'), lambda w: w <> '')"
 
 ORACLE = {}
 
@@ -17,8 +17,8 @@ places AS (
         FROM doc_words, (SELECT DISTINCT len(win) AS l FROM windows) WHERE len(w) >= l)),
 hits AS (SELECT DISTINCT p.doc_id, p.s, p.l, x.item_id FROM places p JOIN windows x USING (win)),
 covered AS (
-  SELECT doc_id, count(DISTINCT at) AS n_hit
-  FROM (SELECT doc_id, unnest(range(s, s + l)) AS at FROM (SELECT DISTINCT doc_id, s, l FROM hits)) GROUP BY doc_id),
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + l)) AS place FROM (SELECT DISTINCT doc_id, s, l FROM hits)) GROUP BY doc_id),
 listed AS (
   SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id)
@@ -40,7 +40,7 @@ ORACLE["op6_url_lists"] = r"""
 WITH cap AS (
   SELECT page_id, url, DATE '2024-01-01' + CAST((page_id * 7919 + 13) % 366 AS INTEGER) AS day,
          lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1)) AS host,
-         list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)', 1), '/'), x -> x <> '') AS steps
+         list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)', 1), '/'), lambda x: x <> '') AS steps
   FROM pages),
 keys AS (
   SELECT DISTINCT 'h' AS kind, host AS key FROM cap WHERE host <> ''
@@ -75,17 +75,17 @@ FROM cap LEFT JOIN (SELECT * FROM hits WHERE nth = 1) USING (page_id)
 
 ORACLE["op8_near_dup"] = r"""
 WITH RECURSIVE doc_words AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
   FROM documents),
 shingles AS (
   SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS sh
   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM doc_words WHERE len(w) > 0)),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 pairs AS (
-  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
   FROM shingles a JOIN shingles b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
 links AS (
-  SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * both >= 80 * (p.n + q.n - both)),
+  SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * common >= 80 * (p.n + q.n - common)),
 edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
 reach(doc_id, seen) AS (
   SELECT doc_id, doc_id FROM documents

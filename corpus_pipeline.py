@@ -21,24 +21,33 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, keep=docs.columns).where("predicted = 0").select(*docs.columns)
 
 
+def _marked(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a hash of the text under a name it has not yet."""
+    name = "text_hash"
+    while name in docs.columns:
+        name += "_"
+    return docs.withColumn(name, F.xxhash64("text")), name
+
+
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id and text are not in ``gone`` (id and ``_hash`` of the text, nulls equal nulls)."""
-    marked = docs.withColumn("_hash", F.xxhash64("text"))
-    gone = gone.select(F.col("doc_id").alias("_gone"), F.col("_hash").alias("_gone_hash")).distinct()
-    same = (F.col("_hash") == F.col("_gone_hash")) & F.col("doc_id").eqNullSafe(F.col("_gone"))
-    return marked.join(gone, same, "left_anti").drop("_hash")
+    """Rows of ``docs`` whose id and text (hash) are not in ``gone``, nulls being equal."""
+    marked, name = _marked(docs)
+    left, right = marked.alias("left"), gone.select("doc_id", name).distinct().alias("right")
+    same = (F.col(f"left.{name}") == F.col(f"right.{name}")) & F.col("left.doc_id").eqNullSafe(F.col("right.doc_id"))
+    return left.join(right, same, "left_anti").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies on five-word shingles at 0.8."""
-    marked = docs.withColumn("_hash", F.xxhash64("text"))
-    return _without(docs, near_dup.near_duplicates(marked, k=5, keep=["_hash"]).where("not kept"))
+    marked, name = _marked(docs)
+    return _without(docs, near_dup.near_duplicates(marked, k=5, keep=[name]).where("not kept"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item."""
-    marked = docs.withColumn("_hash", F.xxhash64("text"))
-    return _without(docs, decontaminate.contamination(marked, table(spark, sf_dir, "benchmark"), keep=["_hash"]).where("contaminated"))
+    marked, name = _marked(docs)
+    found = decontaminate.contamination(marked, table(spark, sf_dir, "benchmark"), keep=[name])
+    return _without(docs, found.where("contaminated"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,7 +53,7 @@ def test_stages(spark):
 
 
 def test_stages_take_odd_rows(spark):
-    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, predicted int, _gone string"
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, predicted int, text_hash string"
     odd = [(None, None, None, None, None, None, None), (None, "", None, None, None, 1, "x"), (1, "a b c", None, "s", 5, 0, None),
            (1, "a b c", None, "s", 5, 0, None), (None, "token=abcdefgh1", "en", None, 1, None, None), (2, "word " * 30_000, "en", "s", 1, 1, None)]
     for data in (odd, []):

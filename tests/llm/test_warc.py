@@ -55,9 +55,10 @@ def test_segments_are_real(spark):
 
 def test_damage_is_reported(spark):
     records = warc.read_records(spark, stored(spark, ROWS[6:7] + ROWS[9:10]))
-    for lost in ("segment = 3", "segment = 2", "total_length is not null"):
+    for lost, whole in (("segment = 3", {8}), ("segment = 2", set()), ("total_length is not null", set())):
         rows = warc.reassemble(records.where(f"not (page_id is null and ({lost}))")).collect()
-        assert [r["complete"] for r in rows] == [False, False] and rows[0]["block"] is None
+        assert {r["page_id"] for r in rows if r["complete"]} == whole
+        assert all((r["block"] is None) != r["complete"] for r in rows) and len(rows) == 2
     twice = warc.reassemble(records.union(records.where("segment = 2"))).collect()
     assert not any(r["complete"] for r in twice)
     assert all(r["complete"] for r in warc.reassemble(records.orderBy("record_id")).collect())
