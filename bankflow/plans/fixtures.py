@@ -7,8 +7,6 @@ whole cents and divided once; never from float arithmetic.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,18 +42,9 @@ def epoch_ms(c: Column) -> Column:
     return F.timestamp_diff("MILLISECOND", ts("1970-01-01 00:00:00"), c)
 
 
-_MAX_MEMO: dict = {}
-
-
 def _column_max(spark: SparkSession, sf_dir: str, name: str, col: str) -> int:
-    """MAX(col) of a driver table as a literal (one value). Remembered per
-    session and file version, so repeated fixture builds do not rescan."""
-    path = f"{sf_dir}/{name}.parquet"
-    version = os.path.getmtime(path) if os.path.exists(path) else None
-    key = (id(spark), path, col, version)
-    if version is None or key not in _MAX_MEMO:
-        _MAX_MEMO[key] = int(table(spark, sf_dir, name).agg(F.max(col)).first()[0])
-    return _MAX_MEMO[key]
+    """MAX(col) of a driver table as a literal (one value)."""
+    return int(table(spark, sf_dir, name).agg(F.max(col)).first()[0])
 
 
 def customer_count(spark: SparkSession, sf_dir: str) -> int:

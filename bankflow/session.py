@@ -3,7 +3,8 @@
 Everything that must outlive a task (snapshot versions, landing files, raw
 tables, streaming checkpoints, lineage cuts) lives under the cluster's
 ``spark.checkpoint.dir``, a folder every executor can reach. A private folder
-is chosen only when the session names none (local tests).
+is chosen only for a ``local`` master that names none (tests); elsewhere that
+is an error, since no machine's own folder reaches the other executors.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
@@ -48,11 +48,14 @@ def apply_defaults(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; set one only if unset."""
+    """The shared folder named by ``spark.checkpoint.dir``; a private one only on one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="bankflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
@@ -65,6 +68,26 @@ def work_dir(spark: SparkSession, name: str = "run") -> str:
     return f"{checkpoint_root(spark)}/bankflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_work(spark: SparkSession, *paths: str) -> None:
+    """Delete finished work folders (of a run whose results are stored elsewhere)."""
+    for path in paths:
+        if f"{checkpoint_root(spark)}/bankflow/" not in path:
+            raise ValueError(f"not a work folder: {path}")
+        drop_path(spark, path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there; any other trouble than its absence is raised."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 

@@ -57,13 +57,16 @@ def route_topic(topic: Column) -> Column:
     return F.element_at(F.split(topic, "[.]"), -1)
 
 
-def _present(x: Column) -> Column:
+def _present(x: Column, field: str | None = None) -> Column:
     """Truthy envelope part: a non-empty JSON object (SQL NULL, JSON null and ``{}`` are not).
 
-    Counting the object's keys is much cheaper than serialising it to compare
-    with '{}'; it is NULL for anything that is not an object.
+    A named field that has a value settles it without building a map; else the
+    object's keys are counted (NULL for anything that is not an object).
     """
-    return F.coalesce(F.size(F.try_variant_get(x, "$", "map<string,variant>")) > 0, F.lit(False))
+    count = F.coalesce(F.size(F.try_variant_get(x, "$", "map<string,variant>")) > 0, F.lit(False))
+    if field is None:
+        return count
+    return F.when(F.try_variant_get(x, f"$.{field}", "string").isNotNull(), F.lit(True)).otherwise(count)
 
 
 ENVELOPE_FIELDS = [("op", "string"), ("before", "variant"), ("after", "variant"),
@@ -73,31 +76,23 @@ ENVELOPE_FIELDS = [("op", "string"), ("before", "variant"), ("after", "variant")
 def decode(events: DataFrame) -> DataFrame:
     """Parse each envelope once and unwrap it (``payload`` if truthy, else the event).
 
-    Output: table_name, op, before, after (variants), _ts_ms, _seq and
-    ``_upsert`` (``after`` is truthy). No row is filtered here: a filter on a
-    derived column is pushed below the projection and would parse again.
+    Output: table_name, op, before, after (variants), _ts_ms, _seq,
+    ``_upsert`` (``after`` is truthy) and ``_bad`` (the text of an event that
+    is no JSON). No row is filtered here: a filter on a derived column is
+    pushed below the projection and would parse again.
     """
     parsed = events.select(route_topic(F.col("topic")).alias("table_name"),
-                           F.try_parse_json(F.col("value")).alias("_event"))
+                           F.try_parse_json(F.col("value")).alias("_event"), F.col("value").alias("_text"))
     ev = F.col("_event")
-    wrapped = _present(F.variant_get(ev, "$.payload", "variant"))
-    picked = parsed.select("table_name", ev.alias("_event"), wrapped.alias("_wrapped"))
+    wrapped = _present(F.variant_get(ev, "$.payload", "variant"), "op")
+    picked = parsed.select("table_name", ev.alias("_event"), wrapped.alias("_wrapped"),
+                           F.when(ev.isNull(), F.col("_text")).alias("_bad"))
     out = [F.when(F.col("_wrapped"), F.try_variant_get(ev, f"$.payload.{name}", typ))
            .otherwise(F.try_variant_get(ev, f"$.{name}", typ))
            .alias(name if name in ("op", "before", "after") else f"_{name}")
            for name, typ in ENVELOPE_FIELDS]
-    fields = picked.select("table_name", *out)
-    return fields.select("*", _present(F.col("after")).alias("_upsert"))
-
-
-def unwrap_envelope(event: Column) -> Column:
-    """``payload`` when truthy, else the event itself.
-
-    A JSON ``null`` payload is a variant null, which ``coalesce`` would keep,
-    so it is tested explicitly.
-    """
-    payload = F.variant_get(event, "$.payload", "variant")
-    return F.when(_present(payload), payload).otherwise(event)
+    fields = picked.select("table_name", *out, "_bad")
+    return fields.select("*", _present(F.col("after"), "id").alias("_upsert"))
 
 
 def keep_upserts(decoded: DataFrame) -> DataFrame:
@@ -119,11 +114,6 @@ def to_raw(decoded: DataFrame, file_col: Column | None = None) -> DataFrame:
     )
 
 
-def raw_of(decoded: DataFrame, table: str) -> DataFrame:
-    """Raw rows of one table from decoded events (the in-memory route to staging)."""
-    return to_raw(decoded.where(F.col("table_name") == table)).drop("table_name")
-
-
 def materialize_raw(events: DataFrame) -> DataFrame:
     """Decode an event log once and keep its upserts as a stored raw table (all topics).
 

@@ -1,47 +1,49 @@
 """Landing files, raw tables and the load report.
 
 Landing: decoded events as Parquet, partitioned by table, capture day and kind
-(``<base>/table_name=<t>/date=<YYYY-MM-DD>/kind=upsert|delete/``). The row image
+(``<base>/table_name=<t>/date=<YYYY-MM-DD>/kind=upsert|delete|bad/``). The row image
 is kept as a VARIANT column ``v``, not as inferred columns, so files never drift
-in schema. Deletes and tombstones are kept apart by the ``kind`` partition
-instead of a filter: Spark pushes a filter on a decoded column below the decode
-and would parse every envelope again, while a partition column costs nothing
-to write and is pruned on read. Readers take ``kind=upsert`` only.
+in schema. Deletes and events that are no JSON are kept apart by the ``kind``
+partition instead of a filter: Spark pushes a filter on a decoded column below
+the decode and would parse every envelope again, while a partition column costs
+nothing to write and is pruned on read. Readers take ``kind=upsert`` only; a bad
+event keeps its text in ``v``. An event without a capture time lands on the
+landing run's own day.
 Raw: the same rows, loaded exactly once per file by a file stream with a
-checkpoint (``availableNow``), with the source file name kept for the report.
+checkpoint (``availableNow``): each micro-batch owns a partition ``load=<run>.<batch>``,
+which a repeated batch overwrites. A file that cannot be read fails the load,
+which can be repeated.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankflow.schemas import FLUSH_SIZES
+from bankflow.schemas import DEFAULT_FLUSH_SIZE
 from bankflow.session import cut_lineage
 
 EPOCH_NTZ = "1970-01-01 00:00:00"
-
-
-def capture_day(ts_ms_col: str = "_ts_ms"):
-    return F.to_date(F.timestamp_add("MILLISECOND", F.col(ts_ms_col), F.lit(EPOCH_NTZ).cast("timestamp_ntz")))
-
-
 PARTITIONS = ["table_name", "date", "kind"]
+LANDING_SCHEMA = "v variant, _ts_ms bigint, _seq bigint, op string, table_name string, date date, kind string"
+RAW_SCHEMA = "v variant, _ts_ms bigint, _seq bigint, _file string, load string, table_name string, date date"
 
 
-def landing_rows(decoded: DataFrame) -> DataFrame:
-    """Decoded events with their capture day and kind, ready to land (no row is filtered)."""
-    upsert = F.col("_upsert") if "_upsert" in decoded.columns else keep_upserts_flag()
-    return decoded.select(
-        "table_name", capture_day().alias("date"),
-        F.when(upsert, F.lit("upsert")).otherwise(F.lit("delete")).alias("kind"),
-        F.col("after").alias("v"), "_ts_ms", "_seq", "op")
-
+def capture_day(as_of: dt.date | str | None = None, ts_ms_col: str = "_ts_ms"):
+    """Day of capture; ``as_of`` (default: today) for an event that does not say."""
+    own = F.to_date(F.timestamp_add("MILLISECOND", F.col(ts_ms_col), F.lit(EPOCH_NTZ).cast("timestamp_ntz")))
+    return F.coalesce(own, F.current_date() if as_of is None else F.lit(as_of).cast("date"))
 
-def keep_upserts_flag():
-    from bankflow.sources.cdc import _present
 
-    return _present(F.col("after"))
+def landing_rows(decoded: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
+    """Decoded events with their capture day and kind, ready to land (no row is filtered)."""
+    bad = F.col("_bad").isNotNull()
+    kind = F.when(bad, F.lit("bad")).when(F.col("_upsert"), F.lit("upsert")).otherwise(F.lit("delete"))
+    return decoded.select("table_name", capture_day(as_of).alias("date"), kind.alias("kind"),
+                          F.when(bad, F.col("_bad").cast("variant")).otherwise(F.col("after")).alias("v"),
+                          "_ts_ms", "_seq", "op")
 
 
 def upserts(df: DataFrame) -> DataFrame:
@@ -49,73 +51,90 @@ def upserts(df: DataFrame) -> DataFrame:
     return df.where(F.col("kind") == "upsert").drop("kind")
 
 
-def write_landing(decoded: DataFrame, base: str, flush_sizes: dict[str, int] | None = None) -> None:
+def write_landing(decoded: DataFrame, base: str, flush_sizes: dict[str, int] | None = None,
+                  as_of: dt.date | str | None = None) -> None:
     """Land decoded events. Rows are clustered by (table, day) with a REBALANCE,
     which AQE splits when one table-day is skewed, so files stay few but no
     task has to hold a hot day alone.
 
     ``flush_sizes`` caps rows per file per table (the reference flushes 10
-    customers or 50 other rows per file); at scale leave it unset or large.
+    customers or 50 other rows per file; tables it does not name get
+    ``DEFAULT_FLUSH_SIZE``); at scale leave it unset or large.
     """
-    rows = landing_rows(decoded)
+    rows = landing_rows(decoded, as_of)
     if not flush_sizes:
         (rows.hint("rebalance", *PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(base))
         return
     rows = cut_lineage(rows, "landing-stage")
+    by_size: dict[int, list[str]] = {}
     for table, size in flush_sizes.items():
-        (rows.where(F.col("table_name") == table).hint("rebalance", "date", "kind").write.mode("append")
-         .option("maxRecordsPerFile", int(size)).partitionBy(*PARTITIONS).parquet(base))
+        by_size.setdefault(int(size), []).append(table)
+    named = F.coalesce(F.col("table_name").isin(*flush_sizes), F.lit(False))
+    parts = [(size, F.col("table_name").isin(*tables)) for size, tables in by_size.items()]
+    for size, mine in [*parts, (DEFAULT_FLUSH_SIZE, ~named)]:
+        (rows.where(mine).hint("rebalance", *PARTITIONS).write.mode("append")
+         .option("maxRecordsPerFile", size).partitionBy(*PARTITIONS).parquet(base))
 
 
-def flush_options(sizes: dict[str, int] | None = None) -> dict[str, dict[str, str]]:
-    """Per-table writer options equal to the reference's flush sizes."""
-    return {t: {"maxRecordsPerFile": str(n)} for t, n in (sizes or FLUSH_SIZES).items()}
+def landed(spark: SparkSession, base: str) -> DataFrame:
+    """Everything that has landed; no file is opened for its schema."""
+    return spark.read.schema(LANDING_SCHEMA).parquet(base)
 
 
 def scan_landing(spark: SparkSession, base: str, table: str, day: str) -> DataFrame:
     """One table's upserts of one capture day; all three predicates prune directories."""
-    return upserts(spark.read.parquet(base)
+    return upserts(landed(spark, base)
                    .where((F.col("table_name") == table) & (F.col("date") == F.lit(day).cast("date"))))
 
 
 def file_rows(spark: SparkSession, base: str) -> DataFrame:
     """Rows per landed upsert file (for flush-size checks)."""
-    df = upserts(spark.read.parquet(base))
+    df = upserts(landed(spark, base))
     return df.groupBy("table_name", F.col("_metadata.file_path").alias("file")).agg(
         F.count(F.lit(1)).alias("rows"))
 
 
-def load_raw(spark: SparkSession, landing: str, raw: str, checkpoint: str, day: str | None = None) -> None:
-    """Copy landed files into the raw table; each file is loaded once (the
-    checkpoint remembers which), unreadable files are skipped. ``day`` limits
-    the listing to that capture day's folders."""
-    schema = spark.read.parquet(landing).schema
-    reader = spark.readStream.schema(schema).option("ignoreCorruptFiles", "true")
-    if day is None:  # the landing root (a streaming sink's commit log is honoured)
-        stream = reader.parquet(landing)
-    else:            # list only that day's folders
-        stream = reader.option("basePath", landing).parquet(f"{landing}/table_name=*/date={day}/kind=*")
-    stream = (stream.where(F.col("kind") == "upsert")
-              .select("table_name", "v", "_ts_ms", "_seq", F.col("_metadata.file_path").alias("_file")))
-    q = (stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-         .partitionBy("table_name").trigger(availableNow=True).start(raw))
+def load_raw(spark: SparkSession, landing: str, raw: str, checkpoint: str, day: str | None = None,
+             run: str | None = None) -> None:
+    """Copy landed files into the raw table, each once: the checkpoint remembers which.
+
+    ``day`` loads that capture day only (a partition filter on the landing root,
+    whose commit log is honoured) and keeps its progress in a checkpoint of its
+    own, so the files of other days stay unloaded. ``run`` labels this load in
+    the report (default: the day, else "all")."""
+    rows = spark.readStream.schema(LANDING_SCHEMA).parquet(landing).where(F.col("kind") == "upsert")
+    if day is not None:
+        rows, checkpoint = rows.where(F.col("date") == F.lit(day).cast("date")), f"{checkpoint}/day={day}"
+    rows = rows.select("table_name", "date", "v", "_ts_ms", "_seq", F.col("_metadata.file_path").alias("_file"))
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("load", F.lit(f"{run or day or 'all'}.{batch_id}")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("load", "table_name", "date").parquet(raw))
+
+    q = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
 
 
+def raw_rows(spark: SparkSession, raw_base: str) -> DataFrame:
+    """The raw rows of all tables."""
+    return spark.read.schema(RAW_SCHEMA).parquet(raw_base)
+
+
 def raw(spark: SparkSession, raw_base: str, table: str) -> DataFrame:
-    """``source('raw', table)``: the raw rows of one table."""
-    return spark.read.parquet(raw_base).where(F.col("table_name") == table).drop("table_name")
+    """``source('raw', table)``: the raw rows of one table, with their capture ``date`` as a partition."""
+    return raw_rows(spark, raw_base).where(F.col("table_name") == table).drop("table_name", "load")
 
 
-def load_report(spark: SparkSession, raw_base: str) -> DataFrame:
-    """Files and rows loaded per table."""
-    return spark.read.parquet(raw_base).groupBy("table_name").agg(
-        F.count_distinct("_file").alias("files"), F.count(F.lit(1)).alias("rows"))
+def load_report(spark: SparkSession, raw_base: str, run: str | None = None) -> DataFrame:
+    """Files and rows loaded per table, by one run (its label) or by all."""
+    rows = raw_rows(spark, raw_base)
+    if run is not None:
+        rows = rows.where(F.col("load").startswith(f"{run}."))
+    return rows.groupBy("table_name").agg(F.count_distinct("_file").alias("files"), F.count(F.lit(1)).alias("rows"))
 
 
 def report_text(report: DataFrame) -> str:
-    """The e-mail body: one line per table, or the 'none' sentence (report rows are one per table)."""
-    lines = [f"- {r['table_name']}: {r['files']} files" for r in report.orderBy("table_name").collect()]
-    if not lines:
-        return "No files were loaded today."
-    return "Files loaded today:\n" + "\n".join(lines) + "\n"
+    """A short message on one load: a line per table (the report has one row per table)."""
+    lines = [f"{r['table_name']}: {r['rows']} rows from {r['files']} files"
+             for r in report.orderBy("table_name").collect()]
+    return "\n".join(["This load brought", *lines]) if lines else "This load brought nothing new."
