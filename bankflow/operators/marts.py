@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankflow.schemas import DIM_ACCOUNTS_COLS, DIM_CUSTOMERS_COLS, STG_TRANSACTIONS_COLS
-from bankflow.session import cut_lineage
+from bankflow.session import cut_lineage, drop_path, path_exists
 
 
 def _dim(snapshot: DataFrame, cols: list[str]) -> DataFrame:
@@ -42,21 +42,25 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ incremental fact
-def read_target(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    """The loaded fact, or None before the first load. With ``schema`` an empty
-    first load (no data files) still reads as an empty table."""
-    try:
-        reader = spark.read if schema is None else spark.read.schema(schema)
-        return reader.parquet(path)
-    except Exception:  # the fact does not exist yet
-        return None
+FACT_SCHEMA = (", ".join(f"{c} {'double' if c == 'amount' else 'timestamp_ntz' if c in ('txn_time', 'load_timestamp') else 'string'}"
+                         for c in STG_TRANSACTIONS_COLS) + ", txn_date date")
+
+
+def read_target(spark: SparkSession, path: str) -> DataFrame | None:
+    """The loaded fact, or None if there is none. Trouble in reading it is raised."""
+    return spark.read.schema(FACT_SCHEMA).parquet(path) if path_exists(spark, path) else None
 
 
-def high_water(target: DataFrame | None, col: str = "txn_time"):
-    """MAX(col) of the loaded fact, as a literal (so later scans can prune by it)."""
+def high_water(target: DataFrame | None):
+    """MAX(txn_time) of the loaded fact, as a literal (so later scans can prune by it); None without a timed row.
+
+    Only the newest ``txn_date`` partition is read for it."""
     if target is None:
         return None
-    return target.agg(F.max(col)).first()[0]
+    newest = target.agg(F.max("txn_date")).first()[0]       # partition values only
+    if newest is None:
+        return None
+    return target.where(F.col("txn_date") == F.lit(newest)).agg(F.max("txn_time")).first()[0]
 
 
 def not_yet_loaded(stg: DataFrame, target: DataFrame, key: str = "transaction_id") -> DataFrame:
@@ -64,52 +68,87 @@ def not_yet_loaded(stg: DataFrame, target: DataFrame, key: str = "transaction_id
     return stg.join(target.select(key), key, "left_anti")
 
 
-def admit(stg: DataFrame, mark, allowed_lateness: dt.timedelta | None = None) -> DataFrame:
-    """Late-data rule: only rows newer than the high-water mark (minus allowed lateness)."""
-    if mark is None:
+def lower_bound(mark, allowed_lateness: dt.timedelta | None = None):
+    """Time that a row must be newer than to be admitted; None admits all."""
+    return None if mark is None else mark - (allowed_lateness or dt.timedelta(0))
+
+
+def admit(stg: DataFrame, lower) -> DataFrame:
+    """Late-data rule: rows newer than the bound. A row without a time is neither late nor early: it is admitted, and
+    its id decides whether it has been loaded."""
+    if lower is None:
         return stg
-    lower = mark - (allowed_lateness or dt.timedelta(0))
-    return stg.where(F.col("txn_time") > F.lit(lower).cast("timestamp_ntz"))
+    return stg.where(F.col("txn_time").isNull() | (F.col("txn_time") > F.lit(lower).cast("timestamp_ntz")))
 
 
 def _with_partition(df: DataFrame) -> DataFrame:
     return df.withColumn("txn_date", F.to_date("txn_time"))
 
 
+def batch_mark(spark: SparkSession, target_path: str, batch: str):
+    """The high-water mark that a micro-batch started from. It is stored before the batch writes anything, and a
+    repeated batch takes the stored one, however far its first try came."""
+    path = f"{target_path}/_marks/{batch}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        mark = high_water(read_target(spark, target_path))
+        spark.createDataFrame([(mark,)], "mark timestamp_ntz").coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).first()[0]
+
+
 def facts_transactions(spark: SparkSession, stg: DataFrame, target_path: str, as_of, mode: str = "insert_only",
-                       allowed_lateness: dt.timedelta | None = None) -> DataFrame:
+                       allowed_lateness: dt.timedelta | None = None, mark="newest") -> DataFrame:
     """Load the transaction fact from staging; returns the whole fact afterwards.
 
-    First run (no table, or an empty one): everything. Later runs: rows newer
-    than the high-water mark. ``insert_only`` appends ids not loaded yet (the
-    reference's behaviour: the merge's update branch is unreachable);
-    ``upsert`` replaces loaded rows by id, rewriting only the txn_date
-    partitions the batch touches.
+    New ids come in if they are newer than the high-water mark less the allowed lateness (all of them into an empty
+    fact). ``insert_only`` stops there (the reference's behaviour: the merge's update branch is unreachable). ``upsert``
+    also replaces every loaded row whose id the batch holds, whatever its time, rewriting only the txn_date partitions of the
+    replaced and the new rows. ``mark`` is the high-water mark, by default that of the newest partition.
     """
     if mode not in ("insert_only", "upsert"):
         raise ValueError(f"unknown mode {mode!r}")
     rows = stg.select(*[c for c in STG_TRANSACTIONS_COLS if c != "load_timestamp"]).withColumn(
         "load_timestamp", F.lit(as_of).cast("timestamp_ntz"))
-    schema = _with_partition(rows).schema
-    target = read_target(spark, target_path, schema)
-    mark = high_water(target)
-    if mark is None:
+    target = read_target(spark, target_path)
+    if target is None or (mark == "newest" and not target.take(1)):
         _with_partition(rows).write.mode("append").partitionBy("txn_date").parquet(target_path)
-        return spark.read.schema(schema).parquet(target_path)
-    lower = mark - (allowed_lateness or dt.timedelta(0))
-    batch = admit(rows, mark, allowed_lateness)
-    # Rows older than the lower bound cannot be admitted, so only partitions
-    # from its day on can hold a row of this batch.
-    reachable = target.where(F.col("txn_date") >= F.lit(lower.date()))
+        return read_target(spark, target_path)
+    lower = lower_bound(high_water(target) if mark == "newest" else mark, allowed_lateness)
     if mode == "insert_only":
-        new = not_yet_loaded(batch, reachable)
-        _with_partition(new).write.mode("append").partitionBy("txn_date").parquet(target_path)
-        return spark.read.schema(schema).parquet(target_path)
-    batch = cut_lineage(_with_partition(batch), "facts-batch")
-    touched = batch.select("txn_date").distinct()
-    keep = (reachable.join(touched, "txn_date", "left_semi")
-            .join(batch.select("transaction_id"), "transaction_id", "left_anti"))
+        # only partitions from the bound's day on, and that of rows without a time, can hold a row of this batch
+        reachable = target if lower is None else target.where(
+            F.col("txn_date").isNull() | (F.col("txn_date") >= F.lit(lower.date())))
+        _with_partition(not_yet_loaded(admit(rows, lower), reachable)).write.mode("append").partitionBy("txn_date").parquet(target_path)
+        return read_target(spark, target_path)
+    rows = cut_lineage(_with_partition(rows), "facts-batch")
+    where = cut_lineage(target.select("transaction_id", "txn_date").join(rows.select("transaction_id"), "transaction_id", "left_semi"), "facts-loaded")
+    known = rows.join(where.select("transaction_id").distinct(), "transaction_id", "left_semi")
+    batch = known.unionByName(admit(not_yet_loaded(rows, where), lower))
+    days = [r[0] for r in where.select("txn_date").union(batch.select("txn_date")).distinct().collect()]   # one per day
+    touched = F.col("txn_date").isin([d for d in days if d is not None])
+    touched = touched | F.col("txn_date").isNull() if None in days else touched
+    keep = target.where(F.coalesce(touched, F.lit(False))).join(rows.select("transaction_id"), "transaction_id", "left_anti")
     rewritten = cut_lineage(keep.unionByName(batch), "facts-rewrite")
     (rewritten.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("txn_date").parquet(target_path))
-    return spark.read.schema(schema).parquet(target_path)
+    # a day that all its rows have left is not in the rewritten rows: it goes by itself
+    left = set(days) - {r[0] for r in rewritten.select("txn_date").distinct().collect()}
+    for day in left:
+        drop_path(spark, f"{target_path}/txn_date={day or '__HIVE_DEFAULT_PARTITION__'}")
+    return read_target(spark, target_path)
+
+
+def facts_from_raw(spark: SparkSession, raw: DataFrame, target_path: str, as_of, allowed_lateness: dt.timedelta | None = None,
+                   batch: str | None = None) -> DataFrame:
+    """The insert-only load straight from raw rows, reading only what is new.
+
+    A transaction's time never changes, so the bound is applied to the flattened rows before the latest image per id is
+    taken, and to the capture ``date`` partitions of raw (an event is captured on its transaction's day or later; one day
+    is left for clocks that differ)."""
+    from bankflow.operators.staging import stg_transactions
+
+    mark = high_water(read_target(spark, target_path)) if batch is None else batch_mark(spark, target_path, batch)
+    lower = lower_bound(mark, allowed_lateness)
+    if lower is not None and "date" in raw.columns:
+        raw = raw.where(F.col("date") >= F.lit(lower.date() - dt.timedelta(days=1)))
+    return facts_transactions(spark, stg_transactions(raw, as_of, newer_than=lower), target_path, as_of,
+                              allowed_lateness=allowed_lateness, mark=mark)

@@ -46,10 +46,15 @@ def stg_accounts(raw: DataFrame, as_of, strict: bool = False) -> DataFrame:
     return with_load_ts(latest, as_of).select(*S.STG_ACCOUNTS_COLS)
 
 
-def stg_transactions(raw: DataFrame, as_of, mode: str = "latest", strict: bool = False) -> DataFrame:
+def stg_transactions(raw: DataFrame, as_of, mode: str = "latest", strict: bool = False,
+                     newer_than=None) -> DataFrame:
     """``mode="latest"``: one row per transaction (the posting update wins over the
-    insert image); ``mode="as_written"``: every image, as the reference model does."""
+    insert image); ``mode="as_written"``: every image, as the reference model does.
+    ``newer_than`` keeps later transactions (and those without a time) only; all images of one
+    have the same time, so it is applied before the shuffle."""
     flat = flatten(raw, S.STG_TRANSACTIONS_SPEC, strict=strict, keep=LINEAGE)
+    if newer_than is not None:
+        flat = flat.where(F.col("txn_time").isNull() | (F.col("txn_time") > F.lit(newer_than).cast("timestamp_ntz")))
     if mode == "latest":
         flat = latest_per_key(flat, "transaction_id", [F.col("txn_time").desc_nulls_first()], cdc_tiebreak())
     elif mode != "as_written":

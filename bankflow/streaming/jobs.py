@@ -2,9 +2,11 @@
 
 R1 events -> landing, R2 landing -> raw (see ``sources.landing.load_raw``),
 R3 raw transactions -> incremental fact, R5 customer images -> SCD2 snapshot.
-Each keeps its progress in a checkpoint under the shared checkpoint folder;
-``foreachBatch`` sinks are written to be safe on replay (at-least-once): the
-fact load skips ids already loaded and a repeated snapshot step changes nothing.
+Each keeps its progress in a checkpoint under the shared checkpoint folder and
+runs until its input is drained (``available_now``) or goes on (a trigger
+interval). ``foreachBatch`` sinks are safe on replay: the fact load takes the
+mark that its batch started from and skips ids already loaded, and a snapshot
+step that has been published is not repeated.
 """
 
 from __future__ import annotations
@@ -14,74 +16,66 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankflow.operators.marts import facts_transactions
-from bankflow.operators.snapshots import run_snapshot
-from bankflow.operators.staging import stg_customers, stg_transactions
+from bankflow.operators.marts import facts_from_raw
+from bankflow.operators.snapshots import published, run_snapshot
+from bankflow.operators.staging import stg_customers
+from bankflow.schemas import CUSTOMER_CHECK_COLS
 from bankflow.sources.cdc import read_cdc_stream
-from bankflow.sources.landing import landing_rows
+from bankflow.sources.landing import PARTITIONS, landing_rows
+
+
+def _start(writer, checkpoint: str, available_now: bool, processing_time: str | None, path: str | None = None):
+    writer = writer.option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "10 seconds")
+    q = writer.start() if path is None else writer.start(path)
+    if available_now:
+        q.awaitTermination()
+    return q
 
 
 def run_landing(spark: SparkSession, source: str, base: str, checkpoint: str, opts: dict | None = None,
                 max_records_per_file: int | None = None, available_now: bool = True,
                 processing_time: str | None = None):
-    """R1: change events -> landing Parquet (exactly once through the file sink's log)."""
+    """R1: change events -> landing Parquet (exactly once through the file sink's log). Rows are clustered by their
+    partition per micro-batch, with a spread that keeps a hot table-day on several tasks, so a batch writes few files."""
     rows = landing_rows(read_cdc_stream(spark, source, opts))
-    w = (rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-         .partitionBy("table_name", "date", "kind"))
+    rows = rows.repartition(*PARTITIONS, F.pmod(F.xxhash64("_seq"), F.lit(4)))
+    w = rows.writeStream.format("parquet").partitionBy(*PARTITIONS)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
-    q = w.start(base)
-    if available_now:
-        q.awaitTermination()
-    return q
-
-
-def raw_stream(spark: SparkSession, raw_base: str, table: str, opts: dict | None = None) -> DataFrame:
-    """The raw table of one table, as a stream of newly loaded rows."""
-    schema = spark.read.parquet(raw_base).schema
-    reader = spark.readStream.schema(schema)
-    for k, v in (opts or {}).items():
-        reader = reader.option(k, v)
-    return reader.parquet(raw_base).where(F.col("table_name") == table).drop("table_name")
+    return _start(w, checkpoint, available_now, processing_time, base)
 
 
 def run_facts(spark: SparkSession, stream: DataFrame, target: str, checkpoint: str, as_of,
-              mode: str = "insert_only", allowed_lateness: dt.timedelta | None = None):
+              allowed_lateness: dt.timedelta | None = None, available_now: bool = True,
+              processing_time: str | None = None):
     """R3: each micro-batch of raw transactions -> staging (latest image) -> fact load."""
     def load(batch: DataFrame, batch_id: int) -> None:
-        facts_transactions(batch.sparkSession, stg_transactions(batch, as_of), target, as_of, mode,
-                           allowed_lateness)
+        facts_from_raw(batch.sparkSession, batch, target, as_of, allowed_lateness, batch=f"batch={batch_id}")
 
-    q = (stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+    return _start(stream.writeStream.foreachBatch(load), checkpoint, available_now, processing_time)
 
 
 def batch_as_of(batch: DataFrame):
-    """A batch's as_of: midnight after its latest change event (from the data, not the clock)."""
+    """A batch's as_of: just after its latest change event (from the data, not the clock)."""
     latest = batch.agg(F.max("_ts_ms")).first()[0]
-    if latest is None:
-        return None
-    day = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=int(latest))
-    return dt.datetime(day.year, day.month, day.day) + dt.timedelta(days=1)
+    return None if latest is None else dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=int(latest), microseconds=1)
 
 
 def run_scd2(spark: SparkSession, stream: DataFrame, snapshot: str, checkpoint: str, key: str = "customer_id",
-             check_cols: list[str] | None = None, model=stg_customers):
-    """R5: each micro-batch of raw row images -> staging -> one snapshot step."""
-    from bankflow.schemas import CUSTOMER_CHECK_COLS
-
+             check_cols: list[str] | None = None, model=stg_customers, available_now: bool = True,
+             processing_time: str | None = None):
+    """R5: each micro-batch of raw row images -> staging -> one snapshot step. A batch whose events are no later than the
+    last step gets the next microsecond after it; one that was published before a restart is skipped."""
     cols = check_cols or CUSTOMER_CHECK_COLS
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        as_of = batch_as_of(batch)
-        if as_of is None:
+        session = batch.sparkSession
+        as_of, runs = batch_as_of(batch), published(session, snapshot)
+        if as_of is None or len(runs) > batch_id:
             return
-        run_snapshot(batch.sparkSession, snapshot, model(batch, as_of), key, cols, as_of)
+        if runs and as_of <= runs[-1][1]:
+            as_of = runs[-1][1] + dt.timedelta(microseconds=1)
+        run_snapshot(session, snapshot, model(batch, as_of), key, cols, as_of)
 
-    q = (stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+    return _start(stream.writeStream.foreachBatch(step), checkpoint, available_now, processing_time)
