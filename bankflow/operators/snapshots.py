@@ -1,34 +1,34 @@
 """SCD2 snapshots with the "check" strategy.
 
-A snapshot is a Parquet table partitioned by ``run`` and ``is_open``. Every run
-writes one new ``run`` partition holding the rows it closed plus the complete
-open set, so:
+Rows lie in hash buckets of the key. A run writes, to a folder of its own
+(``runs/run=<n>/is_open=<bool>/bucket=<b>``), the rows it closed and the whole
+open set of each bucket it touched; then it publishes itself by one small marker
+(``published/run=<n>``), which names its ``as_of`` and those buckets. Readers use
+published runs only:
 
-    current table = closed rows of all runs  UNION  open rows of the latest run
+    current table = closed rows of all runs  UNION  per bucket, the open rows of the last run that touched it
 
-and both halves are partition filters: a read never touches the stale open
-sets of older runs.
-
-Closed history is append-only; only the open set is rewritten. A run lands
-atomically (its partition appears at job commit) and a failed run leaves
-nothing visible, so a retry simply writes it again. Nothing is overwritten
-while it is being read: run N+1 reads runs <= N.
+so a run that dies on the way leaves nothing that anybody reads, a repeated run
+overwrites its own folder, and a run without changes writes a marker only.
 """
 
 from __future__ import annotations
 
-import re
+import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankflow.schemas import SNAPSHOT_META
+from bankflow.session import cut_lineage, path_exists
 
-STAMP = "yyyy-MM-dd HH:mm:ss"
+STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+BUCKETS = 16
+MARKER = "as_of timestamp_ntz, buckets array<int>, run int"
 
 
 def scd_id(key: Column, valid_from: Column) -> Column:
-    """Version id: md5 of key and validity start."""
+    """Version id: md5 of key and validity start (to the microsecond)."""
     return F.md5(F.concat_ws("|", key.cast("string"), F.date_format(valid_from, STAMP)))
 
 
@@ -50,8 +50,8 @@ def _open_version(source: DataFrame, key: str, as_of: Column) -> DataFrame:
     )
 
 
-def scd2_merge(open_rows: DataFrame | None, source: DataFrame, key: str, check_cols: list[str], as_of):
-    """One snapshot step. Returns (newly closed rows, new open set).
+def scd2_changes(open_rows: DataFrame | None, source: DataFrame, key: str, check_cols: list[str], as_of) -> DataFrame:
+    """What one snapshot step changes: closed versions and new open ones, told apart by ``is_open``.
 
     open_rows: the snapshot's open rows (source columns + meta), or None on the
     first run. source: the model to snapshot, unique on ``key``.
@@ -62,64 +62,84 @@ def scd2_merge(open_rows: DataFrame | None, source: DataFrame, key: str, check_c
     as_of_col = F.lit(as_of).cast("timestamp_ntz")
     cols = source.columns
     if open_rows is None:
-        empty_closed = _open_version(source, key, as_of_col).limit(0)
-        return empty_closed, _open_version(source, key, as_of_col)
+        return _open_version(source, key, as_of_col).withColumn("is_open", F.lit(True))
     old = open_rows.select(*[F.col(c).alias("o_" + c) for c in cols + SNAPSHOT_META])
     new = source.select(*[F.col(c).alias("n_" + c) for c in cols])
-    j = old.join(new, F.col("o_" + key) == F.col("n_" + key), "full")
-    has_old = F.col("o_" + key).isNotNull()
-    has_new = F.col("n_" + key).isNotNull()
+    j = new.join(old, F.col("o_" + key) == F.col("n_" + key), "left")
+    is_new = F.col("o_" + key).isNull()
     diff = changed([F.col("o_" + c) for c in check_cols], [F.col("n_" + c) for c in check_cols])
-    j = j.select("*", (has_old & has_new & diff).alias("_changed"), has_old.alias("_has_old"),
-                 has_new.alias("_has_new"))
-
-    old_cols = [F.col("o_" + c).alias(c) for c in cols + SNAPSHOT_META]
-    closed = j.where("_changed").select(
-        *[F.col("o_" + c).alias(c) for c in cols],
-        F.col("o_dbt_scd_id").alias("dbt_scd_id"),
-        F.col("o_dbt_updated_at").alias("dbt_updated_at"),
-        F.col("o_dbt_valid_from").alias("dbt_valid_from"),
-        as_of_col.alias("dbt_valid_to"))
-    kept = j.where(F.col("_has_old") & ~F.col("_changed")).select(*old_cols)
-    opened = _open_version(
-        j.where(F.col("_has_new") & (~F.col("_has_old") | F.col("_changed")))
-         .select(*[F.col("n_" + c).alias(c) for c in cols]), key, as_of_col)
-    return closed, kept.unionByName(opened)
+    j = j.where(is_new | diff)
+    closed = j.where(~is_new).select(*[F.col("o_" + c).alias(c) for c in cols + SNAPSHOT_META]).withColumn("dbt_valid_to", as_of_col)
+    opened = _open_version(j.select(*[F.col("n_" + c).alias(c) for c in cols]), key, as_of_col)
+    return closed.withColumn("is_open", F.lit(False)).unionByName(opened.withColumn("is_open", F.lit(True)))
+
+
+def check_source(source: DataFrame, key: str) -> None:
+    """Raise unless every row has a key of its own."""
+    bad = source.groupBy(key).count().where((F.col("count") > 1) | F.col(key).isNull()).limit(1).collect()
+    if bad:
+        raise ValueError(f"snapshot source is not unique on {key}: {bad[0][0]!r} in {bad[0][1]} rows")
 
 
 # ------------------------------------------------------------------ storage
-def _runs(spark: SparkSession, root: str):
-    """The snapshot table and its latest run number, read from the partition
-    paths Spark lists anyway (no job)."""
-    try:
-        df = spark.read.parquet(root)
-    except Exception:  # no snapshot yet (path missing)
-        return None, 0
-    runs = [int(m.group(1)) for f in df.inputFiles() for m in [re.search(r"/run=(\d+)/", f)] if m]
-    return df, max(runs, default=0)
+def published(spark: SparkSession, root: str) -> list[tuple[int, dt.datetime, list[int]]]:
+    """(run, as_of, touched buckets) of every published run, in order: one small row per run."""
+    if not path_exists(spark, f"{root}/published"):
+        return []
+    rows = spark.read.schema(MARKER).parquet(f"{root}/published").collect()
+    return sorted((r["run"], r["as_of"], list(r["buckets"])) for r in rows)
+
+
+def _stored(spark: SparkSession, root: str, runs, schema: str) -> tuple[DataFrame, DataFrame]:
+    """(closed rows, open rows) of the published runs; all conditions are on partition columns."""
+    files = spark.read.schema(schema + ", run int, is_open boolean, bucket int").parquet(f"{root}/runs")
+    last: dict[int, int] = {b: run for run, _, touched in runs for b in touched}
+    newest = F.lit(False)
+    for run in sorted(set(last.values())):
+        newest = newest | ((F.col("run") == run) & F.col("bucket").isin([b for b, r in last.items() if r == run]))
+    closed = files.where(~F.col("is_open") & F.col("run").isin([run for run, _, _ in runs]))
+    return closed.drop("run", "is_open", "bucket"), files.where(F.col("is_open") & newest).drop("run", "is_open", "bucket")
 
 
-def _current(df: DataFrame, last: int) -> DataFrame:
-    return df.where(~F.col("is_open") | (F.col("run") == last)).drop("is_open", "run")
+def _schema(root_schema) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in root_schema)
 
 
-def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
-    """All versions: closed rows of every run plus the latest run's open rows."""
-    df, last = _runs(spark, root)
-    if df is None:
+def read_snapshot(spark: SparkSession, root: str, schema: str | None = None) -> DataFrame | None:
+    """All versions of the published runs; None before the first."""
+    runs = published(spark, root)
+    if not runs:
         return None
-    return _current(df, last)
-
-
-def run_snapshot(spark: SparkSession, root: str, source: DataFrame, key: str, check_cols: list[str],
-                 as_of) -> DataFrame:
-    """Apply one snapshot step to the table at ``root`` and return the whole snapshot."""
-    df, last = _runs(spark, root)
-    open_rows = None if df is None else df.where(F.col("is_open") & (F.col("run") == last)).drop("is_open", "run")
-    closed, opened = scd2_merge(open_rows, source, key, check_cols, as_of)
-    batch = (closed.withColumn("is_open", F.lit(False))
-             .unionByName(opened.withColumn("is_open", F.lit(True)))
-             .withColumn("run", F.lit(last + 1)))
-    (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run", "is_open").parquet(root))
-    return _current(spark.read.parquet(root), last + 1)
+    if schema is None:
+        schema = spark.read.parquet(f"{root}/schema").schema
+        schema = _schema(schema)
+    closed, opened = _stored(spark, root, runs, schema)
+    return closed.unionByName(opened)
+
+
+def run_snapshot(spark: SparkSession, root: str, source: DataFrame, key: str, check_cols: list[str], as_of) -> DataFrame:
+    """Apply one snapshot step to the table at ``root`` and return the whole snapshot. ``as_of`` must be later than that of
+    the run before; the source must be unique on ``key`` (both are checked). An empty source is a run without changes."""
+    as_of = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(str(as_of))
+    runs = published(spark, root)
+    if runs and as_of <= runs[-1][1]:
+        raise ValueError(f"as_of {as_of} is not later than that of the last run, {runs[-1][1]}")
+    source = cut_lineage(source, "snapshot-source")
+    check_source(source, key)
+    shape = _open_version(source.limit(0), key, F.lit(as_of).cast("timestamp_ntz"))
+    schema, n = _schema(shape.schema), (runs[-1][0] if runs else 0) + 1
+    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(BUCKETS)).cast("int")
+    open_rows = _stored(spark, root, runs, schema)[1] if runs else None
+    changes = cut_lineage(scd2_changes(open_rows, source, key, check_cols, as_of).withColumn("bucket", bucket), "snapshot-changes")
+    touched = sorted(r[0] for r in changes.select("bucket").distinct().collect())       # at most BUCKETS
+    batch = changes
+    if open_rows is not None:
+        kept = open_rows.withColumn("bucket", bucket).where(F.col("bucket").isin(touched))
+        kept = kept.join(changes.where("not is_open").select(key), key, "left_anti").withColumn("is_open", F.lit(True))
+        batch = changes.unionByName(kept)
+    if not runs:
+        shape.write.mode("overwrite").parquet(f"{root}/schema")
+    batch.write.mode("overwrite").partitionBy("is_open", "bucket").parquet(f"{root}/runs/run={n}")
+    marker = spark.createDataFrame([(as_of, touched)], "as_of timestamp_ntz, buckets array<int>").coalesce(1)
+    marker.write.mode("overwrite").parquet(f"{root}/published/run={n}")
+    return read_snapshot(spark, root, schema)
