@@ -11,25 +11,29 @@ its account, and transfers couple accounts, so no per-account or per-component
 grouping is exact and bounded at once. Instead a fixpoint over "legs" (one row
 per request and account touched) decides requests round by round:
 
-* each leg is Accepted or Undecided; each account's opening balance is one more
-  accepted leg (id -1) at the front;
-* per account, in id order, an exclusive prefix sum gives two bounds on the
-  balance before each undecided debit: ``lo`` counts earlier undecided debits
-  as accepted and undecided incoming transfers as absent, ``hi`` the reverse;
-* ``lo >= amount`` accepts, ``hi < amount`` rejects, else it waits a round.
-
-It is sound (lo <= true balance <= hi) and always progresses: the first
-undecided leg of an account has lo = hi. After a round every account's decided
-prefix is folded into a new opening leg, and accounts with nothing undecided
-leave the working set, so later rounds shuffle only what is still open.
-Prefix sums are two-level (buckets of ids, then rows within a bucket), so an
-account holding a third of all legs is still spread over many tasks.
+* legs are range-partitioned once by (account, id); an account's legs in one
+  partition are a bucket, so buckets hold rows, however sparse ids are, and an account
+  with a third of all legs has many. Each leg is Accepted or Undecided;
+* bucket totals, prefix-summed per account (one row per bucket), give two bounds
+  on the balance at the start of each bucket: ``lo`` counts earlier undecided
+  debits as accepted and undecided incoming transfers as absent, ``hi`` the reverse;
+* one streaming pass goes through each bucket in id order and carries the bounds
+  along: ``lo >= amount`` accepts, ``hi < amount`` rejects, else the debit waits a round.
+  The decided prefix of a bucket is folded into one leg, and accounts with nothing
+  undecided leave the working set.
+
+It is sound (lo <= true balance <= hi) and always progresses. The bounds of an
+account's first open bucket are equal, so all of it is settled in one pass as far
+as no undecided incoming transfer stands in it: rounds follow the buckets of the
+hottest account and the chains of transfers between accounts, not the debits.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +41,7 @@ from bankflow.session import cut_lineage, work_dir
 
 MONEY = "decimal(18,2)"
 SUM_MONEY = "decimal(38,2)"
-BUCKET_IDS = 1 << 20
+LEGS_PER_BUCKET = 1 << 18   # legs of a range partition, at which the first partitioning aims
 
 # Rejection reasons, in the order the OLTP database raises them: table CHECKs,
 # then foreign keys, then the posting trigger.
@@ -119,123 +123,136 @@ def ledger_legs(accepted: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ W3: two-level prefix sums
-def prefix_sums(df: DataFrame, key: str, cols: list[str], inclusive_same_id: bool = False,
-                bucket_ids: int | None = BUCKET_IDS) -> DataFrame:
+def bucketed(df: DataFrame, key: str, order: str, partitions: int | None = None) -> DataFrame:
+    """Store ``df`` with a ``bucket``: rows are range-partitioned by (key, order), and the rows of a key in one partition
+    are a bucket. Equal (key, order) share a bucket; a key of any size is spread over as many as it needs."""
+    by = [F.col(key).asc_nulls_first(), F.col(order)]
+    if partitions is None:
+        partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.count() // LEGS_PER_BUCKET + 1)
+    return cut_lineage(df.repartitionByRange(partitions, *by).withColumn("bucket", F.spark_partition_id()), "bucketed")
+
+
+def prefix_sums(df: DataFrame, key: str, cols: list[str], inclusive_same_id: bool = False) -> DataFrame:
     """Per ``key``, sums of ``cols`` over the rows before each row in (id, leg) order.
 
     ``inclusive_same_id=True`` sums every row with id <= this id instead (the
-    state after this request). With ``bucket_ids`` rows are bucketed by id
-    range: totals per (key, bucket) are prefix-summed per key (one row per
-    bucket), and the row-level window is partitioned by (key, bucket), so no
-    task holds more than one bucket of one key. ``bucket_ids=None`` is the
-    one-level window, for when no key is big enough to need splitting.
+    state after this request). ``df`` is ``bucketed``: totals per (key, bucket) are
+    prefix-summed per key (one row per bucket), and the row-level window is
+    partitioned by (key, bucket), so no task holds more than one bucket of one key.
     """
-    if inclusive_same_id:
-        order = ["id"]
-        frame = (Window.unboundedPreceding, Window.currentRow)
-    else:
-        order = ["id", "leg"]
-        frame = (Window.unboundedPreceding, -1)
+    order = ["id"] if inclusive_same_id else ["id", "leg"]
     zero = F.lit(0)
-    if bucket_ids is None:
-        w = Window.partitionBy(key).orderBy(*order)
-        w = w.rangeBetween(*frame) if inclusive_same_id else w.rowsBetween(*frame)
-        return df.select("*", *[F.coalesce(F.sum(c).over(w), zero).alias(c + "_before") for c in cols])
-    df = df.withColumn("_bucket", F.floor(F.col("id") / bucket_ids))
-    totals = df.groupBy(key, "_bucket").agg(*[F.sum(c).alias(c) for c in cols])
-    wb = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bucket_prefix = totals.select(key, "_bucket", *[F.sum(c).over(wb).alias("_bp_" + c) for c in cols])
-    wi = Window.partitionBy(key, "_bucket").orderBy(*order)
-    wi = wi.rangeBetween(*frame) if inclusive_same_id else wi.rowsBetween(*frame)
+    totals = df.groupBy(key, "bucket").agg(*[F.sum(c).alias(c) for c in cols])
+    wb = Window.partitionBy(key).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    bucket_prefix = totals.select(key, "bucket", *[F.sum(c).over(wb).alias("_bp_" + c) for c in cols])
+    wi = Window.partitionBy(key, "bucket").orderBy(*order)
+    wi = wi.rangeBetween(Window.unboundedPreceding, Window.currentRow) if inclusive_same_id \
+        else wi.rowsBetween(Window.unboundedPreceding, -1)
     within = df.select("*", *[F.sum(c).over(wi).alias("_wi_" + c) for c in cols])
-    joined = within.join(bucket_prefix, [key, "_bucket"], "left")
-    return joined.select(*[c for c in df.columns if c != "_bucket"],
+    joined = within.join(bucket_prefix, [key, "bucket"], "left")
+    return joined.select(*df.columns,
                          *[(F.coalesce(F.col("_wi_" + c), zero) + F.coalesce(F.col("_bp_" + c), zero))
                            .alias(c + "_before") for c in cols])
 
 
-def choose_buckets(legs: DataFrame, bucket_ids: int | None, max_rows_per_key: int) -> int | None:
-    """Split keys into id buckets only if some account holds more legs than one task should sort."""
-    if bucket_ids is not None:
-        return bucket_ids
-    biggest = legs.groupBy("account_id").count().agg(F.max("count")).first()[0] or 0
-    return BUCKET_IDS if biggest > max_rows_per_key else None
-
-
 # ------------------------------------------------------------------ L7
-def _opening_legs(opening: DataFrame) -> DataFrame:
-    return opening.select(
-        F.lit(-1).cast("bigint").alias("id"), F.lit(0).alias("leg"), F.col("account_id").cast("bigint"),
-        F.coalesce(F.col("balance").cast(MONEY), F.lit(0).cast(MONEY)).alias("delta"),
-        F.lit("A").alias("state"), F.lit(False).alias("is_debit"), F.lit(None).cast(MONEY).alias("amount"))
+LEG_COLS = ["id", "leg", "account_id", "cents", "state", "is_debit", "bucket"]
+LEG_SCHEMA = ("id bigint, leg int, account_id bigint, cents bigint, state string, is_debit boolean, bucket int, "
+              "kind string")
 
 
-LEG_COLS = ["id", "leg", "account_id", "delta", "state", "is_debit", "amount"]
+def _cents(c):
+    return (F.col(c).cast(MONEY) * 100).cast("bigint")
 
 
-def _round(legs: DataFrame, verdicts: DataFrame | None, bucket_ids: int | None) -> DataFrame:
-    """One fixpoint round in a single pass over the windowed legs.
-
-    The previous round's verdicts are first applied to the legs they concern
-    (a transfer's incoming leg lives on another account, hence a join by id;
-    rejected requests drop out). Each windowed leg then yields, through one
-    explode: the account's new opening leg (at its first open leg), the leg
-    itself unless it sits in the decided prefix, and this round's verdict for
-    an open debit. Rows come out tagged ``kind`` = work | decided.
-    """
+def _opening_legs(opening: DataFrame) -> DataFrame:
+    return opening.select(
+        F.lit(-1).cast("bigint").alias("id"), F.lit(0).alias("leg"), F.col("account_id").cast("bigint"),
+        F.coalesce(_cents("balance"), F.lit(0).cast("bigint")).alias("cents"),
+        F.lit("A").alias("state"), F.lit(False).alias("is_debit"))
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Go through buckets in id order, the bounds on the balance carried along. Rows come out tagged ``kind``: legs still to
+    be worked on, and verdicts ('decided') on debits. Only the running bucket's bounds are held."""
+    bucket, lo, hi, settled, folded = None, 0, 0, True, 0
+    verdict = (None, None)        # of the last debit: a transfer within an account has both its legs here
+    fields = LEG_SCHEMA.replace(",", "").split()[::2]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int32(), pa.string()]
+
+    def leg(id_, number, cents, state, is_debit):
+        return (id_, number, bucket[0], cents, state, is_debit, bucket[1], "work")
+
+    def batch_of(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(types), types)], names=fields)
+
+    for batch in batches:
+        out = []
+        columns = {f.name: batch.column(i).to_pylist() for i, f in enumerate(batch.schema)}
+        for id_, number, account, cents, state, is_debit, part, lo0, hi0 in zip(
+                *(columns[c] for c in [*LEG_COLS, "lo", "hi"])):
+            if (account, part) != bucket:
+                if bucket and folded:
+                    out.append(leg(-1, 0, folded, "A", False))
+                bucket, lo, hi, settled, folded = (account, part), lo0, hi0, True, 0
+            if not is_debit and state == "U" and verdict[0] == id_:
+                state = verdict[1]
+                if state == "R":
+                    continue
+            if state == "A":
+                lo, hi = lo + cents, hi + cents
+            elif not is_debit:                       # an incoming transfer that is not decided yet
+                hi, settled = hi + cents, False
+            elif lo >= -cents:
+                lo, hi, state = lo + cents, hi + cents, "A"
+                verdict = (id_, "A")
+                out.append((id_, None, None, None, "A", None, None, "decided"))
+            elif hi < -cents:
+                verdict = (id_, "R")
+                out.append((id_, None, None, None, "R", None, None, "decided"))
+                continue
+            else:
+                lo, settled = lo + cents, False
+            if settled:
+                folded += cents
+            else:
+                out.append(leg(id_, number, cents, state, is_debit))
+        yield batch_of(out)
+    if bucket and folded:
+        yield batch_of([leg(-1, 0, folded, "A", False)])
+
+
+def _round(legs: DataFrame, verdicts: DataFrame | None) -> DataFrame:
+    """One round: apply the last verdicts (a transfer's incoming leg lives on another account, hence a join by id),
+    bound the balance at the start of each bucket, settle the buckets of accounts with open legs."""
     if verdicts is not None:
         legs = (legs.join(verdicts, "id", "left")
                 .select(*[F.coalesce("new_state", "state").alias("state") if c == "state" else F.col(c)
                           for c in LEG_COLS])
                 .where(F.col("state") != "R"))
-    st, d = F.col("state"), F.col("delta")
-    zero = F.lit(0).cast(MONEY)
-    parts = legs.select(
-        *LEG_COLS,
-        F.when(st == "A", d).otherwise(zero).alias("acc"),
-        F.when((st == "U") & (d < 0), d).otherwise(zero).alias("udeb"),
-        F.when((st == "U") & (d > 0), d).otherwise(zero).alias("ucred"),
-        F.when(st == "U", F.lit(1)).otherwise(F.lit(0)).alias("ucnt"))
-    p = prefix_sums(parts, "account_id", ["acc", "udeb", "ucred", "ucnt"], bucket_ids=bucket_ids)
-    lo = F.col("acc_before") + F.col("udeb_before")
-    hi = F.col("acc_before") + F.col("ucred_before")
-    open_debit = F.col("is_debit") & (st == "U")
-    verdict = F.when(open_debit & (lo >= F.col("amount")), F.lit("A")).when(open_debit & (hi < F.col("amount")),
-                                                                            F.lit("R"))
-    own_state = F.coalesce(verdict, st)
-    first_open = (F.col("ucnt_before") == 0) & (st == "U")
-    in_prefix = (F.col("ucnt_before") == 0) & (st == "A")
-    null_money = F.lit(None).cast(MONEY)
-
-    def row(kind, id_, leg, acct, delta, state, is_debit, amount):
-        return F.struct(id_.cast("bigint").alias("id"), leg.cast("int").alias("leg"),
-                        acct.cast("bigint").alias("account_id"), delta.cast(MONEY).alias("delta"),
-                        state.alias("state"), is_debit.cast("boolean").alias("is_debit"),
-                        amount.cast(MONEY).alias("amount"), F.lit(kind).alias("kind"))
-
-    out = F.array(
-        F.when(first_open, row("work", F.lit(-1), F.lit(0), F.col("account_id"), F.col("acc_before"), F.lit("A"),
-                               F.lit(False), null_money)),
-        F.when(~in_prefix & (own_state != "R"),
-               row("work", F.col("id"), F.col("leg"), F.col("account_id"), d, own_state, F.col("is_debit"),
-                   F.col("amount"))),
-        F.when(verdict.isNotNull(), row("decided", F.col("id"), F.lit(None), F.lit(None), null_money, verdict,
-                                        F.lit(None), null_money)))
-    return p.select(F.inline(F.filter(out, lambda x: x.isNotNull())))
-
-
-LEG_SCHEMA = ("id bigint, leg int, account_id bigint, delta decimal(18,2), state string, is_debit boolean, "
-              "amount decimal(18,2), kind string")
-
-
-def _store_round(rows: DataFrame):
-    """Write one round (open legs + verdicts, tagged by ``kind``) as ONE table.
+    accepted, debit = F.col("state") == "A", F.col("cents") < 0
+    total = lambda cond: F.sum(F.when(cond, F.col("cents")).otherwise(0))
+    totals = legs.groupBy("account_id", "bucket").agg(
+        total(accepted | debit).alias("lo"), total(accepted | ~debit).alias("hi"),
+        F.sum(F.when(accepted, 0).otherwise(1)).alias("open"))
+    per = Window.partitionBy("account_id")
+    before = per.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("account_id", "bucket", F.coalesce(F.sum("lo").over(before), F.lit(0)).alias("lo"),
+                           F.coalesce(F.sum("hi").over(before), F.lit(0)).alias("hi"),
+                           F.sum("open").over(per).alias("open")).where("open > 0").drop("open")
+    rows = legs.join(starts, ["account_id", "bucket"]).select(*LEG_COLS, "lo", "hi")
+    rows = rows.repartition("account_id", "bucket").sortWithinPartitions("account_id", "bucket", "id", "leg")
+    return rows.mapInArrow(_settle, LEG_SCHEMA)
+
+
+def _store_round(rows: DataFrame, root: str, number: int) -> tuple[DataFrame, int, DataFrame]:
+    """Write one round (open legs + verdicts, tagged by ``kind``) as ONE folder.
 
     The number of still-undecided debits is observed during that same write,
     so a round costs a single job. Returns (work legs, open count, verdicts).
     """
     spark = rows.sparkSession
-    path = work_dir(spark, "posting-round")
+    path = f"{root}/round={number}"
     obs = Observation()
     is_open = (F.col("kind") == "work") & F.col("is_debit") & (F.col("state") == "U")
     rows.observe(obs, F.sum(F.when(is_open, 1).otherwise(0)).alias("open")).write.partitionBy("kind").parquet(path)
@@ -246,62 +263,53 @@ def _store_round(rows: DataFrame):
     return work, open_count, verdicts
 
 
-MAX_ROWS_PER_KEY = 2_000_000
-
-
-def post_batch(opening: DataFrame, requests: DataFrame, bucket_ids: int | None = None,
-               max_rows_per_key: int = MAX_ROWS_PER_KEY) -> Posting:
+def post_batch(opening: DataFrame, requests: DataFrame, partitions: int | None = None) -> Posting:
     """Post id-ordered requests against opening balances; equal to the sequential fold.
 
     opening: (account_id, balance decimal?) ; requests: (id, account_id,
-    related_account_id, txn_type, amount, created_at). ``bucket_ids``: force
-    the two-level prefix sums with this bucket width; by default they are used
-    only when an account holds more than ``max_rows_per_key`` legs.
+    related_account_id, txn_type, amount, created_at). ``partitions``: range
+    partitions of the legs, by default as many as keep a bucket at ``LEGS_PER_BUCKET``.
+    Raises if a debit is left without a verdict.
     """
+    spark = opening.sparkSession
     checked = cut_lineage(validate_requests(requests, opening))
     valid = checked.where(F.col("reject_reason").isNull())
     legs = movements(valid).select(
-        "id", "leg", F.col("account_id").cast("bigint"), "delta",
+        "id", "leg", F.col("account_id").cast("bigint"), _cents("delta").alias("cents"),
         F.when(F.col("txn_type") == "DEPOSIT", F.lit("A")).otherwise(F.lit("U")).alias("state"),
-        ((F.col("leg") == 0) & F.col("txn_type").isin(*DEBIT_TYPES)).alias("is_debit"),
-        F.col("amount").cast(MONEY).alias("amount"))
-    start = _opening_legs(opening).unionByName(legs).withColumn("kind", F.lit("work"))
-    work, open_count, _ = _store_round(start)
-    bucket_ids = choose_buckets(work, bucket_ids, max_rows_per_key)
-    decided_parts = []
-    verdicts = None
-    rounds = 0
+        ((F.col("leg") == 0) & F.col("txn_type").isin(*DEBIT_TYPES)).alias("is_debit"))
+    legs = bucketed(_opening_legs(opening).unionByName(legs), "account_id", "id", partitions).select(*LEG_COLS)
+    root = work_dir(spark, "posting")
+    work, open_count, verdicts, rounds = legs, legs.where("is_debit").count(), None, 0
     while open_count:
         rounds += 1
-        work, open_count, verdicts = _store_round(_round(work, verdicts, bucket_ids))
-        decided_parts.append(verdicts)
+        work, still_open, verdicts = _store_round(_round(work, verdicts), root, rounds)
+        if still_open >= open_count:
+            raise RuntimeError(f"round {rounds} decided nothing: {still_open} debits are open")
+        open_count = still_open
 
-    decided_all = decided_parts[0] if decided_parts else None
-    for v in decided_parts[1:]:
-        decided_all = decided_all.unionByName(v)
     base = checked.select("id", "account_id", "related_account_id", "txn_type", "amount", "created_at",
                           "reject_reason")
-    if decided_all is not None:
-        base = base.join(decided_all, "id", "left")
+    if rounds:
+        decided = spark.read.schema(LEG_SCHEMA + ", round int").parquet(root).where("kind = 'decided'")
+        base = base.join(decided.select("id", F.col("state").alias("new_state")), "id", "left")
     else:
         base = base.withColumn("new_state", F.lit(None).cast("string"))
+    undecided = F.col("reject_reason").isNull() & F.col("txn_type").isin(*DEBIT_TYPES) & F.col("new_state").isNull()
     reason = F.coalesce(F.col("reject_reason"),
+                        F.when(undecided, F.raise_error(F.lit("a debit has no verdict")).cast("string")),
                         F.when(F.col("new_state") == "R", F.lit(INSUFFICIENT_FUNDS)))
     outcome = cut_lineage(base.select("id", "account_id", "related_account_id", "txn_type", "amount",
-                                      "created_at", reason.alias("reject_reason"),
-                                      reason.isNull().alias("accepted")))
+                                      "created_at", reason.alias("reject_reason")))
+    outcome = outcome.withColumn("accepted", F.col("reject_reason").isNull())
     accepted = outcome.where(F.col("accepted"))
 
-    acc_legs = movements(accepted).select("id", "leg", F.col("account_id").cast("bigint"), "delta")
-    with_open = opening.select(
-        F.lit(-1).cast("bigint").alias("id"), F.lit(0).alias("leg"), F.col("account_id").cast("bigint"),
-        F.coalesce(F.col("balance").cast(MONEY), F.lit(0).cast(MONEY)).alias("delta"),
-        F.when(F.col("balance").isNull(), F.lit(1)).otherwise(F.lit(0)).alias("nulls"))
-    acc_legs = acc_legs.withColumn("nulls", F.lit(0)).unionByName(with_open)
-    after = prefix_sums(acc_legs, "account_id", ["delta", "nulls"], inclusive_same_id=True, bucket_ids=bucket_ids)
-    balance_after = after.where((F.col("leg") == 0) & (F.col("id") >= 0)).select(
-        "id", F.when(F.col("nulls_before") > 0, F.lit(None).cast(MONEY))
-                .otherwise(F.col("delta_before").cast(MONEY)).alias("balance_after"))
+    nulls = opening.where(F.col("balance").isNull()).select(F.col("account_id").cast("bigint"), F.lit(1).alias("nulls"))
+    after = legs.join(accepted.select("id"), "id", "left_semi").unionByName(legs.where("id = -1"))
+    after = prefix_sums(after.select("id", "leg", "account_id", "bucket", "cents"), "account_id", ["cents"], inclusive_same_id=True)
+    after = after.where((F.col("leg") == 0) & (F.col("id") >= 0)).join(nulls, "account_id", "left")
+    balance_after = after.select("id", F.when(F.col("nulls").isNull(), (F.col("cents_before").cast("decimal(20,0)") / 100).cast(MONEY))
+                                 .alias("balance_after"))
     decisions = outcome.join(balance_after, "id", "left").select(
         "id", "account_id", "txn_type", "amount", "accepted", "reject_reason", "balance_after")
     ledger = ledger_legs(accepted)
