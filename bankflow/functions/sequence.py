@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bankflow.schemas import ACCOUNT_NUMBER_PREFIX, ACCOUNT_NUMBER_START
-from bankflow.session import cut_lineage
+from bankflow.session import cut_lineage, path_exists
 
 
 def dense_sequence(df: DataFrame, order_cols: list[str], start: int = 1, col: str = "seq") -> DataFrame:
@@ -26,8 +28,26 @@ def dense_sequence(df: DataFrame, order_cols: list[str], start: int = 1, col: st
         *df.columns, (F.lit(start) + F.col("_offset") + F.col("_mid") - F.col("_first")).cast("bigint").alias(col))
 
 
-def account_numbers(df: DataFrame, order_cols: list[str], start: int = ACCOUNT_NUMBER_START) -> DataFrame:
-    """'AC' + 10-digit sequence number, in insertion order."""
-    seq = dense_sequence(df, order_cols, start, "_seq_no")
-    return seq.select(*df.columns, F.concat(F.lit(ACCOUNT_NUMBER_PREFIX),
-                                            F.lpad(F.col("_seq_no").cast("string"), 10, "0")).alias("account_number"))
+def account_numbers(df: DataFrame, order_cols: list[str], start: int = ACCOUNT_NUMBER_START,
+                    state: str | None = None) -> DataFrame:
+    """'AC' + 10-digit sequence number, in insertion order.
+
+    ``state`` is a folder that keeps the high mark over batches: a batch goes on after the last number given out, so
+    numbers neither repeat nor leave a gap. The batch's rows are stored before the mark moves, and the mark is one
+    small file per batch, written last."""
+    spark = df.sparkSession
+    taken = 0
+    if state is not None and path_exists(spark, f"{state}/marks"):
+        taken = spark.read.schema("n bigint").parquet(f"{state}/marks").agg(F.max("n")).first()[0] or 0
+    seq = dense_sequence(df, order_cols, start + taken, "_seq_no")
+    numbered = seq.select(*df.columns, F.concat(F.lit(ACCOUNT_NUMBER_PREFIX),
+                                                F.lpad(F.col("_seq_no").cast("string"), 10, "0")).alias("account_number"))
+    if state is None:
+        return numbered
+    path = f"{state}/batches/{uuid.uuid4().hex}"      # of this try; only marks count
+    numbered.write.mode("overwrite").parquet(path)
+    stored = spark.read.parquet(path)
+    new = stored.count()
+    if new:
+        spark.createDataFrame([(taken + new,)], "n bigint").coalesce(1).write.mode("overwrite").parquet(f"{state}/marks/after={taken}")
+    return stored

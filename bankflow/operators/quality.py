@@ -31,8 +31,7 @@ def check_not_null(df: DataFrame, cols: list[str], model: str = "model") -> Data
 
 def check_accepted(df: DataFrame, col: str, values: list[str], model: str = "model") -> DataFrame:
     """Distinct values outside the list; NULL passes."""
-    bad = F.count_distinct(F.when(~F.col(col).isin(*values), F.col(col)))
-    return _rows(df.agg(bad.alias("av")), model, [(col, "accepted_values", "av")])
+    return model_checks(df, model, {"accepted_values": {col: values}})
 
 
 def check_unique(df: DataFrame, col: str, model: str = "model") -> DataFrame:
@@ -44,18 +43,28 @@ def check_unique(df: DataFrame, col: str, model: str = "model") -> DataFrame:
 
 
 def model_checks(df: DataFrame, model: str, spec: dict | None = None) -> DataFrame:
-    """All declared tests of one model: one pass for not_null + accepted_values, one per unique."""
+    """All declared tests of one model: one pass for not_null + accepted_values, one per unique.
+
+    A row gives one (test, value) pair for each test that it fails and none otherwise; pairs are counted on the map
+    side, so only failures are shuffled: rows for not_null, different values for accepted_values."""
     spec = spec or DATA_TESTS[model]
-    aggs, entries = [], []
-    for i, c in enumerate(spec.get("not_null", [])):
-        aggs.append(F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(f"nn_{i}"))
-        entries.append((c, "not_null", f"nn_{i}"))
-    for i, (c, values) in enumerate(spec.get("accepted_values", {}).items()):
-        aggs.append(F.count_distinct(F.when(~F.col(c).isin(*values), F.col(c))).alias(f"av_{i}"))
-        entries.append((c, "accepted_values", f"av_{i}"))
-    out = _rows(df.agg(*aggs), model, entries)
+    tests = [(c, "not_null") for c in spec.get("not_null", [])] + [(c, "accepted_values") for c in spec.get("accepted_values", {})]
+    fails = [F.when(F.col(c).isNull(), F.struct(F.lit(i).alias("t"), F.lit(None).cast("string").alias("v")))
+             if test == "not_null" else
+             F.when(~F.col(c).isin(*spec["accepted_values"][c]), F.struct(F.lit(i).alias("t"), F.col(c).cast("string").alias("v")))
+             for i, (c, test) in enumerate(tests)]
+    out = None
+    if tests:
+        pairs = df.select(F.inline(F.filter(F.array(*fails), lambda x: x.isNotNull()))).groupBy("t", "v").count()
+        failed = pairs.groupBy("t").agg(F.sum("count").alias("rows"), F.count(F.lit(1)).alias("values"))
+        names = df.sparkSession.createDataFrame([(i, model, c, test) for i, (c, test) in enumerate(tests)],
+                                                "t int, model string, column_name string, test string")
+        found = F.when(F.col("test") == "not_null", F.col("rows")).otherwise(F.col("values"))
+        out = names.join(F.broadcast(failed), "t", "left").select(      # one row per failed test
+            "model", "column_name", "test", F.coalesce(found, F.lit(0)).cast("bigint").alias("failures"))
     for c in spec.get("unique", []):
-        out = out.unionByName(check_unique(df, c, model))
+        u = check_unique(df, c, model)
+        out = u if out is None else out.unionByName(u)
     return out
 
 

@@ -231,6 +231,8 @@ def _closure(names: list[str]) -> list[str]:
 def with_(extra: dict[str, str] | None, *names: str) -> str:
     """A WITH clause holding the named shared CTEs (and their dependencies) plus ``extra`` ones."""
     keys = _closure(list(names))
+    if not keys and not extra:
+        return ""
     parts = [f"{k} AS (\n{CTE[k]}\n)" for k in keys]
     parts += [f"{k} AS (\n{v}\n)" for k, v in (extra or {}).items()]
     recursive = "RECURSIVE " if any("(" in k for k in keys) else ""
@@ -242,7 +244,7 @@ META = "dbt_scd_id, dbt_updated_at, dbt_valid_from, dbt_valid_to"
 
 
 def _meta(key: str, valid_from: str, valid_to: str) -> str:
-    return (f"md5({key} || '|' || strftime({valid_from}, '%Y-%m-%d %H:%M:%S')) AS dbt_scd_id, "
+    return (f"md5({key} || '|' || strftime({valid_from}, '%Y-%m-%d %H:%M:%S.%f')) AS dbt_scd_id, "
             f"{valid_from} AS dbt_updated_at, {valid_from} AS dbt_valid_from, {valid_to} AS dbt_valid_to")
 
 
@@ -315,10 +317,9 @@ def _facts_two(lateness: str | None, upsert: bool = False) -> str:
     if upsert:
         extra["stg_txn2"] = ("SELECT * REPLACE (CASE WHEN e % 25 = 3 THEN 'REVERSED' ELSE txn_status END "
                              "AS txn_status) FROM stg_txn")
-        extra["adm"] = f"SELECT * FROM {src2} WHERE txn_time > {lower}"
-        body = (f"SELECT {FACT_COLS_NO_LOAD}, {AS1} AS load_timestamp FROM run1 "
-                f"WHERE transaction_id NOT IN (SELECT transaction_id FROM adm)\n"
-                f"UNION ALL SELECT {FACT_COLS_NO_LOAD}, {AS2} FROM adm")
+        # every id that run 1 loaded is re-sent and so updated; a new one must be newer than the bound
+        body = (f"SELECT {FACT_COLS_NO_LOAD}, {AS2} AS load_timestamp FROM {src2} "
+                f"WHERE transaction_id IN (SELECT transaction_id FROM run1) OR txn_time > {lower}")
     else:
         body = (f"SELECT {FACT_COLS_NO_LOAD}, {AS1} AS load_timestamp FROM run1\n"
                 f"UNION ALL SELECT {FACT_COLS_NO_LOAD}, {AS2} FROM {src2} WHERE txn_time > {lower} "
@@ -344,6 +345,17 @@ Q["raw_load"] = with_(None, "upserts") + "SELECT table_name, seq, ts_ms, row_id
 Q["load_report"] = with_(None, "upserts") + """SELECT table_name, count(DISTINCT day) AS files, count(*) AS rows
 FROM upserts GROUP BY table_name"""
 Q["ingest_run"] = Q["load_report"]
+Q["ingest_two_days"] = with_(None, "upserts") + f"""SELECT table_name, count(DISTINCT day) AS files, count(*) AS rows
+FROM upserts WHERE ts_ms >= {DAY2_MS} GROUP BY table_name"""
+Q["raw_scan"] = with_(None, "upserts") + "SELECT seq, row_id, day AS date FROM upserts WHERE table_name = 'accounts'"
+Q["cdc_read_batch"] = Q["cdc_unwrap"]
+Q["landing_unlisted_table"] = with_(None, "upserts") + """SELECT table_name, count(*) AS rows,
+       CAST(0 AS BIGINT) AS oversize_files FROM upserts GROUP BY table_name"""
+Q["landing_no_timestamp"] = with_({
+    "ev": """SELECT id, CASE WHEN id % 7 = 3 THEN 'bad' ELSE 'upsert' END AS kind,
+       CASE WHEN id % 7 = 3 OR id % 3 = 1 THEN DATE '2024-03-05' ELSE DATE '2024-01-01' END AS date FROM acct"""}, "acct") + \
+    """SELECT kind, date, count(*) AS events FROM ev GROUP BY kind, date
+UNION ALL SELECT 'loaded', date, count(*) FROM ev WHERE kind = 'upsert' AND date = DATE '2024-03-05' GROUP BY date"""
 _cur = " UNION ALL ".join(f"SELECT '{c}' AS code, '{n}' AS name" for c, n in S.CURRENCIES)
 Q["currencies"] = with_({"cur": _cur}, "stg_acct_log") + """SELECT a.currency, c.name AS currency_name,
        count(*) AS accounts FROM stg_acct_log a LEFT JOIN cur c ON a.currency = c.code GROUP BY a.currency, c.name"""
@@ -377,7 +389,18 @@ Q["scd2_customers_day1"] = with_({"s": one_run("stg_cust1", "customer_id", CUST_
     "SELECT * FROM s"
 Q["scd2_customers_day2"] = with_({"s": SNAP_CUST}, "stg_cust1", "stg_cust2") + "SELECT * FROM s"
 Q["scd2_rerun_noop"] = Q["scd2_customers_day2"]
-Q["stream_scd2"] = Q["scd2_customers_day2"]
+_DAYS = ", ".join(c for c in CUST_COLS if c != "load_timestamp")
+Q["stream_scd2"] = with_({"s": SNAP_CUST}, "stg_cust1", "stg_cust2") + f"""SELECT {_DAYS},
+       CAST(dbt_valid_from - INTERVAL 1 DAY AS DATE) AS valid_from, CAST(dbt_valid_to - INTERVAL 1 DAY AS DATE) AS valid_to FROM s"""
+Q["scd2_same_day_batches"] = with_({
+    "n": "SELECT *, CAST(customer_id AS BIGINT) AS k FROM stg_cust1",
+    "v": """SELECT customer_id, phone, TIMESTAMP '2024-01-02 00:00:00' AS since,
+       CASE WHEN k % 10 = 0 THEN TIMESTAMP '2024-01-02 10:30:00'
+            WHEN k % 5 = 0 THEN TIMESTAMP '2024-01-02 10:30:00.000001' END AS until FROM n
+UNION ALL SELECT customer_id, '555-1111', TIMESTAMP '2024-01-02 10:30:00', TIMESTAMP '2024-01-02 10:30:00.000001' FROM n WHERE k % 10 = 0
+UNION ALL SELECT customer_id, '555-2222', TIMESTAMP '2024-01-02 10:30:00.000001', NULL FROM n WHERE k % 5 = 0"""}, "stg_cust1") + \
+    """SELECT customer_id, phone, md5(customer_id || '|' || strftime(since, '%Y-%m-%d %H:%M:%S.%f')) AS dbt_scd_id,
+       since AS dbt_valid_from, until AS dbt_valid_to FROM v"""
 Q["scd2_accounts_day2"] = with_({"s": SNAP_ACCT}, "stg_acct1", "stg_acct2") + "SELECT * FROM s"
 Q["dim_customers"] = with_(DIMS, *DIM_NEEDS) + "SELECT * FROM dim_c"
 Q["dim_accounts"] = with_(DIMS, *DIM_NEEDS) + "SELECT * FROM dim_a"
@@ -387,6 +410,9 @@ Q["stream_facts"] = Q["facts_full"]
 Q["facts_incremental"] = _facts_two(None)
 Q["facts_incremental_late"] = _facts_two("7 days")
 Q["facts_upsert"] = _facts_two("7 days", upsert=True)
+Q["facts_null_time_rerun"] = with_(None, "stg_txn") + f"""SELECT transaction_id,
+       CASE WHEN CAST(transaction_id AS BIGINT) % 5 <> 0 THEN txn_time END AS txn_time,
+       CASE WHEN CAST(transaction_id AS BIGINT) % 5 <> 0 THEN {AS2} ELSE {AS1} END AS load_timestamp FROM stg_txn"""
 Q["high_water_mark"] = with_({"run1": RUN1}, "stg_txn") + \
     "SELECT max(txn_time) AS high_water, count(*) AS loaded FROM run1"
 
@@ -394,7 +420,11 @@ Q["direction_rule"] = with_(None, "txn_x") + "SELECT id AS transaction_id, txn_t
 Q["txn_description"] = with_(None, "txn_x") + "SELECT id AS transaction_id, txn_desc FROM txn_x"
 Q["account_number"] = with_(None, "acct") + f"""SELECT id AS account_id,
        '{S.ACCOUNT_NUMBER_PREFIX}' || lpad(CAST({S.ACCOUNT_NUMBER_START} - 1 + row_number() OVER (ORDER BY id)
-       AS VARCHAR), 10, '0') AS account_number FROM acct WHERE status = 'ACTIVE'"""
+       AS VARCHAR), 10, '0') AS account_number FROM acct"""
+Q["account_number_batches"] = with_(None, "acct") + f"""SELECT id AS account_id,
+       '{S.ACCOUNT_NUMBER_PREFIX}' || lpad(CAST({S.ACCOUNT_NUMBER_START} - 1 + row_number() OVER (ORDER BY id % 3 <> 1, id)
+       AS VARCHAR), 10, '0') AS account_number FROM acct"""
+Q["as_view"] = with_(DIMS, *DIM_NEEDS) + "SELECT account_type, count(*) AS accounts FROM dim_a WHERE is_current GROUP BY account_type"
 Q["round_down_money"] = """SELECT event_id, CAST(sign(x) * floor(abs(x) * 100) / 100 AS DECIMAL(18,2)) AS amount
 FROM (SELECT event_id, CAST(CAST(value / 3 AS VARCHAR) AS DECIMAL(38,20)) AS x FROM events)"""
 Q["apply_defaults"] = with_(None, "cust0") + f"""SELECT CAST(k AS VARCHAR) AS customer_id,
@@ -413,19 +443,30 @@ Q["post_balance_after"] = with_(None, "dec") + "SELECT id, balance_after FROM de
 Q["ledger_entries"] = with_(None, "post_led") + f"""SELECT id, transaction_id, account_id, entry_type,
        {money('cents')} AS amount, created_at FROM post_led"""
 Q["closing_balances"] = with_(None, "closing") + "SELECT account_id, balance FROM closing"
-Q["ledger_balance_check"] = with_(None, "post_led") + f"""SELECT transaction_id, count(*) AS entries,
+# the request ids run on, so the balance is 10 before each odd id until the first withdrawal and then 0, 5, 10, ...
+Q["post_hovering"] = with_(None) + f"""SELECT event_id + 1 AS id, CASE WHEN odd THEN fits ELSE TRUE END AS accepted,
+       CASE WHEN odd AND NOT fits THEN 'INSUFFICIENT_FUNDS' END AS reject_reason,
+       CASE WHEN odd AND NOT fits THEN NULL ELSE CAST(CASE WHEN odd THEN 0 WHEN pos % 4 = 1 THEN 5 ELSE 10 END AS DECIMAL(18,2)) END AS balance_after
+FROM (SELECT event_id, (event_id + 1) % 2 = 1 AS odd, pos, pos % 4 = 0 AS fits
+      FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS pos FROM events))"""
+_BAD_LED = {"bad_led": """SELECT id, transaction_id, account_id, entry_type,
+       cents + CASE WHEN transaction_id % 101 = 4 AND id % 2 = 0 THEN 1 ELSE 0 END AS cents FROM post_led
+WHERE transaction_id % 97 <> 3 OR id % 2 <> 1"""}
+Q["ledger_balance_check"] = with_(_BAD_LED, "post_led") + f"""SELECT transaction_id, count(*) AS entries,
        {money("sum(CASE WHEN entry_type = 'DEBIT' THEN cents ELSE 0 END)", 'DECIMAL(38,2)')} AS debits,
        {money("sum(CASE WHEN entry_type = 'CREDIT' THEN cents ELSE 0 END)", 'DECIMAL(38,2)')} AS credits
-FROM post_led GROUP BY transaction_id
+FROM bad_led GROUP BY transaction_id
 HAVING count(*) <> 2 OR sum(CASE WHEN entry_type = 'DEBIT' THEN cents ELSE -cents END) <> 0"""
 Q["balance_reconcile"] = with_({
     "net": """SELECT account_id, sum(CASE WHEN entry_type = 'DEBIT' THEN cents ELSE -cents END) AS net
 FROM post_led WHERE account_id IS NOT NULL GROUP BY account_id""",
     "expd": """SELECT COALESCE(a.id, n.account_id) AS account_id, a.cents1 + COALESCE(n.net, 0) AS expected
-FROM acct a FULL JOIN net n ON a.id = n.account_id"""}, "post_led", "closing", "acct") + f"""SELECT
+FROM acct a FULL JOIN net n ON a.id = n.account_id""",
+    "closed": "SELECT account_id, balance + CASE WHEN account_id % 53 = 2 THEN 1 ELSE 0 END AS balance FROM closing"},
+    "post_led", "closing", "acct") + f"""SELECT
        COALESCE(x.account_id, c.account_id) AS account_id, {money('x.expected', 'DECIMAL(38,2)')} AS expected,
-       c.balance AS closing
-FROM expd x FULL JOIN closing c ON x.account_id = c.account_id
+       CAST(c.balance AS DECIMAL(38,2)) AS closing
+FROM expd x FULL JOIN closed c ON x.account_id = c.account_id
 WHERE {money('x.expected', 'DECIMAL(38,2)')} IS DISTINCT FROM c.balance"""
 Q["reject_report"] = with_(None, "dec") + f"""SELECT reject_reason, count(*) AS requests,
        {money('sum(cents)', 'DECIMAL(38,2)')} AS amount FROM dec WHERE NOT accepted GROUP BY reject_reason"""
@@ -443,7 +484,15 @@ def _dq(tests) -> str:
 
 Q["dq_not_null"] = _dq(("not_null",))
 Q["dq_unique"] = _dq(("unique",))
-Q["dq_accepted_values"] = _dq(("accepted_values",))
+_KEY = {"stg_customers": "customer_id", "stg_accounts": "account_id", "stg_transactions": "transaction_id", "stg_ledger_entries": "id"}
+_odd, _odd_rows = {}, []
+for _model, _src in STG_MODEL_SRC.items():
+    _k = f"CAST({_KEY[_model]} AS BIGINT)"
+    _spec = S.DATA_TESTS[_model]
+    _cols = ", ".join(f"CASE WHEN {_k} % 43 = 1 THEN 'ODD' || CAST({_k} % 2 AS VARCHAR) ELSE {c} END AS {c}" for c in _spec["accepted_values"])
+    _odd["odd_" + _model] = f"SELECT {_cols} FROM {_src}"
+    _odd_rows += dq_rows(_model, "odd_" + _model, _spec, ("accepted_values",))
+Q["dq_accepted_values"] = with_(_odd, *_STG_NEEDS) + "\nUNION ALL\n".join(_odd_rows)
 Q["dq_suite_staging"] = _dq(("not_null", "unique", "accepted_values"))
 
 _FACTS_INC = {"run1": RUN1, "mark": "SELECT max(txn_time) AS m FROM run1",
@@ -465,27 +514,39 @@ def _in(col: str, values) -> str:
     return f"{col} IN ({', '.join(repr(v) for v in values)})"
 
 
-_OLTP = {"cust_oltp": "SELECT k AS id, * FROM cust1",
-         "req_led": """SELECT 2 * id AS id, id AS transaction_id, account_id,
+_LONG = "repeat('x', 300)"
+_OLTP = {"cust_good": f"""SELECT k AS id, CASE WHEN k % 37 = 5 THEN {_LONG} ELSE first_name END AS first_name, last_name,
+       CASE WHEN k % 41 = 3 THEN NULL ELSE email END AS email, phone, CASE WHEN k % 43 = 1 THEN 'ODD' ELSE status END AS status FROM cust0""",
+         "cust_oltp": "SELECT * FROM cust_good UNION ALL SELECT * FROM cust_good WHERE id % 50 = 7",
+         "acct_good": f"""SELECT id, CASE WHEN id % 59 = 4 THEN -id - 1 ELSE k END AS customer_id,
+       CASE WHEN id % 61 = 2 THEN 'ODD' ELSE account_type END AS account_type, CASE WHEN id % 43 = 1 THEN 'ODD' ELSE status END AS status,
+       CASE WHEN id % 67 = 3 THEN {_LONG} ELSE
+       '{S.ACCOUNT_NUMBER_PREFIX}' || lpad(CAST(id + {S.ACCOUNT_NUMBER_START} AS VARCHAR), 10, '0') END AS account_number FROM acct""",
+         "acct1": "SELECT * FROM acct_good UNION ALL SELECT * FROM acct_good WHERE id % 71 = 0",
+         "txn_good": f"""SELECT id, account_id, related_account_id, CASE WHEN id % 97 = 8 THEN 'ODD' ELSE txn_type END AS txn_type,
+       CASE WHEN id % 79 = 5 THEN 'ODD' ELSE direction END AS direction, CASE WHEN id % 89 = 6 THEN 'ODD' ELSE status END AS status,
+       CASE WHEN id % 73 = 6 THEN {_LONG} ELSE reference END AS reference, cents FROM req""",
+         "txn1": "SELECT * FROM txn_good UNION ALL SELECT * FROM txn_good WHERE id % 83 = 0",
+         "led_all": """SELECT 2 * id AS id, id AS transaction_id, account_id,
        CASE WHEN txn_type = 'DEPOSIT' THEN 'DEBIT' ELSE 'CREDIT' END AS entry_type, cents FROM req
 UNION ALL SELECT 2 * id + 1, id, CASE WHEN txn_type = 'TRANSFER' THEN related_account_id END,
        CASE WHEN txn_type = 'DEPOSIT' THEN 'CREDIT' ELSE 'DEBIT' END, cents FROM req""",
-         "acct1": f"""SELECT id, k AS customer_id, account_type, status,
-       '{S.ACCOUNT_NUMBER_PREFIX}' || lpad(CAST(id + {S.ACCOUNT_NUMBER_START} AS VARCHAR), 10, '0') AS account_number
-FROM acct"""}
-_OLTP_NEEDS = ("req", "cust1", "acct")
+         "led_good": """SELECT id, CASE WHEN id % 101 = 9 THEN -id ELSE transaction_id END AS transaction_id, account_id,
+       CASE WHEN id % 71 = 2 THEN 'ODD ENTRY TYPE' ELSE entry_type END AS entry_type, cents FROM led_all""",
+         "req_led": "SELECT * FROM led_good UNION ALL SELECT * FROM led_good WHERE id % 91 = 1"}
+_OLTP_NEEDS = ("req", "cust0", "acct")
 Q["dq_check"] = with_(_OLTP, *_OLTP_NEEDS) + "\nUNION ALL\n".join(
-    _checks("customers", "cust1", {"status_in": _in("status", S.CUSTOMER_STATUS)})
+    _checks("customers", "cust_oltp", {"status_in": _in("status", S.CUSTOMER_STATUS)})
     + _checks("accounts", "acct1", {"account_type_in": _in("account_type", ["SAVINGS", "CHECKING", "CREDIT", "LOAN"]),
                                     "status_in": _in("status", S.ACCOUNT_STATUS)})
-    + _checks("transactions", "req", {"txn_type_in": _in("txn_type", S.TXN_TYPES),
+    + _checks("transactions", "txn1", {"txn_type_in": _in("txn_type", S.TXN_TYPES),
                                       "direction_in": _in("direction", S.DIRECTIONS),
                                       "amount_positive": "cents > 0",
                                       "status_in": _in("status", S.TXN_STATUS)})
     + _checks("ledger_entries", "req_led", {"entry_type_in": _in("entry_type", S.ENTRY_TYPES),
                                             "amount_positive": "cents > 0"}))
-Q["dq_conditional_check"] = with_(None, "req") + "\nUNION ALL\n".join(
-    _checks("transactions", "req",
+Q["dq_conditional_check"] = with_(_OLTP, *_OLTP_NEEDS) + "\nUNION ALL\n".join(
+    _checks("transactions", "txn1",
             {"transfer_has_destination": "txn_type <> 'TRANSFER' OR related_account_id IS NOT NULL"}))
 
 
@@ -499,7 +560,7 @@ def _key(model: str, src: str, col: str) -> list[str]:
 Q["dq_primary_key"] = with_(_OLTP, *_OLTP_NEEDS) + "\nUNION ALL\n".join(
     _key("customers", "cust_oltp", "id") + _key("customers", "cust_oltp", "email")
     + _key("accounts", "acct1", "id") + _key("accounts", "acct1", "account_number")
-    + _key("transactions", "req", "id") + _key("ledger_entries", "req_led", "id"))
+    + _key("transactions", "txn1", "id") + _key("ledger_entries", "req_led", "id"))
 
 
 def _fk(model: str, child: str, col: str, parent: str, key: str) -> str:
@@ -509,12 +570,12 @@ def _fk(model: str, child: str, col: str, parent: str, key: str) -> str:
 
 Q["dq_foreign_key"] = with_(_OLTP, *_OLTP_NEEDS) + "\nUNION ALL\n".join([
     _fk("accounts", "acct1", "customer_id", "cust_oltp", "id"),
-    _fk("transactions", "req", "account_id", "acct", "id"),
-    _fk("transactions", "req", "related_account_id", "acct", "id"),
-    _fk("ledger_entries", "req_led", "transaction_id", "req", "id"),
-    _fk("ledger_entries", "req_led", "account_id", "acct", "id")])
+    _fk("transactions", "txn1", "account_id", "acct1", "id"),
+    _fk("transactions", "txn1", "related_account_id", "acct1", "id"),
+    _fk("ledger_entries", "req_led", "transaction_id", "txn1", "id"),
+    _fk("ledger_entries", "req_led", "account_id", "acct1", "id")])
 
-_LEN_SRC = {"customers": "cust_oltp", "accounts": "acct1", "transactions": "req", "ledger_entries": "req_led"}
+_LEN_SRC = {"customers": "cust_oltp", "accounts": "acct1", "transactions": "txn1", "ledger_entries": "req_led"}
 _len_rows = [f"SELECT '{t}' AS model, '{c}' AS column_name, 'length<={n}' AS test, "
              f"CAST(count(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS failures FROM {src}"
              for t, src in _LEN_SRC.items() for c, n in S.LENGTH_LIMITS[t].items()]
@@ -567,4 +628,9 @@ Q["transform_run"] = with_({**_TR, "tests": "\nUNION ALL\n".join(sum(_tr_tests.v
         f"(SELECT CAST(count(*) AS BIGINT) FROM tests WHERE model = '{m}' AND failures > 0) AS failed_tests"
         for m, src in _tr_rows.items())
 
+Q["pipeline_e2e"] = with_(None, "stg_acct_log", "stg_cust_log", "txn") + f"""SELECT a.customer_id,
+       {money('sum(CAST(round(a.balance * 100) AS BIGINT))', 'DECIMAL(38,2)')} AS total_balance, count(*) AS accounts,
+       (SELECT count(*) FROM txn) AS transactions
+FROM stg_acct_log a WHERE a.customer_id IN (SELECT customer_id FROM stg_cust_log) GROUP BY a.customer_id"""
+
 ORACLE = dict(sorted(Q.items()))

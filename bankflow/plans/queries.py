@@ -1,7 +1,7 @@
 """One query per operator of the inventory, each over the whole driver tables.
 
 A query takes ``(spark, sf_dir)``, derives the banking inputs from the driver
-tables (``sources.fixtures``), runs the operator the way the pipeline does
+tables (``plans.fixtures``), runs the operator the way the pipeline does
 (change events -> decode -> raw -> staging -> ...) and returns a DataFrame.
 Queries that persist state (landing, raw, snapshots, facts, streams) use a
 fresh folder under the shared checkpoint root per call.
@@ -19,7 +19,8 @@ from bankflow.functions import scalars
 from bankflow.functions.variant import flatten
 from bankflow.operators import kpis, marts, posting, quality, snapshots, staging
 from bankflow.session import apply_defaults, cut_lineage, work_dir
-from bankflow.sources import cdc, fixtures as fx, landing
+from bankflow.plans import fixtures as fx
+from bankflow.sources import cdc, landing
 from bankflow.streaming import jobs
 
 LATE_WINDOW = dt.timedelta(days=7)
@@ -124,6 +125,9 @@ class Inputs:
     def facts_two_runs(self, mode="insert_only", lateness=None, reversed_run2=False) -> DataFrame:
         def build():
             target = work_dir(self.spark, "facts")
+            if mode == "insert_only":
+                marts.facts_from_raw(self.spark, self.txn_raw_run1(), target, fx.AS_OF_1)
+                return marts.facts_from_raw(self.spark, self.raw("transactions"), target, fx.AS_OF_2, lateness)
             marts.facts_transactions(self.spark, staging.stg_transactions(self.txn_raw_run1(), fx.AS_OF_1),
                                      target, fx.AS_OF_1)
             raw2 = self.raw("transactions")
@@ -136,10 +140,8 @@ class Inputs:
         return self._once(("facts", mode, lateness, reversed_run2), build)
 
     def facts_full(self) -> DataFrame:
-        def build():
-            return marts.facts_transactions(self.spark, self.stg_transactions(), work_dir(self.spark, "facts"),
-                                            fx.AS_OF_2)
-        return self._once("facts_full", build)
+        return self._once("facts_full", lambda: marts.facts_from_raw(
+            self.spark, self.raw("transactions"), work_dir(self.spark, "facts"), fx.AS_OF_2))
 
     # posting
     def posting(self) -> posting.Posting:
@@ -218,11 +220,48 @@ def _raw_loaded(inp: Inputs, twice: bool = True) -> str:
 
 def q_raw_load(spark, sf):
     raw_base = _raw_loaded(Inputs(spark, sf))
-    r = spark.read.parquet(raw_base)
+    r = landing.raw_rows(spark, raw_base)
     return r.select("table_name", F.col("_seq").alias("seq"), F.col("_ts_ms").alias("ts_ms"),
                     _row_id("v").alias("row_id"))
 
 
+def q_raw_scan(spark, sf):
+    """``source('raw', 'accounts')``: one table of raw, by its partitions."""
+    r = landing.raw(spark, _raw_loaded(Inputs(spark, sf), twice=False), "accounts")
+    return r.select(F.col("_seq").alias("seq"), _row_id("v").alias("row_id"), "date")
+
+
+def q_cdc_read_batch(spark, sf):
+    """Event files, read as a batch and decoded."""
+    inp = Inputs(spark, sf)
+    d = cdc.read_cdc_batch(spark, _event_files(inp, fx.change_log(spark, sf)))
+    return d.select("table_name", "op", F.col("_seq").alias("seq"), F.col("_ts_ms").alias("ts_ms"),
+                    F.coalesce(_row_id("after"), _row_id("before")).alias("row_id"))
+
+
+def q_landing_unlisted_table(spark, sf):
+    """Flush sizes that name one table only: the others land too, in files of the default size."""
+    inp = Inputs(spark, sf)
+    per_file = landing.file_rows(spark, _landed(inp, {"customers": 10}))
+    size = F.when(F.col("table_name") == "customers", 10).otherwise(S.DEFAULT_FLUSH_SIZE)
+    return per_file.groupBy("table_name").agg(
+        F.sum("rows").alias("rows"), F.sum(F.when(F.col("rows") > size, 1).otherwise(0)).alias("oversize_files"))
+
+
+def q_landing_no_timestamp(spark, sf):
+    """Account events, a third of them without a capture time, a seventh cut short: the former land on the day of the
+    landing run, the latter as bad events with their text; the day's load gets what landed on it."""
+    inp = Inputs(spark, sf)
+    events = fx.account_events(spark, sf)
+    n = F.regexp_extract("value", '"seq":([0-9]+)', 1).cast("bigint") / 2
+    value = F.when(n % 7 == 3, F.substring("value", 1, 40)).when(n % 3 == 1, F.regexp_replace("value", '"ts_ms":[0-9]+,', "")).otherwise(F.col("value"))
+    base, raw_base = work_dir(spark, "landing"), work_dir(spark, "raw")
+    landing.write_landing(cdc.decode(events.select("topic", value.alias("value"))), base, as_of="2024-03-05")
+    landing.load_raw(spark, base, raw_base, work_dir(spark, "raw-ckpt"), day="2024-03-05")
+    loaded = landing.raw(spark, raw_base, "accounts").select(F.lit("loaded").alias("kind"), "date")
+    return (landing.landed(spark, base).select("kind", "date").union(loaded).groupBy("kind", "date").agg(F.count(F.lit(1)).alias("events")))
+
+
 def q_load_report(spark, sf):
     return landing.load_report(spark, _raw_loaded(Inputs(spark, sf), twice=False))
 
@@ -299,6 +338,18 @@ def q_scd2_rerun_noop(spark, sf):
     return Inputs(spark, sf).snapshot("customers", rerun=True).select(*SNAP_CUSTOMER_COLS)
 
 
+def q_scd2_same_day_batches(spark, sf):
+    """Three steps within a day, the last two a microsecond apart, and one without a change."""
+    inp, root = Inputs(spark, sf), work_dir(spark, "snap")
+    src = cut_lineage(staging.stg_customers(inp.customer_day_raw(1), fx.AS_OF_1), "same-day")
+    n = F.col("customer_id").cast("bigint")
+    second = src.withColumn("phone", F.when(n % 10 == 0, F.lit("555-1111")).otherwise(F.col("phone")))
+    third = second.withColumn("phone", F.when(n % 5 == 0, F.lit("555-2222")).otherwise(F.col("phone")))
+    for at, df in (("00:00:00", src), ("10:30:00", second), ("10:30:00.000001", third), ("11:00:00", third)):
+        snap = snapshots.run_snapshot(spark, root, df, "customer_id", S.CUSTOMER_CHECK_COLS, _ts(f"2024-01-02 {at}"))
+    return snap.select("customer_id", "phone", "dbt_scd_id", "dbt_valid_from", "dbt_valid_to")
+
+
 def q_dim_customers(spark, sf):
     return Inputs(spark, sf).dim_customers()
 
@@ -327,9 +378,22 @@ def q_facts_upsert(spark, sf):
 def q_high_water_mark(spark, sf):
     inp = Inputs(spark, sf)
     target = work_dir(spark, "facts")
-    fact = marts.facts_transactions(spark, staging.stg_transactions(inp.txn_raw_run1(), fx.AS_OF_1), target,
-                                    fx.AS_OF_1)
-    return fact.agg(F.max("txn_time").alias("high_water"), F.count(F.lit(1)).alias("loaded"))
+    fact = marts.facts_from_raw(spark, inp.txn_raw_run1(), target, fx.AS_OF_1)
+    mark = F.lit(marts.high_water(marts.read_target(spark, target))).cast("timestamp_ntz")
+    return fact.agg(F.count(F.lit(1)).alias("loaded")).select(mark.alias("high_water"), "loaded")
+
+
+def q_facts_null_time_rerun(spark, sf):
+    """Transactions that have lost their time (each fifth), loaded twice with all others: every id once."""
+    inp = Inputs(spark, sf)
+    target = work_dir(spark, "facts")
+    stg = staging.stg_transactions(inp.raw("transactions"), fx.AS_OF_1)
+    stg = stg.withColumn("txn_time", F.when(F.col("transaction_id").cast("bigint") % 5 != 0, F.col("txn_time")))
+    stg = cut_lineage(stg, "null-time")
+    marts.facts_transactions(spark, stg.where("txn_time is null"), target, fx.AS_OF_1)
+    for _ in range(2):
+        fact = marts.facts_transactions(spark, stg, target, fx.AS_OF_2, allowed_lateness=dt.timedelta(days=3650))
+    return fact.select("transaction_id", "txn_time", "load_timestamp")
 
 
 # ------------------------------------------------------------------ scalar rules
@@ -348,8 +412,23 @@ def q_txn_description(spark, sf):
 def q_account_number(spark, sf):
     from bankflow.functions.sequence import account_numbers
 
-    acc = fx.account_rows(spark, sf, 1).where(F.col("status") == "ACTIVE").select(F.col("id").alias("account_id"))
-    return account_numbers(acc, ["account_id"])
+    return account_numbers(fx.account_rows(spark, sf, 1).select(F.col("id").alias("account_id")), ["account_id"])
+
+
+def q_account_number_batches(spark, sf):
+    """All accounts in two batches against one stored mark."""
+    from bankflow.functions.sequence import account_numbers
+
+    acc, state = fx.account_rows(spark, sf, 1).select(F.col("id").alias("account_id")), work_dir(spark, "numbers")
+    odd = F.col("account_id") % 3 == 1
+    first = account_numbers(acc.where(odd), ["account_id"], state=state)
+    return first.unionByName(account_numbers(acc.where(~odd), ["account_id"], state=state))
+
+
+def q_as_view(spark, sf):
+    """The current accounts as a view, counted through its name."""
+    view = marts.as_view(marts.dim_accounts(Inputs(spark, sf).snapshot("accounts")).where("is_current"), "current_accounts")
+    return view.groupBy("account_type").agg(F.count(F.lit(1)).alias("accounts"))
 
 
 def q_round_down_money(spark, sf):
@@ -407,13 +486,34 @@ def q_closing_balances(spark, sf):
     return Inputs(spark, sf).posting().closing
 
 
+def q_post_hovering(spark, sf):
+    """Every event as one request of one account that hovers near zero: deposit 5, withdraw 10 of 10."""
+    e = fx.table(spark, sf, "events").select((F.col("event_id") + 1).alias("id"), F.col("ts").alias("created_at"))
+    out = F.col("id") % 2 == 1
+    req = e.select("id", F.lit(1).cast("bigint").alias("account_id"), F.lit(None).cast("bigint").alias("related_account_id"),
+                   F.when(out, "WITHDRAWAL").otherwise("DEPOSIT").alias("txn_type"),
+                   F.when(out, 10).otherwise(5).cast("decimal(18,2)").alias("amount"), "created_at")
+    opening = e.agg(F.lit(1).cast("bigint").alias("account_id"), F.lit(10).cast("decimal(18,2)").alias("balance"))
+    return posting.post_batch(opening, req).decisions.select("id", "accepted", "reject_reason", "balance_after")
+
+
+def _faulty_ledger(ledger: DataFrame) -> DataFrame:
+    """A ledger with faults: a leg lost per 97 transactions, a cent too much in one leg per 101."""
+    t, leg = F.col("transaction_id"), F.col("id") % 2
+    cent = F.when((t % 101 == 4) & (leg == 0), F.lit("0.01")).otherwise(F.lit("0.00")).cast("decimal(18,2)")
+    return ledger.where((t % 97 != 3) | (leg != 1)).withColumn("amount", (F.col("amount") + cent).cast("decimal(18,2)"))
+
+
 def q_ledger_balance_check(spark, sf):
-    return posting.ledger_imbalances(Inputs(spark, sf).posting().ledger)
+    return posting.ledger_imbalances(_faulty_ledger(Inputs(spark, sf).posting().ledger))
 
 
 def q_balance_reconcile(spark, sf):
+    """The sound ledger against closing balances of which each 53rd account's is 1.00 too high."""
     p = Inputs(spark, sf).posting()
-    return posting.reconcile(fx.opening_balances(spark, sf), p.ledger, p.closing)
+    wrong = F.when(F.col("account_id") % 53 == 2, 1).otherwise(0).cast("decimal(38,2)")
+    closing = p.closing.withColumn("balance", (F.col("balance") + wrong).cast("decimal(38,2)"))
+    return posting.reconcile(fx.opening_balances(spark, sf), p.ledger, closing)
 
 
 def q_reject_report(spark, sf):
@@ -422,15 +522,21 @@ def q_reject_report(spark, sf):
 
 # ------------------------------------------------------------------ data tests
 def _stg_models(inp: Inputs) -> dict:
+    """The staging models, each stored once for all its tests."""
     inp.log_raw(tuple(S.TABLES))  # decode all four topics in one job
-    return {"stg_customers": inp.stg_customers(), "stg_accounts": inp.stg_accounts(),
-            "stg_transactions": inp.stg_transactions("as_written"), "stg_ledger_entries": inp.stg_ledger()}
+    models = {"stg_customers": inp.stg_customers(), "stg_accounts": inp.stg_accounts(),
+              "stg_transactions": inp.stg_transactions("as_written"), "stg_ledger_entries": inp.stg_ledger()}
+    return {name: cut_lineage(df, name) for name, df in models.items()}
 
 
 def _by_test(inp: Inputs, test: str) -> DataFrame:
     out = None
     for name, df in _stg_models(inp).items():
         spec = S.DATA_TESTS[name]
+        if test == "accepted_values":       # values outside the lists, two different ones per column
+            key = F.coalesce(F.col("id" if name == "stg_ledger_entries" else name[4:-1] + "_id").cast("bigint"), F.lit(0))
+            for c in spec["accepted_values"]:
+                df = df.withColumn(c, F.when(key % 43 == 1, F.concat(F.lit("ODD"), (key % 2).cast("string"))).otherwise(F.col(c)))
         if test == "not_null":
             r = quality.check_not_null(df, spec["not_null"], name)
         elif test == "unique":
@@ -460,11 +566,30 @@ def q_dq_accepted_values(spark, sf):
 
 
 def _oltp(spark, sf) -> dict:
-    req = fx.transaction_rows(spark, sf, faults=True)
-    return {"customers": fx.customer_rows(spark, sf, 1), "accounts": fx.account_rows(spark, sf, 1),
-            "transactions": req,
-            "ledger_entries": posting.ledger_legs(req.select("id", "account_id", "related_account_id", "txn_type",
-                                                             "amount", "created_at"))}
+    """All rows of the OLTP tables with faults of every kind that the constraints look for."""
+    k, many = F.col("id"), F.repeat(F.lit("x"), F.lit(300))
+    bad = lambda cond, value, c: F.when(cond, value).otherwise(F.col(c)).alias(c)
+
+    def faulty(df: DataFrame, faults: dict) -> DataFrame:
+        return df.select(*[bad(*faults[c], c) if c in faults else F.col(c) for c in df.columns])
+
+    def twice(df: DataFrame, every: int, rest: int) -> DataFrame:
+        return df.unionByName(df.where(k % every == rest))
+
+    null, odd = F.lit(None).cast("string"), F.lit("ODD")
+    customers = faulty(fx.customer_rows(spark, sf, 0), {
+        "email": (k % 41 == 3, null), "first_name": (k % 37 == 5, many), "status": (k % 43 == 1, odd)})
+    accounts = faulty(fx.account_rows(spark, sf, 1), {
+        "customer_id": (k % 59 == 4, -k - 1), "account_type": (k % 61 == 2, odd), "account_number": (k % 67 == 3, many),
+        "status": (k % 43 == 1, odd)})
+    txn = faulty(fx.transaction_rows(spark, sf, faults=True), {
+        "reference": (k % 73 == 6, many), "direction": (k % 79 == 5, odd), "status": (k % 89 == 6, odd), "txn_type": (k % 97 == 8, odd)})
+    txn = cut_lineage(twice(txn, 83, 0), "oltp-txn")
+    ledger = posting.ledger_legs(fx.transaction_rows(spark, sf, faults=True).select(
+        "id", "account_id", "related_account_id", "txn_type", "amount", "created_at"))
+    ledger = faulty(ledger, {"entry_type": (k % 71 == 2, F.lit("ODD ENTRY TYPE")), "transaction_id": (k % 101 == 9, -k)})
+    return {"customers": cut_lineage(twice(customers, 50, 7), "oltp-cust"), "accounts": cut_lineage(twice(accounts, 71, 0), "oltp-acct"),
+            "transactions": txn, "ledger_entries": cut_lineage(twice(ledger, 91, 1), "oltp-ledger")}
 
 
 def q_dq_check(spark, sf):
@@ -472,7 +597,7 @@ def q_dq_check(spark, sf):
     c = F.col
     out = quality.check_expr(t["customers"], {"status_in": c("status").isin(*S.CUSTOMER_STATUS)}, "customers")
     out = out.unionByName(quality.check_expr(t["accounts"], {
-        "account_type_in": c("account_type").isin("SAVINGS", "CHECKING", "CREDIT", "LOAN"),
+        "account_type_in": c("account_type").isin(*S.ACCOUNT_TYPES),
         "status_in": c("status").isin(*S.ACCOUNT_STATUS)}, "accounts"))
     out = out.unionByName(quality.check_expr(t["transactions"], {
         "txn_type_in": c("txn_type").isin(*S.TXN_TYPES),
@@ -529,8 +654,8 @@ def q_dq_suite_staging(spark, sf):
 
 def q_dq_suite_analytics(spark, sf):
     inp = Inputs(spark, sf)
-    models = {"facts_transactions": _fact_out(inp.facts_two_runs()), "dim_customers": inp.dim_customers(),
-              "dim_accounts": inp.dim_accounts()}
+    models = {"facts_transactions": _fact_out(inp.facts_two_runs()), "dim_customers": cut_lineage(inp.dim_customers(), "dim"),
+              "dim_accounts": cut_lineage(inp.dim_accounts(), "dim")}
     return quality.run_suite(models, "analytics")
 
 
@@ -606,7 +731,7 @@ def q_stream_raw(spark, sf):
     jobs.run_landing(spark, src, base, work_dir(spark, "stream-ckpt"), {"maxFilesPerTrigger": "1"})
     raw_base = work_dir(spark, "stream-raw")
     landing.load_raw(spark, base, raw_base, work_dir(spark, "raw-ckpt"))
-    r = spark.read.parquet(raw_base)
+    r = landing.raw_rows(spark, raw_base)
     return r.select("table_name", F.col("_seq").alias("seq"), F.col("_ts_ms").alias("ts_ms"),
                     _row_id("v").alias("row_id"))
 
@@ -615,21 +740,22 @@ STREAM_LATENESS = dt.timedelta(days=8)
 
 
 def q_stream_facts(spark, sf):
-    """Raw transactions arrive week by week; each micro-batch is loaded into the fact.
+    """Raw transactions arrive in files by week; each micro-batch is loaded into the fact.
     A week may span micro-batches, so the load admits 8 days of lateness (ids
     already loaded are still skipped): every transaction is loaded once."""
     inp = Inputs(spark, sf)
-    raw = inp.raw("transactions").withColumn(
-        "_week", F.floor((F.col("_ts_ms") - fx.DAY1_MS) / (7 * 86400000)))
-    weeks = [r[0] for r in raw.select("_week").distinct().orderBy("_week").collect()]
-    txn_id = F.try_variant_get("v", "$.id", "bigint")
-    path = _arrivals(spark, [raw.where(F.col("_week") == w).drop("_week") for w in weeks], txn_id)
+    raw = inp.raw("transactions").withColumn("_week", F.floor((F.col("_ts_ms") - fx.DAY1_MS) / (7 * 86400000)))
+    staged, path = work_dir(spark, "weeks"), work_dir(spark, "arrivals")
+    raw.repartition("_week", F.pmod(F.try_variant_get("v", "$.id", "bigint"), F.lit(4))).write.partitionBy("_week").parquet(staged)
+    weeks = range(*raw.agg(F.min("_week"), F.max("_week") + 1).first())
+    for w in weeks:                                     # files in the order in which they would arrive
+        spark.read.parquet(staged).where(F.col("_week") == w).drop("_week").write.mode("append").parquet(path)
     stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", "8") \
         .parquet(path)
     target = work_dir(spark, "stream-facts")
     jobs.run_facts(spark, stream, target, work_dir(spark, "facts-ckpt"), fx.AS_OF_2,
                    allowed_lateness=STREAM_LATENESS)
-    return _fact_out(spark.read.parquet(target))
+    return _fact_out(marts.read_target(spark, target))
 
 
 def q_stream_scd2(spark, sf):
@@ -641,14 +767,41 @@ def q_stream_scd2(spark, sf):
         .parquet(path)
     root = work_dir(spark, "stream-snap")
     jobs.run_scd2(spark, stream, root, work_dir(spark, "scd2-ckpt"))
-    return snapshots.read_snapshot(spark, root).select(*SNAP_CUSTOMER_COLS)
+    snap = snapshots.read_snapshot(spark, root)     # the day of a version; its time follows from the batch
+    return snap.select(*[c for c in S.STG_CUSTOMERS_COLS if c != "load_timestamp"],
+                       F.to_date("dbt_valid_from").alias("valid_from"), F.to_date("dbt_valid_to").alias("valid_to"))
 
 
 # ------------------------------------------------------------------ runs
+def _two_days(spark, sf) -> list[DataFrame]:
+    """The change log, cut at the second day's start by capture time."""
+    log = cut_lineage(fx.change_log(spark, sf), "events")
+    at = F.coalesce(F.get_json_object("value", "$.payload.ts_ms"), F.get_json_object("value", "$.ts_ms")).cast("bigint")
+    return [log.where(at < fx.DAY2_MS), log.where(at >= fx.DAY2_MS)]
+
+
+class Paths:
+    """Where a pipeline keeps its state."""
+
+    def __init__(self, spark):
+        self.base, self.raw, self.checkpoint, self.root = (work_dir(spark, n) for n in ("landing", "raw", "raw-ckpt", "transform"))
+
+
 def q_ingest_run(spark, sf):
     from bankflow.plans.runs import run_ingest
 
-    return run_ingest(spark, fx.change_log(spark, sf))
+    p = Paths(spark)
+    return run_ingest(spark, fx.change_log(spark, sf), p.base, p.raw, p.checkpoint, "only")
+
+
+def q_ingest_two_days(spark, sf):
+    """Two runs on the same paths; the second one's report."""
+    from bankflow.plans.runs import run_ingest
+
+    p = Paths(spark)
+    for n, events in enumerate(_two_days(spark, sf)):
+        report = run_ingest(spark, events, p.base, p.raw, p.checkpoint, f"run{n}")
+    return report
 
 
 def q_transform_run(spark, sf):
@@ -656,7 +809,20 @@ def q_transform_run(spark, sf):
 
     inp = Inputs(spark, sf)
     inp.log_raw(tuple(S.TABLES))  # decode all four topics in one job
-    return run_transform(spark, {t: inp.raw(t) for t in S.TABLES}, fx.AS_OF_2)
+    return run_transform(spark, {t: inp.raw(t) for t in S.TABLES}, fx.AS_OF_2, Paths(spark).root)
+
+
+def q_pipeline_e2e(spark, sf):
+    """From events to a KPI over two days: landing, raw, staging, snapshots, facts, dimensions, balances."""
+    from bankflow.plans.runs import run_ingest, run_transform
+
+    p = Paths(spark)
+    for n, (events, as_of) in enumerate(zip(_two_days(spark, sf), (fx.AS_OF_1, fx.AS_OF_2))):
+        run_ingest(spark, events, p.base, p.raw, p.checkpoint, f"run{n}")
+        run_transform(spark, p.raw, as_of, p.root)
+    dims = [spark.read.parquet(f"{p.root}/{d}") for d in ("dim_customers", "dim_accounts")]
+    fact = marts.read_target(spark, f"{p.root}/facts_transactions")
+    return kpis.customer_balance(*dims).withColumn("transactions", F.lit(fact.count()).cast("bigint"))
 
 
 QUERIES = {name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)}

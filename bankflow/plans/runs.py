@@ -1,7 +1,8 @@
 """Run composition: the daily ingest and the transform, as plain functions.
 
 Scheduling, retries and e-mail are left to the caller; these return the data
-the reports were built from.
+the reports were built from. All state lies under paths that the caller names, so
+a run goes on where the one before ended.
 """
 
 from __future__ import annotations
@@ -13,26 +14,26 @@ from pyspark.sql import functions as F
 
 from bankflow import schemas as S
 from bankflow.operators import marts, quality, snapshots, staging
-from bankflow.session import work_dir
 from bankflow.sources import cdc, landing
 
 
-def run_ingest(spark: SparkSession, events: DataFrame, base: str | None = None, day: str | None = None) -> DataFrame:
-    """Land change events, load the (optionally one day's) landed files into raw, report per table."""
-    base = base or work_dir(spark, "landing")
-    landing.write_landing(cdc.decode(events), base)
-    raw_base = work_dir(spark, "raw")
-    landing.load_raw(spark, base, raw_base, work_dir(spark, "raw-ckpt"), day=day)
-    return landing.load_report(spark, raw_base)
+def run_ingest(spark: SparkSession, events: DataFrame, base: str, raw: str, checkpoint: str, run: str,
+               day: str | None = None, as_of=None) -> DataFrame:
+    """Land change events under ``base``, load the landed files (of one day, if given) that are not loaded yet into ``raw``,
+    report this run per table. ``run`` names the run; ``checkpoint`` remembers the files over runs."""
+    landing.write_landing(cdc.decode(events), base, as_of=as_of)
+    landing.load_raw(spark, base, raw, checkpoint, day=day, run=run)
+    return landing.load_report(spark, raw, run)
 
 
-def run_transform(spark: SparkSession, raw: dict[str, DataFrame], as_of, root: str | None = None) -> DataFrame:
-    """staging -> staging tests -> snapshots -> analytics -> analytics tests.
+def run_transform(spark: SparkSession, raw: dict[str, DataFrame] | str, as_of, root: str) -> DataFrame:
+    """staging -> staging tests -> snapshots -> analytics -> analytics tests, under ``root``.
 
-    Returns one row per model: (model, layer, rows, failed_tests). Test
-    failures never stop the run (the reference ignores them too).
+    ``raw``: the raw table's path, or its rows per table. Returns one row per model: (model, layer, rows,
+    failed_tests). Test failures never stop the run (the reference ignores them too).
     """
-    root = root or work_dir(spark, "transform")
+    if isinstance(raw, str):
+        raw = {t: landing.raw(spark, raw, t) for t in S.TABLES}
     as_of_ts = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(str(as_of))
     stg = {
         "stg_customers": staging.stg_customers(raw["customers"], as_of),
@@ -46,8 +47,7 @@ def run_transform(spark: SparkSession, raw: dict[str, DataFrame], as_of, root: s
                                   S.CUSTOMER_CHECK_COLS, as_of_ts)
     acct = snapshots.run_snapshot(spark, f"{root}/accounts_snapshot", staged["stg_accounts"], "account_id",
                                   S.ACCOUNT_CHECK_COLS, as_of_ts)
-    latest_txn = staging.stg_transactions(raw["transactions"], as_of, "latest")
-    fact = marts.facts_transactions(spark, latest_txn, f"{root}/facts_transactions", as_of)
+    fact = marts.facts_from_raw(spark, raw["transactions"], f"{root}/facts_transactions", as_of)
     analytics = {
         "dim_customers": marts.as_table(marts.dim_customers(cust), f"{root}/dim_customers"),
         "dim_accounts": marts.as_table(marts.dim_accounts(acct), f"{root}/dim_accounts"),

@@ -22,6 +22,6 @@ def duck():
     import duckdb
 
     con = duckdb.connect()
-    for t in ["region", "nation", "customer", "events"]:
+    for t in ["region", "nation", "customer", "events", "documents", "benchmark", "pages", "labels"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return con

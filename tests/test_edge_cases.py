@@ -139,3 +139,91 @@ def test_empty_target_is_a_first_run(spark):
     out = marts.facts_transactions(spark, _fact_rows(spark, [("1", d(2024, 1, 5), "COMPLETED")]), target,
                                    d(2024, 1, 7))
     assert [r["transaction_id"] for r in out.collect()] == ["1"]
+
+
+def test_null_time_rows_are_loaded_once(spark):
+    target = work_dir(spark, "t-null")
+    d = dt.datetime
+    for _ in range(2):
+        out = marts.facts_transactions(spark, _fact_rows(spark, [("1", None, "COMPLETED")]), target, d(2024, 1, 2))
+    assert out.count() == 1
+    out = marts.facts_transactions(spark, _fact_rows(spark, [("1", None, "COMPLETED"), ("2", None, "X"), ("3", d(2024, 1, 1), "X")]), target, d(2024, 1, 3))
+    assert sorted(r[0] for r in out.select("transaction_id").collect()) == ["1", "2", "3"]
+
+
+def test_upsert_updates_old_rows_without_lateness_and_moves_days(spark):
+    target = work_dir(spark, "t-up")
+    d = dt.datetime
+    marts.facts_transactions(spark, _fact_rows(spark, [("1", d(2024, 1, 5), "COMPLETED"), ("2", d(2024, 1, 9), "COMPLETED")]), target, d(2024, 1, 10))
+    out = marts.facts_transactions(spark, _fact_rows(spark, [("1", d(2024, 1, 6), "REVERSED"), ("2", d(2024, 1, 9), "REVERSED"), ("9", d(2024, 1, 1), "LATE")]),
+                                   target, d(2024, 1, 11), mode="upsert")
+    assert sorted((r["transaction_id"], r["txn_status"], r["txn_time"].day) for r in out.collect()) == [("1", "REVERSED", 6), ("2", "REVERSED", 9)]
+
+
+def test_unreadable_fact_raises_and_changes_nothing(spark):
+    import glob
+
+    target = work_dir(spark, "t-broken")
+    marts.facts_transactions(spark, _fact_rows(spark, [("1", dt.datetime(2024, 1, 5), "C")]), target, "2024-01-06")
+    files = glob.glob(f"{target}/txn_date=*/*.parquet")
+    for f in files:
+        with open(f, "wb") as out:
+            out.write(b"not parquet at all")
+    with pytest.raises(Exception):
+        marts.facts_transactions(spark, _fact_rows(spark, [("2", dt.datetime(2024, 1, 7), "C")]), target, "2024-01-08")
+    assert glob.glob(f"{target}/txn_date=*/*.parquet") == files
+
+
+def _snap(spark, root, rows, at):
+    return snapshots.run_snapshot(spark, root, _snap_source(spark, [(k, p, "x", at) for k, p in rows]), "customer_id", ["phone"], at)
+
+
+def test_snapshot_input_checks(spark):
+    root, t = work_dir(spark, "t-in"), dt.datetime(2024, 1, 2)
+    with pytest.raises(ValueError, match="unique"):
+        _snap(spark, root, [("1", "a"), ("1", "b")], t)
+    assert snapshots.read_snapshot(spark, root) is None
+    assert _snap(spark, root, [], t).count() == 0
+    assert _snap(spark, root, [("1", "a")], t + dt.timedelta(1)).count() == 1
+    with pytest.raises(ValueError, match="later"):
+        _snap(spark, root, [("1", "b")], t + dt.timedelta(1))
+
+
+def test_a_run_that_dies_before_its_marker_is_not_seen(spark):
+    root, t = work_dir(spark, "t-crash"), dt.datetime(2024, 1, 2)
+    rows = [(str(i), "a") for i in range(40)]
+    _snap(spark, root, rows, t)
+    before = sorted(map(str, snapshots.read_snapshot(spark, root).collect()))
+    changed = [(k, "b" if int(k) < 10 else p) for k, p in rows]
+    _snap(spark, root, changed, t + dt.timedelta(1))
+    from bankflow.session import drop_path
+
+    drop_path(spark, f"{root}/published/run=2")                        # its rows are written, its marker is not
+    drop_path(spark, f"{root}/runs/run=2/is_open=false")               # nor all of its folders
+    assert sorted(map(str, snapshots.read_snapshot(spark, root).collect())) == before
+    again = _snap(spark, root, changed, t + dt.timedelta(1))
+    assert again.count() == 50 and again.where("dbt_valid_to is null").count() == 40
+
+
+def test_damaged_snapshot_raises_and_stays(spark):
+    import glob
+
+    root, t = work_dir(spark, "t-damaged"), dt.datetime(2024, 1, 2)
+    _snap(spark, root, [("1", "a")], t)
+    for f in glob.glob(f"{root}/runs/run=1/*/*/*.parquet"):
+        with open(f, "wb") as out:
+            out.write(b"damaged beyond reading")
+    with pytest.raises(Exception):
+        _snap(spark, root, [("1", "b")], t + dt.timedelta(1))
+    assert [r[0] for r in snapshots.published(spark, root)] == [1]
+
+
+def test_runs_rewrite_touched_buckets_only(spark):
+    root, t = work_dir(spark, "t-buckets"), dt.datetime(2024, 1, 2)
+    rows = [(str(i), "a") for i in range(200)]
+    _snap(spark, root, rows, t)
+    _snap(spark, root, rows, t + dt.timedelta(1))
+    _snap(spark, root, [("7", "b"), *[r for r in rows if r[0] != "7"]], t + dt.timedelta(2))
+    assert [len(b) for _, _, b in snapshots.published(spark, root)] == [snapshots.BUCKETS, 0, 1]
+    snap = snapshots.read_snapshot(spark, root)
+    assert snap.count() == 201 and snap.select("dbt_scd_id").distinct().count() == 201

@@ -1,23 +1,17 @@
-"""Each query against its DuckDB oracle on the smallest driver tables.
-
-A fast subset runs by default; BANKFLOW_ALL_QUERIES=1 runs every key.
-"""
-import os
-
+"""Each query against its DuckDB oracle on the smallest driver tables."""
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from bankflow.plans.oracle import ORACLE
+from bankflow.plans.queries import QUERIES
 from tools.check_oracle import digest
 
-FAST = ["stg_customers", "stg_accounts", "stg_transactions", "latest_per_key_tiebreak", "scd2_customers_day2",
-        "scd2_accounts_day2", "facts_incremental", "facts_upsert", "post_validate", "post_decisions",
-        "dq_suite_staging", "kpi_customer_balance", "kpi_avg_balance_by_type", "cdc_unwrap", "round_down_money",
-        "account_number", "apply_defaults"]
-KEYS = sorted(queries()) if os.environ.get("BANKFLOW_ALL_QUERIES") else FAST
+KEYS = sorted(QUERIES)
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", KEYS)

@@ -26,10 +26,10 @@ def test_landing_stream_restart_is_exactly_once(spark):
     _write_events(spark, src, [_env(i) for i in range(5)])
     jobs.run_landing(spark, src, base, ckpt)
     jobs.run_landing(spark, src, base, ckpt)            # restart, nothing new
-    assert landing.upserts(spark.read.parquet(base)).count() == 5
+    assert landing.upserts(landing.landed(spark, base)).count() == 5
     _write_events(spark, src, [_env(i) for i in range(5, 8)])
     jobs.run_landing(spark, src, base, ckpt)            # only the new file
-    got = landing.upserts(spark.read.parquet(base))
+    got = landing.upserts(landing.landed(spark, base))
     assert got.count() == 8
     batch = landing.upserts(landing.landing_rows(cdc.read_cdc_batch(spark, src)))
     assert sorted(r[0] for r in got.select("_seq").collect()) == sorted(r[0] for r in batch.select("_seq").collect())
@@ -47,3 +47,52 @@ def test_raw_load_loads_each_file_once(spark):
     report = landing.load_report(spark, raw).collect()
     assert [(r["table_name"], r["rows"]) for r in report] == [("accounts", 4)]
     assert landing.raw(spark, raw, "accounts").select(F.try_variant_get("v", "$.id", "int")).count() == 4
+
+
+def test_a_day_loads_only_that_day_and_once(spark):
+    src, base, raw, ckpt = (work_dir(spark, f"t-day-{n}") for n in ("src", "landing", "raw", "ckpt"))
+    day = 86_400_000
+    _write_events(spark, src, [{**_env(i), "payload": {**_env(i)["payload"], "ts_ms": 1704067200000 + (i % 2) * day}} for i in range(6)])
+    landing.write_landing(cdc.read_cdc_batch(spark, src), base)
+    for d in ("2024-01-01", "2024-01-01", "2024-01-02"):
+        landing.load_raw(spark, base, raw, ckpt, day=d)
+    got = landing.raw_rows(spark, raw).groupBy("date").count().orderBy("date").collect()
+    assert [r["count"] for r in got] == [3, 3]
+    assert [r["rows"] for r in landing.load_report(spark, raw, "2024-01-02").collect()] == [3]
+
+
+def test_unreadable_landing_file_fails_the_load_and_it_can_be_repeated(spark):
+    import glob
+
+    import pytest
+
+    src, base, raw, ckpt = (work_dir(spark, f"t-bad-{n}") for n in ("src", "landing", "raw", "ckpt"))
+    _write_events(spark, src, [_env(i) for i in range(4)])
+    landing.write_landing(cdc.read_cdc_batch(spark, src), base)
+    [path] = glob.glob(f"{base}/table_name=accounts/date=*/kind=upsert/*.parquet")
+    good = open(path, "rb").read()
+    with open(path, "wb") as f:
+        f.write(b"damaged" * 20)
+    with pytest.raises(Exception):
+        landing.load_raw(spark, base, raw, ckpt)
+    with open(path, "wb") as f:
+        f.write(good)
+    landing.load_raw(spark, base, raw, ckpt)
+    assert landing.raw_rows(spark, raw).count() == 4
+
+
+def test_fact_batch_replay_takes_its_own_mark(spark):
+    """A batch that died after part of it was appended loads the rest when it comes again."""
+    import datetime as dt
+
+    from bankflow.operators import marts
+
+    target = work_dir(spark, "t-replay")
+    rows = [(f'{{"id": {i}, "created_at": "2024-01-{i:02d}T00:00:00"}}', i, i) for i in range(1, 9)]
+    raw = spark.createDataFrame(rows, "j string, _ts_ms long, _seq long").select(F.parse_json("j").alias("v"), "_ts_ms", "_seq")
+    marts.facts_from_raw(spark, raw.where("_seq <= 3"), target, "2024-01-04", batch="batch=0")
+    mark = marts.batch_mark(spark, target, "batch=1")                                      # the batch begins ...
+    marts.facts_from_raw(spark, raw.where("_seq = 8"), target, "2024-01-09")               # ... and writes its last row only
+    assert mark == dt.datetime(2024, 1, 3)
+    out = marts.facts_from_raw(spark, raw.where("_seq > 3"), target, "2024-01-09", batch="batch=1")
+    assert sorted(r[0] for r in out.select("transaction_id").collect()) == [str(i) for i in range(1, 9)]
