@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 # Texts are processed in runs of about this many bytes, whatever Spark's batch size is; one longer text is a run
 # of its own. It bounds the working memory of a task, not what is processed.
-RUN_BYTES = 4 << 20
+RUN_BYTES = 2 << 20
 
 
 def utf8_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +59,7 @@ def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
 
 
 def append_columns(df: DataFrame, text: str, added: str, fn: Callable[[pa.RecordBatch], list[pa.Array]],
-                   keep: list[str] | None = None, start: Callable[[], object] | None = None) -> DataFrame:
+                   keep: list[str] | None = None, run_bytes: int = RUN_BYTES) -> DataFrame:
     """Map ``df`` run by run: ``fn`` gets a batch and returns the arrays of the ``added`` columns (a DDL string).
 
     Kept columns come first; a kept column that has the name of an added one is replaced by it.
@@ -73,7 +73,7 @@ def append_columns(df: DataFrame, text: str, added: str, fn: Callable[[pa.Record
     schema = StructType([f for f in df.select(*kept).schema] + list(new))
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in runs(batches, text):
+        for run in runs(batches, text, run_bytes):
             columns = [run.column(run.schema.get_field_index(c)) for c in kept]
             yield pa.RecordBatch.from_arrays(columns + fn(run), names=[*kept, *(f.name for f in new)])
 

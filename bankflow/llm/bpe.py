@@ -41,6 +41,7 @@ N_STATES = 8
 
 CACHE_PIECES = 1 << 19   # pieces remembered by a worker; beyond it the cache starts anew
 SCAN_COLUMNS = 256
+RUN_BYTES = 1 << 20      # bytes of text that a worker goes through at a time (about 100 bytes of arrays for each)
 
 
 @lru_cache(1)
@@ -164,43 +165,74 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Tokens of one piece: merge the adjacent pair of least rank, the leftmost first, as long as there is one."""
-    if piece in ranks:
-        return [ranks[piece]]
-    n = len(piece)
-    end = list(range(1, n + 1))           # end[i]: where the part that starts at i ends
-    prev = list(range(-1, n - 1))
-    alive = [True] * n
-    heap = [(r, i, i + 1, i + 2) for i in range(n - 1) if (r := ranks.get(piece[i:i + 2])) is not None]
-    heapq.heapify(heap)
-    while heap:
-        _, i, mid, stop = heapq.heappop(heap)
-        if not alive[i] or end[i] != mid or mid >= n or not alive[mid] or end[mid] != stop:
-            continue                      # one of the two parts has changed meanwhile
-        end[i], alive[mid] = stop, False
-        if stop < n:
-            prev[stop] = i
-            if (r := ranks.get(piece[i:end[stop]])) is not None:
-                heapq.heappush(heap, (r, i, stop, end[stop]))
-        if (p := prev[i]) >= 0 and (r := ranks.get(piece[p:stop])) is not None:
-            heapq.heappush(heap, (r, p, i, stop))
-    out, i = [], 0
-    while i < n:
-        out.append(ranks[piece[i:end[i]]])
-        i = end[i]
-    return out
+class Merges:
+    """Rank merging on token ids: which token two adjacent ones make, and with what rank, is one look-up."""
+
+    NONE = 1 << 40
+    SHORT = 64           # pieces of up to so many bytes keep the ranks of their pairs in a list, longer ones in a heap
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        self.pairs: dict[int, int] = {}
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    self.pairs[left << 20 | right] = rank
+        self.single = [ranks.get(bytes([b])) for b in range(256)]
+
+    def merge(self, piece: bytes) -> list[int]:
+        """Tokens of one piece: merge the adjacent pair of least rank, the leftmost first, as long as there is one."""
+        if piece in self.ranks:
+            return [self.ranks[piece]]
+        ids = [self.single[b] for b in piece]
+        if None in ids:
+            raise ValueError("the rank file lacks a single byte")
+        return self._short(ids) if len(ids) <= self.SHORT else self._long(ids)
+
+    def _short(self, ids: list[int]) -> list[int]:
+        get, none = self.pairs.get, self.NONE
+        found = [get(a << 20 | b, none) for a, b in zip(ids, ids[1:])]
+        while found and (least := min(found)) != none:
+            i = found.index(least)
+            ids[i:i + 2] = [least]
+            del found[i]
+            if i:
+                found[i - 1] = get(ids[i - 1] << 20 | least, none)
+            if i < len(found):
+                found[i] = get(least << 20 | ids[i + 1], none)
+        return ids
+
+    def _long(self, ids: list[int]) -> list[int]:
+        n, get = len(ids), self.pairs.get
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(ids, ids[1:])) if (r := get(a << 20 | b)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            rank, i, a, b = heapq.heappop(heap)
+            j = after[i]
+            if ids[i] != a or j >= n or ids[j] != b:
+                continue                      # one of the two has changed meanwhile
+            ids[i], ids[j] = rank, -1
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                if (r := get(rank << 20 | ids[k])) is not None:
+                    heapq.heappush(heap, (r, i, rank, ids[k]))
+            if (h := before[i]) >= 0 and (r := get(ids[h] << 20 | rank)) is not None:
+                heapq.heappush(heap, (r, h, ids[h], rank))
+        return [t for t in ids if t >= 0]
 
 
 class Pieces(dict):
     """Cache from a piece to its slot; the slots' tokens lie in one flat array."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, merges: Merges):
         super().__init__()
-        self.ranks, self.flat, self.start, self.length = ranks, array("I"), array("q"), array("q")
+        self.merge, self.flat, self.start, self.length = merges.merge, array("I"), array("q"), array("i")
 
     def __missing__(self, piece: bytes) -> int:
-        tokens = merge(piece, self.ranks)
+        tokens = self.merge(piece)
         slot = self[piece] = len(self.start)
         self.start.append(len(self.flat))
         self.length.append(len(tokens))
@@ -212,11 +244,10 @@ class Codec:
     """Encoder and decoder of one rank file."""
 
     def __init__(self, path: str):
-        self.ranks = load_ranks(path)
-        self.pieces = Pieces(self.ranks)
-        size = max(self.ranks.values()) + 1
-        tokens: list[bytes] = [b""] * size
-        for token, rank in self.ranks.items():
+        self.path, self.pieces = path, None
+        ranks = load_ranks(path)
+        tokens: list[bytes] = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
             tokens[rank] = token
         self.lengths = np.array([len(t) for t in tokens], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
@@ -224,8 +255,8 @@ class Codec:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Texts as UTF-8 bytes and offsets -> (ids of all texts, ids per text, byte offset of each id in its text)."""
-        if len(self.pieces) > CACHE_PIECES:
-            self.pieces = Pieces(self.ranks)
+        if self.pieces is None or len(self.pieces) > CACHE_PIECES:
+            self.pieces = Pieces(_merges(self.path))
         raw = data.tobytes()
         codes = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), np.uint32)
         at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))   # byte offset of each character
@@ -236,7 +267,7 @@ class Codec:
         bounds = np.append(begin, len(data)).tolist()
         slots = np.fromiter(map(self.pieces.__getitem__, [raw[a:b] for a, b in zip(bounds, bounds[1:])]),
                             np.int64, len(bounds) - 1)
-        count = np.frombuffer(self.pieces.length, np.int64)[slots] if len(slots) else slots
+        count = np.frombuffer(self.pieces.length, np.int32)[slots].astype(np.int64) if len(slots) else slots
         start = np.frombuffer(self.pieces.start, np.int64)[slots] if len(slots) else slots
         flat = np.frombuffer(self.pieces.flat, np.uint32) if len(slots) else np.empty(0, np.uint32)
         ids = gather(flat, start, count)
@@ -261,6 +292,11 @@ class Codec:
         return out, size
 
 
+@lru_cache(1)
+def _merges(path: str) -> Merges:
+    return Merges(load_ranks(path))
+
+
 @lru_cache(4)
 def codec(path: str) -> Codec:
     """One codec per worker and file."""
@@ -274,7 +310,7 @@ def encode(df: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
         ids, counts, at = codec(ranks_path).encode(*utf8_buffer(batch.column(batch.schema.get_field_index(text))))
         return [packed(ids, counts), packed(at, counts), pa.array(counts, pa.int64())]
 
-    return append_columns(df, text, "bpe_ids binary, bpe_starts binary, n_tokens bigint", fn)
+    return append_columns(df, text, "bpe_ids binary, bpe_starts binary, n_tokens bigint", fn, run_bytes=RUN_BYTES)
 
 
 def decode(df: DataFrame, ranks_path: str, keep: list[str] | None = None) -> DataFrame:
@@ -288,4 +324,4 @@ def decode(df: DataFrame, ranks_path: str, keep: list[str] | None = None) -> Dat
                                              np.diff(offsets) // 4)
         return [packed(out, size)]
 
-    return append_columns(df, "bpe_ids", "decoded binary", fn, keep=kept)
+    return append_columns(df, "bpe_ids", "decoded binary", fn, keep=kept, run_bytes=RUN_BYTES)

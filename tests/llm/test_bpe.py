@@ -85,7 +85,10 @@ def test_edges(spark):
     assert empty.count() == 0 and "decoded" in empty.columns
 
 
-@pytest.mark.parametrize("piece", [b"hello", b"\xff\xfe", b"aaaaaaa", "日本語日本語".encode()])
-def test_merge(piece):
-    tokens = {rank: token for token, rank in bpe.load_ranks(PATH).items()}
-    assert b"".join(tokens[i] for i in bpe.merge(piece, bpe.load_ranks(PATH))) == piece
+@pytest.mark.parametrize("piece", [b"hello", b"\xff\xfe", b"aaaaaaa", "日本語日本語".encode(), b"abcabcabd" * 6, b"unbelievably so" * 4])
+def test_short_and_long_merging_agree(piece):
+    merges = bpe._merges(PATH)
+    ids = [merges.single[b] for b in piece]
+    assert merges._short(list(ids)) == merges._long(list(ids))
+    tokens = {rank: token for token, rank in merges.ranks.items()}
+    assert b"".join(tokens[i] for i in merges.merge(piece)) == piece
