@@ -143,7 +143,8 @@ class Machine:
 class Grammar:
     """The composed machine behind the lexical transducer of one lexicon."""
 
-    CACHE = 1 << 19
+    CACHE = 1 << 17      # words remembered by a worker; beyond it the cache starts anew
+    PLAIN = (WORD, 0, 0, 0, 0)
 
     def __init__(self, lexicon: dict[str, float]):
         self.lexicon = lexicon
@@ -164,7 +165,7 @@ class Grammar:
             got = (INSULT, round(weight, 1), 0, 0, 0)
         else:
             kind = self.closed.get(word, WORD)
-            got = (kind, 1.0 if kind == THREAT else 0, 0, 0, 0)
+            got = self.PLAIN if kind == WORD else (kind, 1.0 if kind == THREAT else 0, 0, 0, 0)
         if len(self.symbols) >= self.CACHE:
             self.symbols.clear()
         self.symbols[word] = got
@@ -204,7 +205,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, doc: str, text: str, label
     known = known.where(F.col("id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("id")))
     known = known.groupBy("id").agg(F.max("toxic").alias("toxic"))
     rows = docs.select(F.col(doc).alias("id"), F.col(text).alias("text")).where(F.col(text).isNotNull() & ~held_out(F.col(doc)))
-    return rows.join(known, "id")
+    # labels grow with the documents, so neither side is broadcast, at any size
+    return rows.join(known.hint("merge"), "id")
 
 
 def held_out(doc: Column) -> Column:
@@ -239,12 +241,13 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
     kept = kept.where((F.col("odds") >= MIN_ODDS) & (F.col("ev") >= MIN_EVIDENCE))
     top = kept.orderBy(F.col("ev").desc(), "entry").limit(LEXICON).collect()
     table = {r["entry"]: (r["t"], r["g"], r["odds"]) for r in top}
-    # a stem that one longer entry explains as well gives way to it; an entry that a kept stem covers is not needed
-    by_counts = {}
-    for e, (t, g, _) in table.items():
+    # a stem gives way to a longer entry that explains nearly all of it as well or better; an entry that a stem which is left
+    # covers is not needed
+    for e, (toxic, good_ones, weight) in sorted(table.items(), key=lambda kv: -len(kv[0])):
         for n in range(STEM[0], len(e)):
-            by_counts.setdefault(e[:n], set()).add((t, g))
-    table = {e: v for e, v in table.items() if v[:2] not in by_counts.get(e, ())}
+            stem = table.get(e[:n])
+            if stem and (stem[:2] == (toxic, good_ones) or toxic >= 0.9 * stem[0] and weight > stem[2]):
+                del table[e[:n]]
     covered = {e for e in table if any(e[:n] in table for n in range(STEM[0], len(e)))}
     return {e: float(o) for e, (_, _, o) in sorted(table.items()) if e not in covered}
 
@@ -272,8 +275,11 @@ def train(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "
     part = F.pmod(F.xxhash64("id"), F.lit(4))
     lexicon = learn_lexicon(rows.where(part != 0))
     model = {"lexicon": tuple(sorted(lexicon.items()))}
-    pick = rows.where(part == 0).select("toxic", "text", F.xxhash64("id", F.lit(1)).alias("order"))
-    seen = patterns(pick, model, keep=["order", "toxic"]).orderBy("order").limit(FIT_ROWS).collect()
+    # a share of the rest, by a hash of the id, that is FIT_ROWS rows in the mean at most
+    left = labels.select(F.col(doc).alias("id")).where(~held_out(F.col("id")) & (part == 0)).count()
+    share = min(1.0, FIT_ROWS / max(left, 1))
+    pick = rows.where((part == 0) & (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1_000_000)) < int(share * 1_000_000)))
+    seen = patterns(pick, model, keep=["toxic"]).collect()
     model["bias"], model["weights"] = PRIOR_BIAS, PRIOR
     if seen:
         model["bias"], model["weights"] = fit(np.array([r["patterns"] for r in seen]), np.array([r["toxic"] for r in seen], float))
