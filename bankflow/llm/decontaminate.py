@@ -55,7 +55,9 @@ def item_windows(items: DataFrame, item: str, text: str, width: int) -> DataFram
 
 def occurrences(docs: DataFrame, sizes: list[int]) -> DataFrame:
     """(row, n, hash, at, size): each shingle of each document; ``at`` counts words from 1."""
-    parts = [docs.select("row", F.size("w").alias("n"), F.posexplode(shingles(F.col("w"), size)).alias("at", "hash"))
+    # the number of words is a column before the explode: the words themselves then stay behind
+    docs = docs.select("row", F.size("w").alias("n"), "w")
+    parts = [docs.select("row", "n", F.posexplode(shingles(F.col("w"), size)).alias("at", "hash"))
              .select("row", "n", "hash", (F.col("at") + 1).alias("at"), F.lit(size).alias("size")) for size in sizes]
     out = parts[0]
     for part in parts[1:]:
