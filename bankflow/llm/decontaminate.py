@@ -97,7 +97,7 @@ def contamination(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text:
     windows = cut_lineage(item_windows(items, item, item_text, width), "window")
     prefix, sizes = prefixes(windows.select("window").distinct(), split)
     prefix = cut_lineage(prefix, "prefix")
-    full = docs.select(row.alias("row"), *kept, words(F.col(text)).alias("w"))
+    full = docs.select(row.alias("row"), *kept, F.col(text).alias("whole text"))      # a text is smaller than its words
     if sizes:
         near = occurrences(split, sizes).join(prefix, ["hash", "size"]).select(
             "row", (F.col("at") - F.col("offset")).alias("start"), "len", "n", "window")
@@ -107,6 +107,7 @@ def contamination(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text:
         full = full.join(near, "row", "left")
     else:
         full = full.withColumn("near", F.lit(None).cast("array<struct<start:int,len:int,window:array<string>>>"))
+    full = full.withColumn("w", words(F.col("whole text")))
     same = lambda c: F.slice("w", c["start"], c["len"]) == c["window"]
     full = full.withColumn("hits", F.filter("near", same))
     covered = F.flatten(F.transform("hits", lambda c: F.sequence(c["start"], c["start"] + c["len"] - 1)))
