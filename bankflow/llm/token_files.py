@@ -248,7 +248,7 @@ def checksums(tokens: DataFrame, keep: list[str]) -> DataFrame:
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index("ids"))
-            raw = memoryview(np.ascontiguousarray(lists.flatten().to_numpy(zero_copy_only=False), "<u4")).cast("B")
+            raw = memoryview(np.ascontiguousarray(lists.flatten().to_numpy(zero_copy_only=False), "<i4")).cast("B")
             ends = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]) * 4
             sums = [zlib.crc32(raw[a:b]) for a, b in zip(ends.tolist(), ends[1:].tolist())]
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep),
