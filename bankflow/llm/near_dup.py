@@ -278,7 +278,7 @@ def open_links(bucket_rows: DataFrame, comps: DataFrame, classes: DataFrame, set
     A bucket is open if its members other than the hub, which has met them all, are not in one component. The members of open buckets
     are dealt out again by each key of the first collection, which any two of a bucket share one of. There each
     member outside the largest component meets all others, block against block: tasks hold at most two blocks, and
-    only links come out, so neither rows nor memory grow with the square of a group.
+    only links come out. The comparisons grow with the square of such a group, the rows with that over the block size.
     """
     rows = labelled(bucket_rows.where("size > 2 and rep <> hub").select("key", "rep"), comps, "rep", "comp")
     split = rows.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("key")
