@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bankflow.llm.arrow_text import append_columns, gather, packed, utf8_buffer
+from bankflow.llm.arrow_text import append_columns, gather
 
 # Fixed file layout.
 ROW_GROUP_BYTES = 32 << 20
@@ -39,8 +39,8 @@ PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2000
 DICTIONARY_BYTES = 1 << 20
 
-CACHE_RUNS = 1 << 19     # distinct runs remembered by a worker; beyond it the cache starts anew
-RUN_BYTES = 2 << 20      # bytes of text that a worker encodes at a time
+CACHE_RUNS = 3 << 18     # distinct runs remembered by a worker; beyond it the cache starts anew
+RUN_BYTES = 1 << 20      # bytes of text that a worker encodes at a time
 RUN = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 
 
@@ -140,7 +140,7 @@ class Encoder:
         for run in new:
             core = run.rstrip(PUNCTUATION)
             if core.isascii() and core.isalpha() or not core or LATIN.fullmatch(core):
-                word, tail = core.lower(), run[len(core):]
+                word, tail = core if core.islower() else core.lower(), run[len(core):]
                 part((get(word) or number(word, letters)) if word else EMPTY)
                 part((get(tail) or number(tail, other)) if tail else EMPTY)
             else:
