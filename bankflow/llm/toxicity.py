@@ -7,8 +7,8 @@ marks those that meet a person near by. They are composed into one machine whose
 Its output counts weighted clause patterns, e.g. "insult at a target, not negated, not reported", and a logistic layer over
 the patterns gives the score. So a word counts by the clause it stands in.
 
-Learned from labelled rows: the insult lexicon, word stems and whole words with their log odds over all training texts (near
-copies of one text count once), and the logistic layer, from at most ``FIT_ROWS`` training rows. The lexicon has at most
+Learned from labelled rows: the insult lexicon, word stems and whole words with their log odds over all training texts (verified
+near copies of one text count once), and the logistic layer, from at most ``FIT_ROWS`` training rows. The lexicon has at most
 ``LEXICON`` entries, those with the most evidence. The closed classes (threat verbs, persons, negations, speech verbs) are fixed lists.
 
 Defined cases: a null or empty text, and one without a match, gets the score of no pattern; without any toxic training row the
@@ -50,6 +50,8 @@ MIN_SHARE = 0.004         # and their share of all toxic training texts
 MIN_ODDS = 2.5            # least log odds of a lexicon entry
 MIN_EVIDENCE = 15.0       # least log-likelihood ratio
 THRESHOLD = 0.7
+NEAR = 0.8                # least Jaccard similarity of the word sets of near copies
+TABLES, MINHASHES = 3, 4  # tables that near copies are looked up in, and minhashes of a table's key
 
 TOKEN = re.compile(r"[^\W\d_]+|[.;:!?\n]|[\"“”«»]")
 # Patterns: (kind, at a target, negated, reported)
@@ -214,14 +216,32 @@ def held_out(doc: Column) -> Column:
     return F.coalesce(F.crc32(doc.cast("string")) % 3 == 1, F.lit(False))
 
 
+def families(rows: DataFrame) -> DataFrame:
+    """(key, id, toxic, words) of the texts that count: of equal word sets the row with the least id, and no set that is verified to be a
+    near copy of one that comes before it by id and key. Label and words are always those of one row.
+
+    Sets with equal minhashes of a table are compared, word by word, with the first of them. That one may be unlike a set, so
+    there are several tables; a set counts unless it is a near copy of the first one in any of them."""
+    key = F.md5(F.array_join("words", " "))          # words are letters only, so the joined words are the set
+    sets = rows.groupBy(key.alias("key")).agg(F.min(F.struct("id", "toxic")).alias("least"), F.first("words").alias("words"))
+    least = [F.array_min(F.transform("words", lambda w, s=s: F.xxhash64(w, F.lit(s)))) for s in range(TABLES * MINHASHES)]
+    buckets = F.array(*[F.xxhash64(F.lit(t), *least[t * MINHASHES:(t + 1) * MINHASHES]) for t in range(TABLES)])
+    sets = cut_lineage(sets.select("key", "least.id", "least.toxic", "words", buckets.alias("buckets")), "toxic-train")
+    dealt = sets.select("key", F.explode("buckets").alias("bucket"), "id")
+    first = dealt.groupBy("bucket").agg(F.min(F.struct("id", "key")).alias("first"), F.count(F.lit(1)).alias("n"))
+    first = cut_lineage(first.where("n > 1").select("bucket", F.col("first.key").alias("first")), "toxic-first")
+    pairs = cut_lineage(dealt.join(first, "bucket").where("key <> first").select("key", "first").distinct(), "toxic-pairs")
+    own = sets.select("key", "words").join(pairs, "key")
+    firsts = sets.select(F.col("key").alias("first"), F.col("words").alias("first_words")).join(pairs.select("first").distinct(), "first", "left_semi")
+    common, sizes = F.size(F.array_intersect("words", "first_words")), F.size("words") + F.size("first_words")
+    near = own.join(firsts, "first").where(common >= NEAR * (sizes - common)).select("key").distinct()
+    return sets.drop("buckets").join(cut_lineage(near, "toxic-near"), "key", "left_anti")
+
+
 def learn_lexicon(rows: DataFrame) -> dict[str, float]:
     """Stems and whole words with their log odds in toxic against other texts."""
-    words = F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) >= STEM[0]))
-    rows = rows.select(F.col("toxic"), words.alias("words")).where(F.size("words") > 0)
-    # near copies of one text share these four minhashes of their words; each family counts once
-    family = F.xxhash64(*[F.array_min(F.transform("words", lambda w, s=s: F.xxhash64(w, F.lit(s)))) for s in range(4)])
-    rows = rows.withColumn("family", family).groupBy("family").agg(F.max("toxic").alias("toxic"), F.first("words").alias("words"))
-    rows = cut_lineage(rows, "toxic-train")
+    words = F.sort_array(F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) >= STEM[0])))
+    rows = families(rows.select("id", "toxic", words.alias("words")).where(F.size("words") > 0))
     totals = rows.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
     bad, good = int(totals[0] or 0), int(totals[1] or 0)
     if not bad:

@@ -2,6 +2,8 @@
 import random
 import zlib
 
+from pyspark.sql import functions as F
+
 from bankflow.llm import registry, toxicity
 
 SF = "/root/testdata/sf0.01"
@@ -63,3 +65,22 @@ def test_edges(spark):
         out = toxicity.score(docs, toxicity.train(docs, these)).collect()
         assert len(out) == 6 and all(0 <= r["score"] <= 1 for r in out)
     assert toxicity.score(docs.limit(0), toxicity.train(docs.limit(0), labels)).count() == 0
+
+
+def test_only_verified_near_copies_count_once(spark):
+    """Unlike texts share the first table's minhashes: each counts, with its own label. Near copies count once."""
+    rng = random.Random(9)
+    pool = ["".join(rng.choices("bcdfghklmnprst", k=9)) for _ in range(3000)]
+    hashed = spark.createDataFrame([(w,) for w in pool], "w string")
+    shared = list(hashed.agg(*[F.min_by("w", F.xxhash64("w", F.lit(s))) for s in range(4)]).first())
+    texts = [(i, " ".join([*shared, *rng.sample(pool, 30), "vileworm" if i < 20 else "lovely"]), int(i < 20)) for i in range(60)]
+    base = rng.sample(pool, 60)
+    texts += [(100 + i, " ".join([*base[:i], *base[i + 1:], "copyword"]), 1) for i in range(40)]
+    rows = spark.createDataFrame([*texts, (200, texts[0][1], 0)], "id bigint, text string, toxic int")
+    lexicon = toxicity.learn_lexicon(rows)
+    assert any("vileworm$".startswith(e) for e in lexicon)
+    assert not any(w.startswith(e.rstrip("$")) for e in lexicon for w in ("lovely", "copyword"))
+    words = rows.select("id", "toxic", F.sort_array(F.split("text", " ")).alias("words"))
+    counted = {r["id"]: r["toxic"] for r in toxicity.families(words).collect()}
+    assert {i: t for i, t in counted.items() if i < 100} == {i: t for i, _, t in texts[:60]}
+    assert 200 not in counted and 1 <= sum(100 <= i < 200 for i in counted) <= 2
