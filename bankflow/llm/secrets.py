@@ -32,7 +32,8 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 BASE = {"assign": (ASSIGN, 2, 6), "access": (r"AKIA[A-Z0-9]+", 0, 20), "hex": (r"[0-9a-f]{24,}", 0, 24)}
 
 LEAST = 20               # characters of a run that the battery tests
-RUN = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{{{LEAST},}}={{0,2}}"
+# A run may stand behind '='; one or two '=' belong to it as padding, unless another run follows them.
+RUN = rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{LEAST},}}+(?:={{1,2}}+(?![A-Za-z0-9+/_-]))?"
 FALSE_SHARE = 0.05
 FLOOR = 1e-9             # least p-value of one test
 BINS = 100
