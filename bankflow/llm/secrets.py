@@ -8,10 +8,10 @@ uniformly from that alphabet:
 * number of runs above and below the middle of the alphabet (Wald-Wolfowitz), two tails;
 * lag-one serial correlation of the character values, two tails.
 
-Fisher's method combines the three. Random runs have uniform combined p-values, text has small ones. So in each class of
-encoding and length (powers of two) the runs with p over one half tell how many random runs the class holds, and a
-run is reported if its p is at or over the least threshold at which the estimated share of others among the reported is at most
-``FALSE_SHARE``. A class in which no run looks random reports none. The p-values are counted in a histogram of fixed
+Fisher's method combines the three. Random runs have uniform combined p-values, text has small ones. In each class of encoding and
+length (powers of two) the runs with p over one half tell how many are random; how far up the p-values of the others reach is
+estimated from the class and, where it is thin, from its neighbours. A run is reported if its p is at or over the least threshold
+at which the expected share of others among the reported is at most ``FALSE_SHARE``. The p-values are counted in a histogram of fixed
 bins over all documents; only thresholds (encodings times length classes, at most 8 * 32) reach the driver.
 
 Spans count code points, the end exclusive. Spans of the battery inside or over a base span are left out.
@@ -37,6 +37,8 @@ RUN = rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{LEAST},}}+(?:={{1,2}}+(?![A-Za-z0
 FALSE_SHARE = 0.05
 FLOOR = 1e-9             # least p-value of one test
 BINS = 100
+POOL = 20                # runs that the tail of a wider pool counts as
+TEXT_TAIL = 0.004        # share of text-like runs with p >= t is this over t where the data say nothing (identifiers of Python's library)
 
 DIGITS, LOWER, UPPER = string.digits, string.ascii_lowercase, string.ascii_uppercase
 # Encodings from the smallest alphabet up; values of characters are their places.
@@ -146,24 +148,53 @@ def tested_runs(text: Column) -> Column:
     return F.transform(F.transform(counted, summed), combined)
 
 
-def thresholds(df: DataFrame, text: str = "text") -> dict[tuple[str, int], float]:
-    """Least p-value reported in each class, from the histogram of all documents' runs; at most 8 * 32 entries."""
-    runs = df.select(F.explode(tested_runs(F.col(text))).alias("r")).select("r.*")
-    bins = runs.groupBy("enc", "class", F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).alias("bin")).count()
+def _share(counts: list[int], parent: list[float]) -> tuple[float, list[float]]:
+    """(others, tail): runs that are not random in a histogram of p-values, and the share of such runs from each bin on.
+
+    Random runs are twice those of the upper half. What the histogram holds beyond them, less the error of that estimate, is
+    weighed against ``parent``, the tail of the wider pool, which counts as ``POOL`` runs."""
+    upper = sum(counts[BINS // 2:])
+    others = max(sum(counts) - 2.0 * upper, 0.0)
+    tail = []
+    for j in range(BINS):
+        left = 1 - j / BINS
+        extra = sum(counts[j:]) - 2.0 * upper * left - (2.0 * upper + 4) ** 0.5 * left
+        tail.append((min(max(extra, 0.0), others) + POOL * parent[j]) / (others + POOL))
+    return others, tail
+
+
+def limits_of(classes: dict[tuple[str, int], list[int]]) -> dict[tuple[str, int], float]:
+    """Least p-value reported in each class, from the histograms of all classes.
+
+    The tail of runs that are not random is that of the class itself, of the other classes of its encoding where it is thin, of
+    the other encodings where these are, and ``TEXT_TAIL`` where there are few runs at all."""
+    def pool(keys: list[tuple[str, int]]) -> list[int]:
+        return [sum(c) for c in zip([0] * BINS, *[classes[k] for k in keys])]
+
+    prior = [1.0, *[min(1.0, TEXT_TAIL * BINS / j) for j in range(1, BINS)]]
     out: dict[tuple[str, int], float] = {}
-    classes: dict[tuple[str, int], list[int]] = {}
-    for r in bins.collect():                      # bounded: encodings * length classes * bins
-        classes.setdefault((r["enc"], r["class"]), [0] * BINS)[r["bin"]] += r["count"]
     for key, counts in classes.items():
-        random_runs = 2.0 * sum(counts[BINS // 2:])
+        far = _share(pool([k for k in classes if k[0] != key[0]]), prior)[1]
+        near = _share(pool([k for k in classes if k[0] == key[0] and k != key]), far)[1]
+        others, tail = _share(counts, near)
         for j in range(BINS):
             flagged = sum(counts[j:])
-            if flagged and flagged - random_runs * (1 - j / BINS) <= FALSE_SHARE * flagged:
+            if flagged and others * tail[j] <= FALSE_SHARE * flagged:
                 out[key] = j / BINS
                 break
     return out
 
 
+def thresholds(df: DataFrame, text: str = "text") -> dict[tuple[str, int], float]:
+    """Least p-value reported in each class, from the histogram of all documents' runs; at most 8 * 32 entries."""
+    runs = df.select(F.explode(tested_runs(F.col(text))).alias("r")).select("r.*")
+    bins = runs.groupBy("enc", "class", F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).alias("bin")).count()
+    classes: dict[tuple[str, int], list[int]] = {}
+    for r in bins.collect():                      # bounded: encodings * length classes * bins
+        classes.setdefault((r["enc"], r["class"]), [0] * BINS)[r["bin"]] += r["count"]
+    return limits_of(classes)
+
+
 def find(df: DataFrame, limits: dict[tuple[str, int], float], text: str = "text") -> DataFrame:
     """Add ``base_spans`` and ``spans`` (arrays of kind, start, end; the battery's kind is "random")."""
     whole = F.coalesce(F.col(text), F.lit(""))
