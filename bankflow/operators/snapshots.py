@@ -24,7 +24,7 @@ from bankflow.session import cut_lineage, path_exists
 
 STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 BUCKETS = 16
-MARKER = "as_of timestamp_ntz, buckets array<int>, run int"
+MARKER = "as_of timestamp_ntz, buckets array<int>, stream string, batch bigint, run int"
 
 
 def scd_id(key: Column, valid_from: Column) -> Column:
@@ -90,6 +90,14 @@ def published(spark: SparkSession, root: str) -> list[tuple[int, dt.datetime, li
     return sorted((r["run"], r["as_of"], list(r["buckets"])) for r in rows)
 
 
+def batch_published(spark: SparkSession, root: str, stream: str, batch: int) -> bool:
+    """Whether a micro-batch of a stream has published its run; runs of other writers and streams do not count."""
+    if not path_exists(spark, f"{root}/published"):
+        return False
+    marks = spark.read.schema(MARKER).parquet(f"{root}/published")
+    return bool(marks.where((F.col("stream") == stream) & (F.col("batch") == batch)).take(1))
+
+
 def _stored(spark: SparkSession, root: str, runs, schema: str) -> tuple[DataFrame, DataFrame]:
     """(closed rows, open rows) of the published runs; all conditions are on partition columns."""
     files = spark.read.schema(schema + ", run int, is_open boolean, bucket int").parquet(f"{root}/runs")
@@ -117,9 +125,11 @@ def read_snapshot(spark: SparkSession, root: str, schema: str | None = None) ->
     return closed.unionByName(opened)
 
 
-def run_snapshot(spark: SparkSession, root: str, source: DataFrame, key: str, check_cols: list[str], as_of) -> DataFrame:
+def run_snapshot(spark: SparkSession, root: str, source: DataFrame, key: str, check_cols: list[str], as_of,
+                 batch_of: tuple[str, int] | None = None) -> DataFrame:
     """Apply one snapshot step to the table at ``root`` and return the whole snapshot. ``as_of`` must be later than that of
-    the run before; the source must be unique on ``key`` (both are checked). An empty source is a run without changes."""
+    the run before; the source must be unique on ``key`` (both are checked). An empty source is a run without changes.
+    ``batch_of`` (stream id, batch id) goes into the marker of a step that a micro-batch makes."""
     as_of = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(str(as_of))
     runs = published(spark, root)
     if runs and as_of <= runs[-1][1]:
@@ -140,6 +150,6 @@ def run_snapshot(spark: SparkSession, root: str, source: DataFrame, key: str, ch
     if not runs:
         shape.write.mode("overwrite").parquet(f"{root}/schema")
     batch.write.mode("overwrite").partitionBy("is_open", "bucket").parquet(f"{root}/runs/run={n}")
-    marker = spark.createDataFrame([(as_of, touched)], "as_of timestamp_ntz, buckets array<int>").coalesce(1)
+    marker = spark.createDataFrame([(as_of, touched, *(batch_of or (None, None)))], MARKER.removesuffix(", run int")).coalesce(1)
     marker.write.mode("overwrite").parquet(f"{root}/published/run={n}")
     return read_snapshot(spark, root, schema)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankflow.operators.marts import facts_from_raw
-from bankflow.operators.snapshots import published, run_snapshot
+from bankflow.operators.snapshots import batch_published, published, run_snapshot
 from bankflow.operators.staging import stg_customers
 from bankflow.schemas import CUSTOMER_CHECK_COLS
 from bankflow.sources.cdc import read_cdc_stream
@@ -66,16 +66,18 @@ def run_scd2(spark: SparkSession, stream: DataFrame, snapshot: str, checkpoint:
              check_cols: list[str] | None = None, model=stg_customers, available_now: bool = True,
              processing_time: str | None = None):
     """R5: each micro-batch of raw row images -> staging -> one snapshot step. A batch whose events are no later than the
-    last step gets the next microsecond after it; one that was published before a restart is skipped."""
+    last step gets the next microsecond after it; one that was published before a restart is skipped. It is known by its own
+    marker (the query id of the checkpoint and the batch id), whoever else steps the snapshot."""
     cols = check_cols or CUSTOMER_CHECK_COLS
 
     def step(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        as_of, runs = batch_as_of(batch), published(session, snapshot)
-        if as_of is None or len(runs) > batch_id:
+        as_of, stream_id = batch_as_of(batch), session.read.json(f"{checkpoint}/metadata").first()["id"]
+        if as_of is None or batch_published(session, snapshot, stream_id, batch_id):
             return
+        runs = published(session, snapshot)
         if runs and as_of <= runs[-1][1]:
             as_of = runs[-1][1] + dt.timedelta(microseconds=1)
-        run_snapshot(session, snapshot, model(batch, as_of), key, cols, as_of)
+        run_snapshot(session, snapshot, model(batch, as_of), key, cols, as_of, batch_of=(stream_id, batch_id))
 
     return _start(stream.writeStream.foreachBatch(step), checkpoint, available_now, processing_time)
