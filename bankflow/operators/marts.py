@@ -139,16 +139,14 @@ def facts_transactions(spark: SparkSession, stg: DataFrame, target_path: str, as
 
 def facts_from_raw(spark: SparkSession, raw: DataFrame, target_path: str, as_of, allowed_lateness: dt.timedelta | None = None,
                    batch: str | None = None) -> DataFrame:
-    """The insert-only load straight from raw rows, reading only what is new.
+    """The insert-only load straight from raw rows.
 
     A transaction's time never changes, so the bound is applied to the flattened rows before the latest image per id is
-    taken, and to the capture ``date`` partitions of raw (an event is captured on its transaction's day or later; one day
-    is left for clocks that differ)."""
+    taken. Raw is not pruned by its capture ``date``: a transaction without a time may have been captured on any day and
+    arrive late, so every run reads all raw rows that it is given."""
     from bankflow.operators.staging import stg_transactions
 
     mark = high_water(read_target(spark, target_path)) if batch is None else batch_mark(spark, target_path, batch)
     lower = lower_bound(mark, allowed_lateness)
-    if lower is not None and "date" in raw.columns:
-        raw = raw.where(F.col("date") >= F.lit(lower.date() - dt.timedelta(days=1)))
     return facts_transactions(spark, stg_transactions(raw, as_of, newer_than=lower), target_path, as_of,
                               allowed_lateness=allowed_lateness, mark=mark)

@@ -133,3 +133,21 @@ def test_scd2_stream_skips_its_own_batches_only(spark):
     put(("3", "c", 1704067200002))
     drain(work_dir(spark, "t-scd2-ckpt2"))
     assert names() == ["a", "b", "c", "v3"]
+
+
+def test_untimed_transaction_of_an_old_capture_day_is_loaded(spark):
+    """Raw with capture dates: a row without a time that arrives after the mark has moved on comes in, once; an old timed one does not."""
+    from bankflow.operators import marts
+
+    target = work_dir(spark, "t-untimed")
+
+    def raw(*rows):
+        rows = [(json.dumps({"id": i, "created_at": at}), i, i, day) for i, at, day in rows]
+        df = spark.createDataFrame(rows, "j string, _ts_ms long, _seq long, date string")
+        return df.select(F.parse_json("j").alias("v"), "_ts_ms", "_seq", F.to_date("date").alias("date"))
+
+    first = [(1, "2024-01-01T00:00:00", "2024-01-01"), (2, "2024-01-20T00:00:00", "2024-01-20")]
+    marts.facts_from_raw(spark, raw(*first), target, "2024-01-21")
+    for _ in range(2):
+        out = marts.facts_from_raw(spark, raw(*first, (3, None, "2024-01-02"), (4, "2024-01-02T00:00:00", "2024-01-02")), target, "2024-01-22")
+        assert sorted(r[0] for r in out.select("transaction_id").collect()) == ["1", "2", "3"]
