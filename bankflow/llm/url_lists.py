@@ -19,8 +19,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PATH_DEPTH = 3       # path segments that a prefix key can have
-
 
 def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1))
@@ -30,11 +28,12 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)", 1)
 
 
-def lookup_keys(url: Column) -> Column:
-    """Keys under which a list can name the url, from the least specific to the most: domains, host, path prefixes."""
+def lookup_keys(url: Column, depth: int) -> Column:
+    """Keys under which a list can name the url, from the least specific to the most: domains, host, path prefixes of up to
+    ``depth`` segments."""
     host, labels = host_of(url), F.split(host_of(url), r"\.")
     domains = F.transform(F.sequence(F.size(labels), F.lit(1), F.lit(-1)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    steps = F.slice(F.array_remove(F.split(path_of(url), "/"), ""), 1, PATH_DEPTH)
+    steps = F.slice(F.array_remove(F.split(path_of(url), "/"), ""), 1, depth)
     prefixes = F.transform(F.sequence(F.lit(1), F.greatest(F.size(steps), F.lit(1))), lambda i: F.concat_ws("/", host, F.array_join(F.slice(steps, 1, i), "/")))
     return F.when(F.length(host) > 0, F.when(F.size(steps) > 0, F.concat(domains, prefixes)).otherwise(domains))
 
@@ -53,7 +52,8 @@ def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", fetched:
     """Add ``matched_key``, ``matched_list``, ``listed_from`` and ``blocked`` to each capture."""
     base = captures.drop("matched_key", "matched_list", "listed_from", "blocked")
     base = base.withColumn("_row", F.struct(*[F.xxhash64(*base.columns).alias("hash"), F.col(url).alias("url"), F.col(fetched).alias("at")]))
-    wanted = base.select("_row", F.to_date(fetched).alias("day"), F.posexplode(lookup_keys(F.col(url))).alias("rank", "key")).where("day is not null").distinct()
+    depth = entries.agg(F.max(F.size(F.split("key", "/")) - 1)).first()[0] or 0      # of the deepest key of the lists
+    wanted = base.select("_row", F.to_date(fetched).alias("day"), F.posexplode(lookup_keys(F.col(url), max(depth, 0))).alias("rank", "key")).where("day is not null").distinct()
     month = lambda d: F.trunc(d, "month")
     last = wanted.agg(F.max("day")).first()[0]
     active = intervals(entries)

@@ -62,3 +62,12 @@ def test_empty(spark):
     full = spark.createDataFrame([("block", "b", "add", dt.date(2023, 1, 1))], "list string, key string, action string, day date")
     assert [r["blocked"] for r in url_lists.evaluate(c, full).collect()] == [True]
     assert url_lists.evaluate(c.limit(0), full).count() == 0
+
+
+def test_prefixes_of_any_depth(spark):
+    path = "/".join(f"s{i}" for i in range(12))
+    c = spark.createDataFrame([(i, f"http://A.b.org/{path}?q", dt.datetime(2024, 1, 1 + i)) for i in range(3)], "page_id bigint, url string, fetched timestamp_ntz")
+    e = spark.createDataFrame([("block", "b.org", "add", dt.date(2024, 1, 1)), ("allow", "a.b.org/s0/s1/s2/s3", "add", dt.date(2024, 1, 2)),
+                               ("block", f"a.b.org/{path}", "add", dt.date(2024, 1, 3))], "list string, key string, action string, day date")
+    got = [(r["matched_key"], r["blocked"]) for r in url_lists.evaluate(c, e).orderBy("page_id").collect()]
+    assert got == [("b.org", True), ("a.b.org/s0/s1/s2/s3", False), (f"a.b.org/{path}", True)]
