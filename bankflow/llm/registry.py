@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankflow.llm import bpe, decontaminate, language, near_dup, quality, secrets, token_files, toxicity, url_lists, warc
+from bankflow.llm import bpe, decontaminate, fim, hard_negatives, imatch, language, near_dup, quality, secrets, token_files, toxicity, url_lists, warc
 from bankflow.llm.sql import ORACLE  # noqa: F401
 from bankflow.session import work_dir
 
@@ -115,5 +115,23 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the anchors among all embeddings; a seventh of the labels are moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's transformed text and of what it restores to."""
+    out = fim.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return imatch.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_secrets, op4_warc, op5_repetition, op6_url_lists,
-                                   op7_byte_bpe, op8_near_dup, op9_toxicity, op10_language)}
+                                   op7_byte_bpe, op8_near_dup, op9_toxicity, op10_language, op11_hard_negatives, op12_fill_in_middle, op13_imatch)}
