@@ -66,7 +66,7 @@ def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = some_rows(60, seed=3) + [(None, 1, [0.5] * 6), (10, None, [0.5] * 6), (20, 1, None), (30, 1, [0.5, None, 0.0, 0.0, 0.0, 0.0]), (40, 1, [nan] + [0.5] * 5),
                                     (50, 0, [inf] + [0.5] * 5), (51, 0, [-inf] * 6), (900, 0, []), (901, 0, []), (902, 1, []), (910, 0, [0.5]), (911, 0, [1.0]), (912, 2, [0.99]),
-                                    (920, 1, [1e9] * 6), (921, 1, [3e9] * 6), (922, 2, [2.5e9] * 6)]
+                                    (920, 1, [1e6] * 6), (921, 1, [3e6] * 6), (922, 2, [2.5e6] * 6)]
     want = plain(rows)
     assert {900, 910, 920} <= {w[0] for w in want}
     assert mined(spark, rows) == want
