@@ -61,24 +61,25 @@ def url_captures(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", at.cast("timestamp_ntz").alias("fetched"))
 
 
+# Lists: name, whether of whole hosts or of the first path segments below them, and of how many keys one is on it.
+LISTS = [("block", "host", 3), ("allow", "path", 5), ("block", "path", 7)]
+
+
 def url_entries(pages: DataFrame) -> DataFrame:
     """Dated list entries that follow from the hosts of all pages and the first path segment below each."""
-    host, path = url_lists.host_of(F.col("url")), F.array_remove(F.split(url_lists.path_of(F.col("url")), "/"), "")
-    hosts = pages.select(host.alias("key")).where("key <> ''").distinct()
-    below = pages.select(F.concat_ws("/", host, F.get(path, F.lit(0))).alias("key")).where("key like '%_/_%'").distinct()
+    host, path = url_lists.host_of(F.col("url")), F.array_remove(F.split(url_lists.path_of(F.col("url")), r"[/\\]"), "")
+    below = F.when(F.size(path) > 0, F.concat_ws("/", host, F.get(path, F.lit(0))))
+    keys = pages.where(F.length(host) > 0).select(F.explode(F.array(
+        F.struct(F.lit("host").alias("kind"), host.alias("key")), F.struct(F.lit("path").alias("kind"), below.alias("key")))).alias("k"))
+    keys = keys.select("k.kind", "k.key").where("key is not null").distinct()
     number = lambda a: F.conv(F.substring(F.md5("key"), a, 4), 16, 10).cast("int")
     date = lambda d: F.date_add(F.lit("2024-01-01").cast("date"), d.cast("int"))
-
-    def dated(keys: DataFrame, name: str, every: int) -> DataFrame:
-        h, gap = number(1), F.pmod(number(5), F.lit(90)) + 1
-        first = F.pmod(number(9), F.lit(300))
-        events = [("add", first, F.lit(True)), ("remove", first + gap, F.pmod(h, F.lit(2)) == 0), ("add", first + gap + 20, F.pmod(h, F.lit(4)) == 0)]
-        picked = keys.where(F.pmod(h, F.lit(every)) == 0)
-        rows = F.filter(F.array(*[F.when(cond, F.struct(F.lit(action).alias("action"), date(day).alias("day"))) for action, day, cond in events]),
-                        lambda e: e.isNotNull())
-        return picked.select(F.lit(name).alias("list"), "key", F.explode(rows).alias("e")).select("list", "key", "e.action", "e.day")
-
-    return dated(hosts, "block", 3).union(dated(below, "allow", 5)).union(dated(below, "block", 7))
+    h, gap, first = number(1), F.pmod(number(5), F.lit(90)) + 1, F.pmod(number(9), F.lit(300))
+    events = [("add", first, F.lit(True)), ("remove", first + gap, F.pmod(h, F.lit(2)) == 0), ("add", first + gap + 20, F.pmod(h, F.lit(4)) == 0)]
+    present = lambda columns: F.filter(F.array(*columns), lambda e: e.isNotNull())
+    lists = present([F.when((F.col("kind") == kind) & (F.pmod(h, F.lit(every)) == 0), F.lit(name)) for name, kind, every in LISTS])
+    dated = present([F.when(cond, F.struct(F.lit(action).alias("action"), date(day).alias("day"))) for action, day, cond in events])
+    return keys.select("key", F.explode(lists).alias("list"), dated.alias("e")).select("list", "key", F.explode("e").alias("e")).select("list", "key", "e.action", "e.day")
 
 
 def op6_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,11 +37,18 @@ FROM d LEFT JOIN w USING (payload_digest)
 """
 
 ORACLE["op6_url_lists"] = r"""
-WITH cap AS (
-  SELECT page_id, url, DATE '2024-01-01' + CAST((page_id * 7919 + 13) % 366 AS INTEGER) AS day,
-         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1)) AS host,
-         list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)', 1), '/'), lambda x: x <> '') AS steps
-  FROM pages),
+WITH parts AS (
+  SELECT page_id, url, string_split(translate(substr(trim(url), strpos(url, '://') + 3), '\', '/'), '#')[1] AS rest
+  FROM pages WHERE regexp_matches(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://')),
+located AS (
+  SELECT page_id, string_split(rest, '?')[1] AS place FROM parts),
+named AS (
+  SELECT page_id, string_split(place, '/')[1] AS authority, list_filter(list_slice(string_split(place, '/'), 2, 1000000), lambda x: x <> '') AS steps FROM located),
+hosts AS (
+  SELECT page_id, steps, rtrim(lower(string_split(list_extract(string_split(authority, '@'), -1), ':')[1]), '.') AS host FROM named),
+cap AS (
+  SELECT p.page_id, p.url, DATE '2024-01-01' + CAST((p.page_id * 7919 + 13) % 366 AS INTEGER) AS day, coalesce(host, '') AS host, coalesce(steps, []) AS steps
+  FROM pages p LEFT JOIN (SELECT DISTINCT * FROM hosts) h ON h.page_id = p.page_id),
 keys AS (
   SELECT DISTINCT 'h' AS kind, host AS key FROM cap WHERE host <> ''
   UNION ALL SELECT DISTINCT 'p', host || '/' || steps[1] FROM cap WHERE host <> '' AND len(steps) > 0),

@@ -54,14 +54,14 @@ def split_runs(text: str | None) -> list[str]:
 
 
 def check_tokenizer(path: str) -> None:
-    """Raise unless white space separates tokens and is dropped."""
+    """Raise unless white space separates tokens and is dropped, and letters are lowered (on which ``Encoder`` relies)."""
     with open(path) as f:
         spec = json.load(f)
     split = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
     kinds = {n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])}
     if split.get("type") != "Split" or split.get("behavior") != "Removed" or not split.get("invert") \
-            or kinds - {"NFC", "Replace", "Lowercase"}:
-        raise ValueError("this tokenizer does not drop white space; its texts cannot be encoded run by run")
+            or kinds - {"NFC", "Replace", "Lowercase"} or "Lowercase" not in kinds:
+        raise ValueError("this tokenizer keeps white space or capitals; its texts cannot be encoded run by run")
 
 
 # A run of Latin letters and of punctuation behind them is split there by the tokenizer, whatever the case of the letters.

@@ -8,8 +8,8 @@ Its output counts weighted clause patterns, e.g. "insult at a target, not negate
 the patterns gives the score. So a word counts by the clause it stands in.
 
 Learned from labelled rows: the insult lexicon, word stems and whole words with their log odds over all training texts (verified
-near copies of one text count once), and the logistic layer, from at most ``FIT_ROWS`` training rows. The lexicon has at most
-``LEXICON`` entries, those with the most evidence. The closed classes (threat verbs, persons, negations, speech verbs) are fixed lists.
+near copies of one text count once), and the logistic layer, from at most ``FIT_ROWS`` training rows. An entry is in ``MIN_SHARE`` of the
+toxic training texts or more, so the lexicon is as large as their words allow and does not grow with their number. The closed classes (threat verbs, persons, negations, speech verbs) are fixed lists.
 
 Defined cases: a null or empty text, and one without a match, gets the score of no pattern; without any toxic training row the
 lexicon is empty; labels of unknown documents, null labels and repeated label rows (the greatest counts) do no harm; a
@@ -36,14 +36,14 @@ THREATS = ("kill hurt destroy burn beat shoot stab hang smash crush töten umbri
            "tuer frapper brûler détruire égorger matar golpear quemar destruir apuñalar").split()
 TARGETS = ("you your yours yourself u ur he she they them him her his their these those people du dich dir dein deine ihr "
            "euch sie er tu te toi ton ta tes vous votre vos ils elles lui usted ustedes ellos ellas él ella vosotros").split()
-NEGATIONS = "not no never none nobody neither nor without nicht kein keine nie niemals ne pas jamais aucun sans nunca jamás sin ni".split()
+NEGATIONS = ("not no never none nobody neither nor without cannot nicht kein keine keinen keiner nie niemals ne n' pas jamais aucun aucune "
+             "sans nunca jamás tampoco sin ni").split()
 SPEECH = ("said says say called calls wrote writes told claims claimed quoted sagte sagt schrieb nannte dit disait écrit "
           "appelé dijo dice escribió llamó").split()
 
-INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, WORD, END = range(8)
+INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, WORD, COLON, END = range(9)
 REACH = 4                 # words between a mark and what it marks
 STEM = (3, 8)             # lengths of learned stems
-LEXICON = 20_000          # entries of the learned lexicon
 FIT_ROWS = 20_000         # rows that fit the logistic layer
 MIN_TEXTS = 3             # toxic training texts that a lexicon entry is in, at least
 MIN_SHARE = 0.004         # and their share of all toxic training texts
@@ -53,7 +53,9 @@ THRESHOLD = 0.7
 NEAR = 0.8                # least Jaccard similarity of the word sets of near copies
 TABLES, MINHASHES = 3, 4  # tables that near copies are looked up in, and minhashes of a table's key
 
-TOKEN = re.compile(r"[^\W\d_]+|[.;:!?\n]|[\"“”«»]")
+# Words with an English "not" in them ("isn't") and the French "n'" are words of their own; letters are those of ``WORD_BREAK`` below.
+TOKEN = re.compile(r"[^\W\d_]*n['’]t(?![^\W\d_])|(?<![^\W_])n['’](?=[^\W\d_])|[^\W\d_]+|[.;:!?\n]|[\"“”„«»]")
+WORD_BREAK = r"[^\p{L}\p{Nl}\p{No}]+"
 # Patterns: (kind, at a target, negated, reported)
 PATTERNS = [(k, t, n, r) for k in (INSULT, THREAT) for t in (0, 1) for n in (0, 1) for r in (0, 1)]
 # Prior of the logistic layer: it holds where the rows to fit say nothing.
@@ -72,17 +74,18 @@ def negation(state: tuple, symbol: tuple) -> tuple[tuple, list[tuple]]:
         return (REACH,), [symbol]
     if kind in (INSULT, THREAT):
         return (max(left - 1, 0),), [(kind, weight, marks[0], int(left > 0), marks[2])]
-    return (0 if kind == END else max(left - 1, 0),), [symbol]
+    return (0 if kind in (END, COLON) else max(left - 1, 0),), [symbol]
 
 
 def reported(state: tuple, symbol: tuple) -> tuple[tuple, list[tuple]]:
-    """Mark insults and threats behind a speech verb of the clause or inside quotes. State: (verb seen, quotes open)."""
+    """Mark insults and threats behind a speech verb of the clause or inside quotes. State: (verb seen, quotes open); quotes stay open
+    over the end of a clause, a verb over a colon."""
     kind, weight, *marks = symbol
     verb, quoted = state
     if kind in (INSULT, THREAT):
         return state, [(kind, weight, marks[0], marks[1], int(verb or quoted))]
     if kind == END:
-        return (0, 0), [symbol]
+        return (0, quoted), [symbol]
     return (int(verb or kind == REPORT), quoted ^ int(kind == QUOTE)), [symbol]
 
 
@@ -94,7 +97,7 @@ def target(state: tuple, symbol: tuple) -> tuple[tuple, list[tuple]]:
     out: list[tuple] = []
     if kind == TARGET:
         return (REACH, (), 0), [(k, w, 1, n, r) for k, w, n, r in waiting]
-    if kind == END:
+    if kind in (END, COLON):
         return (0, (), 0), [(k, w, 0, n, r) for k, w, n, r in waiting]
     if waiting and left == 0:
         out, waiting = [(k, w, 0, n, r) for k, w, n, r in waiting], ()
@@ -133,9 +136,9 @@ class Machine:
             self.moves[state, symbol] = known
         return known
 
-    def run(self, symbols: list[tuple]) -> list[tuple]:
+    def run(self, symbols: list[tuple], start: tuple | None = None) -> list[tuple]:
         """Marked insults and threats of a stream of symbols."""
-        state, found = self.start, []
+        state, found = start or self.start, []
         for symbol in symbols:
             state, out = self.move(state, symbol)
             found += out
@@ -151,13 +154,18 @@ class Grammar:
     def __init__(self, lexicon: dict[str, float]):
         self.lexicon = lexicon
         self.closed = {**dict.fromkeys(TARGETS, TARGET), **dict.fromkeys(NEGATIONS, NEGATION),
-                       **dict.fromkeys(SPEECH, REPORT), **dict.fromkeys(THREATS, THREAT), **dict.fromkeys(".;:!?\n", END),
-                       **dict.fromkeys("\"“”«»", QUOTE)}
+                       **dict.fromkeys(SPEECH, REPORT), **dict.fromkeys(THREATS, THREAT), **dict.fromkeys(".;!?\n", END),
+                       **dict.fromkeys("\"“”„«»", QUOTE), ":": COLON}
         self.symbols: dict[str, tuple] = {}
         self.machine = Machine([negation, reported, target], [(0,), (0, 0), (0, (), 0)])
+        self.quoted = ((0,), (0, 1), (0, (), 0))         # at the begin of a clause inside quotes
 
     def symbol(self, word: str) -> tuple:
         """Lexical transducer: the longest stem or whole word of the lexicon decides."""
+        given, word = word, word.replace("’", "'")
+        if word.endswith("n't"):
+            self.symbols[given] = got = (NEGATION, 0, 0, 0, 0)
+            return got
         weight = self.lexicon.get(word + "$")
         for n in range(min(STEM[1], len(word)), STEM[0] - 1, -1):
             if weight is not None:
@@ -170,7 +178,7 @@ class Grammar:
             got = self.PLAIN if kind == WORD else (kind, 1.0 if kind == THREAT else 0, 0, 0, 0)
         if len(self.symbols) >= self.CACHE:
             self.symbols.clear()
-        self.symbols[word] = got
+        self.symbols[given] = got
         return got
 
     def patterns(self, text: str | None) -> list[float]:
@@ -180,7 +188,7 @@ class Grammar:
         words = TOKEN.findall(text.lower()) if text else []
         symbols = [known(w) or self.symbol(w) for w in words]
         marked = [i for i, s in enumerate(symbols) if s[0] <= THREAT]
-        done = 0
+        done = line = quotes = 0              # quotes of the line that ``done`` lies in, up to there
         for i in marked:                      # only clauses with an insult or a threat are run
             if i < done:
                 continue
@@ -190,7 +198,13 @@ class Grammar:
             last = i
             while last < len(symbols) and symbols[last][0] != END:
                 last += 1
-            for kind, weight, at, neg, rep in self.machine.run(symbols[first:last]):
+            for j in range(line, first):
+                if symbols[j][0] == QUOTE:
+                    quotes += 1
+                elif words[j] == "\n":
+                    quotes = 0
+            line = first
+            for kind, weight, at, neg, rep in self.machine.run(symbols[first:last], self.quoted if quotes % 2 else None):
                 sums[kind, at, neg, rep] += weight
             done = last
         return [math.log1p(sums[p]) for p in PATTERNS]
@@ -240,7 +254,7 @@ def families(rows: DataFrame) -> DataFrame:
 
 def learn_lexicon(rows: DataFrame) -> dict[str, float]:
     """Stems and whole words with their log odds in toxic against other texts."""
-    words = F.sort_array(F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) >= STEM[0])))
+    words = F.sort_array(F.array_distinct(F.filter(F.split(F.lower("text"), WORD_BREAK), lambda w: F.length(w) >= STEM[0])))
     rows = families(rows.select("id", "toxic", words.alias("words")).where(F.size("words") > 0))
     totals = rows.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
     bad, good = int(totals[0] or 0), int(totals[1] or 0)
@@ -259,8 +273,8 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
                     + F.when(F.col("g") > 0, F.col("g") * F.log(F.col("g") / (both * (1 - base)))).otherwise(0.0)) if good else F.lit(MIN_EVIDENCE)
     kept = counts.where(F.col("t") >= max(MIN_TEXTS, MIN_SHARE * bad)).select("entry", "t", "g", odds.alias("odds"), evidence.alias("ev"))
     kept = kept.where((F.col("odds") >= MIN_ODDS) & (F.col("ev") >= MIN_EVIDENCE))
-    top = kept.orderBy(F.col("ev").desc(), "entry").limit(LEXICON).collect()
-    table = {r["entry"]: (r["t"], r["g"], r["odds"]) for r in top}
+    # each entry is in MIN_SHARE of the toxic texts, so there are at most their mean number of entries over that share
+    table = {r["entry"]: (r["t"], r["g"], r["odds"]) for r in kept.collect()}
     # a stem gives way to a longer entry that explains nearly all of it as well or better; an entry that a stem which is left
     # covers is not needed
     for e, (toxic, good_ones, weight) in sorted(table.items(), key=lambda kv: -len(kv[0])):

@@ -9,6 +9,8 @@ gives at most one row a day. Intervals are dealt out to the months they touch, c
 looks at 31 days at most per key, however many captures share it. Captures then meet the verdict of their (key, day) in an
 equi-join that Spark can split.
 
+Of a url's authority the host counts: without the user before an ``@``, the port, and dots at the end.
+
 Defined cases: a capture without url, host or fetch time matches nothing and is kept; entries without key, list, action or date do
 not count; of an addition and a removal on one day the removal counts; repeated captures each get their result; empty
 tables give empty or clean results; other columns pass through, and ones named as an added column are replaced.
@@ -19,13 +21,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bankflow.session import cut_lineage
+
+
+SCHEME = r"^\s*[A-Za-z][A-Za-z0-9+.-]*://"     # a backslash ends the host as a slash does: clients take it for one
+
 
 def host_of(url: Column) -> Column:
-    return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1))
+    """The host in lower case, without user, port and dots at its end; empty if there is none."""
+    authority = F.regexp_extract(url, SCHEME + r"([^/?#\\]*)", 1)
+    return F.lower(F.regexp_replace(F.regexp_replace(authority, r"^.*@", ""), r"[.]*(:[0-9]*)?\s*$", ""))
 
 
 def path_of(url: Column) -> Column:
-    return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)", 1)
+    return F.regexp_extract(url, SCHEME + r"[^/?#\\]*[/\\]([^?#]*)", 1)
 
 
 def lookup_keys(url: Column, depth: int) -> Column:
@@ -33,7 +42,7 @@ def lookup_keys(url: Column, depth: int) -> Column:
     ``depth`` segments."""
     host, labels = host_of(url), F.split(host_of(url), r"\.")
     domains = F.transform(F.sequence(F.size(labels), F.lit(1), F.lit(-1)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    steps = F.slice(F.array_remove(F.split(path_of(url), "/"), ""), 1, depth)
+    steps = F.slice(F.array_remove(F.split(path_of(url), r"[/\\]"), ""), 1, depth)
     prefixes = F.transform(F.sequence(F.lit(1), F.greatest(F.size(steps), F.lit(1))), lambda i: F.concat_ws("/", host, F.array_join(F.slice(steps, 1, i), "/")))
     return F.when(F.length(host) > 0, F.when(F.size(steps) > 0, F.concat(domains, prefixes)).otherwise(domains))
 
@@ -49,11 +58,18 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: str = "fetched") -> DataFrame:
-    """Add ``matched_key``, ``matched_list``, ``listed_from`` and ``blocked`` to each capture."""
+    """Add ``matched_key``, ``matched_list``, ``listed_from`` and ``blocked`` to each capture.
+
+    Entries and looked-up keys are stored once; captures are read for the keys and for the result."""
     base = captures.drop("matched_key", "matched_list", "listed_from", "blocked")
-    base = base.withColumn("_row", F.struct(*[F.xxhash64(*base.columns).alias("hash"), F.col(url).alias("url"), F.col(fetched).alias("at")]))
+    name = "capture"                                  # a capture's verdict depends on its url and time only
+    while name in base.columns:
+        name += "_"
+    base = base.withColumn(name, F.struct(F.col(url).alias("url"), F.col(fetched).alias("at")))
+    entries = cut_lineage(entries.select("list", "key", "action", "day"), "url-entries")
     depth = entries.agg(F.max(F.size(F.split("key", "/")) - 1)).first()[0] or 0      # of the deepest key of the lists
-    wanted = base.select("_row", F.to_date(fetched).alias("day"), F.posexplode(lookup_keys(F.col(url), max(depth, 0))).alias("rank", "key")).where("day is not null").distinct()
+    wanted = base.select(F.col(name).alias("capture"), F.to_date(fetched).alias("day"), F.posexplode(lookup_keys(F.col(url), max(depth, 0))).alias("rank", "key"))
+    wanted = cut_lineage(wanted.where("day is not null").distinct(), "url-keys")
     month = lambda d: F.trunc(d, "month")
     last = wanted.agg(F.max("day")).first()[0]
     active = intervals(entries)
@@ -63,7 +79,7 @@ def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", fetched:
     asked = wanted.select("key", "day").distinct().withColumn("month", month("day"))
     known = (asked.join(monthly, ["key", "month"]).where((F.col("from") <= F.col("day")) & (F.col("to").isNull() | (F.col("day") < F.col("to"))))
              .groupBy("key", "day").agg(F.max(F.struct("list", "from")).alias("hit")))      # 'block' is the greater
-    best = (wanted.join(known, ["key", "day"]).groupBy("_row").agg(F.max(F.struct("rank", "key", "hit")).alias("m")))
-    out = base.join(best, "_row", "left").drop("_row")
-    return out.select("*", F.col("m.key").alias("matched_key"), F.col("m.hit.list").alias("matched_list"), F.col("m.hit.from").alias("listed_from"),
-                      F.coalesce(F.col("m.hit.list") == "block", F.lit(False)).alias("blocked")).drop("m")
+    best = wanted.join(known, ["key", "day"]).groupBy(F.col("capture").alias(name)).agg(F.max(F.struct("rank", "key", "hit")).alias("verdict_"))
+    out, m = base.join(best, name, "left").drop(name), F.col("verdict_")
+    return out.select(*[F.col(f"`{c}`") for c in out.columns if c != "verdict_"], m["key"].alias("matched_key"), m["hit"]["list"].alias("matched_list"),
+                      m["hit"]["from"].alias("listed_from"), F.coalesce(m["hit"]["list"] == "block", F.lit(False)).alias("blocked"))

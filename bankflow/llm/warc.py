@@ -70,10 +70,15 @@ def unchunked(body: bytes) -> bytes | None:
         at += size + 2
 
 
-def page_records(row: int, page_id: int | None, url: str | None, payload: bytes, refers_to: int | None,
+def record_id(archive: str, row: int, segment: int = 1) -> str:
+    """Id of a record: it follows from the archive's own random id, so records of different archives never share one."""
+    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.md5(f'{archive}-{row}-{segment}'.encode()).digest())}>"
+
+
+def page_records(archive: str, row: int, page_id: int | None, url: str | None, payload: bytes, refers_to: int | None,
                  revisit: bool) -> list[bytes]:
     """The records of one page, each without the two line ends behind it."""
-    name = f"<urn:uuid:{uuid.UUID(bytes=hashlib.md5(b'%d' % row).digest())}>"
+    name = record_id(archive, row)
     digest = "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode()
     clean = url if url is None else re.sub(r"[\r\n]", " ", url)
     common = [("WARC-Date", "2024-01-01T00:00:00Z"), ("WARC-Target-URI", clean), ("Page-Id", page_id),
@@ -88,8 +93,7 @@ def page_records(row: int, page_id: int | None, url: str | None, payload: bytes,
     out = [_fields([("WARC-Type", "response"), ("WARC-Record-ID", name), *common,
                     ("WARC-Segment-Number", 1 if len(cuts) > 1 else None), ("Content-Length", len(cuts[0]))]) + cuts[0]]
     for n, cut in enumerate(cuts[1:], 2):
-        own = f"<urn:uuid:{uuid.UUID(bytes=hashlib.md5(b'%d-%d' % (row, n)).digest())}>"
-        out.append(_fields([("WARC-Type", "continuation"), ("WARC-Record-ID", own), ("WARC-Date", "2024-01-01T00:00:00Z"),
+        out.append(_fields([("WARC-Type", "continuation"), ("WARC-Record-ID", record_id(archive, row, n)), ("WARC-Date", "2024-01-01T00:00:00Z"),
                             ("WARC-Segment-Origin-ID", name), ("WARC-Segment-Number", n),
                             ("WARC-Segment-Total-Length", len(block) if n == len(cuts) else None),
                             ("Content-Length", len(cut))]) + cut)
@@ -98,6 +102,7 @@ def page_records(row: int, page_id: int | None, url: str | None, payload: bytes,
 
 def write(pages: DataFrame, folder: str, page: str = "page_id", url: str = "url", html: str = "html") -> None:
     """Archive every page under ``folder``."""
+    archive_id = uuid.uuid4().hex
     payload = F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8")
     rows = pages.select(F.col(page).cast("bigint").alias("page_id"), F.col(url).alias("url"), payload.alias("payload"))
     rows = rows.withColumn("sha", F.sha1("payload"))
@@ -113,7 +118,7 @@ def write(pages: DataFrame, folder: str, page: str = "page_id", url: str = "url"
             columns = [batch.column(batch.schema.get_field_index(c)) for c in ("row", "page_id", "url", "payload", "kept", "revisit")]
             for i in range(batch.num_rows):
                 row, page_id, link, body, keep, again = (c[i].as_py() for c in columns)
-                for record in page_records(row, page_id, link, body, keep, again):
+                for record in page_records(archive_id, row, page_id, link, body, keep, again):
                     held.append(record)
                     size += len(record)
                 if size >= BATCH_BYTES:
@@ -205,7 +210,8 @@ def reassemble(records: DataFrame) -> DataFrame:
     joined = parts.groupBy(F.coalesce("origin_id", "record_id").alias("origin")).agg(
         *[head(c) for c in columns], F.max("total_length").alias("total"), F.count(F.lit(1)).alias("n"), F.max("segment").alias("last"),
         F.countDistinct("segment").alias("numbers"), F.sort_array(F.collect_list(F.struct("segment", "block"))).alias("parts"))
-    block = F.aggregate("parts", F.lit(b""), lambda a, p: F.concat(a, p["block"]))
+    # joined as strings, whose bytes Spark leaves as they are: one pass, however many segments there are
+    block = F.array_join(F.transform("parts", lambda p: p["block"].cast("string")), "").cast("binary")
     joined = joined.withColumn("block", block)
     good = (F.col("n") == F.col("last")) & (F.col("numbers") == F.col("n")) & F.coalesce(F.octet_length("block") == F.col("total"), F.lit(False))
     joined = joined.where("record_id is not null").select(*columns, F.when(good, F.col("block")).alias("block"), good.alias("complete"))

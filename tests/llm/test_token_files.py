@@ -86,3 +86,16 @@ def test_other_tokenizers_are_refused():
 
     with pytest.raises(ValueError):
         token_files.check_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_a_tokenizer_with_capitals_is_refused(tmp_path):
+    """The encoder takes words of letters without regard to case, so the tokenizer must do so, too."""
+    import json
+
+    spec = json.load(open(registry.WORD_BPE))
+    token_files.check_tokenizer(registry.WORD_BPE)
+    spec["normalizer"]["normalizers"] = [n for n in spec["normalizer"]["normalizers"] if n["type"] != "Lowercase"]
+    cased = tmp_path / "cased.json"
+    cased.write_text(json.dumps(spec))
+    with pytest.raises(ValueError):
+        token_files.check_tokenizer(str(cased))

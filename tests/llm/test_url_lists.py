@@ -6,13 +6,16 @@ from bankflow.llm import url_lists
 
 
 def keys(url):
-    import re
-
-    m = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)[^/?#]*/?([^?#]*)", url or "")
-    if not m:
+    scheme, found, rest = (url or "").strip().partition("://")
+    if not found or not scheme[:1].isalpha() or not scheme.replace("+", "").replace(".", "").replace("-", "").isalnum():
+        return []
+    place = rest.replace("\\", "/").split("#")[0].split("?")[0]
+    authority, *steps = place.split("/")
+    host = authority.split("@")[-1].lower()
+    host = (host[:host.index("]") + 1] if host.startswith("[") else host.split(":")[0]).rstrip(".")
+    if not host:
         return []
-    host = m[1].lower()
-    labels, steps = host.split("."), [s for s in m[2].split("/") if s][:3]
+    labels, steps = host.split("."), [s for s in steps if s][:3]
     return [".".join(labels[i:]) for i in range(len(labels) - 1, -1, -1)] + ["/".join([host, *steps[:i]]) for i in range(1, len(steps) + 1)]
 
 
@@ -42,7 +45,7 @@ def test_against_plain(spark):
     rng = random.Random(5)
     hosts = ["a.example.com", "b.example.com", "example.org", "x.y.z"]
     day = lambda: dt.date(2024, 1, 1) + dt.timedelta(rng.randrange(120))
-    urls = [f"{s}://{h}{p}" for s in ("http", "HTTPS") for h in [*hosts, "A.Example.com:80"] for p in ("", "/", "/p/q?r=/z", "/p//q/r/s/t#x", "?q")]
+    urls = [f"{s}://{h}{p}" for s in ("http", "HTTPS") for h in [*hosts, "A.Example.com:80", "user:pw@a.example.com", "x@example.org.", "me@b@X.y.z.:8080"] for p in ("", "/", "/p/q?r=/z", "/p//q/r/s/t#x", "?q")]
     caps = [(i, rng.choice(urls), dt.datetime.combine(day(), dt.time(rng.randrange(24))), "c") for i in range(400)]
     caps += [(900, None, caps[0][2], None), (901, "nonsense", caps[0][2], None), (902, urls[0], None, None), caps[0], caps[0]]
     named = ["example.com", "com", "a.example.com", "a.example.com/p", "a.example.com/p/q", "x.y.z", "example.org/p", "b.example.com/p/q/r"]
@@ -71,3 +74,21 @@ def test_prefixes_of_any_depth(spark):
                                ("block", f"a.b.org/{path}", "add", dt.date(2024, 1, 3))], "list string, key string, action string, day date")
     got = [(r["matched_key"], r["blocked"]) for r in url_lists.evaluate(c, e).orderBy("page_id").collect()]
     assert got == [("b.org", True), ("a.b.org/s0/s1/s2/s3", False), (f"a.b.org/{path}", True)]
+
+
+def test_hosts(spark):
+    """A user, a port, dots at the end, capitals and backslashes hide no host."""
+    from pyspark.sql import functions as F
+
+    urls = ["http://user:pw@evil.com/x", "HTTP://x@Evil.com/", "http://evil.com./x", "http://evil.com:/", "http://a@b@evil.com.:80?q", "http://evil.com\\@good.org/x",
+            "  https://evil.com", "ftp://evil.com#@good.org"]
+    got = spark.createDataFrame([(u,) for u in [*urls, "http://[::1]:80/x", "http:///x", "http://@/x", "evil.com/x"]], "u string").select(url_lists.host_of(F.col("u"))).collect()
+    assert [r[0] for r in got] == ["evil.com"] * len(urls) + ["[::1]", "", "", ""]
+
+
+def test_columns_of_any_type(spark):
+    rows = [(1, "http://a.b/", dt.datetime(2024, 1, 1), {"k": 1}, "x", 5)]
+    c = spark.createDataFrame(rows, "page_id bigint, url string, fetched timestamp_ntz, capture map<string,int>, verdict string, key int")
+    e = spark.createDataFrame([("block", "b", "add", dt.date(2023, 1, 1))], "list string, key string, action string, day date")
+    out = url_lists.evaluate(c, e)
+    assert out.columns[:6] == c.columns and out.first()["capture"] == {"k": 1} and out.first()["blocked"]

@@ -73,7 +73,7 @@ def test_chunked_framing(size):
 
 
 def test_parse_refuses_cut_archives():
-    data = b"\r\n\r\n".join(warc.page_records(1, 1, "u", b"hello", None, False)) + b"\r\n\r\n"
+    data = b"\r\n\r\n".join(warc.page_records("a", 1, 1, "u", b"hello", None, False)) + b"\r\n\r\n"
     assert len(list(warc.parse(data))) == 1
     with pytest.raises(ValueError):
         list(warc.parse(data[:-10]))
@@ -81,6 +81,21 @@ def test_parse_refuses_cut_archives():
         list(warc.parse(b"junk" + data))
 
 
+def test_archives_read_together(spark):
+    """Record ids are unique over archives: two folders of segmented pages, read as one."""
+    folders = [stored(spark, [(n, "u", f"{n} " * 20_000, None, None), (n + 10, "u", f"{n + 10}-" * 9_000, None, None)]) for n in (1, 2)]
+    records = warc.read_records(spark, folders[0]).union(warc.read_records(spark, folders[1]))
+    assert records.select("record_id").distinct().count() == records.count()
+    rows = warc.reassemble(records).collect()
+    assert sorted(r["page_id"] for r in rows if r["complete"]) == [1, 2, 11, 12]
+
+
+def test_a_page_of_many_segments(spark):
+    body = "".join(f"{i:07d}\u00e9" for i in range(900_000))
+    rows = warc.read(spark, stored(spark, [(1, "u", body, None, None)])).collect()
+    assert [bytes(r["payload"]).decode() for r in rows] == [body]
+
+
 def test_empty_table(spark):
     assert result(spark, stored(spark, [])) == []
 
