@@ -3,11 +3,13 @@
 A window is ``width`` consecutive words of a benchmark item (all of them for a shorter item). The tokens of the join are
 shingles of ``SHINGLE`` words, of windows with fewer words the whole window.
 
-1. Rarity: how often each benchmark shingle occurs in all documents (map-side counts).
+1. Rarity: how often each benchmark shingle occurs in all documents. The places found are stored, so documents are split into
+   words once here and once in the end, and the counts are partial before they are shuffled.
 2. Prefix: a text contains a window only if it contains all its shingles, so the prefix that must be joined is one
    shingle, the rarest of the window. A window with a shingle that no document has is out.
-3. Candidates: occurrences of prefix shingles in documents give the only places a window can start at; the place must lie in
-   the document (position and length bounds).
+3. Candidates: the stored places of prefix shingles are the only ones a window can start at; the place must lie in the document
+   (position and length bounds). A document has as many candidates as it has places of a shingle times the windows whose rarest
+   shingle that is.
 4. Each document gets its candidates and compares the window with its words at that place.
 
 The benchmark side is joined without hints: Spark broadcasts it if its size is below the session's limit and shuffles narrow
@@ -15,7 +17,7 @@ The benchmark side is joined without hints: Spark broadcasts it if its size is b
 
 Defined cases: a null text has no words and no items; an item without words has no window; repeated items and items
 with equal texts are each counted by id, an item without an id hits words but is not listed; rows equal in id and
-text get the same result each; a document's candidates are bounded by its own length; empty tables give empty or clean results; extra columns are not read.
+text get the same result each; empty tables give empty or clean results; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -65,8 +67,9 @@ def occurrences(docs: DataFrame, sizes: list[int]) -> DataFrame:
     return out
 
 
-def prefixes(windows: DataFrame, docs: DataFrame) -> tuple[DataFrame, list[int]]:
-    """The rarest shingle of each window: (hash, size, offset, len, window), and the shingle sizes in use.
+def prefixes(windows: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The rarest shingle of each window: (hash, size, offset, len, window), and the places of all windows' shingles in documents
+    (see ``occurrences``), stored; None without windows.
 
     Sizes are at most ``SHINGLE`` different numbers."""
     each = None
@@ -78,13 +81,13 @@ def prefixes(windows: DataFrame, docs: DataFrame) -> tuple[DataFrame, list[int]]
     each = cut_lineage(each, "window-shingle")
     sizes = sorted(r["size"] for r in each.select("size").distinct().collect())
     if not sizes:
-        return each.select("hash", "size", "offset", "len", "window"), []
+        return each.select("hash", "size", "offset", "len", "window"), None
     wanted = each.select("hash", "size").distinct()
-    found = occurrences(docs, sizes).join(wanted, ["hash", "size"], "left_semi")
+    found = cut_lineage(occurrences(docs, sizes).join(wanted, ["hash", "size"], "left_semi"), "places")
     rarity = found.groupBy("hash", "size").agg(F.count(F.lit(1)).alias("times"))
     ranked = each.join(rarity, ["hash", "size"], "left").withColumn("times", F.coalesce("times", F.lit(0)))
     rarest = ranked.groupBy("window", "len", "size").agg(F.min(F.struct("times", "hash", "offset")).alias("m"))
-    return rarest.where("m.times > 0").select("m.hash", "size", "m.offset", "len", "window"), sizes
+    return rarest.where("m.times > 0").select("m.hash", "size", "m.offset", "len", "window"), found
 
 
 def contamination(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: str = "text", item: str = "item_id",
@@ -95,11 +98,11 @@ def contamination(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text:
     row = F.struct(F.col(doc).alias("id"), F.xxhash64(text).alias("text"))
     split = docs.select(row.alias("row"), words(F.col(text)).alias("w"))
     windows = cut_lineage(item_windows(items, item, item_text, width), "window")
-    prefix, sizes = prefixes(windows.select("window").distinct(), split)
+    prefix, places = prefixes(windows.select("window").distinct(), split)
     prefix = cut_lineage(prefix, "prefix")
     full = docs.select(row.alias("row"), *kept, F.col(text).alias("whole text"))      # a text is smaller than its words
-    if sizes:
-        near = occurrences(split, sizes).join(prefix, ["hash", "size"]).select(
+    if places is not None:
+        near = places.join(prefix, ["hash", "size"]).select(
             "row", (F.col("at") - F.col("offset")).alias("start"), "len", "n", "window")
         near = near.where((F.col("start") >= 1) & (F.col("start") + F.col("len") - 1 <= F.col("n")))
         near = near.groupBy("row").agg(F.collect_set(F.struct("start", "len", "window")).alias("near"))

@@ -37,6 +37,7 @@ RUN = rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{LEAST},}}+(?:={{1,2}}+(?![A-Za-z0
 FALSE_SHARE = 0.05
 FLOOR = 1e-9             # least p-value of one test
 BINS = 100
+FOLD = 256               # matches of a text whose places are added up at a time
 POOL = 20                # runs that the tail of a wider pool counts as
 TEXT_TAIL = 0.004        # share of text-like runs with p >= t is this over t where the data say nothing (identifiers of Python's library)
 
@@ -49,23 +50,36 @@ ENCODINGS = {"hex": DIGITS + "abcdef", "HEX": DIGITS + "ABCDEF", "base32": UPPER
 SPAN = "array<struct<kind:string,start:int,end:int>>"
 
 
+def let(value: Column, fn) -> Column:
+    """``fn(value)``, the value computed once: inside a lambda Spark computes an expression as often as it is written."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def matches(text: Column, pattern: str, group: int) -> Column:
     """Array of (start, end, part) of all matches from left to right; ``part`` is the group's text.
 
-    The text between matches and the matches themselves alternate, so places are sums of lengths."""
+    The text between matches and the matches themselves alternate, so places are sums of lengths. They are added up in blocks of
+    ``FOLD`` matches, as a fold that appends copies what it has so far."""
     whole, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern)
     part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
     rows = F.arrays_zip(whole.alias("whole"), part.alias("part"), F.slice(between, 1, F.size(whole)).alias("gap"))
-    none = F.array().cast("array<struct<start:int,end:int,part:string>>")
-    folded = F.aggregate(
-        rows, F.struct(F.lit(0).alias("at"), none.alias("found")),
-        lambda acc, m: F.struct(
+    kind = "array<struct<start:int,end:int,part:string>>"
+    none, no_block = F.array().cast(kind), F.array().cast(f"array<{kind}>")
+
+    def folded(of: Column, at: Column) -> Column:
+        return F.aggregate(of, F.struct(at.alias("at"), none.alias("found")), lambda acc, m: F.struct(
             (acc["at"] + F.length(m["gap"]) + F.length(m["whole"])).alias("at"),
             F.concat(acc["found"], F.array(F.struct(
                 (acc["at"] + F.length(m["gap"])).alias("start"),
                 (acc["at"] + F.length(m["gap"]) + F.length(m["whole"])).alias("end"),
                 m["part"].alias("part")))).alias("found")))
-    return F.when(F.rlike(text, F.lit(pattern)), folded["found"]).otherwise(none)
+
+    def one_more(acc: Column, block: Column) -> Column:
+        return let(folded(block, acc["at"]), lambda new: F.struct(new["at"].alias("at"), F.concat(acc["blocks"], F.array(new["found"])).alias("blocks")))
+
+    blocks = let(rows, lambda r: F.transform(F.sequence(F.lit(0), F.floor((F.size(r) - 1) / FOLD).cast("int")), lambda i: F.slice(r, i * FOLD + 1, FOLD)))
+    all_ = F.aggregate(blocks, F.struct(F.lit(0).alias("at"), no_block.alias("blocks")), one_more, lambda acc: F.flatten(acc["blocks"]))
+    return F.when(F.rlike(text, F.lit(pattern)), all_).otherwise(none)
 
 
 def base_spans(text: Column) -> Column:
