@@ -2,7 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
 Toxic documents go; of each group of near copies the one with the least id stays; documents with benchmark passages go; secrets are
-replaced by a mark; what is left is encoded. A document without id or text, or with an empty one, is clean and stays.
+replaced by a mark; what is left is encoded. A document without id or text, or with an empty one, is clean and stays. Of rows
+that repeat id and text one stays, as of any copies (rows without an id repeat each other if their texts are equal); rows without a text stay.
 """
 
 from __future__ import annotations
@@ -40,7 +41,10 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies on five-word shingles at 0.8."""
     marked, name = _marked(docs)
-    return _without(docs, near_dup.near_duplicates(marked, k=5, keep=[name]).where("not kept"))
+    own = f"{name}_own"                              # tells rows without a text apart
+    rows = marked.withColumn(own, F.when(F.coalesce(F.length("text"), F.lit(0)) == 0, F.monotonically_increasing_id()))
+    once = rows.dropDuplicates(["doc_id", name, own]).select(*docs.columns)
+    return _without(once, near_dup.near_duplicates(marked, k=5, keep=[name]).where("not kept"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
