@@ -60,4 +60,13 @@ def test_stages_take_odd_rows(spark):
         docs = spark.createDataFrame(data, schema)
         for name, stage in corpus_pipeline.STAGES:
             docs = cut_lineage(stage(spark, docs, SF_SMALL), "stage")
-            assert docs.count() == len(data), name
+            repeated = 1 if data and name != "toxicity" else 0          # of the two rows (1, "a b c") one stays
+            assert docs.count() == len(data) - repeated, name
+
+
+def test_one_of_repeated_rows_stays(spark):
+    rows = [(1, "some text of more than five words"), (1, "some text of more than five words"), (1, "another"), (None, "no id"), (None, "no id"),
+            (None, None), (None, None), (2, ""), (2, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = corpus_pipeline.drop_near_copies(spark, docs, SF_SMALL).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([rows[0], rows[2], rows[3], *rows[5:]], key=str)
