@@ -34,9 +34,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from bankflow.operators.published import Keyed, Published, State
 from bankflow.session import cut_lineage, work_dir
 
 MONEY = "decimal(18,2)"
@@ -317,6 +318,63 @@ def post_batch(opening: DataFrame, requests: DataFrame, partitions: int | None =
     return Posting(decisions, ledger, closing, rounds)
 
 
+# ------------------------------------------------------------------ posting in micro-batches
+BALANCES, DECISIONS, LEDGER = "balances", "decisions", "ledger"
+BALANCE_SCHEMA = "account_id bigint, balance decimal(38,2)"
+DECISION_SCHEMA = ("id bigint, account_id bigint, txn_type string, amount decimal(18,2), accepted boolean, reject_reason string, "
+                   "balance_after decimal(18,2)")
+LEDGER_SCHEMA = "id bigint, transaction_id bigint, account_id bigint, entry_type string, amount decimal(18,2), created_at timestamp_ntz"
+
+
+def _books(spark: SparkSession, root: str) -> tuple[Published, Keyed, State]:
+    """Published balances per account, decisions and ledger entries."""
+    table = Published(spark, root)
+    state = table.state()
+    return table, Keyed(table, BALANCES, "account_id", BALANCE_SCHEMA), state
+
+
+def open_accounts(spark: SparkSession, root: str, accounts: DataFrame) -> None:
+    """Add accounts (account_id, balance; one row each) to the books at ``root``; those that are there keep their balance."""
+    table, balances, state = _books(spark, root)
+    new = accounts.select(F.col("account_id").cast("bigint"), F.col("balance").cast(SUM_MONEY))
+    new = cut_lineage(new.join(balances.read(state).select("account_id"), "account_id", "left_anti"), "accounts")
+    table.publish(state, balances.write(state, new, new.count()))
+
+
+def post_stream_batch(spark: SparkSession, root: str, requests: DataFrame, batch: tuple[str, int], before_publish=None) -> None:
+    """Post one micro-batch of requests against the published balances; its decisions, ledger entries and the balances it leaves are
+    published at once, with the batch's name (stream id, batch id). A batch that has been published is not posted again.
+
+    Batches post in the order in which they come, requests of one batch by id, so requests that come in order of their ids get the
+    decisions of one batch with all of them, wherever they are cut. Only the buckets of the accounts concerned are read."""
+    table, balances, state = _books(spark, root)
+    if state.batch_done(*batch):
+        return
+    requests = cut_lineage(requests, "requests")
+    ids = requests.select(F.explode(F.array(F.col("account_id").cast("bigint"), F.col("related_account_id").cast("bigint"))).alias("account_id"))
+    ids = ids.where("account_id is not null").distinct()
+    ids = cut_lineage(ids, "accounts")
+    opening = cut_lineage(balances.read(state, balances.buckets_of(state, ids)).join(ids, "account_id", "left_semi"), "opening")
+    posted = post_batch(opening, requests)
+    closing = cut_lineage(posted.closing, "closing")
+    n = requests.count()
+    added = {**table.write(posted.decisions, DECISIONS, rows=n), **table.write(posted.ledger, LEDGER, rows=2 * n), **balances.write(state, closing, closing.count())}
+    if before_publish is not None:
+        before_publish()
+    state = table.publish(state, added, streams={batch[0]: batch[1]})
+    state = balances.compact(state)
+    table.compact(table.compact(state, DECISIONS, DECISION_SCHEMA), LEDGER, LEDGER_SCHEMA)
+
+
+def read_books(spark: SparkSession, root: str) -> Posting | None:
+    """What has been posted so far; None before the first batch. ``closing`` has the balances of all accounts."""
+    table, balances, state = _books(spark, root)
+    decisions = table.read(state, DECISIONS, DECISION_SCHEMA)
+    if decisions is None:
+        return None
+    return Posting(decisions, table.read(state, LEDGER, LEDGER_SCHEMA), balances.read(state), 0)
+
+
 # ------------------------------------------------------------------ L6, L8, L9, L10
 def closing_balances(opening: DataFrame, moves: DataFrame) -> DataFrame:
     """Opening + sum of accepted movements per account (a NULL balance stays NULL)."""

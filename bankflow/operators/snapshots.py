@@ -1,15 +1,9 @@
 """SCD2 snapshots with the "check" strategy.
 
-Rows lie in hash buckets of the key. A run writes, to a folder of its own
-(``runs/run=<n>/is_open=<bool>/bucket=<b>``), the rows it closed and the whole
-open set of each bucket it touched; then it publishes itself by one small marker
-(``published/run=<n>``), which names its ``as_of`` and those buckets. Readers use
-published runs only:
-
-    current table = closed rows of all runs  UNION  per bucket, the open rows of the last run that touched it
-
-so a run that dies on the way leaves nothing that anybody reads, a repeated run
-overwrites its own folder, and a run without changes writes a marker only.
+A snapshot is a published table (``operators.published``) of two kinds: ``closed`` versions, only ever added to, and ``open`` ones, keyed:
+a run adds the versions it opened, and of a key's rows the latest counts. So a run writes what has changed, however large the
+snapshot is; small segments are merged by levels; a run shows with the log file that it publishes last. One that dies leaves nothing that
+anybody reads, and one without changes adds no rows.
 """
 
 from __future__ import annotations
@@ -19,12 +13,12 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bankflow.operators.published import Keyed, Published
 from bankflow.schemas import SNAPSHOT_META
-from bankflow.session import cut_lineage, path_exists
+from bankflow.session import cut_lineage
 
 STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-BUCKETS = 16
-MARKER = "as_of timestamp_ntz, buckets array<int>, stream string, batch bigint, run int"
+OPEN, CLOSED = "open", "closed"
 
 
 def scd_id(key: Column, valid_from: Column) -> Column:
@@ -82,74 +76,57 @@ def check_source(source: DataFrame, key: str) -> None:
 
 
 # ------------------------------------------------------------------ storage
-def published(spark: SparkSession, root: str) -> list[tuple[int, dt.datetime, list[int]]]:
-    """(run, as_of, touched buckets) of every published run, in order: one small row per run."""
-    if not path_exists(spark, f"{root}/published"):
-        return []
-    rows = spark.read.schema(MARKER).parquet(f"{root}/published").collect()
-    return sorted((r["run"], r["as_of"], list(r["buckets"])) for r in rows)
+def last_run(spark: SparkSession, root: str) -> tuple[int, dt.datetime] | None:
+    """(number, as_of) of the last published run."""
+    info = Published(spark, root).state().info
+    return (info["runs"], dt.datetime.fromisoformat(info["as_of"])) if info.get("runs") else None
 
 
 def batch_published(spark: SparkSession, root: str, stream: str, batch: int) -> bool:
     """Whether a micro-batch of a stream has published its run; runs of other writers and streams do not count."""
-    if not path_exists(spark, f"{root}/published"):
-        return False
-    marks = spark.read.schema(MARKER).parquet(f"{root}/published")
-    return bool(marks.where((F.col("stream") == stream) & (F.col("batch") == batch)).take(1))
-
-
-def _stored(spark: SparkSession, root: str, runs, schema: str) -> tuple[DataFrame, DataFrame]:
-    """(closed rows, open rows) of the published runs; all conditions are on partition columns."""
-    files = spark.read.schema(schema + ", run int, is_open boolean, bucket int").parquet(f"{root}/runs")
-    last: dict[int, int] = {b: run for run, _, touched in runs for b in touched}
-    newest = F.lit(False)
-    for run in sorted(set(last.values())):
-        newest = newest | ((F.col("run") == run) & F.col("bucket").isin([b for b, r in last.items() if r == run]))
-    closed = files.where(~F.col("is_open") & F.col("run").isin([run for run, _, _ in runs]))
-    return closed.drop("run", "is_open", "bucket"), files.where(F.col("is_open") & newest).drop("run", "is_open", "bucket")
+    return Published(spark, root).state().batch_done(stream, batch)
 
 
 def _schema(root_schema) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in root_schema)
 
 
-def read_snapshot(spark: SparkSession, root: str, schema: str | None = None) -> DataFrame | None:
+def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
     """All versions of the published runs; None before the first."""
-    runs = published(spark, root)
-    if not runs:
+    table = Published(spark, root)
+    state = table.state()
+    if not state.info.get("runs"):
         return None
-    if schema is None:
-        schema = spark.read.parquet(f"{root}/schema").schema
-        schema = _schema(schema)
-    closed, opened = _stored(spark, root, runs, schema)
-    return closed.unionByName(opened)
+    closed, opened = table.read(state, CLOSED, state.info["schema"]), Keyed(table, OPEN, state.info["key"], state.info["schema"]).read(state)
+    return opened if closed is None else closed.unionByName(opened)
 
 
 def run_snapshot(spark: SparkSession, root: str, source: DataFrame, key: str, check_cols: list[str], as_of,
                  batch_of: tuple[str, int] | None = None) -> DataFrame:
     """Apply one snapshot step to the table at ``root`` and return the whole snapshot. ``as_of`` must be later than that of
     the run before; the source must be unique on ``key`` (both are checked). An empty source is a run without changes.
-    ``batch_of`` (stream id, batch id) goes into the marker of a step that a micro-batch makes."""
+    ``batch_of`` (stream id, batch id) is published with a step that a micro-batch makes. Only the buckets of the source's keys are read."""
     as_of = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(str(as_of))
-    runs = published(spark, root)
-    if runs and as_of <= runs[-1][1]:
-        raise ValueError(f"as_of {as_of} is not later than that of the last run, {runs[-1][1]}")
+    table = Published(spark, root)
+    state = table.state()
+    before = state.info.get("as_of")
+    if before is not None and as_of <= dt.datetime.fromisoformat(before):
+        raise ValueError(f"as_of {as_of} is not later than that of the last run, {before}")
     source = cut_lineage(source, "snapshot-source")
     check_source(source, key)
-    shape = _open_version(source.limit(0), key, F.lit(as_of).cast("timestamp_ntz"))
-    schema, n = _schema(shape.schema), (runs[-1][0] if runs else 0) + 1
-    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(BUCKETS)).cast("int")
-    open_rows = _stored(spark, root, runs, schema)[1] if runs else None
-    changes = cut_lineage(scd2_changes(open_rows, source, key, check_cols, as_of).withColumn("bucket", bucket), "snapshot-changes")
-    touched = sorted(r[0] for r in changes.select("bucket").distinct().collect())       # at most BUCKETS
-    batch = changes
-    if open_rows is not None:
-        kept = open_rows.withColumn("bucket", bucket).where(F.col("bucket").isin(touched))
-        kept = kept.join(changes.where("not is_open").select(key), key, "left_anti").withColumn("is_open", F.lit(True))
-        batch = changes.unionByName(kept)
-    if not runs:
-        shape.write.mode("overwrite").parquet(f"{root}/schema")
-    batch.write.mode("overwrite").partitionBy("is_open", "bucket").parquet(f"{root}/runs/run={n}")
-    marker = spark.createDataFrame([(as_of, touched, *(batch_of or (None, None)))], MARKER.removesuffix(", run int")).coalesce(1)
-    marker.write.mode("overwrite").parquet(f"{root}/published/run={n}")
-    return read_snapshot(spark, root, schema)
+    shape = _schema(_open_version(source.limit(0), key, F.lit(as_of).cast("timestamp_ntz")).schema)
+    news = {"runs": state.info.get("runs", 0) + 1, "as_of": as_of.isoformat(), "key": key, "schema": shape}
+    if batch_of is not None:
+        news["streams"] = {batch_of[0]: batch_of[1]}
+    opened = Keyed(table, OPEN, key, shape)
+    known = opened.read(state, opened.buckets_of(state, source)) if state.of(OPEN) else None
+    changes = cut_lineage(scd2_changes(known, source, key, check_cols, as_of), "snapshot-changes")
+    counts = {r["is_open"]: r["count"] for r in changes.groupBy("is_open").count().collect()}       # two rows
+    added = {}
+    if counts.get(True):
+        added |= opened.write(state, changes.where("is_open").drop("is_open"), counts[True])
+    if counts.get(False):
+        added |= table.write(changes.where("not is_open").drop("is_open"), CLOSED, rows=counts[False])
+    state = table.publish(state, added, **news)
+    table.compact(opened.compact(state), CLOSED, shape)
+    return read_snapshot(spark, root)

@@ -347,6 +347,9 @@ FROM upserts GROUP BY table_name"""
 Q["ingest_run"] = Q["load_report"]
 Q["ingest_two_days"] = with_(None, "upserts") + f"""SELECT table_name, count(DISTINCT day) AS files, count(*) AS rows
 FROM upserts WHERE ts_ms >= {DAY2_MS} GROUP BY table_name"""
+Q["raw_load_quarantine"] = with_(None, "upserts") + """SELECT table_name, count(*) FILTER (WHERE table_name <> 'accounts' OR seq >= 100) AS rows_before,
+       CAST(CASE WHEN table_name = 'accounts' THEN 1 ELSE 0 END AS BIGINT) AS rejected_before, count(*) AS rows_after,
+       CAST(0 AS BIGINT) AS rejected_after FROM upserts GROUP BY table_name"""
 Q["raw_scan"] = with_(None, "upserts") + "SELECT seq, row_id, day AS date FROM upserts WHERE table_name = 'accounts'"
 Q["cdc_read_batch"] = Q["cdc_unwrap"]
 Q["landing_unlisted_table"] = with_(None, "upserts") + """SELECT table_name, count(*) AS rows,
@@ -413,6 +416,13 @@ Q["facts_upsert"] = _facts_two("7 days", upsert=True)
 Q["facts_null_time_rerun"] = with_(None, "stg_txn") + f"""SELECT transaction_id,
        CASE WHEN CAST(transaction_id AS BIGINT) % 5 <> 0 THEN txn_time END AS txn_time,
        CASE WHEN CAST(transaction_id AS BIGINT) % 5 <> 0 THEN {AS2} ELSE {AS1} END AS load_timestamp FROM stg_txn"""
+Q["stream_facts_second_checkpoint"] = Q["facts_incremental"]
+Q["facts_upsert_interrupted"] = with_({
+    "run1": RUN1, "mark": "SELECT max(txn_time) AS m FROM run1",
+    "stg_txn2": "SELECT * REPLACE (CASE WHEN e % 25 = 3 THEN 'REVERSED' ELSE txn_status END AS txn_status) FROM stg_txn"}, "stg_txn") + f"""
+SELECT {FACT_COLS_NO_LOAD}, {AS1} AS load_timestamp, 'during' AS seen FROM run1
+UNION ALL SELECT {FACT_COLS_NO_LOAD}, {AS2}, 'after' FROM stg_txn2
+WHERE transaction_id IN (SELECT transaction_id FROM run1) OR txn_time > (SELECT m FROM mark) - INTERVAL '7 days'"""
 Q["high_water_mark"] = with_({"run1": RUN1}, "stg_txn") + \
     "SELECT max(txn_time) AS high_water, count(*) AS loaded FROM run1"
 
@@ -439,6 +449,7 @@ FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey"""
 
 Q["post_validate"] = with_(None, "val") + "SELECT id, reject_reason FROM val"
 Q["post_decisions"] = with_(None, "dec") + "SELECT id, accepted, reject_reason, balance_after FROM dec"
+Q["stream_posting"] = Q["post_decisions"]
 Q["post_balance_after"] = with_(None, "dec") + "SELECT id, balance_after FROM dec WHERE accepted"
 Q["ledger_entries"] = with_(None, "post_led") + f"""SELECT id, transaction_id, account_id, entry_type,
        {money('cents')} AS amount, created_at FROM post_led"""

@@ -18,7 +18,8 @@ from bankflow import schemas as S
 from bankflow.functions import scalars
 from bankflow.functions.variant import flatten
 from bankflow.operators import kpis, marts, posting, quality, snapshots, staging
-from bankflow.session import apply_defaults, cut_lineage, work_dir
+from bankflow.operators.published import Published
+from bankflow.session import apply_defaults, cut_lineage, drop_path, list_names, move_new, work_dir, write_text
 from bankflow.plans import fixtures as fx
 from bankflow.sources import cdc, landing
 from bankflow.streaming import jobs
@@ -262,6 +263,34 @@ def q_landing_no_timestamp(spark, sf):
     return (landing.landed(spark, base).select("kind", "date").union(loaded).groupBy("kind", "date").agg(F.count(F.lit(1)).alias("events")))
 
 
+def q_raw_load_quarantine(spark, sf):
+    """A landing folder with a damaged file of accounts: the load takes all others and sets that one aside; mended, it comes in.
+    Rows and files set aside per table, before and after."""
+    inp = Inputs(spark, sf)
+    base, raw_base, aside = (work_dir(spark, n) for n in ("landing", "raw", "aside"))
+    rows = cut_lineage(landing.landing_rows(cdc.decode(fx.change_log(spark, sf))), "landing-rows")
+    held = (F.col("table_name") == "accounts") & (F.col("kind") == "upsert") & (F.col("_seq") < 100)
+    rows.where(~held).hint("rebalance", *landing.PARTITIONS).write.partitionBy(*landing.PARTITIONS).parquet(base)
+    rows.where(held).drop(*landing.PARTITIONS).coalesce(1).write.parquet(aside)       # the file as it should be: the first few accounts
+    [name] = [n for n in list_names(spark, aside) if n.endswith(".parquet")]
+    file = f"{base}/table_name=accounts/date=2024-01-01/kind=upsert/{name}"
+    write_text(spark, file, "this is no parquet file")
+    ckpt = work_dir(spark, "raw-ckpt")
+    landing.load_raw(spark, base, raw_base, ckpt)
+
+    def seen(suffix: str) -> DataFrame:
+        loaded = landing.raw_rows(spark, raw_base).groupBy("table_name").agg(F.count(F.lit(1)).alias(f"rows_{suffix}"))
+        bad = landing.rejects(spark, raw_base).groupBy("table_name").agg(F.count(F.lit(1)).alias(f"rejected_{suffix}"))
+        return cut_lineage(loaded.join(bad, "table_name", "left").fillna(0), "quarantine")
+
+    before = seen("before")
+    drop_path(spark, file)
+    move_new(spark, f"{aside}/{name}", file)
+    landing.reload_rejected(spark, base, raw_base, "mended")
+    landing.load_raw(spark, base, raw_base, ckpt)              # finds nothing new
+    return before.join(seen("after"), "table_name")
+
+
 def q_load_report(spark, sf):
     return landing.load_report(spark, _raw_loaded(Inputs(spark, sf), twice=False))
 
@@ -375,11 +404,33 @@ def q_facts_upsert(spark, sf):
     return _fact_out(Inputs(spark, sf).facts_two_runs("upsert", LATE_WINDOW, reversed_run2=True))
 
 
+class _Killed(Exception):
+    """Stands for a writer that dies."""
+
+
+def _die() -> None:
+    raise _Killed
+
+
+def q_facts_upsert_interrupted(spark, sf):
+    """An upsert that dies after it has written all its rows, and is repeated: the fact that readers see before and after."""
+    inp, target = Inputs(spark, sf), work_dir(spark, "facts")
+    marts.facts_transactions(spark, staging.stg_transactions(inp.txn_raw_run1(), fx.AS_OF_1), target, fx.AS_OF_1)
+    rows = fx.transaction_rows(spark, sf).withColumn("status", F.when(F.col("e") % 25 == 3, F.lit("REVERSED")).otherwise(F.col("status")))
+    stg = staging.stg_transactions(cdc.materialize_raw(fx.transaction_events(rows)).drop("table_name"), fx.AS_OF_2)
+    try:
+        marts.facts_transactions(spark, stg, target, fx.AS_OF_2, "upsert", LATE_WINDOW, before_publish=_die)
+    except _Killed:
+        during = marts.read_target(spark, target)
+    after = marts.facts_transactions(spark, stg, target, fx.AS_OF_2, "upsert", LATE_WINDOW)
+    return _fact_out(during).withColumn("seen", F.lit("during")).unionByName(_fact_out(after).withColumn("seen", F.lit("after")))
+
+
 def q_high_water_mark(spark, sf):
     inp = Inputs(spark, sf)
     target = work_dir(spark, "facts")
     fact = marts.facts_from_raw(spark, inp.txn_raw_run1(), target, fx.AS_OF_1)
-    mark = F.lit(marts.high_water(marts.read_target(spark, target))).cast("timestamp_ntz")
+    mark = F.lit(marts.high_water(Published(spark, target).state())).cast("timestamp_ntz")
     return fact.agg(F.count(F.lit(1)).alias("loaded")).select(mark.alias("high_water"), "loaded")
 
 
@@ -758,6 +809,36 @@ def q_stream_facts(spark, sf):
     return _fact_out(marts.read_target(spark, target))
 
 
+def q_stream_facts_second_checkpoint(spark, sf):
+    """The strict rule through two streams: what run 1 sees comes by one checkpoint, then all raw rows by a new one. Late rows stay out, as in
+    two batch runs: the second stream's first batch starts from what the first stream has loaded."""
+    inp, target = Inputs(spark, sf), work_dir(spark, "stream-facts")
+    for rows, as_of in ((inp.txn_raw_run1(), fx.AS_OF_1), (inp.raw("transactions"), fx.AS_OF_2)):
+        path = work_dir(spark, "arrivals")
+        rows.write.parquet(path)
+        jobs.run_facts(spark, spark.readStream.schema(rows.schema).parquet(path), target, work_dir(spark, "facts-ckpt"), as_of)
+    return _fact_out(marts.read_target(spark, target))
+
+
+POSTING_BATCHES = 3
+
+
+def q_stream_posting(spark, sf):
+    """All requests in micro-batches, cut by id, against published balances; the last batch comes twice."""
+    inp, root, path = Inputs(spark, sf), work_dir(spark, "books"), work_dir(spark, "arrivals")
+    posting.open_accounts(spark, root, fx.opening_balances(spark, sf))
+    requests = cut_lineage(fx.requests(inp.spark, sf), "requests")
+    least, most = requests.agg(F.min("id"), F.max("id")).first()
+    size = (most - least) // POSTING_BATCHES + 1
+    for n in range(POSTING_BATCHES):                     # files in the order in which they would arrive
+        requests.where((F.col("id") >= least + n * size) & (F.col("id") < least + (n + 1) * size)).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(requests.schema).option("maxFilesPerTrigger", "1").parquet(path)
+    ckpt = work_dir(spark, "posting-ckpt")
+    jobs.run_posting(spark, stream, root, ckpt)
+    posting.post_stream_batch(spark, root, requests.where(F.col("id") >= least + (POSTING_BATCHES - 1) * size), (jobs.stream_id(spark, ckpt), POSTING_BATCHES - 1))
+    return posting.read_books(spark, root).decisions.select("id", "accepted", "reject_reason", "balance_after")
+
+
 def q_stream_scd2(spark, sf):
     """Customer images arrive day by day (one file per micro-batch); each batch is one snapshot step."""
     inp = Inputs(spark, sf)

@@ -32,6 +32,7 @@ def run_transform(spark: SparkSession, raw: dict[str, DataFrame] | str, as_of, r
     ``raw``: the raw table's path, or its rows per table. Returns one row per model: (model, layer, rows,
     failed_tests). Test failures never stop the run (the reference ignores them too).
     """
+    source = raw if isinstance(raw, str) else raw["transactions"]      # of the fact: from a path, only the loads it has not taken yet
     if isinstance(raw, str):
         raw = {t: landing.raw(spark, raw, t) for t in S.TABLES}
     as_of_ts = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(str(as_of))
@@ -47,7 +48,7 @@ def run_transform(spark: SparkSession, raw: dict[str, DataFrame] | str, as_of, r
                                   S.CUSTOMER_CHECK_COLS, as_of_ts)
     acct = snapshots.run_snapshot(spark, f"{root}/accounts_snapshot", staged["stg_accounts"], "account_id",
                                   S.ACCOUNT_CHECK_COLS, as_of_ts)
-    fact = marts.facts_from_raw(spark, raw["transactions"], f"{root}/facts_transactions", as_of)
+    fact = marts.facts_from_raw(spark, source, f"{root}/facts_transactions", as_of)
     analytics = {
         "dim_customers": marts.as_table(marts.dim_customers(cust), f"{root}/dim_customers"),
         "dim_accounts": marts.as_table(marts.dim_accounts(acct), f"{root}/dim_accounts"),

@@ -87,7 +87,9 @@ MODEL_LAYER = {
     "facts_transactions": "analytics", "dim_customers": "analytics", "dim_accounts": "analytics",
 }
 
-# Staging flatten specs: (output column, JSON path, target type).
+# ---------------------------------------------------------------------------
+# Fixed values, as above: staging flatten specs (output column, JSON path, target type) and column lists.
+# ---------------------------------------------------------------------------
 STG_CUSTOMERS_SPEC = [
     ("customer_id", "$.id", "string"),
     ("first_name", "$.first_name", "string"),

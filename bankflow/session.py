@@ -88,6 +88,44 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def _path(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    at, fs = _path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, read by the driver."""
+    at, fs = _path(spark, path)
+    stream = fs.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, written by the driver."""
+    at, fs = _path(spark, path)
+    stream = fs.create(at, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def move_new(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file to a name that is not taken."""
+    (at, fs), (target, _) = _path(spark, path), _path(spark, to)
+    if fs.exists(target) or not fs.rename(at, target):
+        raise FileExistsError(to)
+
+
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 

@@ -11,24 +11,32 @@ event keeps its text in ``v``. An event without a capture time lands on the
 landing run's own day.
 Raw: the same rows, loaded exactly once per file by a file stream with a
 checkpoint (``availableNow``): each micro-batch owns a partition ``load=<run>.<batch>``,
-which a repeated batch overwrites. A file that cannot be read fails the load,
-which can be repeated.
+which a repeated batch overwrites, and which counts as complete once its name stands
+under ``_loads`` (written last). A file that cannot be read does not keep the others
+out: it is set aside under ``_rejects`` with its error, nothing of it is loaded, and
+``reload_rejected`` takes it in once it has been mended.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import re
+from urllib.parse import quote, unquote
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankflow.schemas import DEFAULT_FLUSH_SIZE
-from bankflow.session import cut_lineage
+from bankflow.session import cut_lineage, drop_path, list_names, path_exists, read_text, write_text
 
 EPOCH_NTZ = "1970-01-01 00:00:00"
 PARTITIONS = ["table_name", "date", "kind"]
 LANDING_SCHEMA = "v variant, _ts_ms bigint, _seq bigint, op string, table_name string, date date, kind string"
 RAW_SCHEMA = "v variant, _ts_ms bigint, _seq bigint, _file string, load string, table_name string, date date"
+MOST_REJECTS = 20        # unreadable files of a load; each costs another try, and with more of them the load as a whole is at fault
 
 
 def capture_day(as_of: dt.date | str | None = None, ts_ms_col: str = "_ts_ms"):
@@ -105,24 +113,113 @@ def load_raw(spark: SparkSession, landing: str, raw: str, checkpoint: str, day:
     rows = spark.readStream.schema(LANDING_SCHEMA).parquet(landing).where(F.col("kind") == "upsert")
     if day is not None:
         rows, checkpoint = rows.where(F.col("date") == F.lit(day).cast("date")), f"{checkpoint}/day={day}"
-    rows = rows.select("table_name", "date", "v", "_ts_ms", "_seq", F.col("_metadata.file_path").alias("_file"))
+    rows = _raw_columns(rows)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("load", F.lit(f"{run or day or 'all'}.{batch_id}")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("load", "table_name", "date").parquet(raw))
+        _store_load(batch, raw, f"{run or day or 'all'}.{batch_id}", lambda: _batch_files(spark, checkpoint, batch_id), landing, day)
 
     q = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
 
 
+def _raw_columns(rows: DataFrame) -> DataFrame:
+    return rows.select("table_name", "date", "v", "_ts_ms", "_seq", F.col("_metadata.file_path").alias("_file"))
+
+
+def _unreadable(error: Exception) -> str | None:
+    """The file that an error is about, if it is about reading one."""
+    found = re.search(r"FAILED_READ_FILE\S* Encountered error while reading file ([a-z][a-z0-9+.-]*:/\S*?)[.]?\s", f"{error} ")
+    return found and found[1]
+
+
+def _batch_files(spark: SparkSession, checkpoint: str, batch_id: int) -> list[str]:
+    """The files of a micro-batch, from the stream's own log of the files it has taken."""
+    folder = f"{checkpoint}/sources/0"
+    names = [n for n in list_names(spark, folder) if re.fullmatch(r"\d+([.]compact)?", n) and int(n.split(".")[0]) >= batch_id]
+    entries = [json.loads(line) for n in names for line in read_text(spark, f"{folder}/{n}").split("\n")[1:] if line]
+    return sorted({e["path"] for e in entries if e["batchId"] == batch_id})
+
+
+def _landing_files(spark: SparkSession, landing: str, files: list[str], day: str | None = None) -> DataFrame:
+    """The raw rows of some landed files."""
+    if not files:
+        return spark.createDataFrame([], RAW_SCHEMA).select("table_name", "date", "v", "_ts_ms", "_seq", "_file")
+    rows = spark.read.schema(LANDING_SCHEMA).option("basePath", landing).parquet(*map(unquote, files)).where(F.col("kind") == "upsert")
+    return _raw_columns(rows if day is None else rows.where(F.col("date") == F.lit(day).cast("date")))
+
+
+def _store_load(rows: DataFrame, raw: str, name: str, files_of=None, landing: str = "", day: str | None = None) -> None:
+    """Write one load, without the files that cannot be read, which are noted; then mark it as complete. After an error the load's
+    other files (``files_of`` names all) are read by name."""
+    spark, bad, good = rows.sparkSession, {}, rows
+    while True:
+        try:
+            (good.withColumn("load", F.lit(name)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("load", "table_name", "date").parquet(raw))
+            break
+        except (PySparkException, Py4JJavaError) as error:              # inside a stream's callback it is the latter
+            file = _unreadable(error)
+            if file is None or file in bad or len(bad) == MOST_REJECTS or files_of is None:
+                raise
+            bad[file] = re.search(r"\[FAILED_READ_FILE.*", str(error))[0][:500]
+            aside = {unquote(f) for f in bad}
+            good = _landing_files(spark, landing, [f for f in files_of() if unquote(f) not in aside], day)
+    _note_rejects(spark, raw, name, bad)
+    write_text(spark, f"{raw}/_loads/{quote(name, safe='')}", "")
+
+
+def _note_rejects(spark: SparkSession, raw: str, name: str, bad: dict[str, str]) -> None:
+    path = f"{raw}/_rejects/{quote(name, safe='')}.json"
+    if bad:
+        write_text(spark, path, json.dumps(bad))
+    else:
+        drop_path(spark, path)
+
+
+def _rejected(spark: SparkSession, raw: str) -> dict[str, dict[str, str]]:
+    """Per load the files that are set aside, with their errors."""
+    return {unquote(n[:-5]): json.loads(read_text(spark, f"{raw}/_rejects/{n}")) for n in list_names(spark, f"{raw}/_rejects") if n.endswith(".json")}
+
+
+def rejects(spark: SparkSession, raw: str) -> DataFrame:
+    """(load, table_name, file, error) of the files that are set aside."""
+    rows = [(load, unquote(m[1]) if (m := re.search(r"/table_name=([^/]*)/", file)) else None, file, error)
+            for load, files in _rejected(spark, raw).items() for file, error in files.items()]
+    return spark.createDataFrame(rows, "load string, table_name string, file string, error string")
+
+
+def reload_rejected(spark: SparkSession, landing: str, raw: str, run: str) -> None:
+    """Load the files that are set aside, as a load of ``run``, as far as they can be read by now."""
+    before = _rejected(spark, raw)
+    files = sorted({f for files in before.values() for f in files})
+    if not files:
+        return
+    name = f"{run}.retry"
+    if name in loads(spark, raw):
+        raise ValueError(f"run {run} has reloaded files already")
+    _store_load(_landing_files(spark, landing, files), raw, name, lambda: files, landing)
+    for load in before:                              # those that are still unreadable stand under the new load
+        _note_rejects(spark, raw, load, {})
+
+
+def loads(spark: SparkSession, raw_base: str) -> list[str]:
+    """Names of the loads that are complete in raw (``load`` partitions), sorted."""
+    if path_exists(spark, f"{raw_base}/_loads"):
+        return sorted(unquote(n) for n in list_names(spark, f"{raw_base}/_loads") if not n.startswith("."))
+    return sorted(unquote(n[5:]) for n in list_names(spark, raw_base) if n.startswith("load="))     # raw from before the marks
+
+
 def raw_rows(spark: SparkSession, raw_base: str) -> DataFrame:
     """The raw rows of all tables."""
     return spark.read.schema(RAW_SCHEMA).parquet(raw_base)
 
 
-def raw(spark: SparkSession, raw_base: str, table: str) -> DataFrame:
-    """``source('raw', table)``: the raw rows of one table, with their capture ``date`` as a partition."""
-    return raw_rows(spark, raw_base).where(F.col("table_name") == table).drop("table_name", "load")
+def raw(spark: SparkSession, raw_base: str, table: str, only: list[str] | None = None) -> DataFrame:
+    """``source('raw', table)``: the raw rows of one table, of some loads if they are named, with their capture ``date`` as a partition."""
+    rows = raw_rows(spark, raw_base).where(F.col("table_name") == table)
+    if only is not None:
+        rows = rows.where(F.col("load").isin(only) if only else F.lit(False))
+    return rows.drop("table_name", "load")
 
 
 def load_report(spark: SparkSession, raw_base: str, run: str | None = None) -> DataFrame:

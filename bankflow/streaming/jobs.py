@@ -1,26 +1,31 @@
 """Structured Streaming jobs.
 
 R1 events -> landing, R2 landing -> raw (see ``sources.landing.load_raw``),
-R3 raw transactions -> incremental fact, R5 customer images -> SCD2 snapshot.
+R3 raw transactions -> incremental fact, R5 customer images -> SCD2 snapshot,
+L7 posting requests -> decisions, ledger and balances.
 Each keeps its progress in a checkpoint under the shared checkpoint folder and
 runs until its input is drained (``available_now``) or goes on (a trigger
-interval). ``foreachBatch`` sinks are safe on replay: the fact load takes the
-mark that its batch started from and skips ids already loaded, and a snapshot
-step that has been published is not repeated.
+interval). ``foreachBatch`` sinks are safe on replay: what a micro-batch changes is
+published at once with its stream (the query id of the checkpoint) and batch id,
+and a batch that has been published is not repeated. Other writers and streams do
+not count, so several may feed one table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankflow.operators.marts import facts_from_raw
-from bankflow.operators.snapshots import batch_published, published, run_snapshot
+from bankflow.operators.posting import post_stream_batch
+from bankflow.operators.snapshots import batch_published, last_run, run_snapshot
 from bankflow.operators.staging import stg_customers
 from bankflow.schemas import CUSTOMER_CHECK_COLS
 from bankflow.sources.cdc import read_cdc_stream
+from bankflow.session import read_text
 from bankflow.sources.landing import PARTITIONS, landing_rows
 
 
@@ -33,6 +38,11 @@ def _start(writer, checkpoint: str, available_now: bool, processing_time: str |
     return q
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that a checkpoint belongs to."""
+    return json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
+
+
 def run_landing(spark: SparkSession, source: str, base: str, checkpoint: str, opts: dict | None = None,
                 max_records_per_file: int | None = None, available_now: bool = True,
                 processing_time: str | None = None):
@@ -51,7 +61,7 @@ def run_facts(spark: SparkSession, stream: DataFrame, target: str, checkpoint: s
               processing_time: str | None = None):
     """R3: each micro-batch of raw transactions -> staging (latest image) -> fact load."""
     def load(batch: DataFrame, batch_id: int) -> None:
-        facts_from_raw(batch.sparkSession, batch, target, as_of, allowed_lateness, batch=f"batch={batch_id}")
+        facts_from_raw(batch.sparkSession, batch, target, as_of, allowed_lateness, batch=(stream_id(batch.sparkSession, checkpoint), batch_id))
 
     return _start(stream.writeStream.foreachBatch(load), checkpoint, available_now, processing_time)
 
@@ -72,12 +82,21 @@ def run_scd2(spark: SparkSession, stream: DataFrame, snapshot: str, checkpoint:
 
     def step(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        as_of, stream_id = batch_as_of(batch), session.read.json(f"{checkpoint}/metadata").first()["id"]
-        if as_of is None or batch_published(session, snapshot, stream_id, batch_id):
+        as_of, own = batch_as_of(batch), (stream_id(session, checkpoint), batch_id)
+        if as_of is None or batch_published(session, snapshot, *own):
             return
-        runs = published(session, snapshot)
-        if runs and as_of <= runs[-1][1]:
-            as_of = runs[-1][1] + dt.timedelta(microseconds=1)
-        run_snapshot(session, snapshot, model(batch, as_of), key, cols, as_of, batch_of=(stream_id, batch_id))
+        last = last_run(session, snapshot)
+        if last and as_of <= last[1]:
+            as_of = last[1] + dt.timedelta(microseconds=1)
+        run_snapshot(session, snapshot, model(batch, as_of), key, cols, as_of, batch_of=own)
 
     return _start(stream.writeStream.foreachBatch(step), checkpoint, available_now, processing_time)
+
+
+def run_posting(spark: SparkSession, stream: DataFrame, root: str, checkpoint: str, available_now: bool = True,
+                processing_time: str | None = None):
+    """L7: each micro-batch of posting requests is posted against the balances that the batches before it left (``operators.posting``)."""
+    def post(batch: DataFrame, batch_id: int) -> None:
+        post_stream_batch(batch.sparkSession, root, batch, (stream_id(batch.sparkSession, checkpoint), batch_id))
+
+    return _start(stream.writeStream.foreachBatch(post), checkpoint, available_now, processing_time)

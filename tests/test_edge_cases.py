@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from bankflow import schemas as S
 from bankflow.functions.variant import flatten
+from bankflow.operators.published import Published
 from bankflow.operators import marts, snapshots, staging
 from bankflow.session import work_dir
 from bankflow.sources import cdc
@@ -165,13 +166,13 @@ def test_unreadable_fact_raises_and_changes_nothing(spark):
 
     target = work_dir(spark, "t-broken")
     marts.facts_transactions(spark, _fact_rows(spark, [("1", dt.datetime(2024, 1, 5), "C")]), target, "2024-01-06")
-    files = glob.glob(f"{target}/txn_date=*/*.parquet")
+    files = glob.glob(f"{target}/facts/c=*/txn_date=*/*.parquet")
     for f in files:
         with open(f, "wb") as out:
             out.write(b"not parquet at all")
     with pytest.raises(Exception):
         marts.facts_transactions(spark, _fact_rows(spark, [("2", dt.datetime(2024, 1, 7), "C")]), target, "2024-01-08")
-    assert glob.glob(f"{target}/txn_date=*/*.parquet") == files
+    assert glob.glob(f"{target}/facts/c=*/txn_date=*/*.parquet") == files
 
 
 def _snap(spark, root, rows, at):
@@ -196,10 +197,10 @@ def test_a_run_that_dies_before_its_marker_is_not_seen(spark):
     before = sorted(map(str, snapshots.read_snapshot(spark, root).collect()))
     changed = [(k, "b" if int(k) < 10 else p) for k, p in rows]
     _snap(spark, root, changed, t + dt.timedelta(1))
-    from bankflow.session import drop_path
+    from bankflow.session import drop_path, list_names
 
-    drop_path(spark, f"{root}/published/run=2")                        # its rows are written, its marker is not
-    drop_path(spark, f"{root}/runs/run=2/is_open=false")               # nor all of its folders
+    drop_path(spark, f"{root}/log/000000000002.json")                  # its rows are written, its version is not
+    drop_path(spark, f"{root}/closed/{list_names(spark, f'{root}/closed')[0]}")     # nor all of its folders
     assert sorted(map(str, snapshots.read_snapshot(spark, root).collect())) == before
     again = _snap(spark, root, changed, t + dt.timedelta(1))
     assert again.count() == 50 and again.where("dbt_valid_to is null").count() == 40
@@ -210,20 +211,118 @@ def test_damaged_snapshot_raises_and_stays(spark):
 
     root, t = work_dir(spark, "t-damaged"), dt.datetime(2024, 1, 2)
     _snap(spark, root, [("1", "a")], t)
-    for f in glob.glob(f"{root}/runs/run=1/*/*/*.parquet"):
+    for f in glob.glob(f"{root}/open/c=*/bucket=*/*.parquet"):
         with open(f, "wb") as out:
             out.write(b"damaged beyond reading")
     with pytest.raises(Exception):
         _snap(spark, root, [("1", "b")], t + dt.timedelta(1))
-    assert [r[0] for r in snapshots.published(spark, root)] == [1]
+    assert snapshots.last_run(spark, root)[0] == 1
 
 
-def test_runs_rewrite_touched_buckets_only(spark):
-    root, t = work_dir(spark, "t-buckets"), dt.datetime(2024, 1, 2)
+def test_runs_write_what_has_changed(spark):
+    """A step with one change adds one open row and one closed row, one without changes nothing."""
+    root, t = work_dir(spark, "t-deltas"), dt.datetime(2024, 1, 2)
     rows = [(str(i), "a") for i in range(200)]
     _snap(spark, root, rows, t)
     _snap(spark, root, rows, t + dt.timedelta(1))
     _snap(spark, root, [("7", "b"), *[r for r in rows if r[0] != "7"]], t + dt.timedelta(2))
-    assert [len(b) for _, _, b in snapshots.published(spark, root)] == [snapshots.BUCKETS, 0, 1]
+    state = Published(spark, root).state()
+    written = {kind: sorted(spark.read.parquet(f"{root}/{p}").count() for p in state.of(kind)) for kind in ("open", "closed")}
+    assert written == {"open": [1, 200], "closed": [1]} and snapshots.last_run(spark, root) == (3, t + dt.timedelta(2))
     snap = snapshots.read_snapshot(spark, root)
     assert snap.count() == 201 and snap.select("dbt_scd_id").distinct().count() == 201
+
+
+def test_many_runs_keep_few_files(spark, monkeypatch):
+    """Segments, log files and folders stay few over many steps, and the history is that of a plain fold."""
+    from bankflow.operators import published
+    from bankflow.session import list_names
+
+    for name, value in (("FAN", 3), ("FULL", 5), ("KEEP", 2)):
+        monkeypatch.setattr(published, name, value)
+    monkeypatch.setattr(published, "BUCKET_ROWS", 2)
+    root, t, want, now = work_dir(spark, "t-many"), dt.datetime(2024, 1, 2), [], {}
+    for n in range(30):
+        at = t + dt.timedelta(n)
+        rows = [(str((n * 7 + i) % 5), f"v{(n + i) % 4}") for i in range(2)]
+        _snap(spark, root, rows, at)
+        for k, v in rows:
+            if k not in now or now[k][0] != v:
+                if k in now:
+                    want.append((k, *now[k], at))
+                now[k] = (v, at)
+    got = sorted((r["customer_id"], r["phone"], r["dbt_valid_from"], r["dbt_valid_to"]) for r in snapshots.read_snapshot(spark, root).collect() if r["dbt_valid_to"])
+    assert got == sorted(want) and len(want) > 20
+    current = {r["customer_id"]: (r["phone"], r["dbt_valid_from"]) for r in snapshots.read_snapshot(spark, root).where("dbt_valid_to is null").collect()}
+    assert current == now
+    state = Published(spark, root).state()
+    assert len(state.segments) <= 14 and len(state.dead) <= 12
+    assert len(Published(spark, root).versions()) <= 11 and sum(len(list_names(spark, f"{root}/{k}")) for k in ("open", "closed")) <= 32
+    assert Published(spark, root).drop_unpublished() == []
+
+
+def test_interrupted_upsert_and_its_remains(spark):
+    """A reader sees the old fact while an upsert has written all but its version; the repeated one is seen whole; what the dead
+    one left is found."""
+    target, d = work_dir(spark, "t-dead"), dt.datetime
+
+    def die():
+        raise KeyboardInterrupt
+
+    def seen(df):
+        return sorted((r["transaction_id"], r["txn_status"], r["txn_time"].day) for r in df.collect())
+
+    marts.facts_transactions(spark, _fact_rows(spark, [(str(i), d(2024, 1, 1 + i), "A") for i in range(6)]), target, d(2024, 1, 10))
+    pinned, old = marts.read_target(spark, target), [(str(i), "A", 1 + i) for i in range(6)]
+    batch = _fact_rows(spark, [("1", d(2024, 1, 5), "B"), ("4", d(2024, 1, 5), "B"), ("9", d(2024, 1, 9), "B")])
+    with pytest.raises(KeyboardInterrupt):
+        marts.facts_transactions(spark, batch, target, d(2024, 1, 11), "upsert", before_publish=die)
+    assert seen(marts.read_target(spark, target)) == old
+    new = [("0", "A", 1), ("1", "B", 5), ("2", "A", 3), ("3", "A", 4), ("4", "B", 5), ("5", "A", 6), ("9", "B", 9)]
+    assert seen(marts.facts_transactions(spark, batch, target, d(2024, 1, 11), "upsert")) == new
+    assert seen(pinned) == old                                          # a reader keeps the version that it began with
+    assert len(Published(spark, target).drop_unpublished()) == 2       # rows and index entries of the writer that died
+    assert seen(marts.read_target(spark, target)) == new
+    with pytest.raises(FileExistsError):                               # a second writer that starts from an old version
+        table = Published(spark, target)
+        table.publish(table.state(table.state().version - 1))
+
+
+def test_upsert_opens_the_buckets_of_its_ids_only(spark, monkeypatch):
+    """Index files of other buckets are damaged and the upsert does not notice, nor does it read other days."""
+    import glob
+
+    from bankflow.operators import published
+    from bankflow.operators.published import Keyed
+
+    monkeypatch.setattr(published, "BUCKET_ROWS", 10)
+    target, d = work_dir(spark, "t-index"), dt.datetime
+    rows = [(str(i), d(2024, 1, 1 + i % 20), "A") for i in range(300)]
+    marts.facts_transactions(spark, _fact_rows(spark, rows), target, d(2024, 2, 1))
+    marts.facts_transactions(spark, _fact_rows(spark, [("7", d(2024, 1, 8), "B")]), target, d(2024, 2, 2), "upsert")     # builds the index
+    state = Published(spark, target).state()
+    keys = Keyed(Published(spark, target), marts.KEYS, "transaction_id", marts.KEY_SCHEMA)
+    [own] = keys.buckets_of(state, spark.createDataFrame([("7",)], "transaction_id string"))
+    assert "PartitionFilters: [isnotnull(bucket" in keys.read(state, [own])._jdf.queryExecution().toString()
+    sizes = {p: s["buckets"] for p, s in state.of(marts.KEYS).items()}
+    assert max(sizes.values()) == 32
+    for f in glob.glob(f"{target}/keys/c=*/bucket=*/*.parquet"):
+        segment, bucket = f[len(target) + 1:].split("/bucket=")
+        if int(bucket.split("/")[0]) != own % sizes[segment]:
+            open(f, "wb").write(b"damaged")
+    for f in glob.glob(f"{target}/facts/c=*/txn_date=*/*.parquet"):
+        if "txn_date=2024-01-08" not in f and "txn_date=2024-01-09" not in f:
+            open(f, "wb").write(b"damaged")
+    marts.facts_transactions(spark, _fact_rows(spark, [("7", d(2024, 1, 9), "C")]), target, d(2024, 2, 3), "upsert")
+    state = Published(spark, target).state()
+    days = [p for p, s in state.of(marts.FACTS).items() if s["day"] in ("2024-01-08", "2024-01-09")]
+    got = Published(spark, target).read(state, marts.FACTS, marts.FACT_SCHEMA, days).where("transaction_id = '7'").collect()
+    assert [(r["txn_status"], r["txn_time"].day) for r in got] == [("C", 9)]
+    assert [(r["transaction_id"], r["txn_date"].day) for r in keys.read(state, [own]).where("transaction_id = '7'").collect()] == [("7", 9)]
+
+
+def test_null_ids_in_an_upsert(spark):
+    target, d = work_dir(spark, "t-null-ids"), dt.datetime
+    marts.facts_transactions(spark, _fact_rows(spark, [(None, d(2024, 1, 5), "A")]), target, d(2024, 2, 1))
+    out = marts.facts_transactions(spark, _fact_rows(spark, [(None, d(2024, 1, 6), "B"), ("1", d(2024, 1, 6), "B")]), target, d(2024, 2, 1), "upsert")
+    assert sorted(r["txn_status"] for r in out.collect()) == ["A", "B", "B"]
