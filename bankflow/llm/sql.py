@@ -139,3 +139,41 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN leas
        sha256(t) AS restored_sha256
 FROM parts
 """
+
+_LIMITS = {5: 0.30, 6: 0.28, 8: 0.26, 10: 0.24}      # shares of word characters, as the rules have them
+
+ORACLE["op5_repetition"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+places AS (SELECT doc_id, i, w[i] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+five AS (SELECT doc_id, s, list_slice(w, s, s + 4) AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS s FROM d WHERE len(w) >= 5)),
+seeds AS (SELECT doc_id, s FROM (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, win) AS c FROM five) WHERE c > 1),
+longer AS (
+  SELECT doc_id, n, s, list_slice(w, s, s + n - 1) AS win
+  FROM (SELECT seeds.doc_id, s, w, unnest([6, 8, 10]) AS n FROM seeds JOIN d ON d.doc_id = seeds.doc_id) WHERE s + n - 1 <= len(w)),
+again AS (
+  SELECT doc_id, 5 AS n, s FROM seeds
+  UNION ALL SELECT doc_id, n, s FROM (SELECT doc_id, n, s, count(*) OVER (PARTITION BY doc_id, n, win) AS c FROM longer) WHERE c > 1),
+covered AS (SELECT DISTINCT doc_id, n, p FROM (SELECT doc_id, n, unnest(range(s, s + n)) AS p FROM again)),
+dup AS (
+  SELECT c.doc_id, count(*) FILTER (WHERE n = 8) AS repeat_words, """ + ", ".join(
+    f"coalesce(sum(length(word)) FILTER (WHERE n = {n}), 0) AS c{n}" for n in _LIMITS) + r"""
+  FROM covered c JOIN places p ON p.doc_id = c.doc_id AND p.i = c.p GROUP BY c.doc_id),
+split AS (SELECT doc_id, string_split(t, chr(10)) AS parts FROM d),
+lines AS (SELECT doc_id, nr, parts[nr] AS line FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS nr FROM split)),
+old AS (
+  SELECT doc_id, count(*) AS n, sum(length(line)) AS chars
+  FROM (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line ORDER BY nr) AS nth FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]'))
+  WHERE nth > 1 GROUP BY doc_id),
+m AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(t) AS BIGINT) AS chars, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, CAST(coalesce(o.n, 0) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(repeat_words, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(o.chars, 0) AS BIGINT) AS dup_line_chars, """ + ", ".join(
+    f"CAST(coalesce(c{n}, 0) AS BIGINT) AS dup_{n}gram_chars" for n in _LIMITS) + r"""
+  FROM d LEFT JOIN dup ON dup.doc_id = d.doc_id LEFT JOIN old o ON o.doc_id = d.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, dup_line_chars, """ + ", ".join(f"dup_{n}gram_chars" for n in _LIMITS) + """,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR dup_line_chars > CAST(0.3 AS DOUBLE) * greatest(chars, 1)""" + "".join(
+    f" OR dup_{n}gram_chars > CAST({limit} AS DOUBLE) * greatest(word_chars, 1)" for n, limit in _LIMITS.items()) + """) AS kept
+FROM m
+"""
