@@ -166,6 +166,9 @@ class Published:
                 return state
             paths = levels[full[0]]
             merged = store(self.read(state, kind, schema, paths), sum(state.segments[p]["rows"] for p in paths), full[0] + 1)
+            steps = [state.segments[p].get("step") for p in paths]
+            if None not in steps:
+                merged = {p: {**about, "step": max(steps)} for p, about in merged.items()}
             state = self.publish(state, merged, paths)
 
 
@@ -205,23 +208,28 @@ class Keyed:
 
     def write(self, state: State, found: DataFrame, rows: int) -> dict[str, dict]:
         """A segment with ``rows`` rows (unique on the key) that are newer than all stored ones."""
-        return self._store(found.withColumn("step", F.lit(state.version + 1).cast("bigint")), rows)
+        step = state.version + 1
+        return self._store(found.withColumn("step", F.lit(step).cast("bigint")), rows, step=step)
 
     def buckets_of(self, state: State, found: DataFrame) -> list[int]:
         """Buckets of some rows' keys in the finest segment: at most as many numbers as it has buckets."""
         n = max((s["buckets"] for s in state.of(self.kind).values()), default=1)
         return [0] if n == 1 else sorted(r[0] for r in found.select(bucket_of(F.col(self.key), n)).distinct().collect())
 
-    def read(self, state: State, buckets: list[int] | None = None) -> DataFrame:
-        """The current rows, of all keys or of those in some buckets of the finest segment (others' files are not opened)."""
+    def read(self, state: State, buckets: list[int] | None = None, since: int = 0) -> DataFrame:
+        """The current rows, of all keys or of those in some buckets of the finest segment (others' files are not opened). ``since``:
+        only rows that a later version wrote; segments that hold none are not opened."""
         sizes: dict[int, list[str]] = {}
         for path, about in state.of(self.kind).items():
-            sizes.setdefault(about["buckets"], []).append(path)
+            if about.get("step", since + 1) > since:
+                sizes.setdefault(about["buckets"], []).append(path)
         stored = None
         for n, paths in sorted(sizes.items()):
             part = self.table.read(state, self.kind, self.schema, paths)
             if buckets is not None and len(wanted := sorted({b % n for b in buckets})) < n:
                 part = part.where(F.col("bucket").isin(wanted))
+            if since:
+                part = part.where(F.col("step") > since)
             stored = part if stored is None else stored.unionByName(part)
         if stored is None:
             return self.table.spark.createDataFrame([], self.schema).drop("step", "bucket")

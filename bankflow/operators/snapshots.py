@@ -82,6 +82,11 @@ def last_run(spark: SparkSession, root: str) -> tuple[int, dt.datetime] | None:
     return (info["runs"], dt.datetime.fromisoformat(info["as_of"])) if info.get("runs") else None
 
 
+def taken(spark: SparkSession, root: str) -> dict:
+    """What the last published run has noted besides its rows."""
+    return Published(spark, root).state().info
+
+
 def batch_published(spark: SparkSession, root: str, stream: str, batch: int) -> bool:
     """Whether a micro-batch of a stream has published its run; runs of other writers and streams do not count."""
     return Published(spark, root).state().batch_done(stream, batch)
@@ -102,10 +107,10 @@ def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def run_snapshot(spark: SparkSession, root: str, source: DataFrame, key: str, check_cols: list[str], as_of,
-                 batch_of: tuple[str, int] | None = None) -> DataFrame:
+                 batch_of: tuple[str, int] | None = None, **taken) -> DataFrame:
     """Apply one snapshot step to the table at ``root`` and return the whole snapshot. ``as_of`` must be later than that of
     the run before; the source must be unique on ``key`` (both are checked). An empty source is a run without changes.
-    ``batch_of`` (stream id, batch id) is published with a step that a micro-batch makes. Only the buckets of the source's keys are read."""
+    ``batch_of`` (stream id, batch id) is published with a step that a micro-batch makes, as is ``taken``. Only the buckets of the source's keys are read."""
     as_of = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(str(as_of))
     table = Published(spark, root)
     state = table.state()
@@ -115,7 +120,7 @@ def run_snapshot(spark: SparkSession, root: str, source: DataFrame, key: str, ch
     source = cut_lineage(source, "snapshot-source")
     check_source(source, key)
     shape = _schema(_open_version(source.limit(0), key, F.lit(as_of).cast("timestamp_ntz")).schema)
-    news = {"runs": state.info.get("runs", 0) + 1, "as_of": as_of.isoformat(), "key": key, "schema": shape}
+    news = {"runs": state.info.get("runs", 0) + 1, "as_of": as_of.isoformat(), "key": key, "schema": shape, **taken}
     if batch_of is not None:
         news["streams"] = {batch_of[0]: batch_of[1]}
     opened = Keyed(table, OPEN, key, shape)

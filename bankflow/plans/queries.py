@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from bankflow import schemas as S
 from bankflow.functions import scalars
 from bankflow.functions.variant import flatten
-from bankflow.operators import kpis, marts, posting, quality, snapshots, staging
+from bankflow.operators import images, kpis, marts, posting, quality, snapshots, staging
 from bankflow.operators.published import Published
 from bankflow.session import apply_defaults, cut_lineage, drop_path, list_names, move_new, work_dir, write_text
 from bankflow.plans import fixtures as fx
@@ -906,4 +906,22 @@ def q_pipeline_e2e(spark, sf):
     return kpis.customer_balance(*dims).withColumn("transactions", F.lit(fact.count()).cast("bigint"))
 
 
+def _by_load(spark, sf, name):
+    """A staging model after two days, each of which took that day's load only."""
+    p = Paths(spark)
+    for n, (events, as_of) in enumerate(zip(_two_days(spark, sf), (fx.AS_OF_1, fx.AS_OF_2))):
+        landing.write_landing(cdc.decode(events), p.base)
+        landing.load_raw(spark, p.base, p.raw, p.checkpoint, run=f"run{n}")
+        images.take_loads(spark, p.raw, p.root, name, as_of)
+    return images.read_model(spark, p.root, name)
+
+
+def q_stg_accounts_by_load(spark, sf):
+    return _by_load(spark, sf, "stg_accounts")
+
+
+def q_stg_transactions_by_load(spark, sf):
+    return _by_load(spark, sf, "stg_transactions")
+
+
 QUERIES = {name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)}

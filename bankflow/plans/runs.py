@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankflow import schemas as S
-from bankflow.operators import marts, quality, snapshots, staging
+from bankflow.operators import images, marts, quality, snapshots, staging
 from bankflow.sources import cdc, landing
 
 
@@ -29,26 +29,35 @@ def run_ingest(spark: SparkSession, events: DataFrame, base: str, raw: str, chec
 def run_transform(spark: SparkSession, raw: dict[str, DataFrame] | str, as_of, root: str) -> DataFrame:
     """staging -> staging tests -> snapshots -> analytics -> analytics tests, under ``root``.
 
-    ``raw``: the raw table's path, or its rows per table. Returns one row per model: (model, layer, rows,
+    ``raw``: the raw table's path, of which staging, snapshots and the fact take the loads that they have not taken yet, or its rows per
+    table, from which staging is rebuilt. A root belongs to one of the two ways. Returns one row per model: (model, layer, rows,
     failed_tests). Test failures never stop the run (the reference ignores them too).
     """
-    source = raw if isinstance(raw, str) else raw["transactions"]      # of the fact: from a path, only the loads it has not taken yet
-    if isinstance(raw, str):
-        raw = {t: landing.raw(spark, raw, t) for t in S.TABLES}
     as_of_ts = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(str(as_of))
-    stg = {
-        "stg_customers": staging.stg_customers(raw["customers"], as_of),
-        "stg_accounts": staging.stg_accounts(raw["accounts"], as_of),
-        "stg_transactions": staging.stg_transactions(raw["transactions"], as_of, "as_written"),
-        "stg_ledger_entries": staging.stg_ledger_entries(raw["ledger_entries"], as_of),
-    }
-    staged = {name: marts.as_table(df, f"{root}/{name}") for name, df in stg.items()}
+    by_load = isinstance(raw, str)
+    if by_load:
+        versions = {name: images.take_loads(spark, raw, f"{root}/{name}", name, as_of) for name in images.MODELS}
+        staged = {name: images.read_model(spark, f"{root}/{name}", name) for name in images.MODELS}
+    else:
+        stg = {
+            "stg_customers": staging.stg_customers(raw["customers"], as_of),
+            "stg_accounts": staging.stg_accounts(raw["accounts"], as_of),
+            "stg_transactions": staging.stg_transactions(raw["transactions"], as_of, "as_written"),
+            "stg_ledger_entries": staging.stg_ledger_entries(raw["ledger_entries"], as_of),
+        }
+        staged = {name: marts.as_table(df, f"{root}/{name}") for name, df in stg.items()}
     tests = quality.run_suite(staged, "staging")
-    cust = snapshots.run_snapshot(spark, f"{root}/customers_snapshot", staged["stg_customers"], "customer_id",
-                                  S.CUSTOMER_CHECK_COLS, as_of_ts)
-    acct = snapshots.run_snapshot(spark, f"{root}/accounts_snapshot", staged["stg_accounts"], "account_id",
-                                  S.ACCOUNT_CHECK_COLS, as_of_ts)
-    fact = marts.facts_from_raw(spark, source, f"{root}/facts_transactions", as_of)
+
+    def snapshot(name: str, of: str, check_cols: list[str]) -> DataFrame:
+        path, key, source, taken = f"{root}/{name}", images.MODELS[of].key, staged[of], {}
+        if by_load:                                  # images that have not changed since the last step cannot open or close a version
+            source = images.read_model(spark, f"{root}/{of}", of, since=snapshots.taken(spark, path).get("images", 0))
+            taken["images"] = versions[of]
+        return snapshots.run_snapshot(spark, path, source, key, check_cols, as_of_ts, **taken)
+
+    cust = snapshot("customers_snapshot", "stg_customers", S.CUSTOMER_CHECK_COLS)
+    acct = snapshot("accounts_snapshot", "stg_accounts", S.ACCOUNT_CHECK_COLS)
+    fact = marts.facts_from_raw(spark, raw if by_load else raw["transactions"], f"{root}/facts_transactions", as_of)
     analytics = {
         "dim_customers": marts.as_table(marts.dim_customers(cust), f"{root}/dim_customers"),
         "dim_accounts": marts.as_table(marts.dim_accounts(acct), f"{root}/dim_accounts"),
