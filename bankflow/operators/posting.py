@@ -18,7 +18,8 @@ per request and account touched) decides requests round by round:
   on the balance at the start of each bucket: ``lo`` counts earlier undecided
   debits as accepted and undecided incoming transfers as absent, ``hi`` the reverse;
 * one streaming pass goes through each bucket in id order and carries the bounds
-  along: ``lo >= amount`` accepts, ``hi < amount`` rejects, else the debit waits a round.
+  along: ``lo >= amount`` accepts, ``hi < amount`` rejects, else the debit waits a round. Stretches in
+  which all are accepted are settled at once.
   The decided prefix of a bucket is folded into one leg, and accounts with nothing
   undecided leave the working set.
 
@@ -33,7 +34,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -173,54 +176,191 @@ def _opening_legs(opening: DataFrame) -> DataFrame:
         F.lit("A").alias("state"), F.lit(False).alias("is_debit"))
 
 
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Go through buckets in id order, the bounds on the balance carried along. Rows come out tagged ``kind``: legs still to
-    be worked on, and verdicts ('decided') on debits. Only the running bucket's bounds are held."""
-    bucket, lo, hi, settled, folded = None, 0, 0, True, 0
-    verdict = (None, None)        # of the last debit: a transfer within an account has both its legs here
-    fields = LEG_SCHEMA.replace(",", "").split()[::2]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int32(), pa.string()]
-
-    def leg(id_, number, cents, state, is_debit):
-        return (id_, number, bucket[0], cents, state, is_debit, bucket[1], "work")
-
-    def batch_of(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(types), types)], names=fields)
-
-    for batch in batches:
-        out = []
-        columns = {f.name: batch.column(i).to_pylist() for i, f in enumerate(batch.schema)}
-        for id_, number, account, cents, state, is_debit, part, lo0, hi0 in zip(
-                *(columns[c] for c in [*LEG_COLS, "lo", "hi"])):
-            if (account, part) != bucket:
-                if bucket and folded:
-                    out.append(leg(-1, 0, folded, "A", False))
-                bucket, lo, hi, settled, folded = (account, part), lo0, hi0, True, 0
-            if not is_debit and state == "U" and verdict[0] == id_:
-                state = verdict[1]
-                if state == "R":
+class _Settler:
+    """Goes through buckets in id order and carries the bounds on the balance along, over batches too; only the running bucket's
+    bounds are held. Whole stretches are accepted at once in numpy: if every undecided debit of a stretch leaves ``lo`` at zero or more,
+    counting all of them, all are accepted. Rows are walked one by one only from the first debit that does not, ``STEP`` at a time."""
+
+    STEP = 64
+    SAFE = 2.0 ** 62       # cents; batches whose sums could go beyond are walked row by row in whole numbers of any size
+
+    def __init__(self):
+        self.key, self.lo, self.hi, self.settled, self.folded = None, 0, 0, True, 0
+        self.verdict = (None, None)        # of the last debit: a transfer within an account has both its legs here
+
+    def _load(self, batch: pa.RecordBatch) -> None:
+        col = lambda name: batch.column(batch.schema.get_field_index(name))
+        ints = lambda name: col(name).fill_null(-2).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.batch, self.ids, self.cents = batch, ints("id"), ints("cents")
+        self.debit, self.account, self.part = col("is_debit").to_numpy(zero_copy_only=False), ints("account_id"), ints("bucket")
+        self.open = pc.equal(col("state"), "U").to_numpy(zero_copy_only=False)
+        n = batch.num_rows
+        new = np.ones(n, bool)
+        new[1:] = (self.account[1:] != self.account[:-1]) | (self.part[1:] != self.part[:-1])
+        self.starts = np.append(np.flatnonzero(new), n)
+        # the incoming leg of a transfer within an account stands right behind its debit and shares its verdict
+        self.twin = np.zeros(n, bool)
+        self.twin[1:] = self.open[1:] & ~self.debit[1:] & self.open[:-1] & self.debit[:-1] & (self.ids[1:] == self.ids[:-1]) & ~new[1:]
+        self.loose = self.open & ~self.debit & ~self.twin       # incoming transfers that are not decided yet
+        self.lo0, self.hi0 = ints("lo"), ints("hi")
+        most = np.abs(self.cents.astype(float)).sum() + max(np.abs(b.astype(float)).max(initial=0) for b in (self.lo0, self.hi0))
+        self.safe = most + abs(self.lo) + abs(self.hi) < self.SAFE
+        self.sum_hi = np.append(0, np.cumsum(self.cents))
+        self.sum_lo = np.append(0, np.cumsum(np.where(self.loose, 0, self.cents)))
+        self.kept, self.decided, self.folds = [], [], []
+
+    def take(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        """The batch's output, tagged ``kind``: legs still to be worked on, and verdicts ('decided') on debits."""
+        self._load(batch)
+        n = batch.num_rows
+        if not n:
+            return self._output()
+        begin, end = self.starts[:-1], self.starts[1:]
+        lo, hi = self.lo0[begin].tolist(), self.hi0[begin].tolist()
+        settled, folded = [True] * len(begin), [0] * len(begin)
+        first = (int(self.account[0]), int(self.part[0]))
+        if first == self.key:
+            lo[0], hi[0], settled[0], folded[0] = self.lo, self.hi, self.settled, self.folded
+        else:
+            self.close()
+        at = np.arange(n)
+        bucket = np.repeat(np.arange(len(begin)), end - begin)
+        # a verdict of the batch before on the first row's twin: that row is walked
+        walk_first = bool(self.open[0] and not self.debit[0] and self.verdict[0] == self.ids[0])
+        if self.safe:
+            after = np.array(lo, np.int64)[bucket] + self.sum_lo[1:] - self.sum_lo[begin][bucket]
+            stop = np.minimum(np.minimum.reduceat(np.where(self.open & self.debit & (after < 0), at, n), begin), end)
+            if walk_first:
+                stop[0] = 0
+        else:
+            stop = begin.copy()
+        loosened = np.where(settled, np.minimum(np.minimum.reduceat(np.where(self.loose, at, n), begin), stop), begin)
+        done = at < stop[bucket]
+        self._accept(np.flatnonzero(done & self.open & self.debit))
+        self._keep(np.flatnonzero(done & (at >= loosened[bucket])))
+        fold_to = np.minimum(loosened, stop)
+        bulk = (self.sum_hi[fold_to] - self.sum_hi[begin]).tolist(), (self.sum_lo[stop] - self.sum_lo[begin]).tolist(), (self.sum_hi[stop] - self.sum_hi[begin]).tolist()
+        accounts, parts = self.account[begin].tolist(), self.part[begin].tolist()
+        for i, (s, e, u) in enumerate(zip(stop.tolist(), end.tolist(), loosened.tolist())):
+            if i:
+                self.close()
+            self.key, self.settled = (accounts[i], parts[i]), settled[i] and u >= s
+            if self.safe:
+                self.folded, self.lo, self.hi = folded[i] + bulk[0][i], lo[i] + bulk[1][i], hi[i] + bulk[2][i]
+            else:
+                self.folded, self.lo, self.hi = folded[i], lo[i], hi[i]
+            if s < e:
+                self._walk(s, e)
+            elif self.open[e - 1] and self.debit[e - 1]:
+                self.verdict = (int(self.ids[e - 1]), "A")
+        return self._output()
+
+    def _walk(self, at: int, end: int) -> None:
+        """The rows of one bucket from the first that is in doubt: ``STEP`` one by one, then as many as are accepted at once."""
+        size = self.STEP
+        while at < end:
+            to = min(at + self.STEP, end) if self.safe else end
+            if to < end and self.twin[to]:
+                to += 1
+            self._step(at, to)
+            at, to = to, min(to + size, end)
+            if at == to:
+                continue
+            after = self.lo + self.sum_lo[at + 1:to + 1] - self.sum_lo[at]
+            short = np.flatnonzero(self.open[at:to] & self.debit[at:to] & (after < 0))
+            size = self.STEP if len(short) else size * 4
+            to = at + int(short[0]) if len(short) else to
+            if at == to:
+                continue
+            self._accept(at + np.flatnonzero(self.open[at:to] & self.debit[at:to]))
+            loose = np.flatnonzero(self.loose[at:to])
+            kept = at if not self.settled else at + int(loose[0]) if len(loose) else to
+            self.folded += int(self.sum_hi[kept] - self.sum_hi[at])
+            self._keep(np.arange(kept, to))
+            self.settled = self.settled and not len(loose)
+            self.lo += int(self.sum_lo[to] - self.sum_lo[at])
+            self.hi += int(self.sum_hi[to] - self.sum_hi[at])
+            if self.open[to - 1] and self.debit[to - 1]:
+                self.verdict = (int(self.ids[to - 1]), "A")
+            at = to
+
+    def _step(self, at: int, end: int) -> None:
+        kept, states, accepted, rejected = [], [], [], []
+        rows = zip(range(at, end), *(c[at:end].tolist() for c in (self.ids, self.cents, self.open, self.debit)))
+        for row, id_, cents, is_open, debit in rows:
+            if is_open and not debit and self.verdict[0] == id_:
+                if self.verdict[1] == "R":
                     continue
-            if state == "A":
-                lo, hi = lo + cents, hi + cents
-            elif not is_debit:                       # an incoming transfer that is not decided yet
-                hi, settled = hi + cents, False
-            elif lo >= -cents:
-                lo, hi, state = lo + cents, hi + cents, "A"
-                verdict = (id_, "A")
-                out.append((id_, None, None, None, "A", None, None, "decided"))
-            elif hi < -cents:
-                verdict = (id_, "R")
-                out.append((id_, None, None, None, "R", None, None, "decided"))
+                is_open = False
+            if not is_open:
+                self.lo, self.hi = self.lo + cents, self.hi + cents
+            elif not debit:
+                self.hi, self.settled = self.hi + cents, False
+            elif self.lo >= -cents:
+                self.lo, self.hi, is_open = self.lo + cents, self.hi + cents, False
+                self.verdict = (id_, "A")
+                accepted.append(row)
+            elif self.hi < -cents:
+                self.verdict = (id_, "R")
+                rejected.append(row)
                 continue
             else:
-                lo, settled = lo + cents, False
-            if settled:
-                folded += cents
+                self.lo, self.settled = self.lo + cents, False
+            if self.settled:
+                self.folded += cents
             else:
-                out.append(leg(id_, number, cents, state, is_debit))
-        yield batch_of(out)
-    if bucket and folded:
-        yield batch_of([leg(-1, 0, folded, "A", False)])
+                kept.append(row)
+                states.append("U" if is_open else "A")
+        self.kept.append((kept, states))
+        self.decided += [(accepted, "A"), (rejected, "R")]
+
+    def _accept(self, rows: np.ndarray) -> None:
+        self.decided.append((rows, "A"))
+
+    def _keep(self, rows: np.ndarray) -> None:
+        """Rows of an accepted stretch that stand behind an undecided one."""
+        self.kept.append((rows, np.where(self.loose[rows], "U", "A")))
+
+    def close(self) -> None:
+        """The bucket is over: its decided prefix goes on as one leg."""
+        if self.key and self.folded:
+            self.folds.append((*self.key, self.folded))
+        self.key, self.folded = None, 0
+
+    def _output(self) -> pa.RecordBatch:
+        kept = pa.array(np.concatenate([np.asarray(r, np.int64) for r, _ in self.kept] or [[]]).astype(np.int64))
+        states = pa.array([s for _, states in self.kept for s in states], pa.string())
+        decided = pa.array(np.concatenate([np.asarray(r, np.int64) for r, _ in self.decided] or [[]]).astype(np.int64))
+        verdicts = pa.array([v for rows, v in self.decided for _ in range(len(rows))], pa.string())
+        account, part, cents = zip(*self.folds) if self.folds else ((), (), ())
+        schema = pa.schema([("id", pa.int64()), ("leg", pa.int32()), ("account_id", pa.int64()), ("cents", pa.int64()), ("state", pa.string()),
+                            ("is_debit", pa.bool_()), ("bucket", pa.int32()), ("kind", pa.string())])
+        own = {"id": [-1] * len(account), "leg": [0] * len(account), "account_id": account, "cents": cents, "state": ["A"] * len(account),
+               "is_debit": [False] * len(account), "bucket": part, "kind": ["work"] * len(account)}
+
+        def column(f: pa.Field) -> pa.Array:
+            fold = pa.array(own[f.name], f.type)
+            if f.name == "kind":
+                return pa.concat_arrays([pa.repeat(pa.scalar("work"), len(kept)), pa.repeat(pa.scalar("decided"), len(decided)), fold])
+            if f.name == "state":
+                return pa.concat_arrays([states, verdicts, fold])
+            found = self.batch.column(self.batch.schema.get_field_index(f.name))
+            of_verdict = found.take(decided) if f.name == "id" else pa.nulls(len(decided), f.type)
+            return pa.concat_arrays([found.take(kept).cast(f.type), of_verdict.cast(f.type), fold])
+
+        return pa.RecordBatch.from_arrays([column(f) for f in schema], schema=schema)
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Settle buckets, sorted by account, bucket and id: see ``_Settler``."""
+    settler = _Settler()
+    seen = None
+    for seen in batches:
+        yield settler.take(seen)
+    if seen is not None:
+        settler._load(seen.slice(0, 0))
+        settler.close()
+        yield settler._output()
 
 
 def _round(legs: DataFrame, verdicts: DataFrame | None) -> DataFrame:

@@ -1,7 +1,9 @@
 """Posting: the Spark fixpoint equals a plain sequential fold (brute force), plus invariants."""
 import datetime as dt
+import random
 from decimal import Decimal
 
+import pyarrow as pa
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -140,3 +142,96 @@ def test_a_missing_verdict_raises(spark, monkeypatch):
     monkeypatch.setattr(posting, "_store_round", lambda rows, root, n: real(rows.where("kind <> 'decided' or id <> 3"), root, n))
     with pytest.raises(Exception, match="verdict"):
         run_spark(spark, *hovering(6), partitions=1).decisions.collect()
+
+
+def settle_row_by_row(rows):
+    """The rule of one pass, a row at a time: verdicts, and what is left of each bucket (open and kept rows, sum of the folded prefix)."""
+    verdicts, left, now = {}, {}, None
+    for id_, leg, account, cents, state, debit, bucket, lo0, hi0 in rows:
+        if (account, bucket) != now:
+            now, lo, hi, settled = (account, bucket), lo0, hi0, True
+            left[now] = [0, []]
+            last = None
+        if state == "U" and not debit and last == id_ and id_ in verdicts:
+            state = verdicts[id_]
+            if state == "R":
+                continue
+        if state == "A":
+            lo, hi = lo + cents, hi + cents
+        elif not debit:
+            hi, settled = hi + cents, False
+        elif lo + cents >= 0:
+            lo, hi, state = lo + cents, hi + cents, "A"
+            verdicts[id_], last = "A", id_
+        elif hi + cents < 0:
+            verdicts[id_], last = "R", id_
+            continue
+        else:
+            lo, settled, last = lo + cents, False, id_
+        if settled:
+            left[now][0] += cents
+        else:
+            left[now][1].append((id_, leg, cents, state))
+    return verdicts, {k: v for k, v in left.items() if v != [0, []]}
+
+
+def settle_in_batches(rows, cuts):
+    names = [*posting.LEG_COLS[:6], "bucket", "lo", "hi"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int32(), pa.int64(), pa.int64()]
+    edges = [0, *sorted(cuts), len(rows)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows[a:b]], t) for i, t in enumerate(types)], names=names) for a, b in zip(edges, edges[1:])]
+    verdicts, left = {}, {}
+    for out in posting._settle(iter(batches)):
+        for r in out.to_pylist():
+            if r["kind"] == "decided":
+                assert r["id"] not in verdicts
+                verdicts[r["id"]] = r["state"]
+                continue
+            found = left.setdefault((r["account_id"], r["bucket"]), [0, []])
+            if r["id"] == -1:
+                assert found[0] == 0
+                found[0] = r["cents"]
+            else:
+                found[1].append((r["id"], r["leg"], r["cents"], r["state"]))
+    return verdicts, {k: [s, sorted(rows, key=lambda r: r[:2])] for k, (s, rows) in left.items()}
+
+
+def random_legs(rng, buckets, size, spare, wait):
+    rows, id_ = [], 0
+    for b in range(buckets):
+        start = rng.randrange(0, spare)
+        lo, hi = start - (rng.randrange(0, 20) if rng.random() < wait else 0), start
+        for _ in range(rng.randrange(1, size)):
+            id_ += 1
+            kind, cents = rng.random(), rng.randrange(1, 30)
+            if kind < 0.35:
+                rows.append((id_, 0, b // 2, cents, "A", False, b, lo, hi))
+            elif kind < 0.35 + wait:
+                rows.append((id_, 1, b // 2, cents, "U", False, b, lo, hi))
+            elif kind < 0.5:                           # within the account: both legs
+                rows += [(id_, 0, b // 2, -cents, "U", True, b, lo, hi), (id_, 1, b // 2, cents, "U", False, b, lo, hi)]
+            else:
+                rows.append((id_, 0, b // 2, -cents, "U", True, b, lo, hi))
+    return rows
+
+
+def test_settling_in_stretches_equals_row_by_row(monkeypatch):
+    rng = random.Random(17)
+    for n in range(400):
+        monkeypatch.setattr(posting._Settler, "STEP", rng.choice([1, 2, 5, 64]))
+        monkeypatch.setattr(posting._Settler, "SAFE", rng.choice([2.0 ** 62] * 5 + [0.0]))
+        rows = random_legs(rng, rng.choice([1, 3, 9]), rng.choice([3, 30, 200]), rng.choice([2, 60, 3000]), rng.choice([0, 0.02, 0.3]))
+        cuts = [rng.randrange(0, len(rows) + 1) for _ in range(rng.randrange(0, 6))]
+        want_verdicts, want_left = settle_row_by_row(rows)
+        got_verdicts, got_left = settle_in_batches(rows, cuts)
+        assert got_verdicts == want_verdicts
+        assert {k: v for k, v in got_left.items() if v != [0, []]} == want_left
+    assert list(posting._settle(iter([]))) == []
+
+
+def test_settling_sums_beyond_64_bits():
+    big = 2 ** 62
+    rows = [(1, 0, 0, big, "A", False, 0, big, big), (2, 0, 0, big, "A", False, 0, big, big), (3, 0, 0, -big, "U", True, 0, big, big),
+            (4, 0, 0, -big, "U", True, 0, big, big), (5, 0, 0, -1, "U", True, 0, big, big)]
+    verdicts, left = settle_in_batches(rows, [2])
+    assert verdicts == {3: "A", 4: "A", 5: "A"} and left == {(0, 0): [-1, []]}
