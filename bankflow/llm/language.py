@@ -63,8 +63,49 @@ def fold(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return folded, upto[starts], np.diff(letters[starts])
 
 
+TRIES = 64     # places of a row that are looked at together
+
+
+def interleave(rows: list[tuple[int, list[int], list[int]]], states: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sparse rows (state, symbols, targets) laid into one another, so that memory follows the moves and not states x symbols: the move of a
+    state by a symbol is at ``base[state] + symbol`` if that place is owned by the state. Moves are targets times 4.
+
+    Rows of several moves are placed first, largest first, each at the next base at which all its places are free; rows of one
+    move then take the places that are left."""
+    total = sum(len(symbols) for _, symbols, _ in rows)
+    base = np.zeros(states, np.int32)
+    owner, move = np.full(2 * total + 2 * width + TRIES, -1, np.int32), np.zeros(2 * total + 2 * width + TRIES, np.int32)
+    tries, at = np.arange(TRIES)[:, None], 0
+    for state, symbols, targets in sorted((r for r in rows if len(r[1]) > 1), key=lambda r: -len(r[1])):
+        places = np.array(symbols)
+        while True:
+            if at + TRIES + width > len(owner):
+                owner, move = np.append(owner, np.full(len(owner), -1, np.int32)), np.append(move, np.zeros(len(move), np.int32))
+            fits = (owner[at + tries + places] < 0).all(axis=1)
+            if fits.any():
+                break
+            at += TRIES
+        base[state] = at + int(fits.argmax())
+        owner[base[state] + places], move[base[state] + places] = state, np.array(targets) * 4
+    single = [r for r in rows if len(r[1]) == 1]
+    if single:
+        state, symbol, target = (np.array(c) for c in zip(*((s, symbols[0], targets[0]) for s, symbols, targets in single)))
+        free = np.flatnonzero(owner < 0)
+        free = free[free >= width]                       # no base is negative
+        if len(free) < len(state):
+            more = len(state) - len(free)
+            free = np.append(free, len(owner) + np.arange(more))
+            owner, move = np.append(owner, np.full(more, -1, np.int32)), np.append(move, np.zeros(more, np.int32))
+        place = free[:len(state)]
+        base[state], owner[place], move[place] = place - symbol, state, target * 4
+    used = int(np.flatnonzero(owner >= 0).max(initial=0)) + 1
+    used = max(used, int(base.max(initial=0)) + width)
+    pad = max(used - len(owner), 0)
+    return base, np.append(owner, np.full(pad, -1, np.int32))[:used], np.append(move, np.zeros(pad, np.int32))[:used]
+
+
 class Automaton:
-    """Suffix automaton of one string (code points), as a table of moves for cross-parsing."""
+    """Suffix automaton of one string (code points), as interleaved rows of moves for cross-parsing."""
 
     def __init__(self, text: np.ndarray):
         links, lengths, moves = [-1], [0], [{}]
@@ -93,21 +134,13 @@ class Automaton:
                     links[q] = links[here] = twin
             last = here
         self.symbols = np.unique(text)
-        size = len(self.symbols) + 1                     # the last column: characters that the sample has not
+        width = len(self.symbols) + 1                    # the last symbol: characters that the sample has not
         index = {c: i for i, c in enumerate(self.symbols.tolist())}
-        go = np.full((len(moves), size), -1, np.int64)
-        for state, row in enumerate(moves):
-            for c, to in row.items():
-                go[state, index[c]] = to
-        root = go[0]
         # after a miss the phrase ends and the character opens the next one; an unknown one is a phrase by itself
-        opened = np.where(root >= 0, root, 0)
-        ended = np.where(root >= 0, 0, 1)
-        missed = go < 0
-        after = np.where(missed, opened[None, :], go)
-        cost = np.where(missed, ended[None, :] + (np.arange(len(moves)) > 0)[:, None], 0)
-        self.width = size
-        self.table = (after * 4 + cost).astype(np.int32).reshape(-1)
+        self.opened = np.ones(width, np.int32)
+        self.opened[:-1] = [moves[0][c] * 4 for c in self.symbols.tolist()]
+        rows = [(state, [index[c] for c in row], list(row.values())) for state, row in enumerate(moves) if state and row]
+        self.base, self.owner, self.move = interleave(rows, len(moves), width)
         self.bits = float(np.log2(max(len(text), 2)))
 
     def phrases(self, lanes: np.ndarray, active: np.ndarray) -> np.ndarray:
@@ -116,11 +149,14 @@ class Automaton:
         place = np.searchsorted(self.symbols, lanes)
         place[place == len(self.symbols)] = 0
         symbol = np.where(self.symbols[place] == lanes, place, len(self.symbols)).astype(np.int32)
+        opened = self.opened[symbol]
         state, count = np.zeros(lanes.shape[1], np.int32), np.zeros(lanes.shape[1], np.int32)
         for t, n in enumerate(active.tolist()):
             if not n:
                 break
-            move = self.table[state[:n] * self.width + symbol[t, :n]]
+            now = state[:n]
+            at = self.base[now] + symbol[t, :n]
+            move = np.where(self.owner[at] == now, self.move[at], opened[t, :n] + (now > 0))
             count[:n] += move & 3
             state[:n] = move >> 2
         return count + (state > 0)

@@ -1,5 +1,7 @@
 """Language identification: the automaton against plain parsing, held-out accuracy."""
 import random
+import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -35,6 +37,46 @@ def test_automaton_parses_like_a_search():
         assert automaton.phrases(lanes, active).tolist() == [phrases(t, sample) for t in texts]
 
 
+def test_memory_follows_the_sample_not_the_alphabet():
+    rng = np.random.default_rng(5)
+    for symbols in (60, 2_000, 6_000):
+        sample = (0x4E00 + rng.zipf(1.3, language.SAMPLE_CHARS) % symbols).astype(np.uint32)
+        automaton = language.Automaton(sample)
+        assert sum(a.nbytes for a in (automaton.base, automaton.owner, automaton.move)) < 3_000_000
+        text = "".join(map(chr, sample[100:140])) + "x" + "".join(map(chr, rng.permutation(sample)[:200]))
+        lanes = np.zeros((language.LANE, 1), np.uint32)
+        lanes[:len(text), 0] = [ord(c) for c in text]
+        want = phrases(text, "".join(map(chr, sample)))
+        assert automaton.phrases(lanes, (np.arange(language.LANE) < len(text)).astype(int)).tolist() == [want]
+
+
+def plain_prediction(text, samples):
+    """Language and score by searching the samples."""
+    folded = lambda t: re.sub(" +", " ", "".join(
+        (c.lower() if len(c.lower()) == 1 else c) if unicodedata.category(c)[0] == "L" else " " for c in t)).lstrip(" ")
+    own = folded(text or "")
+    if not own.strip():
+        return "und", 0.0
+    lanes = [own[i:i + language.LANE] for i in range(0, len(own), language.LANE)]
+    rates = []
+    for lang, sample in samples:
+        known = folded(sample)
+        rates.append((sum(phrases(lane, known) for lane in lanes) * np.log2(max(len(known), 2)) / len(own), lang))
+    (best, lang), (second, _) = sorted(rates)[:2]
+    return lang, (second - best) / second
+
+
+def test_query_equals_plain_parsing(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    samples = language.learn(docs)
+    got = {r["doc_id"]: r for r in registry.op10_language(spark, "/root/testdata/sf0.001").collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert len(got) == len(rows) and len(samples) > 1
+    for r in rows:
+        lang, score = plain_prediction(r["text"], samples)
+        assert got[r["doc_id"]]["lang_pred"] == lang and abs(got[r["doc_id"]]["score"] - score) < 1e-9
+
+
 def test_fold():
     data, offsets = utf8_buffer(pa.array(["Ab, c!", None, "  é1É ", "日本", "...", "x"]))
     codes, at, letters = language.fold(data, offsets)
