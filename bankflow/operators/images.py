@@ -2,7 +2,8 @@
 
 A model is a published table (``operators.published``). A run flattens the loads that the model has not taken yet and nothing else. Of a
 model with a key, the stored rows of the loads' buckets are compared with the new images, and only those that win are written, as a
-keyed segment; a model of every image just gets another segment. Rows and the names of the loads taken are published together, so a
+keyed segment; a model of every image just gets another segment, and the results of its data tests are kept with it
+(``operators.kept_checks``). Rows and the names of the loads taken are published together, so a
 run that dies takes the same loads again and one without loads writes nothing.
 
 The result is that of the whole rebuild (``operators.staging``): same rows, and the load time of the last run on all of them.
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from bankflow import schemas as S
 from bankflow.functions.variant import flatten
+from bankflow.operators import kept_checks
 from bankflow.operators.published import Keyed, Published, level_of
 from bankflow.operators.staging import LINEAGE, cdc_tiebreak, latest_per_key, with_load_ts
 from bankflow.session import cut_lineage
@@ -84,9 +86,11 @@ def take_loads(spark: SparkSession, raw: str, path: str, name: str, as_of, befor
         compact = keyed.compact
     else:
         [(segment, about)] = table.write(images, ROWS).items()
-        rows = spark.read.schema(schema).parquet(f"{path}/{segment}").count()          # from the footers
-        added = {segment: {**about, "rows": rows, "level": level_of(rows)}}
-        compact = lambda after: table.compact(after, ROWS, schema)
+        stored = spark.read.schema(schema).parquet(f"{path}/{segment}")
+        rows = stored.count()          # from the footers
+        checks, news["repeated"] = kept_checks.of_load(table, state, stored, name)
+        added = {segment: {**about, "rows": rows, "level": level_of(rows)}, **checks}
+        compact = lambda after: kept_checks.compact(table, table.compact(after, ROWS, schema), name)
     if before_publish is not None:
         before_publish()
     return compact(table.publish(state, added, **news)).version
@@ -104,3 +108,10 @@ def read_model(spark: SparkSession, path: str, name: str, since: int = 0) -> Dat
     else:
         rows = table.read(state, ROWS, schema)
     return with_load_ts(rows, state.info["as_of"]).select(*model.columns, "load_timestamp")
+
+
+def kept(spark: SparkSession, path: str, name: str) -> tuple[int, DataFrame]:
+    """Of a model of every image: the number of its rows and the results of its data tests, from what is kept of each load."""
+    table = Published(spark, path)
+    state = table.state()
+    return sum(about["rows"] for about in state.of(ROWS).values()), kept_checks.results(table, state, name)

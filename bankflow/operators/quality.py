@@ -42,26 +42,38 @@ def check_unique(df: DataFrame, col: str, model: str = "model") -> DataFrame:
         F.col("u").cast("bigint").alias("failures"))
 
 
-def model_checks(df: DataFrame, model: str, spec: dict | None = None) -> DataFrame:
-    """All declared tests of one model: one pass for not_null + accepted_values, one per unique.
+def _tests(spec: dict) -> list[tuple[str, str]]:
+    return [(c, "not_null") for c in spec.get("not_null", [])] + [(c, "accepted_values") for c in spec.get("accepted_values", {})]
+
+
+def failing_pairs(df: DataFrame, spec: dict) -> DataFrame:
+    """(t, v, count): how often each value fails the t-th of the not_null and accepted_values tests.
 
     A row gives one (test, value) pair for each test that it fails and none otherwise; pairs are counted on the map
-    side, so only failures are shuffled: rows for not_null, different values for accepted_values."""
-    spec = spec or DATA_TESTS[model]
-    tests = [(c, "not_null") for c in spec.get("not_null", [])] + [(c, "accepted_values") for c in spec.get("accepted_values", {})]
+    side, so only failures are shuffled."""
     fails = [F.when(F.col(c).isNull(), F.struct(F.lit(i).alias("t"), F.lit(None).cast("string").alias("v")))
              if test == "not_null" else
              F.when(~F.col(c).isin(*spec["accepted_values"][c]), F.struct(F.lit(i).alias("t"), F.col(c).cast("string").alias("v")))
-             for i, (c, test) in enumerate(tests)]
-    out = None
-    if tests:
-        pairs = df.select(F.inline(F.filter(F.array(*fails), lambda x: x.isNotNull()))).groupBy("t", "v").count()
-        failed = pairs.groupBy("t").agg(F.sum("count").alias("rows"), F.count(F.lit(1)).alias("values"))
-        names = df.sparkSession.createDataFrame([(i, model, c, test) for i, (c, test) in enumerate(tests)],
-                                                "t int, model string, column_name string, test string")
-        found = F.when(F.col("test") == "not_null", F.col("rows")).otherwise(F.col("values"))
-        out = names.join(F.broadcast(failed), "t", "left").select(      # one row per failed test
-            "model", "column_name", "test", F.coalesce(found, F.lit(0)).cast("bigint").alias("failures"))
+             for i, (c, test) in enumerate(_tests(spec))]
+    return df.select(F.inline(F.filter(F.array(*fails), lambda x: x.isNotNull()))).groupBy("t", "v").count()
+
+
+def checks_of_pairs(pairs: DataFrame, model: str, spec: dict) -> DataFrame:
+    """One row per not_null and accepted_values test: failing rows for the former, different values for the latter. The
+    pairs of several parts of a model may be given together."""
+    failed = (pairs.groupBy("t", "v").agg(F.sum("count").alias("count"))
+              .groupBy("t").agg(F.sum("count").alias("rows"), F.count(F.lit(1)).alias("values")))
+    names = pairs.sparkSession.createDataFrame([(i, model, c, test) for i, (c, test) in enumerate(_tests(spec))],
+                                               "t int, model string, column_name string, test string")
+    found = F.when(F.col("test") == "not_null", F.col("rows")).otherwise(F.col("values"))
+    return names.join(F.broadcast(failed), "t", "left").select(      # one row per failed test
+        "model", "column_name", "test", F.coalesce(found, F.lit(0)).cast("bigint").alias("failures"))
+
+
+def model_checks(df: DataFrame, model: str, spec: dict | None = None) -> DataFrame:
+    """All declared tests of one model: one pass for not_null + accepted_values, one per unique."""
+    spec = spec or DATA_TESTS[model]
+    out = checks_of_pairs(failing_pairs(df, spec), model, spec) if _tests(spec) else None
     for c in spec.get("unique", []):
         u = check_unique(df, c, model)
         out = u if out is None else out.unionByName(u)

@@ -644,6 +644,7 @@ Q["pipeline_e2e"] = with_(None, "stg_acct_log", "stg_cust_log", "txn") + f"""SEL
        (SELECT count(*) FROM txn) AS transactions
 FROM stg_acct_log a WHERE a.customer_id IN (SELECT customer_id FROM stg_cust_log) GROUP BY a.customer_id"""
 
+Q["dq_transactions_by_load"] = with_(None, "stg_txn_written") + "\nUNION ALL\n".join(_tr_tests["stg_transactions"])
 Q["stg_accounts_by_load"] = Q["stg_accounts"]
 Q["stg_transactions_by_load"] = Q["stg_transactions_as_written"]
 

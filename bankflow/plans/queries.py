@@ -907,21 +907,26 @@ def q_pipeline_e2e(spark, sf):
 
 
 def _by_load(spark, sf, name):
-    """A staging model after two days, each of which took that day's load only."""
+    """Where a staging model lies after two days, each of which took that day's load only."""
     p = Paths(spark)
     for n, (events, as_of) in enumerate(zip(_two_days(spark, sf), (fx.AS_OF_1, fx.AS_OF_2))):
         landing.write_landing(cdc.decode(events), p.base)
         landing.load_raw(spark, p.base, p.raw, p.checkpoint, run=f"run{n}")
         images.take_loads(spark, p.raw, p.root, name, as_of)
-    return images.read_model(spark, p.root, name)
+    return p.root
 
 
 def q_stg_accounts_by_load(spark, sf):
-    return _by_load(spark, sf, "stg_accounts")
+    return images.read_model(spark, _by_load(spark, sf, "stg_accounts"), "stg_accounts")
 
 
 def q_stg_transactions_by_load(spark, sf):
-    return _by_load(spark, sf, "stg_transactions")
+    return images.read_model(spark, _by_load(spark, sf, "stg_transactions"), "stg_transactions")
+
+
+def q_dq_transactions_by_load(spark, sf):
+    """The tests of all transactions, from what two days kept of their own loads."""
+    return images.kept(spark, _by_load(spark, sf, "stg_transactions"), "stg_transactions")[1]
 
 
 QUERIES = {name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)}

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from bankflow.operators import images, published, snapshots, staging
+from bankflow.operators import images, published, quality, snapshots, staging
 from bankflow.operators.published import Published
 from bankflow.plans.runs import run_transform
 from bankflow.session import list_names, work_dir, write_text
@@ -35,7 +35,7 @@ def rows_of(df):
 def test_equals_rebuild_after_every_load(spark, monkeypatch):
     monkeypatch.setattr(published, "FAN", 3)                       # merges within a few loads
     rng, raw, path = random.Random(3), work_dir(spark, "t-raw"), work_dir(spark, "t-model")
-    for n in range(7):
+    for n in range(5):
         rows = [(account(rng.choice([None, *range(12)]), n + k / 100, rng.choice([None, 0, 0, 1, 2])), rng.randrange(3), n * 100 + k)
                 for k in range(rng.randrange(1, 15))]
         load(spark, raw, f"run{n}.0", rows + rows[:2])             # repeated rows
@@ -44,7 +44,7 @@ def test_equals_rebuild_after_every_load(spark, monkeypatch):
         want = staging.stg_accounts(landing.raw(spark, raw, "accounts"), as_of)
         got = images.read_model(spark, path, "stg_accounts")
         assert got.columns == want.columns and rows_of(got) == rows_of(want)
-    assert len(Published(spark, path).state().of(images.ROWS)) < 7
+    assert len(Published(spark, path).state().of(images.ROWS)) < 5
 
 
 def test_every_image_model_equals_rebuild(spark):
@@ -56,6 +56,30 @@ def test_every_image_model_equals_rebuild(spark):
     assert rows_of(images.read_model(spark, path, "stg_transactions")) == rows_of(want) and want.count() == 12
 
 
+def test_kept_checks_equal_a_full_scan(spark, monkeypatch):
+    monkeypatch.setattr(published, "FAN", 2)
+    rng, raw, path = random.Random(4), work_dir(spark, "t-raw"), work_dir(spark, "t-model")
+    for n in range(5):
+        rows = [({"id": rng.choice([None, *range(40)]), "account_id": rng.choice([None, 1]), "txn_type": rng.choice([None, "DEPOSIT", "X", f"Y{n % 2}"]),
+                  "status": rng.choice(["PENDING", "?"]), "created_at": rng.choice([None, T0.isoformat()])}, n, k) for k in range(rng.randrange(0, 25))]
+        load(spark, raw, f"run{n}.0", rows, "transactions") if rows else write_text(spark, f"{raw}/_loads/run{n}.0", "")
+        if n:
+            images.take_loads(spark, raw, path, "stg_transactions", T0)
+            whole = staging.stg_transactions(landing.raw(spark, raw, "transactions"), T0, "as_written")
+            count, got = images.kept(spark, path, "stg_transactions")
+            assert count == whole.count() and rows_of(got) == rows_of(quality.model_checks(whole, "stg_transactions"))
+    assert any(r["test"] == "unique" and r["failures"] > 0 for r in got.collect())
+    state = Published(spark, path).state()
+    for segment in state.of(images.ROWS):                          # a later run opens no stored row
+        for name in list_names(spark, f"{path}/{segment}"):
+            write_text(spark, f"{path}/{segment}/{name}", "this is no parquet file")
+    monkeypatch.setattr(published, "FAN", 100)
+    load(spark, raw, "run9.0", [({"id": 1, "account_id": 1}, 9, 9)], "transactions")
+    images.take_loads(spark, raw, path, "stg_transactions", T0)
+    whole = staging.stg_transactions(landing.raw(spark, raw, "transactions"), T0, "as_written")
+    assert rows_of(images.kept(spark, path, "stg_transactions")[1]) == rows_of(quality.model_checks(whole, "stg_transactions"))
+
+
 def test_reads_new_loads_only(spark):
     raw, path = work_dir(spark, "t-raw"), work_dir(spark, "t-model")
     load(spark, raw, "run0.0", [(account(1, 1.0), 1, 1)])
