@@ -21,7 +21,7 @@ from bankflow.functions.variant import flatten
 from bankflow.operators import kept_checks
 from bankflow.operators.published import Keyed, Published, level_of
 from bankflow.operators.staging import LINEAGE, cdc_tiebreak, latest_per_key, with_load_ts
-from bankflow.session import cut_lineage
+from bankflow.session import cut_lineage, drops_own_work
 from bankflow.sources import landing
 
 ROWS = "rows"      # the kind of segments
@@ -63,6 +63,7 @@ def winners(stored: DataFrame, images: DataFrame, model: Model) -> DataFrame:
     return both.withColumn("_rn", F.row_number().over(w)).where((F.col("_rn") == 1) & F.col("_new")).drop("_rn", "_new")
 
 
+@drops_own_work
 def take_loads(spark: SparkSession, raw: str, path: str, name: str, as_of, before_publish=None) -> int:
     """Bring the model at ``path`` up to date with the complete loads of raw; returns its version. ``before_publish`` is called
     just before the run shows (for tests of a writer that dies there)."""

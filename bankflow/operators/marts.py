@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from bankflow.operators.published import Keyed, Published, State
 from bankflow.schemas import DIM_ACCOUNTS_COLS, DIM_CUSTOMERS_COLS, STG_TRANSACTIONS_COLS
-from bankflow.session import cut_lineage
+from bankflow.session import cut_lineage, drops_own_work
 from bankflow.sources import landing
 
 
@@ -127,6 +127,7 @@ def _index(spark: SparkSession, path: str) -> tuple[Published, Keyed, State]:
     return table, keys, keys.compact(state)
 
 
+@drops_own_work
 def facts_transactions(spark: SparkSession, stg: DataFrame, target_path: str, as_of, mode: str = "insert_only",
                        allowed_lateness: dt.timedelta | None = None, mark="newest", before_publish=None, **taken) -> DataFrame:
     """Load the transaction fact from staging; returns the whole fact afterwards.

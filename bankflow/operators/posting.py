@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bankflow.operators.published import Keyed, Published, State
-from bankflow.session import cut_lineage, work_dir
+from bankflow.session import cut_lineage, drops_own_work, work_dir
 
 MONEY = "decimal(18,2)"
 SUM_MONEY = "decimal(38,2)"
@@ -473,6 +473,7 @@ def _books(spark: SparkSession, root: str) -> tuple[Published, Keyed, State]:
     return table, Keyed(table, BALANCES, "account_id", BALANCE_SCHEMA), state
 
 
+@drops_own_work
 def open_accounts(spark: SparkSession, root: str, accounts: DataFrame) -> None:
     """Add accounts (account_id, balance; one row each) to the books at ``root``; those that are there keep their balance."""
     table, balances, state = _books(spark, root)
@@ -481,6 +482,7 @@ def open_accounts(spark: SparkSession, root: str, accounts: DataFrame) -> None:
     table.publish(state, balances.write(state, new, new.count()))
 
 
+@drops_own_work
 def post_stream_batch(spark: SparkSession, root: str, requests: DataFrame, batch: tuple[str, int], before_publish=None) -> None:
     """Post one micro-batch of requests against the published balances; its decisions, ledger entries and the balances it leaves are
     published at once, with the batch's name (stream id, batch id). A batch that has been published is not posted again.

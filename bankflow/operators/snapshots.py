@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from bankflow.operators.published import Keyed, Published
 from bankflow.schemas import SNAPSHOT_META
-from bankflow.session import cut_lineage
+from bankflow.session import cut_lineage, drops_own_work
 
 STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 OPEN, CLOSED = "open", "closed"
@@ -106,6 +106,7 @@ def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
     return opened if closed is None else closed.unionByName(opened)
 
 
+@drops_own_work
 def run_snapshot(spark: SparkSession, root: str, source: DataFrame, key: str, check_cols: list[str], as_of,
                  batch_of: tuple[str, int] | None = None, **taken) -> DataFrame:
     """Apply one snapshot step to the table at ``root`` and return the whole snapshot. ``as_of`` must be later than that of

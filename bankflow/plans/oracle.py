@@ -409,7 +409,7 @@ Q["dim_customers"] = with_(DIMS, *DIM_NEEDS) + "SELECT * FROM dim_c"
 Q["dim_accounts"] = with_(DIMS, *DIM_NEEDS) + "SELECT * FROM dim_a"
 
 Q["facts_full"] = with_(None, "stg_txn") + f"SELECT {FACT_COLS} FROM stg_txn"
-Q["stream_facts"] = Q["facts_full"]
+Q["stream_facts"] = Q["stream_facts_repeats"] = Q["facts_full"]
 Q["facts_incremental"] = _facts_two(None)
 Q["facts_incremental_late"] = _facts_two("7 days")
 Q["facts_upsert"] = _facts_two("7 days", upsert=True)

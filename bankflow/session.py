@@ -9,7 +9,9 @@ is an error, since no machine's own folder reaches the other executors.
 
 from __future__ import annotations
 
+import functools
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,7 +67,30 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def work_dir(spark: SparkSession, name: str = "run") -> str:
     """A fresh folder for one run's tables, under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/bankflow/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/bankflow/{name}-{uuid.uuid4().hex[:12]}"
+    if (passing := getattr(_passing, "folders", None)) is not None:
+        passing.append(path)
+    return path
+
+
+_passing = threading.local()
+
+
+def drops_own_work(step):
+    """Decorator of a step, a function of (spark, ...), that stores its results under a path it is given: the work folders made
+    while it runs are deleted when it ends, also by an error, so that a stream does not fill the shared folder batch by batch.
+    What the step returns must not read them."""
+    @functools.wraps(step)
+    def run(spark: SparkSession, *args, **kwargs):
+        outer, mine = getattr(_passing, "folders", None), []
+        _passing.folders = mine
+        try:
+            return step(spark, *args, **kwargs)
+        finally:
+            _passing.folders = outer
+            drop_work(spark, *mine)
+
+    return run
 
 
 def drop_work(spark: SparkSession, *paths: str) -> None:

@@ -15,15 +15,17 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bankflow.functions.variant import vget
 from bankflow.operators.marts import facts_from_raw
 from bankflow.operators.posting import post_stream_batch
 from bankflow.operators.snapshots import batch_published, last_run, run_snapshot
 from bankflow.operators.staging import stg_customers
-from bankflow.schemas import CUSTOMER_CHECK_COLS
+from bankflow.schemas import CUSTOMER_CHECK_COLS, STG_TRANSACTIONS_SPEC
 from bankflow.sources.cdc import read_cdc_stream
 from bankflow.session import read_text
 from bankflow.sources.landing import PARTITIONS, landing_rows
@@ -56,10 +58,35 @@ def run_landing(spark: SparkSession, source: str, base: str, checkpoint: str, op
     return _start(w, checkpoint, available_now, processing_time, base)
 
 
+def without_repeats(stream: DataFrame, allowed_lateness: dt.timedelta | None = None) -> DataFrame:
+    """A stream of raw transactions without the images that have come before, as far as the late-data rule could still admit them.
+
+    An image is known by its id and the digest of its content and change event. Its state is kept until the watermark (the latest transaction
+    time of the batches before, less the lateness) has passed its time by the lateness once more, so the state follows the
+    rows of twice the lateness, not of the stream. The watermark also takes out rows that are too late. All images of a
+    transaction must have the same time: then each time that moves the watermark is in the fact, whose high-water mark is as
+    late, so nothing is taken out that the rule would let in. Rows without an id, of which a load keeps one, neither move the
+    watermark nor fall out; without a time, repeats fall out within a batch. The load decides on those."""
+    spec = {name: (path, typ) for name, path, typ in STG_TRANSACTIONS_SPEC}
+    v = F.col("v")
+    txn_id, at = vget(v, *spec["transaction_id"]), vget(v, *spec["txn_time"]).cast("timestamp")
+    image = [F.coalesce(c.cast("string"), F.lit("-")) for c in (F.col("_ts_ms"), F.col("_seq"), F.to_json("v"))]
+    own = {"_txn_at": F.when(txn_id.isNotNull(), at), "_txn_key": F.coalesce(txn_id, F.concat(F.lit("none "), F.uuid())),
+           "_txn_image": F.md5(F.concat_ws(" ", *image))}
+    delay = math.ceil((allowed_lateness or dt.timedelta(0)).total_seconds())
+    return (stream.withColumns(own).withWatermark("_txn_at", f"{delay} seconds")
+            .dropDuplicatesWithinWatermark(["_txn_key", "_txn_image"]).drop(*own))
+
+
 def run_facts(spark: SparkSession, stream: DataFrame, target: str, checkpoint: str, as_of,
               allowed_lateness: dt.timedelta | None = None, available_now: bool = True,
-              processing_time: str | None = None):
-    """R3: each micro-batch of raw transactions -> staging (latest image) -> fact load."""
+              processing_time: str | None = None, drop_repeats: bool = False):
+    """R3: each micro-batch of raw transactions -> staging (latest image) -> fact load. ``drop_repeats``: images that come again (a source
+    that delivers at least once) are taken out ahead of the load, by state that the lateness bounds; the fact is the same. A checkpoint
+    belongs to one of the two ways."""
+    if drop_repeats:
+        stream = without_repeats(stream, allowed_lateness)
+
     def load(batch: DataFrame, batch_id: int) -> None:
         facts_from_raw(batch.sparkSession, batch, target, as_of, allowed_lateness, batch=(stream_id(batch.sparkSession, checkpoint), batch_id))
 
