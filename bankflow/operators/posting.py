@@ -19,13 +19,14 @@ per request and account touched) decides requests round by round:
   debits as accepted and undecided incoming transfers as absent, ``hi`` the reverse;
 * one streaming pass goes through each bucket in id order and carries the bounds
   along: ``lo >= amount`` accepts, ``hi < amount`` rejects, else the debit waits a round. Stretches in
-  which all are accepted are settled at once.
+  which all are accepted are settled at once. Neighbouring buckets of an account are gone through as one run
+  of up to ``LEGS_PER_RUN`` legs, from the bounds of its first.
   The decided prefix of a bucket is folded into one leg, and accounts with nothing
   undecided leave the working set.
 
 It is sound (lo <= true balance <= hi) and always progresses. The bounds of an
-account's first open bucket are equal, so all of it is settled in one pass as far
-as no undecided incoming transfer stands in it: rounds follow the buckets of the
+account's first open run are equal, so all of it is settled in one pass as far
+as no undecided incoming transfer stands in it: rounds follow the runs of the
 hottest account and the chains of transfers between accounts, not the debits.
 """
 
@@ -46,6 +47,7 @@ from bankflow.session import cut_lineage, drops_own_work, work_dir
 MONEY = "decimal(18,2)"
 SUM_MONEY = "decimal(38,2)"
 LEGS_PER_BUCKET = 1 << 18   # legs of a range partition, at which the first partitioning aims
+LEGS_PER_RUN = 1 << 22      # legs of an account's neighbouring buckets that a round goes through in one pass
 
 # Rejection reasons, in the order the OLTP database raises them: table CHECKs,
 # then foreign keys, then the posting trigger.
@@ -192,7 +194,7 @@ class _Settler:
         col = lambda name: batch.column(batch.schema.get_field_index(name))
         ints = lambda name: col(name).fill_null(-2).to_numpy(zero_copy_only=False).astype(np.int64)
         self.batch, self.ids, self.cents = batch, ints("id"), ints("cents")
-        self.debit, self.account, self.part = col("is_debit").to_numpy(zero_copy_only=False), ints("account_id"), ints("bucket")
+        self.debit, self.account, self.part = col("is_debit").to_numpy(zero_copy_only=False), ints("account_id"), ints("run")
         self.open = pc.equal(col("state"), "U").to_numpy(zero_copy_only=False)
         n = batch.num_rows
         new = np.ones(n, bool)
@@ -352,7 +354,7 @@ class _Settler:
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Settle buckets, sorted by account, bucket and id: see ``_Settler``."""
+    """Settle runs of buckets, sorted by account, bucket and id: see ``_Settler``, whose buckets are these runs."""
     settler = _Settler()
     seen = None
     for seen in batches:
@@ -365,7 +367,9 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _round(legs: DataFrame, verdicts: DataFrame | None) -> DataFrame:
     """One round: apply the last verdicts (a transfer's incoming leg lives on another account, hence a join by id),
-    bound the balance at the start of each bucket, settle the buckets of accounts with open legs."""
+    bound the balance at the start of each bucket, settle the buckets of accounts with open legs, run by run. A run has the number of
+    its first bucket, whose bounds it starts from and to which its decided prefix goes; how many a hot account has follows its legs
+    that are still worked on, not the range partitions."""
     if verdicts is not None:
         legs = (legs.join(verdicts, "id", "left")
                 .select(*[F.coalesce("new_state", "state").alias("state") if c == "state" else F.col(c)
@@ -375,14 +379,16 @@ def _round(legs: DataFrame, verdicts: DataFrame | None) -> DataFrame:
     total = lambda cond: F.sum(F.when(cond, F.col("cents")).otherwise(0))
     totals = legs.groupBy("account_id", "bucket").agg(
         total(accepted | debit).alias("lo"), total(accepted | ~debit).alias("hi"),
-        F.sum(F.when(accepted, 0).otherwise(1)).alias("open"))
+        F.sum(F.when(accepted, 0).otherwise(1)).alias("open"), F.count(F.lit(1)).alias("legs"))
     per = Window.partitionBy("account_id")
     before = per.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("account_id", "bucket", F.coalesce(F.sum("lo").over(before), F.lit(0)).alias("lo"),
                            F.coalesce(F.sum("hi").over(before), F.lit(0)).alias("hi"),
+                           F.floor(F.coalesce(F.sum("legs").over(before), F.lit(0)) / LEGS_PER_RUN).alias("run"),
                            F.sum("open").over(per).alias("open")).where("open > 0").drop("open")
-    rows = legs.join(starts, ["account_id", "bucket"]).select(*LEG_COLS, "lo", "hi")
-    rows = rows.repartition("account_id", "bucket").sortWithinPartitions("account_id", "bucket", "id", "leg")
+    starts = starts.withColumn("run", F.min("bucket").over(Window.partitionBy("account_id", "run")))
+    rows = legs.join(starts, ["account_id", "bucket"]).select(*LEG_COLS, "lo", "hi", "run")
+    rows = rows.repartition("account_id", "run").sortWithinPartitions("account_id", "run", "bucket", "id", "leg")
     return rows.mapInArrow(_settle, LEG_SCHEMA)
 
 
