@@ -170,7 +170,8 @@ def q_cdc_unwrap(spark, sf):
 
 
 def q_cdc_drop_deletes(spark, sf):
-    d = cdc.keep_upserts(cdc.decode(Inputs(spark, sf).log_events()))
+    Inputs(spark, sf)  # session defaults
+    d = cdc.keep_upserts(cdc.decode(fx.change_log(spark, sf)))  # one job straight from the log, each envelope parsed once
     return d.select("table_name", "op", F.col("_seq").alias("seq"), _row_id().alias("row_id"))
 
 

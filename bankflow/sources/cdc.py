@@ -48,25 +48,25 @@ def read_cdc_stream(spark: SparkSession, source: str, opts: dict | None = None,
         reader = spark.readStream.schema(EVENT_SCHEMA)
         for key, value in opts.items():
             reader = reader.option(key, value)
-        raw = reader.json(source)
+        raw = reader.load(source)
     return decode(raw)
 
 
 def route_topic(topic: Column) -> Column:
     """Table name = last dot-separated part of the topic."""
-    return F.element_at(F.split(topic, "[.]"), -1)
+    return F.substring_index(topic, ".", -1)
 
 
-def _present(x: Column, field: str | None = None) -> Column:
-    """Truthy envelope part: a non-empty JSON object (SQL NULL, JSON null and ``{}`` are not).
+def _present(x: Column, field: str | None = None, path: str = "$") -> Column:
+    """Truthy envelope part at ``path``: a non-empty JSON object (SQL NULL, JSON null and ``{}`` are not).
 
-    A named field that has a value settles it without building a map; else the
+    A named field that has a value settles it without building a map or copying the part; else the
     object's keys are counted (NULL for anything that is not an object).
     """
-    count = F.coalesce(F.size(F.try_variant_get(x, "$", "map<string,variant>")) > 0, F.lit(False))
+    count = F.coalesce(F.size(F.try_variant_get(x, path, "map<string,variant>")) > 0, F.lit(False))
     if field is None:
         return count
-    return F.when(F.try_variant_get(x, f"$.{field}", "string").isNotNull(), F.lit(True)).otherwise(count)
+    return F.when(F.try_variant_get(x, f"{path}.{field}", "string").isNotNull(), F.lit(True)).otherwise(count)
 
 
 ENVELOPE_FIELDS = [("op", "string"), ("before", "variant"), ("after", "variant"),
@@ -84,7 +84,7 @@ def decode(events: DataFrame) -> DataFrame:
     parsed = events.select(route_topic(F.col("topic")).alias("table_name"),
                            F.try_parse_json(F.col("value")).alias("_event"), F.col("value").alias("_text"))
     ev = F.col("_event")
-    wrapped = _present(F.variant_get(ev, "$.payload", "variant"), "op")
+    wrapped = _present(ev, "op", "$.payload")
     picked = parsed.select("table_name", ev.alias("_event"), wrapped.alias("_wrapped"),
                            F.when(ev.isNull(), F.col("_text")).alias("_bad"))
     out = [F.when(F.col("_wrapped"), F.try_variant_get(ev, f"$.payload.{name}", typ))
@@ -96,10 +96,13 @@ def decode(events: DataFrame) -> DataFrame:
 
 
 def keep_upserts(decoded: DataFrame) -> DataFrame:
-    """Drop deletes and tombstones: keep rows whose ``after`` is truthy."""
-    if "_upsert" in decoded.columns:
-        return decoded.where(F.col("_upsert"))
-    return decoded.where(_present(F.col("after")))
+    """Drop deletes and tombstones: keep rows whose ``after`` is truthy.
+
+    Of an upsert a one-element array is exploded, of anything else none. A filter on the flag would be pushed below
+    the decode, whose expressions it would hold in full, and parse each envelope once for every part of the condition."""
+    upsert = F.col("_upsert") if "_upsert" in decoded.columns else _present(F.col("after"))
+    kept = F.explode(F.when(upsert, F.array(F.lit(True)))).alias("_kept")
+    return decoded.select("*", kept).drop("_kept")
 
 
 def to_raw(decoded: DataFrame, file_col: Column | None = None) -> DataFrame:
@@ -117,11 +120,10 @@ def to_raw(decoded: DataFrame, file_col: Column | None = None) -> DataFrame:
 def materialize_raw(events: DataFrame) -> DataFrame:
     """Decode an event log once and keep its upserts as a stored raw table (all topics).
 
-    The decoded rows (with their upsert flag) are written out (reliable, in the
-    shared checkpoint folder) and the upsert filter runs on the stored flag, so
-    every envelope is parsed exactly once and later extractions read a stored
-    variant.
+    The raw rows alone are written out (reliable, in the shared checkpoint folder):
+    ``keep_upserts`` parses every envelope exactly once, and later extractions read
+    a stored variant.
     """
     from bankflow.session import cut_lineage
 
-    return to_raw(cut_lineage(decode(events), "decoded"))
+    return cut_lineage(to_raw(decode(events)), "decoded")

@@ -11,3 +11,28 @@ def test_hot_account_takes_one_round(spark, monkeypatch):
     assert check(spark, *hovering(2_000), partitions=6).rounds == 1             # however many range partitions its legs lie in
     monkeypatch.setattr(posting, "LEGS_PER_RUN", 700)
     assert 1 < check(spark, *hovering(2_000), partitions=12).rounds <= 6        # a run ends with the bucket that fills it
+
+
+ENVELOPES = [('banking_server.public.accounts', '{"payload":{"before":null,"after":{"id":1},"op":"c","ts_ms":5,"seq":1}}'),
+             ('banking_server.public.accounts', '{"payload":null,"before":{"id":2},"after":null,"op":"d","ts_ms":6,"seq":2}'),
+             ('customers', '{"before":null,"after":{"name":"x"},"op":"u","ts_ms":7,"seq":3}'),
+             ('a.customers', '{"before":null,"after":{},"op":"u","ts_ms":8,"seq":4}'), ('a.customers', 'no json'), (None, None)]
+
+
+def _plan(df, capsys) -> str:
+    capsys.readouterr()
+    df.explain()
+    return capsys.readouterr().out
+
+
+def test_upserts_parse_each_envelope_once(spark, tmp_path, capsys):
+    spark.createDataFrame(ENVELOPES, cdc.EVENT_SCHEMA).write.parquet(str(tmp_path / "log"))
+    kept = cdc.keep_upserts(cdc.decode(spark.read.parquet(str(tmp_path / "log")))).select("table_name", "op", "_seq")
+    assert sorted(map(tuple, kept.collect())) == [("accounts", "c", 1), ("customers", "u", 3)]
+    assert _plan(kept, capsys).count("parseJson") == 1
+
+
+def test_raw_is_stored_without_what_it_drops(spark):
+    raw = cdc.materialize_raw(spark.createDataFrame(ENVELOPES, cdc.EVENT_SCHEMA))
+    assert sorted(r["_seq"] for r in raw.collect()) == [1, 3]
+    assert set(spark.read.parquet(*raw.inputFiles()).columns) == {"table_name", "v", "_ts_ms", "_seq", "_file"}
