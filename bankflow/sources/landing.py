@@ -36,6 +36,7 @@ EPOCH_NTZ = "1970-01-01 00:00:00"
 PARTITIONS = ["table_name", "date", "kind"]
 LANDING_SCHEMA = "v variant, _ts_ms bigint, _seq bigint, op string, table_name string, date date, kind string"
 RAW_SCHEMA = "v variant, _ts_ms bigint, _seq bigint, _file string, load string, table_name string, date date"
+FILES_PER_TASK = 500     # small files that one task writes, where a flush size makes many of them
 MOST_REJECTS = 20        # unreadable files of a load; each costs another try, and with more of them the load as a whole is at fault
 
 
@@ -67,7 +68,8 @@ def write_landing(decoded: DataFrame, base: str, flush_sizes: dict[str, int] | N
 
     ``flush_sizes`` caps rows per file per table (the reference flushes 10
     customers or 50 other rows per file; tables it does not name get
-    ``DEFAULT_FLUSH_SIZE``); at scale leave it unset or large.
+    ``DEFAULT_FLUSH_SIZE``); at scale leave it unset or large. The work then follows
+    the files, not the bytes, so a table-day is cut into cells of ``FILES_PER_TASK`` files.
     """
     rows = landing_rows(decoded, as_of)
     if not flush_sizes:
@@ -79,9 +81,18 @@ def write_landing(decoded: DataFrame, base: str, flush_sizes: dict[str, int] | N
         by_size.setdefault(int(size), []).append(table)
     named = F.coalesce(F.col("table_name").isin(*flush_sizes), F.lit(False))
     parts = [(size, F.col("table_name").isin(*tables)) for size, tables in by_size.items()]
+    counts = cut_lineage(rows.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("_rows")), "landing-counts")   # a row per table, day and kind
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for size, mine in [*parts, (DEFAULT_FLUSH_SIZE, ~named)]:
-        (rows.where(mine).hint("rebalance", *PARTITIONS).write.mode("append")
-         .option("maxRecordsPerFile", size).partitionBy(*PARTITIONS).parquet(base))
+        of = counts.where(mine).select(*[F.col(c).alias(f"_{c}") for c in PARTITIONS], F.ceil(F.col("_rows") / (size * FILES_PER_TASK)).alias("_cells"), "_rows")
+        files = of.agg(F.sum(F.ceil(F.col("_rows") / size))).first()[0]
+        if not files:
+            continue
+        same = [rows[c].eqNullSafe(of[f"_{c}"]) for c in PARTITIONS]
+        cell = F.pmod(F.monotonically_increasing_id(), F.col("_cells"))
+        (rows.where(mine).join(F.broadcast(of), same).withColumn("_cell", cell)
+         .repartition(max(least, files // FILES_PER_TASK + 1), *PARTITIONS, "_cell").select(*rows.columns)
+         .write.mode("append").option("maxRecordsPerFile", size).partitionBy(*PARTITIONS).parquet(base))
 
 
 def landed(spark: SparkSession, base: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from bankflow.operators import posting
-from bankflow.sources import cdc
+from bankflow.sources import cdc, landing
 from tests.test_posting import check, hovering
 
 
@@ -36,3 +36,17 @@ def test_raw_is_stored_without_what_it_drops(spark):
     raw = cdc.materialize_raw(spark.createDataFrame(ENVELOPES, cdc.EVENT_SCHEMA))
     assert sorted(r["_seq"] for r in raw.collect()) == [1, 3]
     assert set(spark.read.parquet(*raw.inputFiles()).columns) == {"table_name", "v", "_ts_ms", "_seq", "_file"}
+
+
+def test_small_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "FILES_PER_TASK", 2)
+    value = F.concat(F.lit('{"before":null,"after":{"id":1},"op":"c","ts_ms":5,"seq":'), F.col("id").cast("string"), F.lit("}"))
+    topic = F.when(F.col("id") < 200, "x.customers").when(F.col("id") < 320, "x.others")      # and 30 without a topic
+    base = str(tmp_path / "landing")
+    landing.write_landing(cdc.decode(spark.range(350).coalesce(1).select(topic.alias("topic"), value.alias("value"))), base, {"customers": 10})
+    landed = landing.landed(spark, base)
+    assert sorted(r[0] for r in landed.select("_seq").collect()) == list(range(350))
+    sizes = {r["table_name"]: r["most"] for r in landing.file_rows(spark, base).groupBy("table_name").agg(F.max("rows").alias("most")).collect()}
+    assert sizes["customers"] <= 10 and sizes["others"] <= 50 and sizes[None] <= 50
+    writers = {f.split("/part-")[1][:5] for f in landed.where("table_name = 'customers'").inputFiles()}
+    assert len(writers) > 1        # 20 files of one day, in ten cells
