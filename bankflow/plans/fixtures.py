@@ -163,12 +163,12 @@ def _account_struct() -> Column:
     return F.struct(*[iso(F.col(c)).alias(c) if c == "created_at" else F.col(c) for c in ACCOUNT_FIELDS])
 
 
-def account_events(spark: SparkSession, sf_dir: str, day: int = 1) -> DataFrame:
+def account_events(spark: SparkSession, sf_dir: str, day: int = 1, times: bool = False) -> DataFrame:
     rows = account_rows(spark, sf_dir, day)
     k = F.col("customer_id")
     base_ms = (DAY2_MS if day == 2 else DAY1_MS) + k * 1000
     return envelopes(rows, "accounts", _account_struct(), F.lit("r" if day == 2 else "c"), base_ms,
-                     F.col("id") * 2 + (1 if day == 2 else 0))
+                     F.col("id") * 2 + (1 if day == 2 else 0), times=times)
 
 
 def opening_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,22 +228,22 @@ def _txn_struct(balance_after: Column) -> Column:
     return F.struct(*cols)
 
 
-def transaction_events(rows: DataFrame) -> DataFrame:
+def transaction_events(rows: DataFrame, times: bool = False) -> DataFrame:
     """Two images per transaction: the insert (balance_after NULL) and the posting update."""
     ms = epoch_ms(F.col("created_at"))
     after = ((F.col("cents") + 100000).cast("decimal(18,0)") / 100).cast("decimal(18,2)")
     c_img = envelopes(rows, "transactions", _txn_struct(F.lit(None).cast("decimal(18,2)")), F.lit("c"), ms,
-                      F.col("id") * 2)
-    u_img = envelopes(rows, "transactions", _txn_struct(after), F.lit("u"), ms, F.col("id") * 2 + 1)
+                      F.col("id") * 2, times=times)
+    u_img = envelopes(rows, "transactions", _txn_struct(after), F.lit("u"), ms, F.col("id") * 2 + 1, times=times)
     return c_img.unionByName(u_img)
 
 
 LEDGER_FIELDS = ["id", "transaction_id", "account_id", "entry_type", "amount", "created_at"]
 
 
-def ledger_events(ledger: DataFrame) -> DataFrame:
+def ledger_events(ledger: DataFrame, times: bool = False) -> DataFrame:
     body = F.struct(*[iso(F.col(c)).alias(c) if c == "created_at" else F.col(c) for c in LEDGER_FIELDS])
-    return envelopes(ledger, "ledger_entries", body, F.lit("c"), epoch_ms(F.col("created_at")), F.col("id"))
+    return envelopes(ledger, "ledger_entries", body, F.lit("c"), epoch_ms(F.col("created_at")), F.col("id"), times=times)
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,26 +254,26 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- envelopes
 def envelopes(rows: DataFrame, table_name: str, body: Column, op: Column, ts_ms: Column, seq: Column,
-              delete: bool = False) -> DataFrame:
+              delete: bool = False, times: bool = False) -> DataFrame:
     """Wrap row images as change events, in three envelope forms chosen by ``seq % 3``:
-    ``{"payload": env}``, ``{"payload": null, ...env}`` and the bare ``env``."""
+    ``{"payload": env}``, ``{"payload": null, ...env}`` and the bare ``env``. ``times``: with the time of each as a column of its own."""
     before = body if delete else F.lit(None).cast("string")
     after = F.lit(None).cast("string") if delete else body
     env = [before.alias("before"), after.alias("after"), op.alias("op"), ts_ms.alias("ts_ms"), seq.alias("seq")]
     # Serialise once, then wrap as text: repeating the struct per form would
     # triple the generated code.
     staged = rows.select(F.to_json(F.struct(*env), {"ignoreNullFields": "false"}).alias("_env"),
-                         (seq % 3).alias("_form"))
+                         (seq % 3).alias("_form"), ts_ms.cast("bigint").alias("ts_ms"))
     body_json = F.col("_env")
     value = (F.when(F.col("_form") == 0, F.concat(F.lit('{"payload":'), body_json, F.lit("}")))
              .when(F.col("_form") == 1, F.concat(F.lit('{"payload":null,'), F.substring(body_json, 2, 1 << 30)))
              .otherwise(body_json))
-    return staged.select(F.lit(TOPIC_PREFIX + table_name).alias("topic"), value.alias("value"))
+    return staged.select(F.lit(TOPIC_PREFIX + table_name).alias("topic"), value.alias("value"), *(["ts_ms"] if times else []))
 
 
 def change_log(spark: SparkSession, sf_dir: str, tables=("customers", "accounts", "transactions",
-                                                       "ledger_entries")) -> DataFrame:
-    """The full change log of two days for the given topics.
+                                                       "ledger_entries"), times: bool = False) -> DataFrame:
+    """The full change log of two days for the given topics; ``times``: with each event's ``ts_ms`` beside it.
 
     customers: day-1 inserts; day 2 inserts new keys, updates changed ones and
     deletes the k%10=7 ones. accounts: day-1 inserts, day-2 updates (id%6=0).
@@ -288,26 +288,26 @@ def change_log(spark: SparkSession, sf_dir: str, tables=("customers", "accounts"
         n = customer_count(spark, sf_dir)
         cutoff = n - n // 10
         k = F.col("id")
-        parts.append(envelopes(day1, "customers", _customer_struct(day1), F.lit("c"), DAY1_MS + k * 1000, k * 4))
+        parts.append(envelopes(day1, "customers", _customer_struct(day1), F.lit("c"), DAY1_MS + k * 1000, k * 4, times=times))
         changed = day2.where((k >= cutoff) | (k % 10 == 0) | (k % 10 == 5))
         op2 = F.when(k >= cutoff, F.lit("c")).otherwise(F.lit("u"))
         parts.append(envelopes(changed, "customers", _customer_struct(changed), op2, DAY2_MS + k * 1000,
-                               k * 4 + 1))
+                               k * 4 + 1, times=times))
         gone = day1.where(k % 10 == 7)
         parts.append(envelopes(gone, "customers", _customer_struct(gone), F.lit("d"), DAY2_MS + k * 1000,
-                               k * 4 + 1, delete=True))
+                               k * 4 + 1, delete=True, times=times))
     if "accounts" in tables:
-        parts.append(account_events(spark, sf_dir, 1))
+        parts.append(account_events(spark, sf_dir, 1, times))
         acc2 = account_rows(spark, sf_dir, 2).where(F.col("id") % 6 == 0)
         parts.append(envelopes(acc2, "accounts", _account_struct(), F.lit("u"),
-                               DAY2_MS + F.col("customer_id") * 1000, F.col("id") * 2 + 1))
+                               DAY2_MS + F.col("customer_id") * 1000, F.col("id") * 2 + 1, times=times))
     if "transactions" in tables or "ledger_entries" in tables:
         txn = transaction_rows(spark, sf_dir)
         if "transactions" in tables:
-            parts.append(transaction_events(txn))
+            parts.append(transaction_events(txn, times))
         if "ledger_entries" in tables:
             parts.append(ledger_events(ledger_legs(txn.select("id", "account_id", "related_account_id",
-                                                              "txn_type", "amount", "created_at"))))
+                                                              "txn_type", "amount", "created_at")), times))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -869,9 +869,11 @@ def q_stream_scd2(spark, sf):
 # ------------------------------------------------------------------ runs
 def _two_days(spark, sf) -> list[DataFrame]:
     """The change log, cut at the second day's start by capture time."""
-    log = cut_lineage(fx.change_log(spark, sf), "events")
-    at = F.coalesce(F.get_json_object("value", "$.payload.ts_ms"), F.get_json_object("value", "$.ts_ms")).cast("bigint")
-    return [log.where(at < fx.DAY2_MS), log.where(at >= fx.DAY2_MS)]
+    log = fx.change_log(spark, sf, times=True)        # with the time of each record, as a broker keeps it
+    path = work_dir(spark, "events")
+    log.select("topic", "value", (F.col("ts_ms") >= fx.DAY2_MS).alias("second")).write.partitionBy("second").parquet(path)
+    days = spark.read.schema("topic string, value string, second boolean").parquet(path)
+    return [days.where(~F.col("second")).drop("second"), days.where(F.col("second")).drop("second")]
 
 
 class Paths:

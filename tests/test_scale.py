@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from bankflow.operators import posting
+from bankflow.plans import fixtures as fx, queries
 from bankflow.sources import cdc, landing
+from tests.conftest import SF_SMALL
 from tests.test_posting import check, hovering
 
 
@@ -50,3 +52,12 @@ def test_small_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     assert sizes["customers"] <= 10 and sizes["others"] <= 50 and sizes[None] <= 50
     writers = {f.split("/part-")[1][:5] for f in landed.where("table_name = 'customers'").inputFiles()}
     assert len(writers) > 1        # 20 files of one day, in ten cells
+
+
+def test_days_are_cut_without_parsing(spark, capsys):
+    days = queries._two_days(spark, SF_SMALL)
+    ts_ms = F.regexp_extract("value", '"ts_ms":([0-9]+)', 1).cast("bigint")
+    first, second = (d.agg(F.count(F.lit(1)), F.min(ts_ms), F.max(ts_ms)).first() for d in days)
+    assert first[2] < fx.DAY2_MS <= second[1]
+    assert first[0] + second[0] == fx.change_log(spark, SF_SMALL).count()
+    assert "get_json_object" not in _plan(days[0], capsys)
