@@ -750,13 +750,22 @@ def q_kpi_customer_balance(spark, sf):
 
 
 # ------------------------------------------------------------------ streaming
-def _event_files(inp: Inputs, events: DataFrame) -> str:
-    """Write an event log as JSON-lines files: the arrivals a file stream will pick up."""
+def _event_files(inp: Inputs, events: DataFrame, form: str = "json") -> str:
+    """Write an event log as files: the arrivals a file stream will pick up."""
     path = work_dir(inp.spark, "event-files")
-    events.write.json(path)
+    events.write.format(form).option("parquet.block.size", 1 << 20).save(path)
     return path
 
 
+def _stream_landed(inp: Inputs) -> str:
+    """The change log as files of (topic, value) records, landed by a stream, a file at a time. Parquet: as JSON lines the log is
+    twelve times as large, and compressed ones cannot be read in parts. Row groups are small, so that a file has parts for all cores."""
+    log = _event_files(inp, inp.log_events(), "parquet")
+    base = work_dir(inp.spark, "stream-landing")
+    jobs.run_landing(inp.spark, log, base, work_dir(inp.spark, "stream-ckpt"), {"maxFilesPerTrigger": "1", "format": "parquet"})
+    return base
+
+
 def _arrivals(spark: SparkSession, parts: list[DataFrame], spread_by) -> str:
     """Append each part (a day or a week of raw rows) as its own set of files, in
     time order, so a file stream sees them in that order. Rows are spread over
@@ -768,19 +777,12 @@ def _arrivals(spark: SparkSession, parts: list[DataFrame], spread_by) -> str:
 
 
 def q_stream_landing(spark, sf):
-    inp = Inputs(spark, sf)
-    src = _event_files(inp, inp.log_events())
-    base = work_dir(spark, "stream-landing")
-    jobs.run_landing(spark, src, base, work_dir(spark, "stream-ckpt"), {"maxFilesPerTrigger": "1"})
-    df = landing.upserts(spark.read.parquet(base))
+    df = landing.upserts(spark.read.parquet(_stream_landed(Inputs(spark, sf))))
     return df.select("table_name", F.col("_seq").alias("seq"), _row_id("v").alias("row_id"))
 
 
 def q_stream_raw(spark, sf):
-    inp = Inputs(spark, sf)
-    src = _event_files(inp, inp.log_events())
-    base = work_dir(spark, "stream-landing")
-    jobs.run_landing(spark, src, base, work_dir(spark, "stream-ckpt"), {"maxFilesPerTrigger": "1"})
+    base = _stream_landed(Inputs(spark, sf))
     raw_base = work_dir(spark, "stream-raw")
     landing.load_raw(spark, base, raw_base, work_dir(spark, "raw-ckpt"))
     r = landing.raw_rows(spark, raw_base)

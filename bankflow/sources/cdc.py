@@ -31,7 +31,8 @@ def read_cdc_batch(spark: SparkSession, path: str) -> DataFrame:
 
 def read_cdc_stream(spark: SparkSession, source: str, opts: dict | None = None,
                     tables=TABLES) -> DataFrame:
-    """Unbounded events from Kafka (``source="kafka"``) or from a folder of event files.
+    """Unbounded events from Kafka (``source="kafka"``) or from a folder of event files: JSON lines, or with the
+    option ``format`` the same (topic, value) records as e.g. Parquet, which is compressed and can still be read in parts.
 
     Kafka: subscribe to the four table topics from the earliest offset; the
     Kafka connector jar must be on the cluster's classpath.
@@ -45,7 +46,7 @@ def read_cdc_stream(spark: SparkSession, source: str, opts: dict | None = None,
             reader = reader.option(key, value)
         raw = reader.load().select(F.col("topic"), F.col("value").cast("string").alias("value"))
     else:
-        reader = spark.readStream.schema(EVENT_SCHEMA)
+        reader = spark.readStream.schema(EVENT_SCHEMA).format(opts.pop("format", "json"))
         for key, value in opts.items():
             reader = reader.option(key, value)
         raw = reader.load(source)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from bankflow.operators import posting
 from bankflow.plans import fixtures as fx, queries
 from bankflow.sources import cdc, landing
+from bankflow.streaming import jobs
 from tests.conftest import SF_SMALL
 from tests.test_posting import check, hovering
 
@@ -61,3 +62,10 @@ def test_days_are_cut_without_parsing(spark, capsys):
     assert first[2] < fx.DAY2_MS <= second[1]
     assert first[0] + second[0] == fx.change_log(spark, SF_SMALL).count()
     assert "get_json_object" not in _plan(days[0], capsys)
+
+
+def test_event_files_may_be_parquet(spark, tmp_path):
+    spark.createDataFrame(ENVELOPES, cdc.EVENT_SCHEMA).write.parquet(str(tmp_path / "events"))
+    jobs.run_landing(spark, str(tmp_path / "events"), str(tmp_path / "landing"), str(tmp_path / "ckpt"), {"format": "parquet"})
+    landed = landing.upserts(spark.read.parquet(str(tmp_path / "landing")))
+    assert sorted(map(tuple, landed.select("table_name", "_seq").collect())) == [("accounts", 1), ("customers", 3)]
