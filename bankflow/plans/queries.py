@@ -268,11 +268,13 @@ def q_raw_load_quarantine(spark, sf):
     """A landing folder with a damaged file of accounts: the load takes all others and sets that one aside; mended, it comes in.
     Rows and files set aside per table, before and after."""
     inp = Inputs(spark, sf)
-    base, raw_base, aside = (work_dir(spark, n) for n in ("landing", "raw", "aside"))
-    rows = cut_lineage(landing.landing_rows(cdc.decode(fx.change_log(spark, sf))), "landing-rows")
+    folder, raw_base, aside = (work_dir(spark, n) for n in ("landing", "raw", "aside"))
+    base = f"{folder}/held=false"
     held = (F.col("table_name") == "accounts") & (F.col("kind") == "upsert") & (F.col("_seq") < 100)
-    rows.where(~held).hint("rebalance", *landing.PARTITIONS).write.partitionBy(*landing.PARTITIONS).parquet(base)
-    rows.where(held).drop(*landing.PARTITIONS).coalesce(1).write.parquet(aside)       # the file as it should be: the first few accounts
+    rows = landing.landing_rows(cdc.decode(fx.change_log(spark, sf))).withColumn("held", F.coalesce(held, F.lit(False)))
+    rows.hint("rebalance", *landing.PARTITIONS).write.partitionBy("held", *landing.PARTITIONS).parquet(folder)     # one job straight from the log
+    first = spark.read.schema(f"{landing.LANDING_SCHEMA}, held boolean").parquet(folder).where("held")
+    first.drop("held", *landing.PARTITIONS).coalesce(1).write.parquet(aside)       # the file as it should be: the first few accounts
     [name] = [n for n in list_names(spark, aside) if n.endswith(".parquet")]
     file = f"{base}/table_name=accounts/date=2024-01-01/kind=upsert/{name}"
     write_text(spark, file, "this is no parquet file")

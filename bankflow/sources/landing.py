@@ -159,14 +159,20 @@ def _landing_files(spark: SparkSession, landing: str, files: list[str], day: str
     return _raw_columns(rows if day is None else rows.where(F.col("date") == F.lit(day).cast("date")))
 
 
+def _write_load(rows: DataFrame, raw: str, name: str) -> None:
+    (rows.withColumn("load", F.lit(name)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("load", "table_name", "date").parquet(raw))
+
+
 def _store_load(rows: DataFrame, raw: str, name: str, files_of=None, landing: str = "", day: str | None = None) -> None:
     """Write one load, without the files that cannot be read, which are noted; then mark it as complete. After an error the load's
-    other files (``files_of`` names all) are read by name."""
+    other files (``files_of`` names all) are read by name. Damaged footers show when the rows are counted, before any row is written; a
+    file that turns out to be damaged further in costs another write."""
     spark, bad, good = rows.sparkSession, {}, rows
     while True:
         try:
-            (good.withColumn("load", F.lit(name)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("load", "table_name", "date").parquet(raw))
+            good.count()          # from the footers
+            _write_load(good, raw, name)
             break
         except (PySparkException, Py4JJavaError) as error:              # inside a stream's callback it is the latter
             file = _unreadable(error)

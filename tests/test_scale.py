@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from bankflow.operators import posting
 from bankflow.plans import fixtures as fx, queries
+from bankflow.session import work_dir, write_text
 from bankflow.sources import cdc, landing
 from bankflow.streaming import jobs
 from tests.conftest import SF_SMALL
@@ -69,3 +70,23 @@ def test_event_files_may_be_parquet(spark, tmp_path):
     jobs.run_landing(spark, str(tmp_path / "events"), str(tmp_path / "landing"), str(tmp_path / "ckpt"), {"format": "parquet"})
     landed = landing.upserts(spark.read.parquet(str(tmp_path / "landing")))
     assert sorted(map(tuple, landed.select("table_name", "_seq").collect())) == [("accounts", 1), ("customers", 3)]
+
+
+def test_row_images_are_stored_whole(spark):
+    import pyarrow.parquet as pq
+
+    raw = cdc.materialize_raw(spark.createDataFrame(ENVELOPES, cdc.EVENT_SCHEMA))
+    stored = [str(pq.ParquetFile(f.removeprefix("file:")).schema) for f in raw.inputFiles()]
+    assert stored and all("metadata" in s and "typed_value" not in s for s in stored)
+
+
+def test_a_file_without_footer_costs_no_second_write(spark, monkeypatch):
+    base, raw, ckpt = (work_dir(spark, f"t-foot-{n}") for n in ("landing", "raw", "ckpt"))
+    landing.write_landing(cdc.decode(spark.createDataFrame(ENVELOPES[:3], cdc.EVENT_SCHEMA)), base)
+    write_text(spark, f"{base}/table_name=accounts/date=1970-01-01/kind=upsert/part-bad.parquet", "this is no parquet file")
+    written, write = [], landing._write_load
+    monkeypatch.setattr(landing, "_write_load", lambda rows, *to: (written.append(to), write(rows, *to)))
+    landing.load_raw(spark, base, raw, ckpt)
+    assert len(written) == 1
+    assert sorted(r["_seq"] for r in landing.raw_rows(spark, raw).collect()) == [1, 3]
+    assert [r["file"].split("/")[-1] for r in landing.rejects(spark, raw).collect()] == ["part-bad.parquet"]
