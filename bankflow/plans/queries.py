@@ -575,17 +575,17 @@ def q_reject_report(spark, sf):
 
 
 # ------------------------------------------------------------------ data tests
-def _stg_models(inp: Inputs) -> dict:
-    """The staging models, each stored once for all its tests."""
+def _stg_models(inp: Inputs, stored: bool = True) -> dict:
+    """The staging models, each stored once for all its tests; not ``stored`` for a test that reads a model once."""
     inp.log_raw(tuple(S.TABLES))  # decode all four topics in one job
     models = {"stg_customers": inp.stg_customers(), "stg_accounts": inp.stg_accounts(),
               "stg_transactions": inp.stg_transactions("as_written"), "stg_ledger_entries": inp.stg_ledger()}
-    return {name: cut_lineage(df, name) for name, df in models.items()}
+    return {name: cut_lineage(df, name) if stored else df for name, df in models.items()}
 
 
 def _by_test(inp: Inputs, test: str) -> DataFrame:
     out = None
-    for name, df in _stg_models(inp).items():
+    for name, df in _stg_models(inp, stored=test == "accepted_values").items():       # it reads a model once per column
         spec = S.DATA_TESTS[name]
         if test == "accepted_values":       # values outside the lists, two different ones per column
             key = F.coalesce(F.col("id" if name == "stg_ledger_entries" else name[4:-1] + "_id").cast("bigint"), F.lit(0))
@@ -848,7 +848,8 @@ def q_stream_posting(spark, sf):
     least, most = requests.agg(F.min("id"), F.max("id")).first()
     size = (most - least) // POSTING_BATCHES + 1
     for n in range(POSTING_BATCHES):                     # files in the order in which they would arrive
-        requests.where((F.col("id") >= least + n * size) & (F.col("id") < least + (n + 1) * size)).coalesce(1).write.mode("append").parquet(path)
+        part = requests.where((F.col("id") >= least + n * size) & (F.col("id") < least + (n + 1) * size)).coalesce(1)
+        part.write.mode("append").option("parquet.block.size", 1 << 20).parquet(path)      # small row groups: a file has parts for all cores
     stream = spark.readStream.schema(requests.schema).option("maxFilesPerTrigger", "1").parquet(path)
     ckpt = work_dir(spark, "posting-ckpt")
     jobs.run_posting(spark, stream, root, ckpt)

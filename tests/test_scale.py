@@ -90,3 +90,20 @@ def test_a_file_without_footer_costs_no_second_write(spark, monkeypatch):
     assert len(written) == 1
     assert sorted(r["_seq"] for r in landing.raw_rows(spark, raw).collect()) == [1, 3]
     assert [r["file"].split("/")[-1] for r in landing.rejects(spark, raw).collect()] == ["part-bad.parquet"]
+
+
+def test_models_read_once_are_not_stored(spark, monkeypatch):
+    twice = lambda c: spark.createDataFrame([("1",), ("1",), ("2",), (None,)], f"{c} string")
+
+    class Inp:
+        log_raw = staticmethod(lambda tables: None)
+        stg_customers = staticmethod(lambda: twice("customer_id"))
+        stg_accounts = staticmethod(lambda: twice("account_id"))
+        stg_transactions = staticmethod(lambda mode: twice("transaction_id"))
+        stg_ledger = staticmethod(lambda: twice("id"))
+
+    stored, cut = [], queries.cut_lineage
+    monkeypatch.setattr(queries, "cut_lineage", lambda df, name: (stored.append(name), cut(df, name))[1])
+    assert sorted((r["model"], r["failures"]) for r in queries._by_test(Inp, "unique").collect()) == [
+        ("stg_accounts", 1), ("stg_customers", 1), ("stg_ledger_entries", 1), ("stg_transactions", 1)]
+    assert stored == []
