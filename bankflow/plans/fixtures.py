@@ -29,6 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The same rows dealt over all cores by their content: a table of short rows is one small file that few tasks could read, while what is
+    built of a row (images, envelopes) takes far longer than reading it. Small tables stay in few partitions (AQE)."""
+    return rows.repartition(*rows.columns)
+
+
 def ts(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
@@ -58,7 +64,7 @@ def user_count(spark: SparkSession, sf_dir: str) -> int:
 # ---------------------------------------------------------------- customers
 def customer_rows(spark: SparkSession, sf_dir: str, day: int = 0) -> DataFrame:
     """OLTP customer rows. day 0: every key at its first values; 1: day-1 keys; 2: state after day 2."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    c = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
     geo = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
     ).select("n_nationkey", F.concat_ws(", ", "n_name", "r_name").alias("address"))
@@ -135,7 +141,7 @@ ACCOUNT_FIELDS = ["id", "account_number", "customer_id", "account_type", "status
 
 def account_rows(spark: SparkSession, sf_dir: str, day: int = 1) -> DataFrame:
     """Two accounts per customer (id = 2k+u); day 2 adds 100.00 to ids with id%6=0."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    c = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"))
     u = F.explode(F.array(F.lit(0), F.lit(1))).alias("u")
     acc = c.select("c_custkey", "c_acctbal", u)
     acc_id = F.col("c_custkey") * 2 + F.col("u")

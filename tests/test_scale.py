@@ -107,3 +107,16 @@ def test_models_read_once_are_not_stored(spark, monkeypatch):
     assert sorted((r["model"], r["failures"]) for r in queries._by_test(Inp, "unique").collect()) == [
         ("stg_accounts", 1), ("stg_customers", 1), ("stg_ledger_entries", 1), ("stg_transactions", 1)]
     assert stored == []
+
+
+def test_rows_of_one_small_file_are_built_by_many_tasks(spark, tmp_path):
+    sf, key = str(tmp_path), F.col("id")
+    spark.range(200_000).coalesce(1).select(
+        key.alias("c_custkey"), F.concat(F.lit("Customer#"), key.cast("string")).alias("c_name"), (key % 2).cast("int").alias("c_nationkey"),
+        (key / 7).alias("c_acctbal"), F.lit("BUILDING").alias("c_mktsegment")).write.parquet(f"{sf}/customer.parquet")
+    spark.sql("select 0 n_nationkey, 'N' n_name, 0 n_regionkey").write.parquet(f"{sf}/nation.parquet")
+    spark.sql("select 0 r_regionkey, 'R' r_name").write.parquet(f"{sf}/region.parquet")
+    for rows, n in ((fx.customer_rows(spark, sf), 200_000), (fx.account_rows(spark, sf), 400_000)):
+        tasks = rows.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert sum(r["count"] for r in tasks) == n
+        assert len(tasks) > 1
