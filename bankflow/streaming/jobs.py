@@ -61,7 +61,9 @@ def run_landing(spark: SparkSession, source: str, base: str, checkpoint: str, op
 def without_repeats(stream: DataFrame, allowed_lateness: dt.timedelta | None = None) -> DataFrame:
     """A stream of raw transactions without the images that have come before, as far as the late-data rule could still admit them.
 
-    An image is known by its id and the digest of its content and change event. Its state is kept until the watermark (the latest transaction
+    An image is known by its id and its change event: time, capture time and sequence number, on which the load orders the images of a
+    transaction (between images that are equal in all of them it takes any). Only an image without a capture time or sequence number is
+    known by its content, as writing that out takes longer than all else here. Its state is kept until the watermark (the latest transaction
     time of the batches before, less the lateness) has passed its time by the lateness once more, so the state follows the
     rows of twice the lateness, not of the stream. The watermark also takes out rows that are too late. All images of a
     transaction must have the same time: then each time that moves the watermark is in the fact, whose high-water mark is as
@@ -70,7 +72,8 @@ def without_repeats(stream: DataFrame, allowed_lateness: dt.timedelta | None = N
     spec = {name: (path, typ) for name, path, typ in STG_TRANSACTIONS_SPEC}
     v = F.col("v")
     txn_id, at = vget(v, *spec["transaction_id"]), vget(v, *spec["txn_time"]).cast("timestamp")
-    image = [F.coalesce(c.cast("string"), F.lit("-")) for c in (F.col("_ts_ms"), F.col("_seq"), F.to_json("v"))]
+    content = F.when(F.col("_ts_ms").isNull() | F.col("_seq").isNull(), F.to_json("v"))
+    image = [F.coalesce(c.cast("string"), F.lit("-")) for c in (F.col("_ts_ms"), F.col("_seq"), at, content)]
     own = {"_txn_at": F.when(txn_id.isNotNull(), at), "_txn_key": F.coalesce(txn_id, F.concat(F.lit("none "), F.uuid())),
            "_txn_image": F.md5(F.concat_ws(" ", *image))}
     delay = math.ceil((allowed_lateness or dt.timedelta(0)).total_seconds())
