@@ -194,7 +194,7 @@ class _Settler:
         col = lambda name: batch.column(batch.schema.get_field_index(name))
         ints = lambda name: col(name).fill_null(-2).to_numpy(zero_copy_only=False).astype(np.int64)
         self.batch, self.ids, self.cents = batch, ints("id"), ints("cents")
-        self.debit, self.account, self.part = col("is_debit").to_numpy(zero_copy_only=False), ints("account_id"), ints("run")
+        self.debit, self.account, self.part = col("is_debit").to_numpy(zero_copy_only=False), ints("account_id"), ints("run" if "run" in batch.schema.names else "bucket")      # buckets alone: each is a run
         self.open = pc.equal(col("state"), "U").to_numpy(zero_copy_only=False)
         n = batch.num_rows
         new = np.ones(n, bool)
