@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from bankflow.schemas import DEFAULT_FLUSH_SIZE
 from bankflow.session import cut_lineage, drop_path, list_names, path_exists, read_text, write_text
+from bankflow.sources import small_files
 
 EPOCH_NTZ = "1970-01-01 00:00:00"
 PARTITIONS = ["table_name", "date", "kind"]
@@ -69,7 +70,8 @@ def write_landing(decoded: DataFrame, base: str, flush_sizes: dict[str, int] | N
     ``flush_sizes`` caps rows per file per table (the reference flushes 10
     customers or 50 other rows per file; tables it does not name get
     ``DEFAULT_FLUSH_SIZE``); at scale leave it unset or large. The work then follows
-    the files, not the bytes, so a table-day is cut into cells of ``FILES_PER_TASK`` files.
+    the files, not the bytes, so a table-day is cut into cells of ``FILES_PER_TASK`` files, and on a mounted file
+    system tasks create them without Hadoop (``small_files``).
     """
     rows = landing_rows(decoded, as_of)
     if not flush_sizes:
@@ -82,7 +84,7 @@ def write_landing(decoded: DataFrame, base: str, flush_sizes: dict[str, int] | N
     named = F.coalesce(F.col("table_name").isin(*flush_sizes), F.lit(False))
     parts = [(size, F.col("table_name").isin(*tables)) for size, tables in by_size.items()]
     counts = cut_lineage(rows.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("_rows")), "landing-counts")   # a row per table, day and kind
-    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least, root = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), small_files.mounted(rows.sparkSession, base)
     for size, mine in [*parts, (DEFAULT_FLUSH_SIZE, ~named)]:
         of = counts.where(mine).select(*[F.col(c).alias(f"_{c}") for c in PARTITIONS], F.ceil(F.col("_rows") / (size * FILES_PER_TASK)).alias("_cells"), "_rows")
         files = of.agg(F.sum(F.ceil(F.col("_rows") / size))).first()[0]
@@ -90,9 +92,12 @@ def write_landing(decoded: DataFrame, base: str, flush_sizes: dict[str, int] | N
             continue
         same = [rows[c].eqNullSafe(of[f"_{c}"]) for c in PARTITIONS]
         cell = F.pmod(F.monotonically_increasing_id(), F.col("_cells"))
-        (rows.where(mine).join(F.broadcast(of), same).withColumn("_cell", cell)
-         .repartition(max(least, files // FILES_PER_TASK + 1), *PARTITIONS, "_cell").select(*rows.columns)
-         .write.mode("append").option("maxRecordsPerFile", size).partitionBy(*PARTITIONS).parquet(base))
+        dealt = (rows.where(mine).join(F.broadcast(of), same).withColumn("_cell", cell)
+                 .repartition(max(least, files // FILES_PER_TASK + 1), *PARTITIONS, "_cell").select(*rows.columns))
+        if root is not None and size <= small_files.MOST_ROWS:
+            small_files.write(dealt, PARTITIONS, size, root)
+        else:
+            dealt.write.mode("append").option("maxRecordsPerFile", size).partitionBy(*PARTITIONS).parquet(base)
 
 
 def landed(spark: SparkSession, base: str) -> DataFrame:
@@ -108,6 +113,9 @@ def scan_landing(spark: SparkSession, base: str, table: str, day: str) -> DataFr
 
 def file_rows(spark: SparkSession, base: str) -> DataFrame:
     """Rows per landed upsert file (for flush-size checks)."""
+    root = small_files.mounted(spark, base)
+    if root is not None and path_exists(spark, base) and not path_exists(spark, f"{base}/_spark_metadata"):       # a stream's log says which files count
+        return small_files.row_counts(spark, root, "table_name=*/date=*/kind=upsert").withColumnRenamed("value", "table_name")
     df = upserts(landed(spark, base))
     return df.groupBy("table_name", F.col("_metadata.file_path").alias("file")).agg(
         F.count(F.lit(1)).alias("rows"))
